@@ -1,0 +1,87 @@
+"""Equi joins that survive a key owning much of the rows."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A key with more rows than this is split over several tasks.
+HEAVY_ROWS = 2_000_000
+# At most this many keys are split, so the broadcast list of them is bounded.
+MAX_HEAVY_KEYS = 10_000
+# Below this estimated size no key of the table can be heavy enough to matter.
+SMALL_BYTES = 256 * 1024 * 1024
+
+_SALT = "_spread"
+_PARTS = "_parts"
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate (an upper estimate for filters and joins)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def heavy_keys(rows: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Keys with more than ``heavy_rows`` rows and the number of parts for each.
+
+    Exact counts, so that both join sides see the same list whenever it is
+    evaluated; at most ``MAX_HEAVY_KEYS`` rows, the heaviest ones.
+    """
+    return (
+        rows.groupBy(*on)
+        .count()
+        .where(F.col("count") > heavy_rows)
+        .orderBy(F.col("count").desc(), *on)
+        .limit(MAX_HEAVY_KEYS)
+        .select(*on, F.ceil(F.col("count") / heavy_rows).cast("int").alias(_PARTS))
+    )
+
+
+def _with_parts(df: DataFrame, heavy: DataFrame, on: Sequence[str]) -> DataFrame:
+    keys = heavy.select(*[F.col(c).alias(f"_heavy_{c}") for c in on], _PARTS)
+    same: Column = reduce(
+        lambda a, b: a & b, [df[c].eqNullSafe(keys[f"_heavy_{c}"]) for c in on]
+    )
+    return df.join(F.broadcast(keys), same, "left").drop(*[f"_heavy_{c}" for c in on])
+
+
+def spread_join(
+    rows: DataFrame,
+    side: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    *,
+    spread: bool | None = None,
+    heavy_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Join ``rows`` to ``side`` (few rows per key), splitting heavy keys of ``rows``.
+
+    ``how`` is inner, left or left_semi. Rows of a heavy key go to one of
+    several parts by their input partition (stable when a task is run again)
+    and the side's rows of that key are repeated once per part. All other keys
+    join as usual. With ``spread=None`` this is skipped where the estimated
+    sizes show it cannot pay: ``rows`` is small, or ``side`` is under Spark's
+    own broadcast limit.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"unsupported join type {how!r}")
+    if spread is None:
+        spark = rows.sparkSession
+        limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+        limit = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
+        spread = estimated_bytes(rows) > SMALL_BYTES and estimated_bytes(side) > limit
+    if not spread:
+        return rows.join(side, on, how)
+
+    heavy = heavy_keys(rows, on, heavy_rows)
+    salted = rows.withColumn("_at", F.spark_partition_id())
+    salted = _with_parts(salted, heavy, on)
+    part = F.coalesce(F.pmod(F.col("_at"), F.col(_PARTS)), F.lit(0))
+    salted = salted.withColumn(_SALT, part).drop(_PARTS, "_at")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
+    repeated = _with_parts(side, heavy, on).withColumn(_SALT, copies).drop(_PARTS)
+    return salted.join(repeated, [*on, _SALT], how).drop(_SALT)
