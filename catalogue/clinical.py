@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from regspan.operators.benefits import import_dream, lab_coverage_long
 from regspan.operators.comorbidity import charlson, weighted_score
 from regspan.operators.conditions import condition_wide, find_condition
-from regspan.operators.cohort import person_list, restrict
+from regspan.operators.cohort import restrict
 from regspan.operators.prescriptions import hypertension_at, hypertension_first
 from regspan.operators.spread import spread_join
 from regspan.plans.extracts import hospital_conditions, lab_results, medication
@@ -43,7 +43,8 @@ SELECT pnr,
 FROM found WHERE pnr IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GROUP BY pnr
 """)
 def cohort_conditions(spark, sf):
-    mine = restrict(lines(spark, sf).select("pnr", "ship", "p_brand"), debtors(spark, sf))
+    coded = lines(spark, sf).select("pnr", "ship", "p_brand")
+    mine = restrict(coded, debtors(spark, sf), counts=visits(spark, sf))
     found = find_condition(mine, "p_brand", ["pnr", "ship"], BRANDS)
     return condition_wide(found, "pnr", "ship", list(BRANDS))
 
@@ -314,7 +315,8 @@ flags AS (
 
 def _charlson(spark, sf, **options):
     index = visits(spark, sf).groupBy("pnr").agg(F.max("day").alias("index_date"))
-    diagnoses = spread_join(lines(spark, sf).select("pnr", "p_brand", "ship"), index, "pnr")
+    coded = lines(spark, sf).select("pnr", "p_brand", "ship")
+    diagnoses = spread_join(coded, index, "pnr", counts=visits(spark, sf))
     return charlson(
         diagnoses, "pnr", "p_brand", "ship", "index_date", COMPONENTS, WEIGHTS, **options
     )
@@ -335,10 +337,9 @@ def charlson_components(spark, sf):
 
 @query(f"""
 WITH {FOUND}
-SELECT pnr, CAST(sum(CASE condition WHEN 'first' THEN 1 WHEN 'teens' THEN 6 ELSE 2 END) AS BIGINT) AS score
+SELECT pnr, CAST(sum(CASE condition WHEN 'first' THEN 1 WHEN 'teens' THEN 6 ELSE 2 END) AS INTEGER) AS score
 FROM (SELECT DISTINCT pnr, condition FROM found) GROUP BY pnr
 """)
 def component_score(spark, sf):
-    weights = spark.createDataFrame([("first", 1), ("teens", 6), ("other", 2)], "component string, weight int")
     found = find_condition(lines(spark, sf), "p_brand", ["pnr"], BRANDS)
-    return weighted_score(found, weights, "pnr")
+    return weighted_score(found, {"first": 1, "teens": 6, "other": 2}, "pnr")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from regspan.operators.matching import exposure_match, incidence_match, match_report
+from regspan.session import shared_folder
+from regspan.sources.sinks import materialise
 
 from . import query
 from .tables import VISITS, table, visits
@@ -22,10 +26,12 @@ def _followed(spark, sf):
     person = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("pnr"), "c_mktsegment", "c_acctbal"
     )
-    return seen.join(person, "pnr").select(
+    followed = seen.join(person, "pnr").select(
         F.col("pnr").alias("id"), "c_mktsegment", "entry", "end", "exposure_date",
         F.when(F.col("c_acctbal") < 0, F.coalesce("late", "end")).alias("case_date"),
     )
+    # Matching reads its input several times.
+    return materialise(followed, f"{shared_folder(spark)}/followed-{uuid.uuid4().hex}")
 
 
 FOLLOWED = f"""{VISITS}, followed AS (
@@ -88,7 +94,8 @@ SELECT 'times_used', CAST(used AS BIGINT), count(*)
 FROM (SELECT id, count(*) AS used FROM matched WHERE rank > 0 GROUP BY id) GROUP BY ALL
 UNION ALL
 SELECT 'case_and_control', 1, count(*)
-FROM (SELECT id FROM matched GROUP BY id HAVING bool_or(rank = 0) AND bool_or(rank > 0))"""
+FROM (SELECT id FROM matched GROUP BY id HAVING bool_or(rank = 0) AND bool_or(rank > 0))
+HAVING count(*) > 0"""
 
 
 def _incidence(spark, sf):

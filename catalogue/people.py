@@ -51,7 +51,7 @@ def _presence(spark, sf):
 
 
 def _migrations(spark, sf):
-    return lines(spark, sf).where(F.col("l_returnflag") == "R").select("pnr", F.col("ship").alias("haend_dato"))
+    return lines(spark, sf, coded=False).where(F.col("l_returnflag") == "R").select("pnr", F.col("ship").alias("haend_dato"))
 
 
 def _deaths(spark, sf):
@@ -110,7 +110,8 @@ WHERE pnr IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
 """)
 def cohort_restriction(spark, sf):
     people = table(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("pnr"))
-    return restrict(lines(spark, sf).select("pnr", "o_orderkey", "p_partkey", "ship"), people)
+    mine = lines(spark, sf, coded=False).select("pnr", "o_orderkey", "p_partkey", "ship")
+    return restrict(mine, people, counts=visits(spark, sf))
 
 
 @query("""

@@ -26,7 +26,7 @@ CHAINS = f"""{LINES}, stays AS (
 
 
 def _stays(spark, sf):
-    return lines(spark, sf).select(
+    return lines(spark, sf, coded=False).select(
         "pnr", "o_orderkey", "p_partkey", F.col("day").alias("start"),
         F.date_add("day", F.col("l_quantity").cast("int")).alias("end"),
     )

@@ -319,7 +319,7 @@ WITH {LINES}
 SELECT o_orderkey, p_partkey, day AS inn, CASE WHEN ship >= day THEN ship END AS doddato FROM lines
 """)
 def impossible_dates(spark, sf):
-    return lines(spark, sf).select(
+    return lines(spark, sf, coded=False).select(
         "o_orderkey", "p_partkey", F.col("day").alias("inn"),
         plausible_death(F.col("ship"), F.col("day")).alias("doddato"),
     )

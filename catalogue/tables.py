@@ -27,15 +27,18 @@ def visits(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Line items with person, dates and part codes."""
+def lines(spark: SparkSession, sf: str, coded: bool = True) -> DataFrame:
+    """Line items with person and dates, and the part's codes if ``coded``."""
     item = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"),
         "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
         F.to_date("l_shipdate").alias("ship"),
     )
+    dated = spread_join(item, visits(spark, sf), "o_orderkey")
+    if not coded:
+        return dated
     part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    return spread_join(spread_join(item, visits(spark, sf), "o_orderkey"), part, "p_partkey")
+    return spread_join(dated, part, "p_partkey", counts=item)
 
 
 def observations(spark: SparkSession, sf: str) -> DataFrame:

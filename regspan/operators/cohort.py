@@ -28,12 +28,13 @@ def cohort_extract(
     columns: Sequence[str] | None = None,
     where: Column | None = None,
     id: str = "pnr",
+    **spread,
 ) -> DataFrame:
     """Predicate and projection at the scan, then the cohort; all columns by default."""
     rows = register if where is None else register.where(where)
     if columns is not None:
         rows = rows.select(*dict.fromkeys([id, *columns]))
-    return restrict(rows, population, id)
+    return restrict(rows, population, id, **spread)
 
 
 def governed_extract(

@@ -56,8 +56,14 @@ def charlson(
 
 
 def weighted_score(
-    found: DataFrame, weights: DataFrame, id: str, component: str = "condition"
+    found: DataFrame, weights: Mapping[str, float], id: str, component: str = "condition"
 ) -> DataFrame:
-    """Sum of the weights of the distinct components of each id."""
-    present = found.select(id, F.col(component).alias("component")).distinct()
-    return present.join(weights, "component").groupBy(id).agg(F.sum("weight").alias("score"))
+    """``(id, score)``: the sum of the weights of the distinct components of each id."""
+    present = [
+        F.max((F.col(component) == name).cast("int")).alias(f"_has_{i}")
+        for i, name in enumerate(weights)
+    ]
+    score = sum(
+        (F.col(f"_has_{i}") * F.lit(weight) for i, weight in enumerate(weights.values())), F.lit(0)
+    )
+    return found.groupBy(id).agg(*present).select(id, score.alias("score"))

@@ -18,6 +18,7 @@ simple random sample without replacement from the whole risk set.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,26 +51,40 @@ def _blocks(low: Column, high: Column) -> Column:
     (the next larger block would start before ``low``), and the last whole
     block if its number is even (the next larger would end after ``high``).
     """
-    found = []
-    for bits in range(DAY_BITS + 1):
-        first = F.shiftright(low + F.lit((1 << bits) - 1), bits)
-        after = F.shiftright(high, bits)
-        for number, belongs in ((first, first % 2 == 1), (after - 1, after % 2 == 1)):
-            block = F.struct(F.lit(bits).alias("bits"), number.alias("block"))
-            found.append(F.when((first < after) & belongs, block))
-    return F.array_compact(F.array(*found))
+
+    def of_size(bits: Column) -> Column:
+        first = _halved(low + _doubled(F.lit(1), bits) - 1, bits)
+        after = _halved(high, bits)
+        return F.transform(
+            F.filter(
+                F.array(
+                    F.struct(first.alias("block"), (first % 2 == 1).alias("belongs")),
+                    F.struct((after - 1).alias("block"), (after % 2 == 1).alias("belongs")),
+                ),
+                lambda b: b["belongs"] & (first < after),
+            ),
+            lambda b: F.struct(bits.alias("bits"), b["block"].alias("block")),
+        )
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(DAY_BITS)), of_size))
 
 
 def _blocks_of_day(day: Column) -> Column:
     """The one block of each size that holds a day, smallest first."""
-    return F.array(
-        *[
-            F.struct(F.lit(bits).alias("bits"), F.shiftright(day, bits).alias("block"))
-            for bits in range(DAY_BITS + 1)
-        ]
+    return F.transform(
+        F.sequence(F.lit(0), F.lit(DAY_BITS)),
+        lambda bits: F.struct(bits.alias("bits"), _halved(day, bits).alias("block")),
     )
 
 
+def _halved(number: Column, times: Column) -> Column:
+    return F.call_function("shiftright", number, times)
+
+
+def _doubled(number: Column, times: Column) -> Column:
+    return F.call_function("shiftleft", number, times)
+
+
 def _numbered(at_risk: DataFrame, block: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with their number (from 0) in the seeded order of their block, and block counts."""
     part = Window.partitionBy(*block, "_part").orderBy("_order", "_person")
@@ -126,28 +141,29 @@ def _match(
     cases = df.where(F.col(match_date).isNotNull()).select(
         F.col(id).alias("case_id"), *strata, F.col(match_date).alias("match_date")
     )
+    # A missing stratum matches nobody.
+    known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in strata])
+    # Non-null keys need no filters of their own, so that equal subplans stay
+    # equal and their shuffles are done once.
+    keys = [F.coalesce(F.col(f"_b.{c}"), F.lit(-1)).alias(f"_{c}") for c in ("bits", "block")]
+
     # Strata and dates of cases: at most strata x days rows.
-    points = cases.select(*strata, "match_date").distinct()
+    points = cases.where(known).select(*strata, "match_date").distinct()
     around = points.select(
         *strata, "match_date", F.explode(_blocks_of_day(_day(F.col("match_date")))).alias("_b")
-    ).select(
-        *strata, "match_date", F.col("_b.bits").alias("_bits"), F.col("_b.block").alias("_block")
-    )
+    ).select(*strata, "match_date", *keys)
 
     exit_day = F.coalesce(F.least(*[_day(F.col(c)) for c in leaves], last_day), last_day)
     low = F.greatest(_day(F.col(entry)), F.lit(0))
     at_risk = (
-        df.where(F.col(entry).isNotNull())
+        df.where(F.col(entry).isNotNull() & known)
         .select(
             F.col(id).alias("_person"),
             *strata,
-            _hash(F.lit(seed), F.col(id)).alias("_order"),
+            F.coalesce(_hash(F.lit(seed), F.col(id)), F.lit(0)).alias("_order"),
             F.explode(_blocks(low, F.greatest(exit_day, F.lit(0)))).alias("_b"),
         )
-        .select(
-            "_person", *strata, "_order",
-            F.col("_b.bits").alias("_bits"), F.col("_b.block").alias("_block"),
-        )
+        .select("_person", *strata, "_order", *keys)
     )
     # Only blocks around some case matter.
     at_risk = spread_join(at_risk, around.select(*block).distinct(), block, "left_semi", **spread)
@@ -176,9 +192,10 @@ def _match(
         .select(
             "case_id", *strata, "match_date",
             (F.col("_turn") + 1).alias("rank"),
-            F.col("_found.bits").alias("_bits"),
-            F.col("_found.block").alias("_block"),
-            F.col("_found.left").alias("_number"),
+            *[
+                F.coalesce(F.col(f"_found.{c}"), F.lit(-1)).alias(f"_{name}")
+                for c, name in (("bits", "bits"), ("block", "block"), ("left", "number"))
+            ],
         )
     )
     controls = spread_join(draws, people, [*block, "_number"], "inner", **spread)
@@ -258,24 +275,35 @@ def match_report(matched: DataFrame) -> DataFrame:
     """``(measure, key, n)``: how matching went and how often persons were reused.
 
     ``controls_per_case``: cases by number of controls found; ``times_used``:
-    controls by number of cases served; ``case_and_control``: persons in both roles.
+    controls by number of cases served; ``case_and_control``: persons in both
+    roles (no row if there are none).
     """
-    is_control = (F.col("rank") > 0).cast("long")
-    per_case = matched.groupBy("case_id").agg(F.sum(is_control).alias("key"))
-    per_id = matched.groupBy("id").agg(
-        F.sum(is_control).alias("key"), F.max((F.col("rank") == 0).cast("int")).alias("is_case")
+    control, case = (F.col("rank") > 0).cast("long"), (F.col("rank") == 0)
+    roles = F.explode(
+        F.array(
+            F.struct(F.lit(True).alias("as_case"), F.col("case_id").alias("who")),
+            F.struct(F.lit(False).alias("as_case"), F.col("id").alias("who")),
+        )
+    )
+    people = (
+        matched.select(roles.alias("_r"), control.alias("control"), case.alias("case"))
+        .groupBy("_r.as_case", "_r.who")
+        .agg(F.sum("control").alias("controls"), F.max("case").alias("is_case"))
     )
-    used = per_id.where(F.col("key") > 0)
-    both = used.where(F.col("is_case") == 1).agg(F.count(F.lit(1)).alias("n"))
 
-    def tally(df: DataFrame, measure: str) -> DataFrame:
-        out = df.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        return out.select(F.lit(measure).alias("measure"), "key", "n")
+    def entry(measure: str, wanted: Column, key: Column) -> Column:
+        return F.when(wanted, F.struct(F.lit(measure).alias("measure"), key.alias("key")))
 
-    return (
-        tally(per_case, "controls_per_case")
-        .unionByName(tally(used, "times_used"))
-        .unionByName(
-            both.select(F.lit("case_and_control").alias("measure"), F.lit(1).cast("long").alias("key"), "n")
+    used = ~F.col("as_case") & (F.col("controls") > 0)
+    entries = F.array_compact(
+        F.array(
+            entry("controls_per_case", F.col("as_case"), F.col("controls")),
+            entry("times_used", used, F.col("controls")),
+            entry("case_and_control", used & F.col("is_case"), F.lit(1).cast("long")),
         )
     )
+    return (
+        people.select(F.explode(entries).alias("_e"))
+        .groupBy("_e.measure", "_e.key")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )

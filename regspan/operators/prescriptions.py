@@ -8,8 +8,17 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.codes import Conditions, matched_conditions, shortest_prefixes, starts_with_any
+from ..functions.codes import (
+    Conditions,
+    condition_lists,
+    matched_conditions,
+    matches,
+    shortest_prefixes,
+    starts_with_any,
+    valid_id,
+)
 from ..functions.dates import quarter_index
+from .cohort import restrict
 
 
 def hypertension_at(
@@ -22,22 +31,41 @@ def hypertension_at(
     index_date: str = "index_date",
     days: int = 180,
     needed: int = 2,
+    **spread,
 ) -> DataFrame:
-    """``(id, index_date, n_classes, hypertension)`` for every row of ``index``.
+    """``(id, index_date, n_classes, hypertension)`` for every id and date of ``index``.
 
     Our rule: 1 when at least two distinct classes were dispensed in the 180
-    days before the index date (the date itself not included), else 0.
+    days before the index date (the date itself not included), else 0. A class
+    counts if its latest day before the index date is recent enough, so days
+    and index dates are walked once per person instead of being paired.
     """
-    days_of = _class_days(rx, id, atc, date, classes).distinct()
-    dates = index.select(id, index_date).distinct()
-    in_window = (F.col(date) >= F.date_sub(F.col(index_date), days)) & (
-        F.col(date) < F.col(index_date)
+    lists = condition_lists(classes)
+    mine = restrict(rx.where(F.col(date).isNotNull()).select(id, atc, date), index, id, **spread)
+    bought = mine.select(
+        id,
+        F.col(date).alias("_day"),
+        F.lit(False).alias("_index"),
+        *[F.coalesce(matches(F.col(atc), p), F.lit(False)).alias(f"_c_{n}") for n, p in lists.items()],
+    )
+    asked = index.where(valid_id(F.col(id)) & F.col(index_date).isNotNull()).select(
+        id, F.col(index_date).alias("_day"), F.lit(True).alias("_index"),
+        *[F.lit(False).alias(f"_c_{n}") for n in lists],
     )
+    flags = ["_index", *[f"_c_{n}" for n in lists]]
+    daily = bought.unionByName(asked).groupBy(id, "_day").agg(*[F.max(f).alias(f) for f in flags])
+    before = Window.partitionBy(id).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    latest = [F.max(F.when(F.col(f"_c_{n}"), F.col("_day"))).over(before) for n in lists]
+    recent = [F.coalesce(d >= F.date_sub(F.col("_day"), days), F.lit(False)).cast("long") for d in latest]
     return (
-        dates.join(days_of, id, "left")
-        .groupBy(id, index_date)
-        .agg(F.count_distinct(F.when(in_window, F.col("drug_class"))).alias("n_classes"))
-        .withColumn("hypertension", (F.col("n_classes") >= needed).cast("int"))
+        daily.withColumn("n_classes", sum(recent[1:], recent[0]))
+        .where("_index")
+        .select(
+            id,
+            F.col("_day").alias(index_date),
+            "n_classes",
+            (F.col("n_classes") >= needed).cast("int").alias("hypertension"),
+        )
     )
 
 

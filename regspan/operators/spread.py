@@ -12,16 +12,21 @@ from pyspark.sql import functions as F
 HEAVY_ROWS = 2_000_000
 # At most this many keys are split, so the broadcast list of them is bounded.
 MAX_HEAVY_KEYS = 10_000
-# Below this estimated size no key of the table can be heavy enough to matter.
+# Tables made from fewer bytes than this have no key heavy enough to matter.
 SMALL_BYTES = 256 * 1024 * 1024
 
 _SALT = "_spread"
 _PARTS = "_parts"
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate (an upper estimate for filters and joins)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Total size of the files and tables a DataFrame is made from.
+
+    Read from the analysed plan, so nothing runs. An input of unknown size
+    counts as huge.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def heavy_keys(rows: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
@@ -56,15 +61,18 @@ def spread_join(
     *,
     spread: bool | None = None,
     heavy_rows: int = HEAVY_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``side`` (few rows per key), splitting heavy keys of ``rows``.
 
     ``how`` is inner, left or left_semi. Rows of a heavy key go to one of
     several parts by their input partition (stable when a task is run again)
     and the side's rows of that key are repeated once per part. All other keys
-    join as usual. With ``spread=None`` this is skipped where the estimated
-    sizes show it cannot pay: ``rows`` is small, or ``side`` is under Spark's
-    own broadcast limit.
+    join as usual. With ``spread=None`` this is skipped where the size of the
+    inputs shows that it cannot pay: ``rows`` is small, or ``side`` is under
+    Spark's own broadcast limit. Keys are counted in ``counts`` if given, say
+    the base table of costly ``rows``; the list of heavy keys only decides
+    where rows go, never which rows there are.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi"):
@@ -73,11 +81,11 @@ def spread_join(
         spark = rows.sparkSession
         limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
         limit = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-        spread = estimated_bytes(rows) > SMALL_BYTES and estimated_bytes(side) > limit
+        spread = input_bytes(rows) > SMALL_BYTES and input_bytes(side) > limit
     if not spread:
         return rows.join(side, on, how)
 
-    heavy = heavy_keys(rows, on, heavy_rows)
+    heavy = heavy_keys(rows if counts is None else counts, on, heavy_rows)
     salted = rows.withColumn("_at", F.spark_partition_id())
     salted = _with_parts(salted, heavy, on)
     part = F.coalesce(F.pmod(F.col("_at"), F.col(_PARTS)), F.lit(0))
