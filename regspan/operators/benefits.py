@@ -49,29 +49,31 @@ def import_dream(
     # Whether period i does not continue period i - 1.
     apart = [True] + [starts[i] != ends[i - 1] for i in range(1, n)] + [True]
 
-    def texts(values: Sequence[dt.date]):
-        return F.lit([str(v) for v in values]).cast("array<date>")
-
-    wide = df.select(id, F.array(*[F.nullif(F.col(c), F.lit("")) for c in names]).alias("_codes"))
-    codes, gaps = F.col("_codes"), F.lit(apart)
-    at = F.sequence(F.lit(0), F.lit(n - 1))
-
-    def edge(i, neighbour, gap):
-        here = F.get(codes, i)
-        return here.isNotNull() & (F.get(gaps, gap) | ~here.eqNullSafe(F.get(codes, neighbour)))
-
-    opens = F.filter(at, lambda i: edge(i, i - 1, i))
-    closes = F.filter(at, lambda i: edge(i, i + 1, i + 1))
-    runs = wide.select(id, "_codes", opens.alias("_opens"), closes.alias("_closes"))
-    spell = F.transform(
-        F.col("_opens"),
-        lambda first, k: F.struct(
-            F.get(codes, first).alias("code"),
-            F.get(texts(starts), first).alias("start"),
-            F.get(texts(ends), F.get(F.col("_closes"), k)).alias("end"),
-        ),
+    def dates(days: Sequence[dt.date]) -> str:
+        return "array(" + ", ".join(f"DATE '{d}'" for d in days) + ")"
+
+    # Literal arrays are folded to constants; the codes are put in an array once.
+    listed = ", ".join(f"nullif(`{c}`, '')" for c in names)
+    gaps = f"array({', '.join(str(a).lower() for a in apart)})"
+    wide = df.select(id, F.expr(f"array({listed})").alias("_codes"))
+    runs = wide.select(
+        id,
+        "_codes",
+        F.expr(
+            f"""filter(sequence(0, {n - 1}), i -> get(_codes, i) IS NOT NULL
+                AND (get({gaps}, i) OR NOT get(_codes, i) <=> get(_codes, i - 1)))"""
+        ).alias("_opens"),
+        F.expr(
+            f"""filter(sequence(0, {n - 1}), i -> get(_codes, i) IS NOT NULL
+                AND (get({gaps}, i + 1) OR NOT get(_codes, i) <=> get(_codes, i + 1)))"""
+        ).alias("_closes"),
     )
-    out = runs.select(id, F.explode(spell).alias("_spell"))
+    spells = F.expr(
+        f"""transform(_opens, (i, k) -> struct(
+              get(_codes, i) AS code, get({dates(starts)}, i) AS start,
+              get({dates(ends)}, get(_closes, k)) AS end))"""
+    )
+    out = runs.select(id, F.explode(spells).alias("_spell"))
     return out.select(id, F.col("_spell.code").alias(code), "_spell.start", "_spell.end")
 
 

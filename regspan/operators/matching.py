@@ -44,79 +44,67 @@ def _hash(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, _HASH_DIGITS), 16, 10).cast("long")
 
 
-def _blocks(low: Column, high: Column) -> Column:
+def _blocks(low: str, high: str) -> Column:
     """The largest aligned blocks that make up the days ``[low, high)``.
 
     Of each block size, the first whole block belongs if its number is odd
     (the next larger block would start before ``low``), and the last whole
     block if its number is even (the next larger would end after ``high``).
     """
-
-    def of_size(bits: Column) -> Column:
-        first = _halved(low + _doubled(F.lit(1), bits) - 1, bits)
-        after = _halved(high, bits)
-        return F.transform(
-            F.filter(
-                F.array(
-                    F.struct(first.alias("block"), (first % 2 == 1).alias("belongs")),
-                    F.struct((after - 1).alias("block"), (after % 2 == 1).alias("belongs")),
-                ),
-                lambda b: b["belongs"] & (first < after),
-            ),
-            lambda b: F.struct(bits.alias("bits"), b["block"].alias("block")),
-        )
-
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(DAY_BITS)), of_size))
+    found = []
+    for bits in range(DAY_BITS + 1):
+        first = f"shiftright({low} + {(1 << bits) - 1}, {bits})"
+        after = f"shiftright({high}, {bits})"
+        for block, belongs in ((first, f"{first} % 2 = 1"), (f"{after} - 1", f"{after} % 2 = 1")):
+            found.append(
+                f"CASE WHEN {first} < {after} AND {belongs}"
+                f" THEN struct({bits} AS bits, {block} AS block) END"
+            )
+    return F.expr(f"array_compact(array({', '.join(found)}))")
 
 
-def _blocks_of_day(day: Column) -> Column:
+def _blocks_of_day(day: str) -> Column:
     """The one block of each size that holds a day, smallest first."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(DAY_BITS)),
-        lambda bits: F.struct(bits.alias("bits"), _halved(day, bits).alias("block")),
+    return F.expr(
+        f"transform(sequence(0, {DAY_BITS}), b -> struct(b AS bits, shiftright({day}, b) AS block))"
     )
 
 
-def _halved(number: Column, times: Column) -> Column:
-    return F.call_function("shiftright", number, times)
-
-
-def _doubled(number: Column, times: Column) -> Column:
-    return F.call_function("shiftleft", number, times)
-
-
 def _numbered(at_risk: DataFrame, block: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with their number (from 0) in the seeded order of their block, and block counts."""
-    part = Window.partitionBy(*block, "_part").orderBy("_order", "_person")
-    ranked = at_risk.withColumn("_part", F.shiftright("_order", 4 * _HASH_DIGITS - PART_BITS).cast("int"))
-    ranked = ranked.withColumn("_in_part", F.row_number().over(part) - 1)
-    sizes = ranked.groupBy(*block, "_part").agg(F.max("_in_part").alias("_last"))
-    counts = sizes.groupBy(*block).agg(F.sum(F.col("_last") + 1).alias("_n"))
+    in_part = Window.partitionBy(*block, "_part").orderBy("_order", "_person")
+    bits = 4 * _HASH_DIGITS - PART_BITS
+    ranked = at_risk.withColumn("_part", F.shiftright("_order", bits).cast("int"))
+    ranked = ranked.withColumn("_in_part", F.row_number().over(in_part))
+    # Persons are shuffled once: the sizes come from the same numbering.
+    sizes = ranked.groupBy(*block, "_part").agg(F.max("_in_part").alias("_size"))
     before = Window.partitionBy(*block).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *block, "_part", F.coalesce(F.sum(F.col("_last") + 1).over(before), F.lit(0)).alias("_offset")
+    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    counts = offsets.groupBy(*block).agg(F.max(F.col("_offset") + F.col("_size")).alias("_n"))
+    number = F.col("_offset") + F.col("_in_part") - 1
+    numbered = ranked.join(offsets, [*block, "_part"]).select(
+        *block, number.alias("_number"), "_person"
     )
-    number = (F.col("_offset") + F.col("_in_part")).alias("_number")
-    numbered = ranked.join(offsets, [*block, "_part"]).select(*block, number, "_person")
     return numbered, counts
 
 
-def _draw(available: Column, k: int, seed: int, case: Column) -> Column:
-    """k distinct numbers below ``available`` (all of them if there are fewer).
+def _draw(k: int, seed: int) -> Column:
+    """k distinct numbers below ``_available`` (all of them if there are fewer).
 
     Floyd's method: for m = available-k, …, available-1 take a random number
     up to m, or m itself if that number is already taken.
     """
-    taken = F.least(F.lit(k).cast("long"), available)
-
-    def take(chosen: Column, i: Column) -> Column:
-        top = available - taken + i
-        number = F.pmod(_hash(F.lit(seed), case, i), top + 1)
-        return F.concat(chosen, F.array(F.when(F.array_contains(chosen, number), top).otherwise(number)))
-
-    turns = F.when(taken > 0, F.sequence(F.lit(0).cast("long"), taken - 1))
-    none = F.expr("cast(array() as array<bigint>)")
-    return F.coalesce(F.aggregate(turns, none, take), none)
+    taken = f"least({k}L, _available)"
+    top = f"(_available - {taken} + turn)"
+    text = f"concat_ws('|', '{seed}', string(case_id), string(turn))"
+    number = f"(bigint(conv(substring(md5({text}), 1, {_HASH_DIGITS}), 16, 10)) % ({top} + 1))"
+    return F.expr(
+        f"""aggregate(
+              sequence(0L, {taken} - 1),
+              cast(array() AS array<bigint>),
+              (chosen, turn) -> concat(chosen, array(
+                if(array_contains(chosen, {number}), {top}, {number}))))"""
+    )
 
 
 def _match(
@@ -149,9 +137,9 @@ def _match(
 
     # Strata and dates of cases: at most strata x days rows.
     points = cases.where(known).select(*strata, "match_date").distinct()
-    around = points.select(
-        *strata, "match_date", F.explode(_blocks_of_day(_day(F.col("match_date")))).alias("_b")
-    ).select(*strata, "match_date", *keys)
+    around = points.withColumn("_day", _day(F.col("match_date")))
+    around = around.select(*strata, "match_date", F.explode(_blocks_of_day("_day")).alias("_b"))
+    around = around.select(*strata, "match_date", *keys)
 
     exit_day = F.coalesce(F.least(*[_day(F.col(c)) for c in leaves], last_day), last_day)
     low = F.greatest(_day(F.col(entry)), F.lit(0))
@@ -161,8 +149,10 @@ def _match(
             F.col(id).alias("_person"),
             *strata,
             F.coalesce(_hash(F.lit(seed), F.col(id)), F.lit(0)).alias("_order"),
-            F.explode(_blocks(low, F.greatest(exit_day, F.lit(0)))).alias("_b"),
+            low.alias("_low"),
+            F.greatest(exit_day, F.lit(0)).alias("_high"),
         )
+        .select("_person", *strata, "_order", F.explode(_blocks("_low", "_high")).alias("_b"))
         .select("_person", *strata, "_order", *keys)
     )
     # Only blocks around some case matter.
@@ -187,14 +177,14 @@ def _match(
     )
     draws = (
         spread_join(cases, choices, [*strata, "match_date"], "inner", **spread)
-        .select("*", F.posexplode(_draw(F.col("_available"), k, seed, F.col("case_id"))).alias("_turn", "_pick"))
-        .withColumn("_found", _located(F.col("_choices"), F.col("_pick")))
+        .select("*", F.posexplode(_draw(k, seed)).alias("_turn", "_pick"))
+        .withColumn("_found", F.expr(_LOCATED))
         .select(
             "case_id", *strata, "match_date",
             (F.col("_turn") + 1).alias("rank"),
             *[
-                F.coalesce(F.col(f"_found.{c}"), F.lit(-1)).alias(f"_{name}")
-                for c, name in (("bits", "bits"), ("block", "block"), ("left", "number"))
+                F.coalesce(F.col(f"_found.{c}"), F.lit(-1)).alias(f"_{c}")
+                for c in ("bits", "block", "number")
             ],
         )
     )
@@ -207,25 +197,14 @@ def _match(
     return as_rank0.unionByName(controls.select(*columns))
 
 
-def _located(choices: Column, pick: Column) -> Column:
-    """The block that holds a number, counting through the blocks of a case."""
-    start = F.struct(
-        F.lit(None).cast("int").alias("bits"),
-        F.lit(None).cast("int").alias("block"),
-        pick.cast("long").alias("left"),
-    )
-
-    def walk(at: Column, c: Column) -> Column:
-        here = at["bits"].isNull() & (at["left"] < c["n"])
-        return (
-            F.when(at["bits"].isNotNull(), at)
-            .when(here, F.struct(c["bits"].alias("bits"), c["block"].alias("block"), at["left"].alias("left")))
-            .otherwise(
-                F.struct(at["bits"].alias("bits"), at["block"].alias("block"), (at["left"] - c["n"]).alias("left"))
-            )
-        )
-
-    return F.aggregate(choices, start, walk)
+# The block that holds the number ``_pick``, counting through the blocks of a case.
+_LOCATED = """aggregate(
+    _choices,
+    named_struct('bits', -1, 'block', -1, 'number', _pick),
+    (at, c) -> CASE
+      WHEN at.bits >= 0 THEN at
+      WHEN at.number < c.n THEN named_struct('bits', c.bits, 'block', c.block, 'number', at.number)
+      ELSE named_struct('bits', at.bits, 'block', at.block, 'number', at.number - c.n) END)"""
 
 
 def incidence_match(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -29,6 +30,13 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def broadcast_limit(df: DataFrame) -> int:
+    """Spark's own size limit for broadcasting, in bytes; negative is never."""
+    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").lower()
+    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", text).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
 def heavy_keys(rows: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Keys with more than ``heavy_rows`` rows and the number of parts for each.
 
@@ -78,10 +86,7 @@ def spread_join(
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
     if spread is None:
-        spark = rows.sparkSession
-        limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
-        limit = int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit))
-        spread = input_bytes(rows) > SMALL_BYTES and input_bytes(side) > limit
+        spread = input_bytes(rows) > SMALL_BYTES and input_bytes(side) > broadcast_limit(rows)
     if not spread:
         return rows.join(side, on, how)
 

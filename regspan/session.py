@@ -23,6 +23,8 @@ def local_session(cores: int = 8, app: str = "regspan", memory: str = "8g") -> S
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Small test tables should still use all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)

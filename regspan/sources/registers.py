@@ -55,9 +55,12 @@ def read_periods(
 
     # Period directories of equal schema are one scan.
     groups: dict[tuple, list[str]] = defaultdict(list)
+    schemas = {}
     for path in chosen.values():
         schema = spark.read.parquet(path).schema
-        groups[tuple((f.name, f.dataType.simpleString()) for f in schema)].append(path)
+        fields = tuple((f.name, f.dataType.simpleString()) for f in schema)
+        groups[fields].append(path)
+        schemas[fields] = schema
     seen: dict[str, set[str]] = defaultdict(set)
     for columns_of_group in groups:
         for name, kind in columns_of_group:
@@ -69,7 +72,7 @@ def read_periods(
 
     frames = []
     for fields, paths in groups.items():
-        df = spark.read.parquet(*paths)
+        df = spark.read.schema(schemas[fields]).parquet(*paths)
         kept = [n for n, _ in fields if wanted is None or n.lower() in wanted]
         out = [
             (F.col(n).cast(types[n.lower()]) if n.lower() in types else F.col(n)).alias(n.lower())
