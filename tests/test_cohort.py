@@ -1,0 +1,172 @@
+"""Presence, follow-up, population and extracts; invented persons only."""
+
+import pytest
+from helpers import d, rows
+from pyspark.sql import functions as F
+
+from regspan.functions.dates import clock_time, seconds_between
+from regspan.operators.cohort import (
+    code_list_filter,
+    cohort_extract,
+    first_event_after,
+    first_presence,
+    governed_extract,
+    person_list,
+)
+from regspan.operators.income import average_income
+from regspan.plans.extracts import education_level, hospital_conditions
+from regspan.plans.population import follow_up_end, study_population
+
+
+def presence(spark, days):
+    data = [("P", d(x), f"k{i}") for i, x in enumerate(days)]
+    snapshots = spark.createDataFrame(data, "pnr string, day date, koen string")
+    ((_, koen, inn, out),) = rows(first_presence(snapshots, "pnr", "day", ["koen"]))
+    return koen, str(inn), str(out)
+
+
+@pytest.mark.parametrize(
+    "days, out",
+    [
+        (["2009-01-01", "2009-04-06"], "2009-04-06"),  # 95 days
+        (["2009-01-01", "2009-04-07"], "2009-01-01"),  # 96 days
+        (["2009-01-01", "2009-04-05"], "2009-04-05"),  # 94 days
+        (["2005-01-01", "2006-01-06"], "2006-01-06"),  # 370 days
+        (["2005-01-01", "2006-01-07"], "2005-01-01"),  # 371 days
+        (["2006-12-31", "2007-12-31"], "2007-12-31"),  # the later snapshot is in 2007
+        (["2007-12-31", "2008-04-05"], "2007-12-31"),  # the later snapshot is in 2008
+        (["2009-01-01"], "2009-01-01"),
+        (["2009-01-01", "2009-03-31", "2010-03-31", "2010-06-30", "2012-01-01"], "2009-03-31"),
+    ],
+)
+def test_first_presence(spark, days, out):
+    assert presence(spark, days) == ("k0", days[0], out)
+    assert presence(spark, days[::-1])[1:] == (days[0], out)
+
+
+def test_presence_ignores_missing_ids_and_dates(spark):
+    data = [(None, d("2001-01-01"), "1"), ("", d("2001-01-01"), "1"), ("P", None, "1"), ("P", d("2001-01-01"), None), ("P", d("2001-12-31"), "2")]
+    df = spark.createDataFrame(data, "pnr string, day date, koen string")
+    # The attribute is the first snapshot's, also when that is null.
+    assert rows(first_presence(df, "pnr", "day", ["koen"])) == [("P", None, d("2001-01-01"), d("2001-12-31"))]
+    assert rows(first_presence(df, "pnr", "day")) == [("P", d("2001-01-01"), d("2001-12-31"))]
+
+
+def follow(spark, out, migrations=(), deaths=()):
+    base = spark.createDataFrame([("P", d("2000-01-01"), d(out))], "pnr string, inn date, out date")
+    moved = spark.createDataFrame([("P", d(m)) for m in migrations], "pnr string, haend_dato date")
+    died = spark.createDataFrame([("P", d(x)) for x in deaths], "pnr string, doddato date")
+    ((_, _, end, migrated, dead),) = rows(follow_up_end(base, moved, died), "pnr", "inn", "out", "haend_dato", "doddato")
+    return tuple(None if x is None else str(x) for x in (end, migrated, dead))
+
+
+def test_follow_up_end(spark):
+    assert follow(spark, "2010-01-01") == ("2010-04-02", None, None)
+    assert follow(spark, "2007-12-31") == ("2008-12-30", None, None)
+    assert follow(spark, "2008-01-01") == ("2008-04-01", None, None)
+    # Emigration before or on the last presence does not count; the first later one does.
+    assert follow(spark, "2010-01-01", ["2009-01-01", "2010-01-01"]) == ("2010-04-02", None, None)
+    assert follow(spark, "2010-01-01", ["2010-03-01", "2010-02-01"]) == ("2010-02-01", "2010-02-01", None)
+    # Death before entry is an error; repeated deaths do not repeat the person.
+    assert follow(spark, "2010-01-01", deaths=["1999-12-31"]) == ("2010-04-02", None, None)
+    assert follow(spark, "2010-01-01", deaths=["2010-01-01", "2010-02-01"]) == ("2010-01-01", None, "2010-01-01")
+
+
+def test_population_is_unique_and_reconciles_birth(spark):
+    snapshots = spark.createDataFrame(
+        [("P1", "1", d("1970-01-01"), d("2001-12-31")), ("P2", "2", d("1971-01-01"), d("2001-12-31")),
+         ("P2", "2", d("1971-01-01"), d("2002-12-31")), ("", "1", None, d("2001-12-31"))],
+        "pnr string, koen string, foed_dag date, referencetid date",
+    )
+    persons = spark.createDataFrame(
+        [("P1", d("1970-05-05")), ("P1", d("1970-05-05")), ("P2", None)], "pnr string, foed_dag_person date"
+    )
+    empty = spark.createDataFrame([], "pnr string, haend_dato date")
+    nobody = spark.createDataFrame([], "pnr string, doddato date")
+    out = study_population(snapshots, persons, empty, nobody)
+    assert out.columns == ["pnr", "foed_dag", "koen", "inn", "out", "haend_dato", "doddato"]
+    assert rows(out, "pnr", "foed_dag") == [("P1", d("1970-05-05")), ("P2", d("1971-01-01"))]
+    assert rows(person_list(out)) == [("P1",), ("P2",)]
+
+
+def test_first_event_after(spark):
+    base = spark.createDataFrame([("P", d("2001-01-01")), ("Q", d("2001-01-01"))], "pnr string, out date")
+    events = spark.createDataFrame([("P", d(x)) for x in ("2000-01-01", "2001-01-01", "2002-01-01", "2001-05-01")], "pnr string, day date")
+    assert rows(first_event_after(events, base, "pnr", "day", "out")) == [("P", d("2001-05-01"))]
+
+
+def test_extracts(spark):
+    register = spark.createDataFrame(
+        [("P1", "C03A", d("1996-01-01"), 1), ("P1", "C1", d("1996-01-01"), 2), ("P2", "C03", d("1996-01-01"), 3),
+         ("P1", "C07", d("1994-12-31"), 4), ("P1", "C07", d("1995-01-01"), 5), ("P1", None, d("1999-01-01"), 6)],
+        "pnr string, atc string, eksd date, n int",
+    )
+    people = spark.createDataFrame([("P1",)], "pnr string")
+    args = dict(approved=["PNR", "ATC", "N"], code="atc", prefixes=["C03", "C07", "C07A"], date="eksd", start="1995-01-01")
+    out = governed_extract(register, people, ["pnr", "n"], **args)
+    assert rows(out) == [("P1", 1), ("P1", 5)]
+    with pytest.raises(ValueError, match="eksd"):
+        governed_extract(register, people, ["pnr", "eksd"], **args)
+    assert rows(cohort_extract(register, people, ["n"], F.col("n") > 4)) == [("P1", 5), ("P1", 6)]
+    assert cohort_extract(register, people).columns == register.columns
+    codes = spark.createDataFrame([("C07",), ("C07",), ("C03",)], "code string")
+    assert [r[3] for r in rows(code_list_filter(register, "atc", codes), "pnr", "atc", "eksd", "n")] != []
+    assert sorted(r["n"] for r in code_list_filter(register, "atc", codes).collect()) == [3, 4, 5]
+
+
+def contact(i, start, end, kind="ALCA00"):
+    (ds, ts), (de, te) = (x.split(" ") if x else (None, None) for x in (start, end))
+    return (str(i), "P1", d(ds), ts, d(de), te, kind)
+
+
+def test_hospital_conditions(spark):
+    admissions = spark.createDataFrame(
+        [("P1", "DI210", d("1999-01-01"), "0"), ("P1", "DI210", d("1999-01-02"), "2"), ("P2", "410", d("1999-01-01"), "0"), ("P1", None, d("1999-01-01"), "0")],
+        "pnr string, diag string, inddto date, pattype string",
+    )
+    contacts = spark.createDataFrame(
+        [
+            contact(1, "2020-01-01 20:00:00", "2020-01-02 08:00:00"),  # 12 hours
+            contact(2, "2020-02-01 20:00:00", "2020-02-02 08:00:01"),  # and a second
+            contact(3, "2020-03-01 20:00:00", None),
+            contact(4, "2020-04-01 20:00:00", "2020-04-03 08:00:00", "ALCA10"),
+            contact(5, "2020-03-28 20:00:00", "2020-03-29 08:00:00"),  # clocks change that night
+        ],
+        "dw_ek_kontakt string, cpr string, dato_start date, tidspunkt_start string, dato_slut date, tidspunkt_slut string, kontakttype string",
+    )
+    diagnoses = spark.createDataFrame(
+        [(str(i), "DI200") for i in range(1, 7)] + [("2", "DI219"), ("2", "DJ1")], "dw_ek_kontakt string, diagnosekode string"
+    )
+    people = spark.createDataFrame([("P1",)], "pnr string")
+    lists = {"ami": ["410", "DI21"], "angina": ["413", "DI20"]}
+    assert rows(hospital_conditions(admissions, diagnoses, contacts, people, lists)) == [
+        ("P1", d("1999-01-01"), "ami"), ("P1", d("2020-02-01"), "ami"), ("P1", d("2020-02-01"), "angina"),
+    ]
+    times = contacts.select(
+        seconds_between(
+            clock_time(F.col("dato_start"), F.col("tidspunkt_start")), clock_time(F.col("dato_slut"), F.col("tidspunkt_slut"))
+        ).alias("s")
+    )
+    assert [r["s"] for r in times.collect()] == [43200, 43201, None, 129600, 43200]
+
+
+def test_education(spark):
+    register = spark.createDataFrame([("P1", "10", 2014), ("P1", "99", 2015), ("P2", "10", 2014), ("P1", None, 2016)], "pnr string, hfaudd string, year int")
+    lookup = spark.createDataFrame([("10", 1, "ISCED 1")], "hfaudd string, level5 int, isced string")
+    people = spark.createDataFrame([("P1",)], "pnr string")
+    out = rows(education_level(register, people, lookup), "year", "level5", "isced")
+    assert out == [(2014, 1, "ISCED 1"), (2015, None, None), (2016, None, None)]
+
+
+def test_average_income(spark):
+    ids = spark.createDataFrame([("P", d("2010-06-01")), ("P", d("2001-01-01")), ("Q", d("2010-01-01")), ("P", d("2010-01-02"))], "id string, date date")
+    income = spark.createDataFrame(
+        [("P", 2005, 10.0), ("P", 2009, 30.0), ("P", 2008, None), ("P", 2010, 99.0), ("P", 2004, 99.0), ("Q", 2011, 1.0)],
+        "id string, year int, income double",
+    )
+    expected = [
+        ("P", d("2001-01-01"), None, 0), ("P", d("2010-01-02"), 20.0, 2),
+        ("P", d("2010-06-01"), 20.0, 2), ("Q", d("2010-01-01"), None, 0),
+    ]
+    assert rows(average_income(ids, income)) == expected
+    assert rows(average_income(ids, income, spread=True, heavy_rows=1)) == expected

@@ -1,0 +1,92 @@
+"""Code prefixes and conditions."""
+
+import pytest
+from helpers import d, plan, rows
+from pyspark.sql import functions as F
+
+from regspan.functions.codes import condition_lists, shortest_prefixes
+from regspan.operators import conditions as module
+from regspan.operators.conditions import condition_wide, find_condition
+
+CODES = ["410", "4109", "41", "DI21", "DI219", "DI20", "413", None, "", "XDI21", "DI2", "di21"]
+LISTS = {"ami": ["410", "DI21"], "wide": ["41", "4", "DI"], "angina": ["413", "DI20"], "none": "ZZ"}
+
+
+@pytest.fixture(scope="module")
+def coded(spark):
+    data = [(f"P{i % 4}", code, i) for i, code in enumerate(CODES * 2)]
+    return spark.createDataFrame(data, "pnr string, code string, i int")
+
+
+def brute(match):
+    out = []
+    for i, code in enumerate(CODES * 2):
+        for name, prefixes in condition_lists(LISTS).items():
+            test = str.startswith if match == "start" else str.__contains__
+            if code is not None and any(test(code, p) for p in prefixes):
+                out.append((i, name))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("match", ["start", "contains"])
+def test_literal_list_equals_loop(coded, match):
+    assert rows(find_condition(coded, "code", ["i"], LISTS, match)) == brute(match)
+
+
+def test_table_equals_loop(spark, coded):
+    pairs = [(n, p) for n, ps in condition_lists(LISTS).items() for p in ps] + [("ami", "410"), ("bad", "")]
+    table = spark.createDataFrame(pairs, "condition string, prefix string")
+    found = find_condition(coded, "code", ["i"], table)
+    assert rows(found) == brute("start")
+    assert "NestedLoop" not in plan(found)
+
+
+def test_long_mapping_uses_the_table(coded, monkeypatch):
+    monkeypatch.setattr(module, "LITERAL_PREFIXES", 2)
+    assert rows(find_condition(coded, "code", ["i"], LISTS)) == brute("start")
+
+
+def test_heavy_code_in_table_mode(spark, coded, monkeypatch):
+    from regspan.operators import spread
+
+    monkeypatch.setattr(spread, "SMALL_BYTES", -1)
+    monkeypatch.setattr(spread, "broadcast_limit", lambda df: -1)
+    monkeypatch.setattr(module, "LITERAL_PREFIXES", 2)
+    assert rows(find_condition(coded, "code", ["i"], LISTS)) == brute("start")
+
+
+def test_prefixes_reach_the_scan(spark, tmp_path, coded):
+    path = str(tmp_path / "coded")
+    coded.write.parquet(path)
+    text = plan(find_condition(spark.read.parquet(path), "code", ["i"], {"ami": ["410", "DI21"]}))
+    assert "StringStartsWith(code,410)" in text and "StringStartsWith(code,DI21)" in text
+    assert "ReadSchema: struct<code:string,i:int>" in text
+
+
+def test_shortest_prefixes():
+    assert shortest_prefixes(["B", "A1", "A", "A12", "BB", "C1", "C"]) == ["A", "B", "C"]
+
+
+def test_bad_lists(coded):
+    for bad in ({}, {"a": []}, {"a": [""]}):
+        with pytest.raises(ValueError):
+            find_condition(coded, "code", ["i"], bad)
+    with pytest.raises(ValueError):
+        find_condition(coded, "code", ["i"], LISTS, match="end")
+
+
+def test_wide(spark):
+    data = [("P1", d("2001-02-01"), "a"), ("P1", d("2001-01-01"), "a"), ("P2", d("2002-01-01"), "b")]
+    found = spark.createDataFrame(data, "pnr string, day date, condition string")
+    wide = condition_wide(found, "pnr", "day", ["a", "b", "c"])
+    assert rows(wide) == [
+        ("P1", d("2001-01-01"), None, None),
+        ("P2", None, d("2002-01-01"), None),
+    ]
+
+
+def test_keep_may_hold_the_code(coded):
+    found = find_condition(coded, "code", ["pnr", "code"], {"a": "DI21"}).distinct()
+    assert rows(found.select("code").distinct()) == [("DI21",), ("DI219",)]
+    assert found.columns == ["pnr", "code", "condition"]
+    assert found.where(F.col("condition") != "a").count() == 0

@@ -1,0 +1,158 @@
+"""Admission chains and time splitting, against per-day brute force."""
+
+import datetime as dt
+import random
+
+import pytest
+from helpers import d, rows
+from pyspark.sql import functions as F
+
+from regspan.operators.intervals import adm_limits, merged_periods
+from regspan.operators.splitting import lexis_from_to, lexis_seq, lexis_two, value_steps
+
+
+def day(n):
+    return dt.date(1999, 6, 1) + dt.timedelta(days=n)
+
+
+def test_admission_cases(spark):
+    data = [
+        ("A", 0, 10), ("A", 2, 5), ("A", 10, 12),  # nested, touching
+        ("A", 13, 15),  # one day apart: new chain
+        ("A", 0, 10),  # equal copy
+        ("B", 0, 1), ("B", 5, None),  # a missing end counts as the start
+        ("B", 5, 7),
+    ]
+    df = spark.createDataFrame(
+        [(p, day(s), None if e is None else day(e), i) for i, (p, s, e) in enumerate(data)],
+        "pnr string, start date, end date, i int",
+    )
+    for options in ({}, {"spread": True, "heavy_rows": 1}):
+        out = rows(adm_limits(df, "pnr", "start", "end", **options), "i", "first_start", "last_end")
+        assert out == [
+            (0, day(0), day(12)), (1, day(0), day(12)), (2, day(0), day(12)), (3, day(13), day(15)),
+            (4, day(0), day(12)), (5, day(0), day(1)), (6, day(5), day(7)), (7, day(5), day(7)),
+        ]
+
+
+def test_chains_against_loop(spark):
+    random.seed(3)
+    data = [(f"P{random.randrange(6)}", s := random.randrange(400), s + random.randrange(9)) for _ in range(300)]
+    df = spark.createDataFrame([(p, day(s), day(e)) for p, s, e in data], "pnr string, start date, end date")
+    expected = []
+    for person in sorted({p for p, _, _ in data}):
+        chains = []
+        for s, e in sorted((s, e) for p, s, e in data if p == person):
+            if chains and s <= chains[-1][1]:
+                chains[-1][1] = max(chains[-1][1], e)
+            else:
+                chains.append([s, e])
+        expected += [(person, day(s), day(e)) for s, e in chains]
+    assert rows(merged_periods(df, "pnr", "start", "end")) == sorted(expected)
+
+
+@pytest.fixture(scope="module")
+def base(spark):
+    random.seed(5)
+    data = [(f"P{i % 20}", i, day(s := random.randrange(900)), day(s + random.randrange(1, 900)), 1) for i in range(60)]
+    return spark.createDataFrame(data, "pnr string, obs int, start date, end date, event int")
+
+
+def pieces_of(df, *extra):
+    out = {}
+    for r in df.collect():
+        out.setdefault(r["obs"], []).append((r["start"], r["end"], r["event"], *[r[c] for c in extra]))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def check_partition(base, pieces):
+    for r in base.collect():
+        mine = pieces[r["obs"]]
+        assert mine[0][0] == r["start"] and mine[-1][1] == r["end"]
+        assert all(a[1] == b[0] for a, b in zip(mine, mine[1:]))
+        assert all(s < e for s, e, *_ in mine)
+        assert [p[2] for p in mine] == [0] * (len(mine) - 1) + [r["event"]]
+
+
+def test_two(spark, base):
+    dates = base.select("pnr", F.date_add("start", 100).alias("a"), F.date_add("start", 5).alias("b"))
+    pieces = pieces_of(lexis_two(base, dates, ["a", "b"], event="event"), "a", "b")
+    spread = lexis_two(base, dates, ["a", "b"], event="event", spread=True, heavy_rows=1)
+    assert pieces == pieces_of(spread, "a", "b")
+    check_partition(base, pieces)
+    first = {r["pnr"]: (r["a"], r["b"]) for r in dates.groupBy("pnr").agg(F.min("a").alias("a"), F.min("b").alias("b")).collect()}
+    for r in base.collect():
+        for s, e, _, *flags in pieces[r["obs"]]:
+            for cut, flag in zip(first[r["pnr"]], flags):
+                assert flag == int(cut <= s) and not s < cut < e
+
+
+def test_two_boundaries(spark):
+    obs = spark.createDataFrame([("P", 1, day(10), day(20), 1)], "pnr string, obs int, start date, end date, event int")
+
+    def split(cut):
+        dates = spark.createDataFrame([("P", cut)], "pnr string, c date")
+        return rows(lexis_two(obs, dates, ["c"], event="event"), "start", "end", "event", "c")
+
+    whole = (day(10), day(20), 1)
+    assert split(None) == [(*whole, 0)] == split(day(20)) == split(day(21))
+    assert split(day(10)) == [(*whole, 1)] == split(day(9))
+    assert split(day(19)) == [(day(10), day(19), 0, 0), (day(19), day(20), 1, 1)]
+
+
+def test_unknown_person_and_empty_observation(spark):
+    obs = spark.createDataFrame([("P", day(10), day(10)), ("Q", day(1), day(3))], "pnr string, start date, end date")
+    dates = spark.createDataFrame([("P", day(0))], "pnr string, c date")
+    assert rows(lexis_two(obs, dates, ["c"])) == [("P", day(10), day(10), 1), ("Q", day(1), day(3), 0)]
+
+
+@pytest.fixture(scope="module")
+def periods(spark):
+    random.seed(8)
+    data = []
+    for _ in range(400):
+        s = random.randrange(-400, 1800)
+        # Long periods cross several years; some share a start with another value.
+        data.append((f"P{random.randrange(18)}", day(s), day(s + random.choice([0, 1, 5, 40, 300, 900])), random.randrange(5)))
+        if random.random() < 0.3:
+            data.append((data[-1][0], data[-1][1], day(s + random.choice([3, 90])), random.randrange(5)))
+    data += [("P0", d("1999-12-31"), d("2000-01-01"), 9), ("P0", d("2000-01-01"), d("2001-01-01"), 8)]
+    return spark.createDataFrame(data, "pnr string, `from` date, `to` date, value int")
+
+
+@pytest.mark.parametrize("options", [{}, {"spread": True, "heavy_rows": 1}])
+def test_from_to_against_days(base, periods, options):
+    out = lexis_from_to(base, periods, event="event", name="dose", default=-1, **options)
+    pieces = pieces_of(out, "dose")
+    check_partition(base, pieces)
+    known = [tuple(r) for r in periods.collect()]
+    for r in base.collect():
+        mine = [p for p in known if p[0] == r["pnr"] and p[1] < p[2]]
+        cuts = {c for p in mine for c in p[1:3] if r["start"] < c < r["end"]}
+        assert {p[0] for p in pieces[r["obs"]]} == cuts | {r["start"]}
+        for s, _, _, dose in pieces[r["obs"]]:
+            covering = [(p[1], p[3]) for p in mine if p[1] <= s < p[2]]
+            assert dose == (max(covering)[1] if covering else -1)
+
+
+def test_steps_do_not_break_at_new_year(spark):
+    data = [("P", d("1999-03-01"), d("2003-03-01"), 1)]
+    df = spark.createDataFrame(data, "pnr string, `from` date, `to` date, value int")
+    (row,) = value_steps(df, "pnr", "from", "to", "value").collect()
+    assert [(s["at"], s["value"]) for s in row["steps"]] == [(d("1999-03-01"), 1), (d("2003-03-01"), None)]
+
+
+def test_calendar_and_age(spark, base):
+    cuts = [dt.date(y, 1, 1) for y in (2000, 2001, 2002)]
+    pieces = pieces_of(lexis_seq(base, cuts, event="event"), "band")
+    check_partition(base, pieces)
+    for mine in pieces.values():
+        for s, e, _, band in mine:
+            assert band == sum(c <= s for c in cuts) and not any(s < c < e for c in cuts)
+    born = base.withColumn("birth", F.lit("1960-02-29").cast("date"))
+    aged = lexis_seq(born, [40, 41], "age", event="event", birth="birth", label="age")
+    assert {r["start"] for r in aged.collect()} - {r["start"] for r in base.collect()} <= {d("2000-02-29"), d("2001-02-28")}
+    with pytest.raises(ValueError):
+        lexis_seq(base, [40], "age")
+    with pytest.raises(ValueError):
+        lexis_seq(base, cuts, "weekday")
