@@ -70,9 +70,11 @@ def find_condition_contains(spark, sf):
 WITH list AS (
   SELECT DISTINCT 'small' AS condition, p_brand AS prefix FROM part WHERE p_size < 2
   UNION SELECT DISTINCT 'group ' || substr(p_brand, 7, 1), substr(p_brand, 1, 7) FROM part
-  UNION SELECT DISTINCT 'type ' || p_type, p_brand FROM part WHERE p_size > 48)
-SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice, l_shipdate, condition
-FROM lineitem JOIN part ON l_partkey = p_partkey JOIN list ON starts_with(p_brand, prefix)
+  UNION SELECT DISTINCT 'type ' || p_type, p_brand FROM part WHERE p_size > 48
+), members AS (
+  SELECT DISTINCT p_brand, condition FROM (SELECT DISTINCT p_brand FROM part) JOIN list ON starts_with(p_brand, prefix))
+SELECT l_orderkey, l_linenumber, l_partkey, condition
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN members USING (p_brand)
 """)
 def prefix_join(spark, sf):
     part = table(spark, sf, "part")
@@ -89,8 +91,7 @@ def prefix_join(spark, sf):
     item = table(spark, sf, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
     coded = spread_join(item, part.select("p_partkey", "p_brand"), "p_partkey")
     coded = coded.withColumnRenamed("p_partkey", "l_partkey")
-    keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice", "l_shipdate"]
-    return find_condition(coded, "p_brand", keep, prefixes).distinct()
+    return find_condition(coded, "p_brand", ["l_orderkey", "l_linenumber", "l_partkey"], prefixes)
 
 
 @query("""
@@ -126,7 +127,7 @@ def hospital(spark, sf):
         F.col("pnr").cast("string").alias("cpr"),
         F.col("day").alias("dato_start"), F.lit("20:00:00").alias("tidspunkt_start"),
         F.when(F.col("o_orderstatus") != "P", finish.cast("date")).alias("dato_slut"),
-        F.date_format(finish, "HH:mm:ss").alias("tidspunkt_slut"),
+        F.substring(finish.cast("string"), 12, 8).alias("tidspunkt_slut"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "ALCA00").otherwise("ALCA10").alias("kontakttype"),
     )
     people = debtors(spark, sf).select(pnr)

@@ -110,6 +110,11 @@ def _class_days(rx: DataFrame, id: str, atc: str, date: str, classes: Conditions
     return rx.where(F.col(date).isNotNull()).select(id, date, hits.alias("drug_class"))
 
 
+# A depot is not followed further than this, and finished purchases per batch of the fold.
+MAX_DAYS = 36_525
+BATCH = 128
+
+
 @dataclass(frozen=True)
 class Drug:
     """How one drug is taken: code prefixes, default daily dose by strength, limits.
@@ -200,7 +205,7 @@ def treatment_periods(
         "_cap": _by_drug(drugs, lambda d: float(d.max_depot)),
         "_n_prev": _by_drug(drugs, lambda d: int(d.n_prev)),
     }
-    periods = history.withColumns(limits).withColumn("_periods", _dosed(F.col("_buys")))
+    periods = history.withColumns(limits).withColumn("_periods", _dosed())
     spell = F.transform(
         F.col("_periods"),
         lambda p, i: F.struct(
@@ -219,62 +224,48 @@ def treatment_periods(
     return _merged(out, id) if merge else out
 
 
-def _dosed(buys: Column) -> Column:
-    """Fold the purchases in date order to (date, dose, whole days the depot lasts)."""
-    zero = F.struct(
-        F.lit(None).cast("date").alias("date"),
-        F.lit(0.0).alias("amount"),
-        F.lit(0.0).alias("depot"),
-        F.lit(1.0).alias("dose"),
-        F.expr("cast(array() as array<struct<amount: double, days: int>>)").alias("run"),
-        F.expr("cast(array() as array<struct<date: date, dose: double, days: int>>)").alias("out"),
-    )
-
-    def step(state: Column, buy: Column) -> Column:
-        passed = F.datediff(buy["date"], state["date"])
-        new_run = F.coalesce(_lasting(state["depot"], state["dose"]) < passed, F.lit(True))
-        left = F.greatest(F.lit(0.0), state["depot"] - state["dose"] * passed)
-        left = F.when(new_run, F.lit(0.0)).otherwise(F.least(F.col("_cap"), left))
-        done = F.struct(state["amount"].alias("amount"), passed.alias("days"))
-        run = F.concat(state["run"], F.array(done))
-        run = F.slice(run, F.greatest(F.size(run) - F.col("_n_prev") + 1, F.lit(1)), F.col("_n_prev"))
-        run = F.when(~new_run, run).otherwise(F.slice(state["run"], 1, 0))
-        bought = F.aggregate(run, F.lit(0.0), lambda a, x: a + x["amount"])
-        days = F.aggregate(run, F.lit(0), lambda a, x: a + x["days"])
-        mean = F.least(F.col("_max"), F.greatest(F.col("_min"), bought / F.nullif(days, F.lit(0))))
-        dose = F.when(new_run, buy["start_dose"]).otherwise(mean)
-        return F.struct(run.alias("run"), dose.alias("dose"), (left + buy["amount"]).alias("depot"))
-
-    def merge(state: Column, buy: Column) -> Column:
-        # The inner fold over one element names the step's result, so that it is computed once.
-        return F.aggregate(
-            F.array(step(state, buy)),
-            state,
-            lambda old, new: F.struct(
-                buy["date"].alias("date"),
-                buy["amount"].alias("amount"),
-                new["depot"].alias("depot"),
-                new["dose"].alias("dose"),
-                new["run"].alias("run"),
-                F.concat(
-                    old["out"],
-                    F.array(
-                        F.struct(
-                            buy["date"].alias("date"),
-                            new["dose"].alias("dose"),
-                            _lasting(new["depot"], new["dose"]).alias("days"),
-                        )
-                    ),
-                ).alias("out"),
-            ),
-        )
+def _lasting(depot: str, dose: str) -> str:
+    """Whole days a depot lasts; a century at most, which keeps dates in range."""
+    return f"int(least(floor({depot} / {dose}), {MAX_DAYS}))"
 
-    return F.aggregate(buys, zero, merge, lambda state: state["out"])
 
+def _dosed() -> Column:
+    """Fold ``_buys`` in date order to an array of (date, dose, whole days the depot lasts).
 
-def _lasting(depot: Column, dose: Column) -> Column:
-    """Whole days a depot lasts; a century at most, which keeps dates in range."""
-    return F.least(F.floor(depot / dose), F.lit(36_525)).cast("int")
+    Finished purchases are kept in batches, so that appending stays cheap over
+    a long history.
+    """
+    buys = "array<struct<amount: double, days: int>>"
+    done = "array<struct<date: date, dose: double, days: int>>"
+    start = f"""named_struct(
+        'date', date(null), 'amount', 0D, 'depot', 0D, 'dose', 1D, 'run', cast(array() AS {buys}),
+        'batch', cast(array() AS {done}), 'batches', cast(array() AS array<{done}>))"""
+    passed = "datediff(buy.date, s.date)"
+    fresh = f"coalesce({_lasting('s.depot', 's.dose')} < {passed}, true)"
+    # What the purchase finds: the depot left, and the run of purchases it continues (null: none).
+    found = f"""named_struct(
+        'left', if({fresh}, 0D, least(_cap, greatest(0D, s.depot - s.dose * {passed}))),
+        'run', if({fresh}, null, slice(
+            concat(s.run, array(named_struct('amount', s.amount, 'days', {passed}))),
+            greatest(size(s.run) + 2 - _n_prev, 1), _n_prev)))"""
+    mean = """aggregate(f.run, 0D, (a, x) -> a + x.amount)
+              / nullif(aggregate(f.run, 0, (a, x) -> a + x.days), 0)"""
+    dosed = f"""named_struct(
+        'depot', f.left + buy.amount,
+        'dose', if(f.run IS NULL, buy.start_dose, least(_max, greatest(_min, {mean}))),
+        'run', coalesce(f.run, cast(array() AS {buys})))"""
+    this = f"""array(named_struct(
+        'date', buy.date, 'dose', n.dose, 'days', {_lasting('n.depot', 'n.dose')}))"""
+    full = f"size(s.batch) >= {BATCH}"
+    after = f"""named_struct(
+        'date', buy.date, 'amount', buy.amount, 'depot', n.depot, 'dose', n.dose, 'run', n.run,
+        'batch', if({full}, {this}, concat(s.batch, {this})),
+        'batches', if({full}, concat(s.batches, array(s.batch)), s.batches))"""
+    # Lambdas over one element name an intermediate result, so that it is computed once
+    # (transform copies its results, so the growing state is only passed through aggregate).
+    step = f"aggregate(transform(array({found}), f -> {dosed}), s, (s, n) -> {after})"
+    end = "flatten(concat(s.batches, array(s.batch)))"
+    return F.expr(f"aggregate(_buys, {start}, (s, buy) -> {step}, s -> {end})")
 
 
 def _merged(periods: DataFrame, id: str) -> DataFrame:

@@ -10,12 +10,14 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .spread import spread_join
 
 _PIECE = "_piece"
+# Years per block in which steps and observations meet.
+BIN_YEARS = 5
 
 
 def _explode_cuts(base: DataFrame, cuts: Column, start: str, end: str) -> DataFrame:
@@ -104,13 +106,13 @@ def lexis_seq(
 
 
 def value_steps(periods: DataFrame, id: str, start: str, end: str, value: str) -> DataFrame:
-    """Per person, the sorted steps ``(at, value)`` of a value given by periods.
+    """The steps ``(id, at, value)`` of a value given by periods.
 
     Where periods overlap, the one that started last decides, then the larger
     value; uncovered time has a null value. There is a step at every start and
     end. Periods are clipped to calendar years and reduced to one row per
     clipped interval before they meet, so a group holds at most one row per
-    pair of days of a year and a person at most one step per day.
+    pair of days of a year, and a person has at most one step per day.
     """
     year = F.col("_year")
     jan1, next_jan1 = (F.make_date(y, F.lit(1), F.lit(1)) for y in (year, year + 1))
@@ -128,43 +130,29 @@ def value_steps(periods: DataFrame, id: str, start: str, end: str, value: str) -
             F.max(F.col("_e") == F.col("_to")).alias("closes"),
         )
     )
-    yearly = clipped.groupBy(id, "_year").agg(
-        F.collect_list(
-            F.struct(
-                F.col("_from").alias("s"), F.col("_to").alias("e"), "top", "opens", "closes"
-            )
-        ).alias("_p")
+    interval = F.struct(F.col("_from").alias("s"), F.col("_to").alias("e"), "top", "opens", "closes")
+    yearly = clipped.groupBy(id, "_year").agg(F.collect_list(interval).alias("_p"))
+    days = F.expr("array_sort(array_distinct(concat(transform(_p, p -> p.s), transform(_p, p -> p.e))))")
+    steps = F.expr(
+        """transform(_days, d -> struct(
+             d AS at,
+             array_max(transform(filter(_p, p -> p.s <= d AND p.e > d), p -> p.top)) AS top,
+             exists(_p, p -> (p.s = d AND p.opens) OR (p.e = d AND p.closes)) AS real))"""
     )
-    days = F.array_sort(
-        F.array_distinct(
-            F.concat(F.transform("_p", lambda p: p["s"]), F.transform("_p", lambda p: p["e"]))
-        )
-    )
-    steps = F.transform(
-        F.col("_days"),
-        lambda d: F.struct(
-            d.alias("at"),
-            F.array_max(
-                F.transform(
-                    F.filter("_p", lambda p: (p["s"] <= d) & (p["e"] > d)), lambda p: p["top"]
-                )
-            ).alias("top"),
-            F.exists(
-                "_p", lambda p: ((p["s"] == d) & p["opens"]) | ((p["e"] == d) & p["closes"])
-            ).alias("real"),
-        ),
-    )
-    # A year's last step and the next year's first may share 1 January.
-    merged = (
+    # A year's last step and the next year's first may share 1 January; a step
+    # there that is only the clipping is dropped.
+    return (
         yearly.withColumn("_days", days)
         .select(id, F.explode(steps).alias("_step"))
         .groupBy(id, F.col("_step.at").alias("at"))
         .agg(F.max("_step.top").alias("top"), F.max("_step.real").alias("real"))
         .where("real")
+        .select(id, "at", F.col("top.value").alias("value"))
     )
-    return merged.groupBy(id).agg(
-        F.array_sort(F.collect_list(F.struct("at", F.col("top.value").alias("value")))).alias("steps")
-    )
+
+
+def _bin(date: str) -> Column:
+    return F.floor(F.year(date) / BIN_YEARS).cast("int")
 
 
 def lexis_from_to(
@@ -185,32 +173,49 @@ def lexis_from_to(
 
     The new column holds the covering period's value, else ``default``;
     overlaps follow ``value_steps``.
+
+    Each person's steps and observation starts form one timeline that knows,
+    for each day on it, the value and the next step. Timeline and observations
+    meet per person and block of years, so an observation is compared with
+    the days of its own years only.
     """
     name = name or value
     steps = value_steps(periods, id, period_start, period_end, value)
-    joined = spread_join(base, steps.withColumnRenamed("steps", "_steps"), id, "left", **spread)
-    s, e = F.col(start), F.col(end)
-    before = F.try_element_at(F.filter("_steps", lambda x: x["at"] <= s), F.lit(-1))
-    first = F.array(F.struct(s.alias("at"), before["value"].alias("value")))
-    rest = F.coalesce(
-        F.filter("_steps", lambda x: (x["at"] > s) & (x["at"] < e)), F.slice(first, 1, 0)
+    known = F.struct("value").alias("step")
+    starts = base.where(F.col(id).isNotNull() & F.col(start).isNotNull())
+    points = (
+        steps.select(id, "at", known)
+        .unionByName(starts.select(id, F.col(start).alias("at")), allowMissingColumns=True)
+        .groupBy(id, "at")
+        .agg(F.max("step").alias("step"))
     )
-    pieces = (
-        joined.withColumn("_points", F.concat(first, rest))
-        .drop("_steps")
-        .withColumn(
-            _PIECE,
-            F.explode(
-                F.transform(
-                    F.col("_points"),
-                    lambda p, i: F.struct(
-                        p["at"].alias("start"),
-                        F.coalesce(F.get(F.col("_points"), i + 1)["at"], e).alias("end"),
-                        p["value"].alias("value"),
-                    ),
-                )
-            ),
-        )
+    person = Window.partitionBy(id).orderBy("at")
+    # Backwards in time, where a frame that only grows is cheap for Spark.
+    later = Window.partitionBy(id).orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
+    is_step = F.col("step").isNotNull()
+    timeline = points.select(
+        id,
+        "at",
+        is_step.alias("is_step"),
+        F.last("step", ignorenulls=True).over(person)["value"].alias("value"),
+        F.min(F.when(is_step, F.col("at"))).over(later).alias("next"),
+    )
+    binned = timeline.groupBy(id, _bin("at").alias("_bin")).agg(
+        F.collect_list(F.struct("at", "is_step", "value", "next")).alias("_points")
+    )
+    last_day = F.greatest(F.date_sub(F.col(end), 1), F.col(start))
+    spans = base.withColumn("_last", F.coalesce(last_day, F.col(start)))
+    spans = spans.withColumn("_bin", F.explode_outer(F.sequence(_bin(start), _bin("_last"))))
+    # The first block of years always holds the observation's own start.
+    joined = spread_join(spans, binned, [id, "_bin"], "left", **spread)
+    pieces = F.expr(
+        f"""CASE WHEN _points IS NOT NULL THEN transform(
+              filter(_points, p -> p.at = `{start}` OR (p.is_step AND p.at > `{start}` AND p.at < `{end}`)),
+              p -> struct(p.at AS start, least(p.next, `{end}`) AS end, p.value AS value))
+            WHEN `{id}` IS NULL OR `{start}` IS NULL THEN
+              array(struct(`{start}` AS start, `{end}` AS end, null AS value))
+            END"""
     )
+    split = joined.withColumn(_PIECE, F.explode(pieces))
     found = F.coalesce(F.col(f"{_PIECE}.value"), F.lit(default))
-    return pieces.select(*_piece_columns(base, start, end, event), found.alias(name))
+    return split.select(*_piece_columns(base, start, end, event), found.alias(name))

@@ -138,8 +138,23 @@ def test_from_to_against_days(base, periods, options):
 def test_steps_do_not_break_at_new_year(spark):
     data = [("P", d("1999-03-01"), d("2003-03-01"), 1)]
     df = spark.createDataFrame(data, "pnr string, `from` date, `to` date, value int")
-    (row,) = value_steps(df, "pnr", "from", "to", "value").collect()
-    assert [(s["at"], s["value"]) for s in row["steps"]] == [(d("1999-03-01"), 1), (d("2003-03-01"), None)]
+    steps = rows(value_steps(df, "pnr", "from", "to", "value"), "at", "value")
+    assert steps == [(d("1999-03-01"), 1), (d("2003-03-01"), None)]
+
+
+def test_from_to_edges(spark):
+    obs = spark.createDataFrame(
+        [("P", day(0), day(4000), 1), ("P", day(10), day(10), 1), (None, day(0), day(5), 1), ("Q", day(0), day(3000), 0), ("P", None, day(5), 1)],
+        "pnr string, start date, end date, event int",
+    )
+    periods = spark.createDataFrame([("P", day(3900), day(3950), 7), ("P", day(5), None, 8)], "pnr string, `from` date, `to` date, value int")
+    assert rows(lexis_from_to(obs, periods, event="event"), "pnr", "start", "end", "event", "value") == [
+        (None, day(0), day(5), 1, None),
+        ("P", None, day(5), 1, None),
+        ("P", day(0), day(3900), 0, None), ("P", day(10), day(10), 1, None),
+        ("P", day(3900), day(3950), 0, 7), ("P", day(3950), day(4000), 1, None),
+        ("Q", day(0), day(3000), 0, None),
+    ]
 
 
 def test_calendar_and_age(spark, base):
