@@ -91,7 +91,8 @@ def prefix_join(spark, sf):
     item = table(spark, sf, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
     coded = spread_join(item, part.select("p_partkey", "p_brand"), "p_partkey")
     coded = coded.withColumnRenamed("p_partkey", "l_partkey")
-    return find_condition(coded, "p_brand", ["l_orderkey", "l_linenumber", "l_partkey"], prefixes)
+    keep = ["l_orderkey", "l_linenumber", "l_partkey"]
+    return find_condition(coded, "p_brand", keep, prefixes, codes=part, counts=part)
 
 
 @query("""

@@ -39,7 +39,8 @@ SELECT pnr, o_orderkey, p_partkey, start, "end",
 FROM chained WINDOW c AS (PARTITION BY pnr, chain)
 """)
 def admission_limits(spark, sf):
-    return adm_limits(_stays(spark, sf), "pnr", "start", "end")
+    starts = visits(spark, sf).withColumnRenamed("day", "start")
+    return adm_limits(_stays(spark, sf), "pnr", "start", "end", counts=starts)
 
 
 @query(f"""

@@ -20,6 +20,8 @@ def find_condition(
     keep: Sequence[str],
     conditions: Conditions | DataFrame,
     match: str = "start",
+    codes: DataFrame | None = None,
+    **spread,
 ) -> DataFrame:
     """Rows whose code belongs to a condition, one row per input row and condition.
 
@@ -28,7 +30,8 @@ def find_condition(
     duplicates are kept. ``conditions`` is a mapping or a DataFrame
     ``(condition, prefix)``. Short mappings become literal expressions (no
     shuffle, prefixes pushed to the scan). Long lists are matched on the
-    distinct codes only and joined back.
+    distinct codes only and joined back; ``codes`` may name a smaller table
+    with the same column that holds every code.
     """
     if not isinstance(conditions, DataFrame):
         lists = condition_lists(conditions)
@@ -40,9 +43,9 @@ def find_condition(
         conditions = df.sparkSession.createDataFrame(pairs, "condition string, prefix string")
     if match != "start":
         raise ValueError("a condition table can only be matched by prefix")
-    members = code_conditions(df, code, conditions)
+    members = code_conditions(df if codes is None else codes, code, conditions)
     needed = df.select(*dict.fromkeys([*keep, code])).where(F.col(code).isNotNull())
-    return spread_join(needed, members, code).select(
+    return spread_join(needed, members, code, **spread).select(
         *keep, F.explode("_conditions").alias("condition")
     )
 

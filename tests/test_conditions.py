@@ -39,6 +39,8 @@ def test_table_equals_loop(spark, coded):
     found = find_condition(coded, "code", ["i"], table)
     assert rows(found) == brute("start")
     assert "NestedLoop" not in plan(found)
+    again = find_condition(coded, "code", ["i"], table, codes=coded.select("code").distinct())
+    assert rows(again) == brute("start")
 
 
 def test_long_mapping_uses_the_table(coded, monkeypatch):
