@@ -18,7 +18,6 @@ from ..functions.codes import (
     valid_id,
 )
 from ..functions.dates import quarter_index
-from .cohort import restrict
 
 
 def hypertension_at(
@@ -31,7 +30,6 @@ def hypertension_at(
     index_date: str = "index_date",
     days: int = 180,
     needed: int = 2,
-    **spread,
 ) -> DataFrame:
     """``(id, index_date, n_classes, hypertension)`` for every id and date of ``index``.
 
@@ -39,10 +37,12 @@ def hypertension_at(
     days before the index date (the date itself not included), else 0. A class
     counts if its latest day before the index date is recent enough, so days
     and index dates are walked once per person instead of being paired.
+    Persons without an index date cost a share of that walk; cut ``rx`` to the
+    cohort first where they are most of it.
     """
     lists = condition_lists(classes)
-    mine = restrict(rx.where(F.col(date).isNotNull()).select(id, atc, date), index, id, **spread)
-    bought = mine.select(
+    wanted = starts_with_any(F.col(atc), [p for ps in lists.values() for p in ps])
+    bought = rx.where(wanted & F.col(date).isNotNull()).select(
         id,
         F.col(date).alias("_day"),
         F.lit(False).alias("_index"),

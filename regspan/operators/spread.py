@@ -9,10 +9,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this is split over several tasks.
+# A key is heavy above this many rows, or above its share of a table's rows if that is more.
 HEAVY_ROWS = 2_000_000
+HEAVY_SHARE = 10_000
+# Stored bytes taken for one row when rows are estimated from file sizes.
+ROW_BYTES = 32
 # At most this many keys are split, so the broadcast list of them is bounded.
 MAX_HEAVY_KEYS = 10_000
+# Keys are first counted in this many groups, which bounds what that count shuffles.
+KEY_GROUPS = 65_536
 # Tables made from fewer bytes than this have no key heavy enough to matter.
 SMALL_BYTES = 256 * 1024 * 1024
 
@@ -37,14 +42,24 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(number) * 1024 ** " kmgt".index(unit or " ")
 
 
+def heavy_limit(df: DataFrame) -> int:
+    """Rows from which a key of a table of this size is worth splitting."""
+    return max(HEAVY_ROWS, input_bytes(df) // ROW_BYTES // HEAVY_SHARE)
+
+
 def heavy_keys(rows: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Keys with more than ``heavy_rows`` rows and the number of parts for each.
 
-    Exact counts, so that both join sides see the same list whenever it is
-    evaluated; at most ``MAX_HEAVY_KEYS`` rows, the heaviest ones.
+    Rows are counted by a hash group of the key, then only the keys of the full
+    groups are counted one by one, so that millions of light keys are not
+    shuffled. Counts are exact: both join sides see the same list whenever it
+    is evaluated. At most ``MAX_HEAVY_KEYS`` rows, the heaviest ones.
     """
+    grouped = rows.select(*on, F.pmod(F.xxhash64(*on), F.lit(KEY_GROUPS)).alias("_group"))
+    full = grouped.groupBy("_group").count().where(F.col("count") > heavy_rows).select("_group")
     return (
-        rows.groupBy(*on)
+        grouped.join(F.broadcast(full), "_group", "left_semi")
+        .groupBy(*on)
         .count()
         .where(F.col("count") > heavy_rows)
         .orderBy(F.col("count").desc(), *on)
@@ -68,7 +83,7 @@ def spread_join(
     how: str = "inner",
     *,
     spread: bool | None = None,
-    heavy_rows: int = HEAVY_ROWS,
+    heavy_rows: int | None = None,
     counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``side`` (few rows per key), splitting heavy keys of ``rows``.
@@ -90,7 +105,8 @@ def spread_join(
     if not spread:
         return rows.join(side, on, how)
 
-    heavy = heavy_keys(rows if counts is None else counts, on, heavy_rows)
+    counted = rows if counts is None else counts
+    heavy = heavy_keys(counted, on, heavy_rows or heavy_limit(counted))
     salted = rows.withColumn("_at", F.spark_partition_id())
     salted = _with_parts(salted, heavy, on)
     part = F.coalesce(F.pmod(F.col("_at"), F.col(_PARTS)), F.lit(0))

@@ -102,7 +102,6 @@ def test_hypertension_at(spark):
         ("Q", d("2010-03-01"), 1, 0),
     ]
     assert rows(hypertension_at(rx, index, CLASSES)) == expected
-    assert rows(hypertension_at(rx, index, CLASSES, spread=True, heavy_rows=1)) == expected
 
 
 def test_hypertension_first(spark):

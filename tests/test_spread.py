@@ -4,7 +4,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from regspan.operators.cohort import restrict
-from regspan.operators.spread import broadcast_limit, heavy_keys, input_bytes, spread_join
+from regspan.operators.spread import (
+    HEAVY_ROWS,
+    broadcast_limit,
+    heavy_keys,
+    heavy_limit,
+    input_bytes,
+    spread_join,
+)
 
 
 @pytest.fixture(scope="module")
@@ -68,5 +75,6 @@ def test_sizes(spark, tmp_path):
     spark.range(1000).write.parquet(path)
     assert 0 < input_bytes(spark.read.parquet(path)) < 100_000
     assert broadcast_limit(spark.range(1)) == 10 * 1024 * 1024
+    assert heavy_limit(spark.read.parquet(path)) == HEAVY_ROWS
     with pytest.raises(ValueError):
         spread_join(spark.range(1), spark.range(1), "id", "outer")
