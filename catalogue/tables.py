@@ -96,7 +96,9 @@ def yearly_prescriptions(spark: SparkSession, sf: str) -> str:
             F.concat(F.lit("lmdb"), F.year("ship"), F.lit("12")).alias("file"),
         )
         early = F.year("eksd") <= 1997
-        rx.where(early).drop("volume").write.partitionBy("file").parquet(folder)
-        rx.where(~early).write.mode("append").partitionBy("file").parquet(folder)
+        # Rebalanced, a year becomes a few files of good size, however large it is.
+        for part in (rx.where(early).drop("volume"), rx.where(~early)):
+            balanced = part.hint("rebalance", F.col("file"))
+            balanced.write.mode("append").partitionBy("file").parquet(folder)
         _written[key] = folder
     return _written[key]

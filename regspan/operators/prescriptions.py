@@ -106,8 +106,10 @@ def hypertension_first(
 
 
 def _class_days(rx: DataFrame, id: str, atc: str, date: str, classes: Conditions) -> DataFrame:
+    prefixes = [p for ps in condition_lists(classes).values() for p in ps]
     hits = F.explode(matched_conditions(F.col(atc), classes))
-    return rx.where(F.col(date).isNotNull()).select(id, date, hits.alias("drug_class"))
+    wanted = starts_with_any(F.col(atc), prefixes) & F.col(date).isNotNull()
+    return rx.where(wanted).select(id, date, hits.alias("drug_class"))
 
 
 # A depot is not followed further than this, and finished purchases per batch of the fold.

@@ -102,6 +102,7 @@ def education_level(
 # Directory-name patterns of the yearly registers.
 MEDICATION_FILES = r"lmdb20(14|1[5-9]|2[0-2])12.*"
 EDUCATION_FILES = r"udda20(14|1[5-9]|2[0-2]).*"
+# Code lists of the example study.
 LABORATORY = {"potassium": ["NPU03230"], "sodium": ["NPU03429"]}
 HEART = {"ami": ["410", "DI21"], "angina": ["413", "DI20"]}
 DRUGS = {"diuretics": ["C03"], "betablocker": ["C07"]}
