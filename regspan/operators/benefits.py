@@ -46,34 +46,30 @@ def import_dream(
     spans = sorted((*parse(c), c) for c in columns)
     starts, ends, names = ([s[i] for s in spans] for i in range(3))
     n = len(names)
-    # Whether period i does not continue period i - 1.
-    apart = [True] + [starts[i] != ends[i - 1] for i in range(1, n)] + [True]
-
     def dates(days: Sequence[dt.date]) -> str:
         return "array(" + ", ".join(f"DATE '{d}'" for d in days) + ")"
 
-    # Literal arrays are folded to constants; the codes are put in an array once.
+    # Periods that do not continue the one before; consecutive columns have none.
+    apart = [i for i in range(1, n) if starts[i] != ends[i - 1]]
+    gap = f"OR array_contains(array({', '.join(map(str, apart))}), i)" if apart else ""
     listed = ", ".join(f"nullif(`{c}`, '')" for c in names)
-    gaps = f"array({', '.join(str(a).lower() for a in apart)})"
-    wide = df.select(id, F.expr(f"array({listed})").alias("_codes"))
-    runs = wide.select(
-        id,
-        "_codes",
-        F.expr(
-            f"""filter(sequence(0, {n - 1}), i -> get(_codes, i) IS NOT NULL
-                AND (get({gaps}, i) OR NOT get(_codes, i) <=> get(_codes, i - 1)))"""
-        ).alias("_opens"),
-        F.expr(
-            f"""filter(sequence(0, {n - 1}), i -> get(_codes, i) IS NOT NULL
-                AND (get({gaps}, i + 1) OR NOT get(_codes, i) <=> get(_codes, i + 1)))"""
-        ).alias("_closes"),
+    changes = (
+        f"filter(sequence(1, {n - 1}), i -> NOT get(_codes, i) <=> get(_codes, i - 1) {gap})"
+        if n > 1
+        else "cast(array() AS array<int>)"
     )
-    spells = F.expr(
-        f"""transform(_opens, (i, k) -> struct(
-              get(_codes, i) AS code, get({dates(starts)}, i) AS start,
-              get({dates(ends)}, get(_closes, k)) AS end))"""
+    # Where a new code begins, with both ends of the table.
+    edges = f"concat(array(0), {changes}, array({n}))"
+    spells = f"""filter(
+        transform(_edges, (i, k) -> struct(
+          get(_codes, i) AS code, get({dates(starts)}, i) AS start,
+          get({dates(ends)}, get(_edges, k + 1) - 1) AS end)),
+        s -> s.code IS NOT NULL)"""
+    out = (
+        df.select(id, F.expr(f"array({listed})").alias("_codes"))
+        .select(id, "_codes", F.expr(edges).alias("_edges"))
+        .select(id, F.explode(F.expr(spells)).alias("_spell"))
     )
-    out = runs.select(id, F.explode(spells).alias("_spell"))
     return out.select(id, F.col("_spell.code").alias(code), "_spell.start", "_spell.end")
 
 
