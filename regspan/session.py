@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -36,14 +39,30 @@ def local_session(cores: int = 8, app: str = "regspan", memory: str = "8g") -> S
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only where the setting is missing, that is
-    on a single machine.
+    On one machine (a ``local[…]`` master) a temporary folder is set where the
+    setting is missing, and deleted when Python ends. Anywhere else a missing
+    setting is an error: executors do not share a local disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="regspan-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def own_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; ``release`` deletes it."""
+    return f"{shared_folder(spark)}/regspan-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has written below the shared folder.
+
+    Frames made from it can no longer be read.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

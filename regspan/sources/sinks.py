@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ..session import own_folder
+
 
 def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> DataFrame:
     """Write a named result as Parquet and read it back, which also cuts its lineage.
@@ -17,6 +20,15 @@ def materialise(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result below the shared folder and read it back.
+
+    Cuts the lineage, so a lost executor never costs more than the current step.
+    ``regspan.session.release`` deletes everything kept by an application.
+    """
+    return materialise(df, f"{own_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+
+
 def save_bucketed(df: DataFrame, table: str, buckets: int, by: str = "pnr") -> DataFrame:
     """Write a table bucketed and sorted by person id.
 
