@@ -1,0 +1,68 @@
+"""One query per operator on the given tables, and its SQL where SQL can express it."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .minhash import near_duplicates
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query under its function name."""
+
+    def register(fn: Query) -> Query:
+        QUERIES[fn.__name__] = fn
+        if sql is not None:
+            ORACLES[fn.__name__] = sql.strip()
+        return fn
+
+    return register
+
+
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id,
+         regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN []
+    WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' ')) END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON c.a = x.doc_id JOIN sizes y ON c.b = y.doc_id
+  WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON r.other = l.a),
+component AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, c.component_id,
+       d.doc_id = c.component_id AS kept
+FROM documents d JOIN component c ON d.doc_id = c.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id
+"""
+
+
+@query(NEAR_SQL)
+def op4_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Components of documents whose 4-word shingle sets have a similarity of 0.8 or more."""
+    return near_duplicates(table(spark, sf, "documents"), width=4)
