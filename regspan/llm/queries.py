@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .minhash import near_duplicates
+from .mixing import plan_mix
+from .rules import MEASURES, cascade, measures_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +33,51 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, coalesce(source, '') AS src, source IS NULL AS no_src,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         md5(concat('mix-1:', coalesce(CAST(doc_id AS VARCHAR), ''))) AS h
+  FROM documents),
+sources AS (
+  SELECT src, no_src, CAST(sum(size) AS BIGINT) AS source_size,
+         [5, 2, 1][1 + CAST((row_number() OVER (ORDER BY no_src, src) - 1) % 3 AS INTEGER)] AS w
+  FROM sized GROUP BY src, no_src),
+filled AS (
+  SELECT *, 3 * source_size AS cap,
+         sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER (
+           ORDER BY 3 * source_size / w, no_src, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+         sum(w) OVER (ORDER BY 3 * source_size / w, no_src, src
+                      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight
+  FROM sources),
+level AS (
+  SELECT rest AS l_rest, weight AS l_weight FROM filled WHERE rest * w < cap * weight
+  ORDER BY cap / w, no_src, src LIMIT 1),
+goal AS (
+  SELECT src, no_src, source_size,
+         CASE WHEN rest * w >= cap * weight THEN CAST(cap AS DOUBLE)
+              ELSE CAST(l_rest * w AS DOUBLE) / CAST(l_weight AS DOUBLE) END AS target,
+         CAST(CAST('0x' || substr(md5(concat('mix-1/', CASE WHEN no_src THEN '-' ELSE concat('+', src) END)), 1, 5)
+              AS BIGINT) AS DOUBLE) / 1048576.0 AS u
+  FROM filled LEFT JOIN level ON true),
+ranked AS (
+  SELECT s.*, g.source_size, g.target, g.u,
+         CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate,
+         row_number() OVER (PARTITION BY s.src, s.no_src ORDER BY
+           length(CAST(size AS VARCHAR)) * 100 + CAST(substr(CAST(size AS VARCHAR), 1, 2) AS INTEGER), h, size) AS i
+  FROM sized s JOIN goal g ON s.src = g.src AND s.no_src = g.no_src),
+taken AS (
+  SELECT *, CAST(floor(i * rate + u) - floor((i - 1) * rate + u) AS BIGINT) AS copies FROM ranked)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, copies * size AS taken, copies FROM taken
+"""
+
+
+@query(MIX_SQL)
+def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
+    """Words that a mix by source weights takes of each document."""
+    return plan_mix(table(spark, sf, "documents"), columns=["doc_id"])
+
+
 NEAR_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id,
@@ -66,3 +114,48 @@ FROM documents d JOIN component c ON d.doc_id = c.doc_id LEFT JOIN sizes s ON d.
 def op4_minhash(spark: SparkSession, sf: str) -> DataFrame:
     """Components of documents whose 4-word shingle sets have a similarity of 0.8 or more."""
     return near_duplicates(table(spark, sf, "documents"), width=4)
+
+
+RULES_SQL = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, w[i], w[i + 1], w[i + 2]) AS n
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM words WHERE len(w) >= 3)),
+repeated AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS p FROM windows WHERE n > 1)
+  GROUP BY r),
+lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM words)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+base AS (
+  SELECT doc_id, t, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(repeated.n, 0) AS BIGINT) AS n_repeat_words,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+  FROM words LEFT JOIN lines USING (r) LEFT JOIN repeated USING (r)),
+judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 100 * n_symbols > 25 * n_words OR word_chars < 2 * n_words
+            OR word_chars > 25 * n_words OR 2 * n_dup_lines > n_words OR 100 * n_upper > 30 * word_chars) AS kept
+FROM judged
+"""
+
+
+@query(RULES_SQL)
+def op8_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality measures of each document and the verdict of the rule cascade."""
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    measured = docs.withColumns(measures_of("text"))
+    judged = cascade(measured, known={n: n for n in MEASURES})
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        failed.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"),
+    )
