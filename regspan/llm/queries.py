@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontaminate import find_passages
 from .minhash import near_duplicates
 from .mixing import plan_mix
 from .rules import MEASURES, cascade, measures_of
@@ -78,6 +79,51 @@ def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
     return plan_mix(table(spark, sf, "documents"), columns=["doc_id"])
 
 
+PASSAGES_SQL = r"""
+WITH item_words AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS n, unnest(list_transform(
+    range(1, len(w) - least(13, len(w)) + 2), lambda i: array_to_string(w[i:i + least(13, len(w)) - 1], ' '))) AS win
+  FROM item_words WHERE len(w) > 0),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+places AS (
+  SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+  FROM docs, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+hits AS (
+  SELECT a.r, a.i, a.n, b.item_id
+  FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM places) a
+  JOIN windows b ON a.win = b.win AND a.n = b.n),
+covered AS (
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n, string_agg(s, ',' ORDER BY s) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(c.n, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(f.n, 0) AS BIGINT) AS n_items, sha256(coalesce(f.ids, '')) AS items_sha256,
+       coalesce(c.n, 0) > 0 AND 20 * coalesce(c.n, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN covered c USING (r) LEFT JOIN found f USING (r)
+"""
+
+
+@query(PASSAGES_SQL)
+def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of each document inside 13-word windows of the benchmark, and the items they are from."""
+    found = find_passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"), columns=["doc_id"])
+    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"), "contaminated",
+    )
+
+
 NEAR_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id,
