@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .decontaminate import find_passages
 from .minhash import near_duplicates
 from .mixing import plan_mix
+from .quality import classify
 from .rules import MEASURES, cascade, measures_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -205,3 +206,9 @@ def op8_rules(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"),
     )
+
+
+@query()
+def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality score of each document, learned from labels outside the held-out fifth."""
+    return classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
