@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import format_chats
 from .decontaminate import find_passages
 from .minhash import near_duplicates
 from .mixing import plan_mix
 from .quality import classify
 from .rules import MEASURES, cascade, measures_of
+from .tokens import count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +82,34 @@ def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
     return plan_mix(table(spark, sf, "documents"), columns=["doc_id"])
 
 
+CHAT_SQL = r"""
+WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
+shown AS (
+  SELECT *, concat('<|im_start|>', replace(replace(role, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>'),
+                   chr(10), replace(replace(text, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>'),
+                   '<|im_end|>', chr(10)) AS piece,
+         concat(turn, ' ', length(role), ' ', length(text), ' ', role, text, ';') AS exact
+  FROM turns),
+prefixes AS (
+  SELECT *, string_agg(exact, '') OVER w AS prefix, count(*) OVER (PARTITION BY conv_id) AS n,
+         row_number() OVER w AS i
+  FROM shown WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
+whole AS (SELECT prefix, n, min(conv_id) AS conv_id FROM prefixes WHERE i = n GROUP BY prefix, n),
+kept AS (
+  SELECT conv_id FROM whole w
+  WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.prefix = w.prefix AND p.i < p.n))
+SELECT conv_id, min(turn) AS first_turn, count(*) AS n_turns,
+       string_agg(piece, '' ORDER BY turn, role, text) AS text
+FROM shown JOIN kept USING (conv_id) GROUP BY conv_id
+"""
+
+
+@query(CHAT_SQL)
+def op2_chat(spark: SparkSession, sf: str) -> DataFrame:
+    """Maximal conversations, rendered."""
+    return format_chats(table(spark, sf, "conversations"))
+
+
 PASSAGES_SQL = r"""
 WITH item_words AS (
   SELECT item_id, regexp_extract_all(
@@ -212,3 +242,16 @@ def op8_rules(spark: SparkSession, sf: str) -> DataFrame:
 def op5_quality(spark: SparkSession, sf: str) -> DataFrame:
     """Quality score of each document, learned from labels outside the held-out fifth."""
     return classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+TOKEN_LIMIT = 1024
+
+
+@query()
+def op7_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    """Tokens of each whole document under a byte-level BPE of 50,257 ids."""
+    import public_tokenizers
+
+    docs = table(spark, sf, "documents")
+    counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), columns=["doc_id"])
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
