@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
-from bisect import bisect_right
+import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,30 +16,38 @@ from .frames import without
 # Characters of a chunk, and of the overlap of two chunks to begin with.
 CHUNK, OVERLAP = 32_768, 512
 # Characters encoded in one call.
-CALL = 1 << 18
+CALL = 1 << 20
+# Pieces whose counts a Python worker remembers (about 100 bytes each).
+PIECES = 1_000_000
 
 
-def stable(text: str, p: int) -> bool:
-    """Whether a byte-level BPE pre-tokenizer always cuts at ``p``: a letter or digit before plain white space.
+# Before a space or line end, behind anything but white space, a byte-level BPE pre-tokenizer always
+# cuts: no alternative of its pattern continues over that place, and what follows does not look back.
+_CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
-    No alternative of its pattern continues over that place, and what follows does not look back.
-    """
-    return 0 < p < len(text) and text[p] in " \n\t\r" and text[p - 1].isalnum()
+
+def stable(text: str, p: int) -> bool:
+    return 0 < p < len(text) and text[p] in " \n" and not text[p - 1].isspace()
 
 
 class Piece:
     """The tokens of ``text[start:stop]`` with their places in the whole text."""
 
     def __init__(self, tokenizer, text: str, start: int, stop: int):
-        found = tokenizer.encode(text[start:stop], add_special_tokens=False)
-        self.start, self.stop, self.ids = start, stop, found.ids
-        self.begins = [start + a for a, _ in found.offsets]
-        self.ends = [start + b for _, b in found.offsets]
+        self.found = tokenizer.encode(text[start:stop], add_special_tokens=False)
+        self.start, self.stop = start, stop
+
+    def __len__(self) -> int:
+        return len(self.found)
 
     def upto(self, p: int) -> int | None:
-        """Tokens that end at or before ``p``, if ``p`` is a token boundary."""
-        n = bisect_right(self.ends, p)
-        return n if n == len(self.ids) or self.begins[n] >= p else None
+        """Tokens before ``p``, if the character before it ends a token."""
+        i = self.found.char_to_token(p - 1 - self.start)
+        if i is None:
+            return None
+        while i + 1 < len(self) and self.found.token_to_chars(i + 1)[1] <= p - self.start:
+            i += 1  # a character may be made of several tokens
+        return i + 1 if self.found.token_to_chars(i)[1] == p - self.start else None
 
 
 def splice(text: str, left: Piece, right: Piece) -> int | None:
@@ -48,7 +57,7 @@ def splice(text: str, left: Piece, right: Piece) -> int | None:
         return None
     first, last = places[0], places[-1]
     cut = [piece.upto(p) for piece in (left, right) for p in (first, last)]
-    if None in cut or left.ids[cut[0] : cut[1]] != right.ids[cut[2] : cut[3]]:
+    if None in cut or left.found.ids[cut[0] : cut[1]] != right.found.ids[cut[2] : cut[3]]:
         return None
     return first
 
@@ -74,52 +83,81 @@ def count_long(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP)
             continue
         total += left.upto(p) - (left.upto(done) if done else 0)
         left, done, width = right, p, overlap
-    return total + len(left.ids) - (left.upto(done) if done else 0)
+    return total + len(left) - (left.upto(done) if done else 0)
 
 
-_loaded: dict[str, object] = {}
+class Counter:
+    """Token counts of short texts: the sum over their pieces between cuts.
 
+    Counts of pieces are remembered, up to ``most`` of them; new pieces are encoded together,
+    since each begins at a cut, and told apart by the tokens' places.
+    """
 
-def _tokenizer(name: str, content: str):
+    def __init__(self, tokenizer, most: int = PIECES):
+        self.tokenizer, self.most, self.known = tokenizer, most, {"": 0}
+
+    def learn(self, pieces: set[str]) -> None:
+        alone = [p for p in pieces if p[0] not in " \n"]  # beginnings of texts
+        for p, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[p] = len(found)
+        together = [p for p in pieces if p[0] in " \n" and not p[-1].isspace()]
+        if together:
+            found = self.tokenizer.encode("".join(together), add_special_tokens=False)
+            ends = np.array([b for _, b in found.offsets])
+            stops = np.cumsum([len(p) for p in together])
+            counts = np.diff(np.searchsorted(ends, stops, "right"), prepend=0)
+            self.known.update(zip(together, counts.tolist()))
+        last = [p for p in pieces if p[0] in " \n" and p[-1].isspace()]  # ends of texts
+        for p, found in zip(last, self.tokenizer.encode_batch_fast(last, add_special_tokens=False)):
+            self.known[p] = len(found)
+
+    def counts(self, texts: list[str]) -> list[int]:
+        parts = [_CUT.split(t) for t in texts]
+        if len(self.known) > self.most:
+            self.known = {"": 0}
+        new = {p for ps in parts for p in ps if p not in self.known}
+        if new:
+            self.learn(new)
+        return [sum(map(self.known.__getitem__, ps)) for ps in parts]
+
+
+_loaded: dict[str, Counter] = {}
+
+
+def _counter(name: str, content: str) -> Counter:
     if name not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         _loaded.clear()
-        _loaded[name] = Tokenizer.from_str(content)
+        _loaded[name] = Counter(Tokenizer.from_str(content))
     return _loaded[name]
 
 
 def _count(
     batches: Iterator[pa.RecordBatch], name: str, content, text: str, columns: Sequence[str], chunk: int, overlap: int
 ) -> Iterator[pa.RecordBatch]:
-    tokenizer = _tokenizer(name, content.value)
+    counter = _counter(name, content.value)
     for batch in batches:
         column = batch.column(text)
-        counts = [0] * len(batch)
+        counts = np.zeros(len(batch), np.int64)
         waiting: list[int] = []
         texts: list[str] = []
         size = 0
-
-        def flush() -> None:
-            for i, found in zip(waiting, tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                counts[i] = len(found)  # noqa: B023
-            waiting.clear()
-            texts.clear()
-
         for i in range(len(batch)):
             value = column[i].as_py() or ""
             if len(value) > chunk:
-                counts[i] = count_long(tokenizer, value, chunk, overlap)
+                counts[i] = count_long(counter.tokenizer, value, chunk, overlap)
                 continue
             waiting.append(i)
             texts.append(value)
             size += len(value)
             if size > CALL:
-                flush()
-                size = 0
-        flush()
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(counts, pa.int64())], [*columns, "_tokens"])
+                counts[waiting] = counter.counts(texts)
+                waiting, texts, size = [], [], 0
+        if waiting:
+            counts[waiting] = counter.counts(texts)
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(counts)], [*columns, "_tokens"])
 
 
 def count_tokens(
