@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import own_folder
 from .chat import format_chats
 from .decontaminate import find_passages
+from .html import extract_text
 from .minhash import near_duplicates
 from .mixing import plan_mix
 from .quality import classify
 from .rules import MEASURES, cascade, measures_of
 from .tokens import count_tokens
+from .warc import captures, read_records, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -255,3 +259,46 @@ def op7_tokens(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     counted = count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"), columns=["doc_id"])
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query()
+def op9_html(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of each page."""
+    return extract_text(table(spark, sf, "pages"), columns=["page_id", "url"])
+
+
+WARC_SQL = r"""
+WITH sized AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+bits AS (
+  SELECT *, list_transform(range(0, 8), lambda i: CAST('0x' || substr(h, CAST(i * 5 + 1 AS INTEGER), 5) AS BIGINT)) AS fives
+  FROM sized),
+named AS (
+  SELECT page_id, n, array_to_string(list_transform(fives, lambda v: concat(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 15) & 31 AS INTEGER) + 1, 1),
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 10) & 31 AS INTEGER) + 1, 1),
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((v >> 5) & 31 AS INTEGER) + 1, 1),
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(v & 31 AS INTEGER) + 1, 1))), '') AS digest
+  FROM bits),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM named)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM firsts
+"""
+
+
+@query(WARC_SQL)
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Captures of all pages, written to archives and read back."""
+    path = f"{own_folder(spark)}/archives-{uuid.uuid4().hex}"
+    write_archives(table(spark, sf, "pages"), path)
+    found = captures(read_records(spark, path, payloads=False))
+    stated = F.col("metadata")[0]["fields"]
+    return found.select(
+        stated["captureid"].cast("long").alias("page_id"),
+        stated["payloadlength"].cast("long").alias("payload_bytes"),
+        F.coalesce("response.payload_digest", "response.digest").alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.regexp_extract("response.refers_to", "^urn:capture:([0-9-]+):", 1).cast("long").alias("refers_to"),
+    )
