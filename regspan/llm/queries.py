@@ -17,6 +17,7 @@ from .mixing import plan_mix
 from .quality import classify
 from .rules import MEASURES, cascade, measures_of
 from .tokens import count_tokens
+from .urls import Rule, judge_urls
 from .warc import captures, read_records, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -302,3 +303,59 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
         F.col("response.type").alias("record_type"),
         F.regexp_extract("response.refers_to", "^urn:capture:([0-9-]+):", 1).cast("long").alias("refers_to"),
     )
+
+
+URL_RULES = [
+    Rule.parse(r) for r in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")
+]
+
+
+def _urls_sql() -> str:
+    """The same steps, the iterations of either rank as one view each."""
+
+    def rank(name: str, seed: str, start: str, stop: str) -> str:
+        views = [
+            f"{name}_shares AS MATERIALIZED (SELECT {start} AS a, {stop} AS b, links / sum(links) OVER (PARTITION BY {start}) AS share FROM edges)",
+            f"{name}_0 AS MATERIALIZED (SELECT host, {seed} AS score FROM seeds WHERE {seed} > 0)",
+        ]
+        for i in range(1, 21):
+            views.append(f"""{name}_{i} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (
+  SELECT s.b AS host, 0.85 * r.score * s.share AS score FROM {name}_shares s JOIN {name}_{i - 1} r ON s.a = r.host
+  UNION ALL SELECT host, (1 - 0.85) * {seed} AS score FROM seeds WHERE {seed} > 0) GROUP BY host)""")
+        return ",\n".join(views)
+
+    cases = " ".join(
+        f"WHEN (host = '{r.host}' OR host LIKE '%.{r.host}') AND starts_with(path, '{r.path}') THEN '{r.verdict} {r.name}'"
+        for r in sorted(URL_RULES, key=lambda r: (-len(r.name), r.name))
+    )
+    return f"""
+WITH urls AS (
+  SELECT page_id, html,
+         translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+judged AS (SELECT *, CASE {cases} END AS found FROM urls),
+seeds AS MATERIALIZED (
+  SELECT host, avg(CAST(coalesce(found LIKE 'allow %', false) AS INTEGER)) AS allowed,
+         avg(CAST(coalesce(found LIKE 'block %', false) AS INTEGER)) AS blocked
+  FROM judged WHERE host <> '' GROUP BY host),
+links AS (
+  SELECT host AS src, lower(unnest(regexp_extract_all(
+    html, '(?is)\\bhref\\s*=\\s*["'']?\\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\\s<>\\\\]+)', 1))) AS dst
+  FROM urls),
+edges AS MATERIALIZED (
+  SELECT src, dst, count(*) AS links FROM links WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+{rank("trust", "allowed", "src", "dst")},
+{rank("distrust", "blocked", "dst", "src")}
+SELECT page_id, j.host, path, substr(found, 7) AS rule,
+       CASE WHEN found IS NOT NULL THEN substr(found, 1, 5)
+            WHEN coalesce(d.score, 0) > coalesce(t.score, 0) + 0.1 THEN 'block' ELSE 'allow' END AS verdict
+FROM judged j LEFT JOIN trust_20 t ON j.host = t.host LEFT JOIN distrust_20 d ON j.host = d.host
+"""
+
+
+@query(_urls_sql())
+def op6_urls(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdict on each page's url by rules, else by its host's place in the link graph."""
+    return judge_urls(table(spark, sf, "pages"), URL_RULES, columns=["page_id"])
