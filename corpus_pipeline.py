@@ -22,8 +22,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below the threshold go; the model is fitted on the labels of those still there."""
-    return passing_classifier(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    """Documents that score below the threshold go.
+
+    The model is fitted on all labelled documents, also those that the rules have rejected.
+    """
+    training = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return passing_classifier(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), training=training)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

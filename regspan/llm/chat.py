@@ -99,9 +99,10 @@ def format_chats(
     ``<|im_start|>`` and ``<|im_end|>``, which are broken by a space where a text contains them. A
     conversation gives one row per ``per_row`` turn numbers, so no row or group grows without bound.
 
-    Repeated rows count once. Different rows of one turn number are rendered by role and text. A null turn number comes first
-    and ``first_turn`` is then null, a null role reads ``unknown``, a null text is empty; all rows without a conversation id
-    form one conversation. An empty table gives an empty result.
+    Repeated rows count once. Different rows of one turn number are ordered by role and text. Turns
+    without a number come first, in a row of their own with a null ``first_turn``; a null role reads
+    ``unknown``, a null text is empty; all rows without a conversation id form one conversation. An
+    empty table gives an empty result.
     """
     rows = _rows(turns, conv, turn, role, text, per_row)
     prefixes = keep(prefix_hashes(rows), "prefixes")

@@ -246,13 +246,14 @@ def classify(
 
 def passing(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", quality: str = "quality",
-    threshold: float = THRESHOLD, most: int = MAX_LABELLED,
+    threshold: float = THRESHOLD, most: int = MAX_LABELLED, training: DataFrame | None = None,
 ) -> DataFrame:
     """The documents whose score reaches the threshold, with their own columns.
 
-    Documents are not shuffled: their statistics are computed once more where they are read.
+    The model is fitted on the labelled rows of ``training`` (``docs`` by default). Documents are not shuffled: their
+    statistics are computed where they are read.
     """
-    model = fit(features(docs, id, text), labels, id, quality, most)
+    model = fit(features(docs if training is None else training, id, text), labels, id, quality, most)
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

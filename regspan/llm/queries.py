@@ -321,7 +321,7 @@ def _urls_sql() -> str:
         for i in range(1, 21):
             views.append(f"""{name}_{i} AS MATERIALIZED (SELECT host, sum(score) AS score FROM (
   SELECT s.b AS host, 0.85 * r.score * s.share AS score FROM {name}_shares s JOIN {name}_{i - 1} r ON s.a = r.host
-  UNION ALL SELECT host, (1 - 0.85) * {seed} AS score FROM seeds WHERE {seed} > 0) GROUP BY host)""")
+  UNION ALL SELECT host, {seed} AS score FROM seeds WHERE {seed} > 0) GROUP BY host)""")
         return ",\n".join(views)
 
     cases = " ".join(
@@ -350,7 +350,7 @@ edges AS MATERIALIZED (
 {rank("distrust", "blocked", "dst", "src")}
 SELECT page_id, j.host, path, substr(found, 7) AS rule,
        CASE WHEN found IS NOT NULL THEN substr(found, 1, 5)
-            WHEN coalesce(d.score, 0) > coalesce(t.score, 0) + 0.1 THEN 'block' ELSE 'allow' END AS verdict
+            WHEN coalesce(d.score, 0) > coalesce(t.score, 0) + 0.5 THEN 'block' ELSE 'allow' END AS verdict
 FROM judged j LEFT JOIN trust_20 t ON j.host = t.host LEFT JOIN distrust_20 d ON j.host = d.host
 """
 

@@ -17,8 +17,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LITERAL_RULES = 200
 DAMPING = 0.85
 ITERATIONS = 20
-# Distrust must exceed trust by this to block a host.
-MARGIN = 0.1
+# Distrust must exceed trust by this to block a host. A host all of whose pages are blocked by rules,
+# without links, has a distrust of 1; one that links to such hosts only has 0.85.
+MARGIN = 0.5
 # Iterations between two written tables.
 WRITE_EVERY = 5
 
@@ -102,12 +103,12 @@ def host_edges(pages: DataFrame, url: str, html: str) -> DataFrame:
 def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
     """(_host, _score): personalised PageRank over weighted edges (_from, _to, _share).
 
-    The restart mass of a host is its ``_seed``. Each step sends a host's score along its edges by share
+    The restart mass of a host is its ``_seed``, so scores are those of PageRank divided by
+    1 - ``damping``. Each step sends a host's score along its edges by share
     and adds the restart; what a host without edges holds is not passed on. Every few steps the scores are written,
     which cuts the plan. A hub is a skewed join key that Spark splits; sums have a partial step.
     """
-    restart = seeds.select("_host", ((1 - damping) * F.col("_seed")).alias("_score"))
-    scores = seeds.select("_host", F.col("_seed").alias("_score"))
+    scores = restart = seeds.select("_host", F.col("_seed").alias("_score"))
     for i in range(iterations):
         sent = edges.join(scores, edges["_from"] == scores["_host"]).select(
             F.col("_to").alias("_host"), (damping * F.col("_score") * F.col("_share")).alias("_score")
