@@ -18,7 +18,7 @@ LITERAL_RULES = 200
 DAMPING = 0.85
 ITERATIONS = 20
 # Distrust must exceed trust by this to block a host. A host all of whose pages are blocked by rules,
-# without links, has a distrust of 1; one that links to such hosts only has 0.85.
+# without links, has a distrust of 1; the only host that links to it gets 0.85 of that, two share it.
 MARGIN = 0.5
 # Iterations between two written tables.
 WRITE_EVERY = 5
