@@ -13,7 +13,6 @@ from regspan.operators.comorbidity import charlson, weighted_score
 from regspan.operators.conditions import condition_wide, find_condition
 from regspan.operators.cohort import restrict
 from regspan.operators.prescriptions import hypertension_at, hypertension_first
-from regspan.operators.spread import spread_join
 from regspan.plans.extracts import hospital_conditions, lab_results, medication
 from regspan.sources.registers import read_periods
 
@@ -44,7 +43,7 @@ FROM found WHERE pnr IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) GRO
 """)
 def cohort_conditions(spark, sf):
     coded = lines(spark, sf).select("pnr", "ship", "p_brand")
-    mine = restrict(coded, debtors(spark, sf), counts=visits(spark, sf))
+    mine = restrict(coded, debtors(spark, sf))
     found = find_condition(mine, "p_brand", ["pnr", "ship"], BRANDS)
     return condition_wide(found, "pnr", "ship", list(BRANDS))
 
@@ -89,10 +88,28 @@ def prefix_join(spark, sf):
         ],
     ).distinct()
     item = table(spark, sf, "lineitem").withColumnRenamed("l_partkey", "p_partkey")
-    coded = spread_join(item, part.select("p_partkey", "p_brand"), "p_partkey")
+    coded = item.join(part.select("p_partkey", "p_brand"), "p_partkey")
     coded = coded.withColumnRenamed("p_partkey", "l_partkey")
     keep = ["l_orderkey", "l_linenumber", "l_partkey"]
-    return find_condition(coded, "p_brand", keep, prefixes, codes=part, counts=part)
+    return find_condition(coded, "p_brand", keep, prefixes, codes=part)
+
+
+@query("""
+WITH list AS (
+  SELECT DISTINCT 'size ' || p_size AS condition, substr(p_type, 2, 3) AS part FROM part WHERE p_size < 3
+  UNION SELECT 'any l', 'L'
+), members AS (
+  SELECT DISTINCT p_type, condition FROM (SELECT DISTINCT p_type FROM part) JOIN list ON contains(p_type, part))
+SELECT p_partkey, p_type, condition FROM part JOIN members USING (p_type)
+""")
+def contains_join(spark, sf):
+    """Parts of codes from a table, anywhere in the code."""
+    part = table(spark, sf, "part")
+    some = part.where("p_size < 3").select(
+        F.concat(F.lit("size "), F.col("p_size").cast("string")).alias("condition"), F.substring("p_type", 2, 3).alias("prefix")
+    )
+    parts = some.union(some.sparkSession.range(1).select(F.lit("any l"), F.lit("L"))).distinct()
+    return find_condition(part, "p_type", ["p_partkey", "p_type"], parts, match="contains")
 
 
 @query("""
@@ -117,18 +134,17 @@ def hospital(spark, sf):
         F.when(F.col("l_returnflag") == "R", "0").otherwise("2").alias("pattype"),
     )
     part = table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    diagnoses = spread_join(table(spark, sf, "lineitem").select("l_orderkey", "l_partkey"), part, "l_partkey")
+    diagnoses = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey").join(part, "l_partkey")
     diagnoses = diagnoses.select(
         F.col("l_orderkey").cast("string").alias("dw_ek_kontakt"), F.col("p_brand").alias("diagnosekode")
     )
-    begin = F.to_timestamp_ntz(F.concat(F.col("day").cast("string"), F.lit(" 20:00:00")))
-    finish = F.timestamp_add("HOUR", F.floor(F.col("o_totalprice") / 10000).cast("int"), begin)
+    hours = F.floor(F.col("o_totalprice") / 10000).cast("int") + 20
     contacts = visits(spark, sf).select(
         F.col("o_orderkey").cast("string").alias("dw_ek_kontakt"),
         F.col("pnr").cast("string").alias("cpr"),
         F.col("day").alias("dato_start"), F.lit("20:00:00").alias("tidspunkt_start"),
-        F.when(F.col("o_orderstatus") != "P", finish.cast("date")).alias("dato_slut"),
-        F.substring(finish.cast("string"), 12, 8).alias("tidspunkt_slut"),
+        F.when(F.col("o_orderstatus") != "P", F.date_add("day", F.floor(hours / 24).cast("int"))).alias("dato_slut"),
+        F.concat(F.lpad((hours % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("tidspunkt_slut"),
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "ALCA00").otherwise("ALCA10").alias("kontakttype"),
     )
     people = debtors(spark, sf).select(pnr)
@@ -168,9 +184,15 @@ def prescriptions(spark, sf):
     return medication(register, debtors(spark, sf), groups)
 
 
-def _weeks():
-    day = dt.date(2023, 1, 2)
-    while day.year < 2027:
+def _bounds(days):
+    """The first and last day of a column: two values, whatever the table's size."""
+    return days.agg(*[f(F.to_date(days.columns[0])).alias(f.__name__) for f in (F.min, F.max)]).first()
+
+
+def _weeks(first, last):
+    """Names of all weeks that hold a day from ``first`` to ``last``."""
+    day = first - dt.timedelta(days=first.weekday())
+    while day <= last:
         year, week, _ = day.isocalendar()
         yield f"y_{year % 100:02d}{week:02d}"
         day += dt.timedelta(days=7)
@@ -198,7 +220,7 @@ def dream_long(spark, sf):
     first = F.min_by("event_type", F.struct("ts", "event_id"))
     wide = (
         events.groupBy(F.col("user_id").alias("pnr"), week.alias("week")).agg(first.alias("code"))
-        .groupBy("pnr").pivot("week", list(_weeks())).agg(F.min("code"))
+        .groupBy("pnr").pivot("week", list(_weeks(*_bounds(events.select("ts"))))).agg(F.min("code"))
     )
     return import_dream(wide)
 
@@ -217,7 +239,9 @@ SELECT pnr, code, min(month) AS start, CAST(max(month) + INTERVAL 1 MONTH AS DAT
 FROM runs GROUP BY pnr, run, code
 """)
 def branch_long(spark, sf):
-    months = [f"br_{y}_{m:02d}" for y in range(1992, 2003) for m in range(1, 13)]
+    first_day, last_day = _bounds(visits(spark, sf).select("day"))
+    numbers = range(first_day.year * 12 + first_day.month - 1, last_day.year * 12 + last_day.month)
+    months = [f"br_{n // 12}_{n % 12 + 1:02d}" for n in numbers]
     month = F.concat(F.lit("br_"), F.date_format("day", "yyyy_MM"))
     first = F.min_by("o_orderpriority", F.struct("day", "o_orderkey"))
     wide = (
@@ -227,10 +251,7 @@ def branch_long(spark, sf):
     return import_dream(wide, kind="branch")
 
 
-_QUARTERS = [f"kvartal{y}_{q}" for y in range(1992, 2003) for q in range(1, 5)]
-
-
-@query(f"""
+@query("""
 WITH counted AS (
   SELECT r_name AS region, o_orderpriority AS speciale, n_name AS laboratorium,
          'kvartal' || year(o_orderdate) || '_' || quarter(o_orderdate) AS quarter, count(*) AS n
@@ -239,7 +260,10 @@ WITH counted AS (
   GROUP BY ALL
 ), labs AS (SELECT DISTINCT region, speciale, laboratorium FROM counted)
 SELECT l.region, l.speciale, l.laboratorium, q.quarter, c.n, d.idcode
-FROM labs l CROSS JOIN (SELECT unnest({_QUARTERS}) AS quarter) q
+FROM labs l CROSS JOIN (
+  SELECT 'kvartal' || (i // 4) || '_' || (i % 4 + 1) AS quarter
+  FROM (SELECT unnest(range(min(year(o_orderdate) * 4 + quarter(o_orderdate) - 1),
+                            max(year(o_orderdate) * 4 + quarter(o_orderdate)))) AS i FROM orders)) q
 LEFT JOIN counted c USING (region, speciale, laboratorium, quarter)
 LEFT JOIN (
   SELECT DISTINCT r_name AS region, n_name AS laboratorium, o_orderpriority AS speciale,
@@ -252,15 +276,18 @@ def coverage_long(spark, sf):
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
     people = table(spark, sf, "customer").select(F.col("c_custkey").alias("pnr"), "c_nationkey")
     quarter = F.concat(F.lit("kvartal"), F.year("day"), F.lit("_"), F.quarter("day"))
-    per_lab = spread_join(visits(spark, sf).withColumn("quarter", quarter), people, "pnr")
+    per_lab = visits(spark, sf).withColumn("quarter", quarter).join(people, "pnr")
     per_lab = per_lab.groupBy("c_nationkey", F.col("o_orderpriority").alias("speciale"), "quarter").agg(
         F.count(F.lit(1)).alias("n")
     )
+    first, last = _bounds(visits(spark, sf).select("day"))
+    numbers = range(first.year * 4 + (first.month - 1) // 3, last.year * 4 + (last.month - 1) // 3 + 1)
+    quarters = [f"kvartal{n // 4}_{n % 4 + 1}" for n in numbers]
     named = per_lab.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     wide = (
         named.groupBy(
             F.col("r_name").alias("region"), "speciale", F.col("n_name").alias("laboratorium"),
-        ).pivot("quarter", _QUARTERS).agg(F.sum("n"))
+        ).pivot("quarter", quarters).agg(F.sum("n"))
     )
     id_codes = named.where("r_name <> 'EUROPE'").select(
         F.col("r_name").alias("region"), "speciale", F.col("n_name").alias("laboratorium"),
@@ -318,7 +345,7 @@ flags AS (
 def _charlson(spark, sf, **options):
     index = visits(spark, sf).groupBy("pnr").agg(F.max("day").alias("index_date"))
     coded = lines(spark, sf).select("pnr", "p_brand", "ship")
-    diagnoses = spread_join(coded, index, "pnr", counts=visits(spark, sf))
+    diagnoses = coded.join(index, "pnr")
     return charlson(
         diagnoses, "pnr", "p_brand", "ship", "index_date", COMPONENTS, WEIGHTS, **options
     )
@@ -326,10 +353,10 @@ def _charlson(spark, sf, **options):
 
 @query(f"""
 WITH {SCORED}
-SELECT pnr, index_date, "first" * (1 - severe) + 2 * other + 6 * severe AS charlson_index FROM flags
+SELECT pnr, index_date, "first" * (1 - greatest(severe, other)) + 2 * other + 6 * severe AS charlson_index FROM flags
 """)
 def charlson_index(spark, sf):
-    return _charlson(spark, sf, severe_over_mild=[("severe", "first")])[0]
+    return _charlson(spark, sf, severe_over_mild=[("severe", "first"), ("other", "first")])[0]
 
 
 @query(f'WITH {SCORED} SELECT pnr, index_date, "first", other, severe FROM flags')

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from regspan.operators.matching import exposure_match, incidence_match, match_report
-from regspan.session import shared_folder
-from regspan.sources.sinks import materialise
+from regspan.sources.sinks import keep
 
 from . import query
 from .tables import VISITS, table, visits
@@ -31,7 +28,7 @@ def _followed(spark, sf):
         F.when(F.col("c_acctbal") < 0, F.coalesce("late", "end")).alias("case_date"),
     )
     # Matching reads its input several times.
-    return materialise(followed, f"{shared_folder(spark)}/followed-{uuid.uuid4().hex}")
+    return keep(followed, "followed")
 
 
 FOLLOWED = f"""{VISITS}, followed AS (
@@ -44,17 +41,17 @@ FOLLOWED = f"""{VISITS}, followed AS (
 def _matched_sql(match_date: str, leaves: str) -> str:
     """Brute force: every pair, candidates in the documented order, the seeded draw by number."""
     return f"""RECURSIVE {FOLLOWED}, risk AS (
-      SELECT *, CAST(entry - DATE '1800-01-01' AS BIGINT) AS low,
-             CAST(least({leaves}) - DATE '1800-01-01' AS BIGINT) AS high,
+      SELECT *, CAST(entry - DATE '0001-01-01' AS BIGINT) AS low,
+             CAST(least({leaves}) - DATE '0001-01-01' AS BIGINT) AS high,
              ('0x' || substr(md5('{SEED}|' || id), 1, 15))::BIGINT AS ord
       FROM followed
     ), pairs AS (
       SELECT c.id AS case_id, c.c_mktsegment, c.{match_date} AS match_date, r.id,
-             r.low, r.high, r.ord, CAST(c.{match_date} - DATE '1800-01-01' AS BIGINT) AS t
+             r.low, r.high, r.ord, CAST(c.{match_date} - DATE '0001-01-01' AS BIGINT) AS t
       FROM followed c JOIN risk r ON r.c_mktsegment = c.c_mktsegment AND r.id <> c.id
       WHERE c.{match_date} IS NOT NULL AND r.entry <= c.{match_date} AND least({leaves}) > c.{match_date}
     ), sized AS (
-      SELECT *, (SELECT max(b) FROM range(0, 18) g(b)
+      SELECT *, (SELECT max(b) FROM range(0, 23) g(b)
                  WHERE (t >> b) << b >= low AND ((t >> b) + 1) << b <= high) AS bits
       FROM pairs
     ), numbered AS (

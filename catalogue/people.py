@@ -12,7 +12,6 @@ from regspan.operators.cohort import (
     restrict,
 )
 from regspan.operators.income import average_income
-from regspan.operators.spread import spread_join
 from regspan.plans.extracts import education_level
 from regspan.plans.population import follow_up_end, left_merge, study_population
 
@@ -111,7 +110,7 @@ WHERE pnr IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)
 def cohort_restriction(spark, sf):
     people = table(spark, sf, "customer").where("c_acctbal < 0").select(F.col("c_custkey").alias("pnr"))
     mine = lines(spark, sf, coded=False).select("pnr", "o_orderkey", "p_partkey", "ship")
-    return restrict(mine, people, counts=visits(spark, sf))
+    return restrict(mine, people)
 
 
 @query("""
@@ -123,7 +122,7 @@ def fact_join(spark, sf):
     contacts = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus"
     )
-    return spread_join(diagnoses, contacts, "l_orderkey")
+    return diagnoses.join(contacts, "l_orderkey")
 
 
 @query(f"""
@@ -141,6 +140,18 @@ def left_merge_chain(spark, sf):
     return left_merge(people, [first_event(seen, "pnr", "day", "first_visit"), urgent], "pnr")
 
 
+@query(f"""
+WITH {VISITS}, least AS (
+  SELECT pnr, day, o_orderkey, row_number() OVER (PARTITION BY pnr ORDER BY day, o_orderkey) AS i FROM visits)
+SELECT c_custkey AS pnr, c_mktsegment, day, o_orderkey
+FROM customer LEFT JOIN least ON pnr = c_custkey AND i = 1
+""")
+def left_merge_repeats(spark, sf):
+    """A table with a row per visit: its least row counts, persons stay unique."""
+    people = table(spark, sf, "customer").select(F.col("c_custkey").alias("pnr"), "c_mktsegment")
+    return left_merge(people, [visits(spark, sf).select("pnr", "day", "o_orderkey")], "pnr")
+
+
 @query(f"""
 WITH {PRESENCE}
 SELECT p.pnr, min(v.day) AS returned FROM presence p JOIN visits v ON v.pnr = p.pnr AND v.day > p."out"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from regspan.operators.intervals import adm_limits, merged_periods
 from regspan.operators.prescriptions import Drug, treatment_periods
 from regspan.operators.splitting import lexis_from_to, lexis_seq, lexis_two
+from regspan.sources.sinks import keep
 
 from . import query
 from .tables import LINES, OBSERVATIONS, lines, observations, table, visits
@@ -39,8 +40,8 @@ SELECT pnr, o_orderkey, p_partkey, start, "end",
 FROM chained WINDOW c AS (PARTITION BY pnr, chain)
 """)
 def admission_limits(spark, sf):
-    starts = visits(spark, sf).withColumnRenamed("day", "start")
-    return adm_limits(_stays(spark, sf), "pnr", "start", "end", counts=starts)
+    # Read twice: for the rows and for their days.
+    return adm_limits(keep(_stays(spark, sf), "stays"), "pnr", "start", "end")
 
 
 @query(f"""
@@ -154,25 +155,25 @@ def split_age(spark, sf):
 
 
 DRUGS = {
-    "eco": Drug(["ECO"], {5: 10.0, 10: 20.0, 20: 30.0}, min_dose=5.0, max_dose=120.0, max_depot=20_000.0),
-    "large": Drug(["LARGE"], {5: 8.0, 10: 16.0}, min_dose=4.0, max_dose=400.0, max_depot=5_000.0, n_prev=2),
+    "eco": Drug(["ECO"], {2.5: 10.0, 0.1: 0.7, 20: 30.0}, min_dose=0.3, max_dose=120.0, max_depot=20_000.0),
+    "large": Drug(["LARGE"], {2.5: 8.0, 0.1: 0.3}, min_dose=0.1, max_dose=400.0, max_depot=5_000.0, n_prev=2),
 }
 
 # One recursion step per purchase of a person and drug; the run history is a list.
 TREATED = f"""RECURSIVE {LINES}, rx AS (
   SELECT pnr, CASE WHEN p_type LIKE 'ECO%' THEN 'eco' ELSE 'large' END AS drug, day,
-         CAST(l_quantity AS DOUBLE) * p_size * strength AS amount, strength
-  FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 5.0::DOUBLE WHEN 'N' THEN 10.0::DOUBLE ELSE 20.0::DOUBLE END AS strength FROM lines)
+         CAST(round(CAST(l_quantity AS DOUBLE) * p_size * strength, 6) AS DECIMAL(28, 6)) AS amount, strength
+  FROM (SELECT *, CASE l_returnflag WHEN 'A' THEN 2.5::DOUBLE WHEN 'N' THEN 0.1::DOUBLE ELSE 20.0::DOUBLE END AS strength FROM lines)
   WHERE p_type LIKE 'ECO%' OR p_type LIKE 'LARGE%'
 ), limits(drug, lo, hi, cap, n_prev) AS (
-  VALUES ('eco', 5.0::DOUBLE, 120.0::DOUBLE, 20000.0::DOUBLE, 3), ('large', 4.0::DOUBLE, 400.0::DOUBLE, 5000.0::DOUBLE, 2)
+  VALUES ('eco', 0.3::DOUBLE, 120.0::DOUBLE, 20000.0::DOUBLE, 3), ('large', 0.1::DOUBLE, 400.0::DOUBLE, 5000.0::DOUBLE, 2)
 ), daily AS (
-  SELECT pnr, drug, day, sum(amount) AS amount, max(strength) AS strength,
+  SELECT pnr, drug, day, CAST(sum(amount) AS DOUBLE) AS amount, max(strength) AS strength,
          row_number() OVER (PARTITION BY pnr, drug ORDER BY day) AS i
   FROM rx GROUP BY pnr, drug, day
 ), buys AS (
-  SELECT d.*, CASE WHEN drug = 'eco' THEN CASE strength WHEN 5 THEN 10.0::DOUBLE WHEN 10 THEN 20.0::DOUBLE ELSE 30.0::DOUBLE END
-              ELSE CASE strength WHEN 5 THEN 8.0::DOUBLE WHEN 10 THEN 16.0::DOUBLE ELSE strength END END AS start_dose
+  SELECT d.*, CASE WHEN drug = 'eco' THEN CASE strength WHEN 2.5::DOUBLE THEN 10.0::DOUBLE WHEN 0.1::DOUBLE THEN 0.7::DOUBLE ELSE 30.0::DOUBLE END
+              ELSE CASE strength WHEN 2.5::DOUBLE THEN 8.0::DOUBLE WHEN 0.1::DOUBLE THEN 0.3::DOUBLE ELSE strength END END AS start_dose
   FROM daily d
 ), fold AS (
   SELECT pnr, drug, i, day, amount, start_dose AS dose, amount AS depot,
@@ -193,13 +194,14 @@ TREATED = f"""RECURSIVE {LINES}, rx AS (
     JOIN limits l ON l.drug = b.drug)
 ), periods AS (
   SELECT pnr, drug, day AS start,
-         least(day + CAST(floor(depot / dose) AS INTEGER), lead(day) OVER (PARTITION BY pnr, drug ORDER BY day)) AS "end",
+         least(day + CAST(floor(depot / dose) AS INTEGER), lead(day) OVER (PARTITION BY pnr, drug ORDER BY day),
+               DATE '9999-12-31') AS "end",
          round(dose, 6) AS dose
   FROM fold)"""
 
 
 def _prescribed(spark, sf):
-    strength = F.when(F.col("l_returnflag") == "A", 5.0).when(F.col("l_returnflag") == "N", 10.0).otherwise(20.0)
+    strength = F.when(F.col("l_returnflag") == "A", 2.5).when(F.col("l_returnflag") == "N", 0.1).otherwise(20.0)
     return lines(spark, sf).select(
         "pnr", F.col("p_type").alias("atc"), F.col("day").alias("eksd"),
         F.col("l_quantity").alias("apk"), F.col("p_size").alias("packsize"), strength.alias("strnum"),
@@ -220,3 +222,40 @@ SELECT pnr, drug, dose, min(start) AS start, max("end") AS "end" FROM runs GROUP
 """)
 def treatment_merged(spark, sf):
     return treatment_periods(_prescribed(spark, sf), DRUGS, merge=True)
+
+
+FAR = "DATE '9999-12-31'"
+
+
+@query(f"""
+WITH {OBSERVATIONS}, base AS (
+  SELECT pnr, start, event, CASE pnr % 3 WHEN 0 THEN NULL WHEN 1 THEN {FAR} ELSE "end" END AS "end" FROM observations
+), periods AS (
+  SELECT DISTINCT pnr, day AS f, o_orderpriority AS value,
+         CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN {FAR} WHEN '2' THEN {FAR}
+              ELSE day + 60 * CAST(substr(o_orderpriority, 1, 1) AS INTEGER) END AS t
+  FROM visits WHERE o_orderstatus <> 'P'
+), points AS (
+  SELECT pnr, start AS p FROM base
+  UNION SELECT b.pnr, f FROM base b JOIN periods USING (pnr) WHERE f > start AND f < coalesce("end", {FAR})
+  UNION SELECT b.pnr, t FROM base b JOIN periods USING (pnr) WHERE t > start AND t < coalesce("end", {FAR})
+), pieces AS (
+  SELECT p.pnr, p AS start, lead(p) OVER (PARTITION BY p.pnr ORDER BY p) AS next, b."end" AS final, event
+  FROM points p JOIN base b USING (pnr))
+SELECT s.pnr, s.start, coalesce(next, final) AS "end", CASE WHEN next IS NULL THEN event ELSE 0 END AS event,
+       coalesce((SELECT arg_max(value, (f, value)) FROM periods x
+                 WHERE x.pnr = s.pnr AND x.f <= s.start AND x.t > s.start), 'none') AS exposure
+FROM pieces s
+""")
+def split_open(spark, sf):
+    """Observations and periods that are open, or coded 9999-12-31."""
+    far = F.lit("9999-12-31").cast("date")
+    third = F.col("pnr") % 3
+    end = F.when(third == 1, far).when(third == 2, F.col("end"))
+    priority = F.substring("o_orderpriority", 1, 1)
+    to = F.when(priority == "1", far).when(priority != "2", F.date_add("day", 60 * priority.cast("int")))
+    periods = visits(spark, sf).where("o_orderstatus <> 'P'").select(
+        "pnr", F.col("day").alias("from"), to.alias("to"), F.col("o_orderpriority").alias("value")
+    )
+    base = observations(spark, sf).withColumn("end", end)
+    return lexis_from_to(base, periods, event="event", name="exposure", default="none")

@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from regspan.functions.codes import starts_with_any, valid_id
-from regspan.functions.dates import clock_time, seconds_between
+from regspan.functions.dates import seconds_between
 from regspan.functions.values import alive_from, numeric_result, plausible_death, text_result
 from regspan.operators.cohort import cohort_extract, code_list_filter, governed_extract
-from regspan.session import shared_folder
+from regspan.session import own_folder
 from regspan.sources.inventory import dataset_contents, inventory
 from regspan.sources.registers import (
     append,
@@ -158,8 +158,9 @@ _DESCRIBED = ("customer", "orders", "lineitem", "part", "events")
     )
 )
 def register_contents(spark, sf):
-    described = [dataset_contents(table(spark, sf, name), name) for name in _DESCRIBED]
-    return append(described).select("dataset", "column", "rows", "non_null")
+    measures = ["rows", "non_null"]
+    described = [dataset_contents(table(spark, sf, name), name, measures) for name in _DESCRIBED]
+    return append(described).drop("type")
 
 
 @query("""
@@ -171,7 +172,8 @@ UNION ALL SELECT 'p_size', CAST(min(p_size) AS VARCHAR), CAST(max(p_size) AS VAR
 UNION ALL SELECT 'p_retailprice', CAST(min(p_retailprice) AS VARCHAR), CAST(max(p_retailprice) AS VARCHAR) FROM part
 """)
 def column_ranges(spark, sf):
-    return dataset_contents(table(spark, sf, "part")).select("column", "least", "greatest")
+    ranges = dataset_contents(table(spark, sf, "part"), measures=["least", "greatest"])
+    return ranges.select("column", "least", "greatest")
 
 
 @query("""
@@ -182,7 +184,7 @@ def materialised_result(spark, sf):
     per_person = visits(spark, sf).groupBy("pnr").agg(
         F.count(F.lit(1)).alias("visits"), F.max("day").alias("last_visit")
     )
-    return materialise(per_person, f"{shared_folder(spark)}/result-{uuid.uuid4().hex}", ["pnr"])
+    return materialise(per_person, f"{own_folder(spark)}/result-{uuid.uuid4().hex}", ["pnr"])
 
 
 @query("""
@@ -220,17 +222,17 @@ SELECT l_orderkey, l_partkey, CAST(l_quantity * 3600 AS BIGINT) AS seconds
 FROM lineitem WHERE l_quantity > 12 AND l_linestatus = 'F'
 """)
 def duration_filter(spark, sf):
-    begin = F.to_timestamp_ntz(F.concat(F.to_date("l_shipdate").cast("string"), F.lit(" 20:00:00")))
-    finish = F.timestamp_add("HOUR", F.col("l_quantity").cast("int"), begin)
+    # From 20:00, l_quantity hours.
+    hours, day = F.col("l_quantity").cast("int") + 20, F.to_date("l_shipdate")
     contacts = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey",
-        F.to_date("l_shipdate").alias("dato_start"), F.lit("20:00:00").alias("tidspunkt_start"),
-        F.when(F.col("l_linestatus") == "F", finish.cast("date")).alias("dato_slut"),
-        F.substring(finish.cast("string"), 12, 8).alias("tidspunkt_slut"),
+        day.alias("dato_start"), F.lit("20:00:00").alias("tidspunkt_start"),
+        F.when(F.col("l_linestatus") == "F", F.date_add(day, F.floor(hours / 24).cast("int"))).alias("dato_slut"),
+        F.concat(F.lpad((hours % 24).cast("string"), 2, "0"), F.lit(":00:00")).alias("tidspunkt_slut"),
+    )
+    seconds = seconds_between(
+        F.col("dato_start"), F.col("tidspunkt_start"), F.col("dato_slut"), F.col("tidspunkt_slut")
     )
-    start = clock_time(F.col("dato_start"), F.col("tidspunkt_start"))
-    end = clock_time(F.col("dato_slut"), F.col("tidspunkt_slut"))
-    seconds = seconds_between(start, end)
     return contacts.select("l_orderkey", "l_partkey", seconds.alias("seconds")).where("seconds > 43200")
 
 

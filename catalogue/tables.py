@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from regspan.operators.spread import spread_join
-from regspan.session import shared_folder
+from regspan.session import own_folder
 
 
 _schemas: dict[str, StructType] = {}
@@ -42,11 +41,11 @@ def lines(spark: SparkSession, sf: str, coded: bool = True) -> DataFrame:
         "l_quantity", "l_extendedprice", "l_returnflag", "l_linestatus",
         F.to_date("l_shipdate").alias("ship"),
     )
-    dated = spread_join(item, visits(spark, sf), "o_orderkey")
+    dated = item.join(visits(spark, sf), "o_orderkey")
     if not coded:
         return dated
     part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    return spread_join(dated, part, "p_partkey", counts=item)
+    return dated.join(part, "p_partkey")
 
 
 def observations(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,7 +88,7 @@ def yearly_prescriptions(spark: SparkSession, sf: str) -> str:
     """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _written:
-        folder = f"{shared_folder(spark)}/yearly-{uuid.uuid4().hex}"
+        folder = f"{own_folder(spark)}/yearly-{uuid.uuid4().hex}"
         rx = lines(spark, sf).select(
             "pnr", F.col("p_brand").alias("ATC"), F.col("ship").alias("eksd"),
             F.col("l_extendedprice").alias("volume"), F.col("p_size").alias("packsize"),

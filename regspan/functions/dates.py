@@ -9,17 +9,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def clock_time(date: Column, time: Column) -> Column:
-    """Wall-clock time from a date and a time-of-day text; null if either is missing.
+def second_of_day(time: Column) -> Column:
+    """Whole seconds of a time-of-day text ``HH:MM`` or ``HH:MM:SS``; anything else is an error."""
+    part = F.split(time, ":")
+    second = F.coalesce(F.floor(F.get(part, F.lit(2)).cast("double")), F.lit(0))
+    return (part[0].cast("int") * 3600 + part[1].cast("int") * 60 + second).cast("long")
 
-    Zone-free on purpose: a night across a clock change keeps its 12 hours.
-    """
-    text = F.concat_ws(" ", date.cast("string"), time)
-    return F.when(date.isNotNull() & time.isNotNull(), text).cast("timestamp_ntz")
 
+def seconds_between(start_date: Column, start_time: Column, end_date: Column, end_time: Column) -> Column:
+    """Wall-clock seconds between two dates with times of day; null if one of the four is missing.
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return F.timestamp_diff("SECOND", start, end)
+    Plain arithmetic on days and seconds, so no time zone enters: a night across a clock change
+    keeps its 12 hours.
+    """
+    days = F.datediff(end_date, start_date).cast("long")
+    return days * 86_400 + second_of_day(end_time) - second_of_day(start_time)
 
 
 def quarter_index(date: Column) -> Column:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import shortest_prefixes, starts_with_any, valid_id
 from ..functions.values import year_dependent
-from .spread import spread_join
 
 
 def person_list(population: DataFrame, id: str = "pnr") -> DataFrame:
@@ -17,9 +16,9 @@ def person_list(population: DataFrame, id: str = "pnr") -> DataFrame:
     return population.where(valid_id(F.col(id))).select(id).distinct()
 
 
-def restrict(register: DataFrame, population: DataFrame, id: str = "pnr", **spread) -> DataFrame:
+def restrict(register: DataFrame, population: DataFrame, id: str = "pnr") -> DataFrame:
     """The register's rows of persons in the population, each kept once."""
-    return spread_join(register, person_list(population, id), id, "left_semi", **spread)
+    return register.join(person_list(population, id), id, "left_semi")
 
 
 def cohort_extract(
@@ -28,13 +27,12 @@ def cohort_extract(
     columns: Sequence[str] | None = None,
     where: Column | None = None,
     id: str = "pnr",
-    **spread,
 ) -> DataFrame:
     """Predicate and projection at the scan, then the cohort; all columns by default."""
     rows = register if where is None else register.where(where)
     if columns is not None:
         rows = rows.select(*dict.fromkeys([id, *columns]))
-    return restrict(rows, population, id, **spread)
+    return restrict(rows, population, id)
 
 
 def governed_extract(
@@ -66,7 +64,7 @@ def governed_extract(
 
 def code_list_filter(df: DataFrame, code: str, codes: DataFrame) -> DataFrame:
     """Rows whose code is in a list; repeats in the list do not multiply rows."""
-    return spread_join(df, codes.select(F.col(codes.columns[0]).alias(code)).distinct(), code, "left_semi")
+    return df.join(codes.select(F.col(codes.columns[0]).alias(code)).distinct(), code, "left_semi")
 
 
 def first_presence(

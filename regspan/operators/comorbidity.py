@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import Conditions, condition_lists, matches
@@ -28,7 +28,7 @@ def charlson(
     on or before the index date matches one of its prefixes (within
     ``lookback_days`` if given); the index is the sum of the weights present;
     ids without any score 0. With ``severe_over_mild`` pairs the mild
-    component's weight is not added where the severe one is present.
+    component's weight is not added where any of its severe ones is present.
     """
     lists = condition_lists(codes)
     unknown = set(lists) ^ set(weights)
@@ -43,15 +43,18 @@ def charlson(
     ]
     # Flags are maxima, so all but one row per id and input task vanish before the shuffle.
     components = diagnoses.groupBy(id, index_date).agg(*present)
-    replaced = {mild: severe for severe, mild in severe_over_mild}
-    score = sum(
-        (
-            F.col(name) * F.lit(weight)
-            * ((1 - F.col(replaced[name])) if name in replaced else F.lit(1))
-            for name, weight in weights.items()
-        ),
-        F.lit(0),
-    )
+    severe_of: dict[str, list[str]] = {}
+    for severe, mild in severe_over_mild:
+        severe_of.setdefault(mild, []).append(severe)
+    unknown = {name for pair in severe_over_mild for name in pair} - set(weights)
+    if unknown:
+        raise ValueError(f"no weights for {sorted(unknown)}")
+
+    def counted(name: str) -> Column:
+        severe = [F.col(s) for s in severe_of.get(name, [])]
+        return F.lit(1) - (F.greatest(*severe) if len(severe) > 1 else severe[0]) if severe else F.lit(1)
+
+    score = sum((F.col(name) * F.lit(weight) * counted(name) for name, weight in weights.items()), F.lit(0))
     return components.select(id, index_date, score.alias("charlson_index")), components
 
 

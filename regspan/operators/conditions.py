@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import Conditions, condition_lists, matched_conditions, matches
-from .spread import spread_join
 
 # Up to this many prefixes a list is written into the scan as literals.
 LITERAL_PREFIXES = 200
@@ -21,7 +20,6 @@ def find_condition(
     conditions: Conditions | DataFrame,
     match: str = "start",
     codes: DataFrame | None = None,
-    **spread,
 ) -> DataFrame:
     """Rows whose code belongs to a condition, one row per input row and condition.
 
@@ -31,40 +29,51 @@ def find_condition(
     ``(condition, prefix)``. Short mappings become literal expressions (no
     shuffle, prefixes pushed to the scan). Long lists are matched on the
     distinct codes only and joined back; ``codes`` may name a smaller table
-    with the same column that holds every code.
+    with the same column, and then only rows with one of its codes are found,
+    for lists of any length. An empty prefix is an error in a mapping and
+    matches nothing in a table. ``match="contains"`` looks for the parts anywhere in the code.
     """
+    if match not in ("start", "contains"):
+        raise ValueError(f"match must be 'start' or 'contains', not {match!r}")
     if not isinstance(conditions, DataFrame):
         lists = condition_lists(conditions)
         pairs = [(name, p) for name, prefixes in lists.items() for p in prefixes]
-        if len(pairs) <= LITERAL_PREFIXES or match != "start":
+        if len(pairs) <= LITERAL_PREFIXES:
             hits = F.explode(matched_conditions(F.col(code), lists, match))
             wanted = matches(F.col(code), [p for _, p in pairs], match)
-            return df.where(wanted).select(*keep, hits.alias("condition"))
+            rows = df.where(wanted)
+            if codes is not None:
+                rows = rows.join(codes.select(code).distinct(), code, "left_semi")
+            return rows.select(*keep, hits.alias("condition"))
         conditions = df.sparkSession.createDataFrame(pairs, "condition string, prefix string")
-    if match != "start":
-        raise ValueError("a condition table can only be matched by prefix")
-    members = code_conditions(df if codes is None else codes, code, conditions)
+    members = code_conditions(df if codes is None else codes, code, conditions, match)
     needed = df.select(*dict.fromkeys([*keep, code])).where(F.col(code).isNotNull())
-    return spread_join(needed, members, code, **spread).select(
+    return needed.join(members, code).select(
         *keep, F.explode("_conditions").alias("condition")
     )
 
 
-def code_conditions(df: DataFrame, code: str, table: DataFrame) -> DataFrame:
+def code_conditions(df: DataFrame, code: str, table: DataFrame, match: str = "start") -> DataFrame:
     """One row per distinct code with the sorted array of its conditions.
 
-    Each distinct code is expanded to its own prefixes and equi-joined to the
-    table once; a ``startswith`` join would compare every code with every prefix.
+    Each distinct code is expanded to its own beginnings (or parts) of the lengths that occur in
+    the table and equi-joined to it once; a ``startswith`` join would compare every code with every prefix.
     """
     codes = df.select(code).distinct().where(F.length(code) > 0)
-    length = F.sequence(F.lit(1), F.length(code))
-    prefixes = codes.select(
-        code,
-        F.explode(F.transform(length, lambda n: F.substring(F.col(code), 1, n))).alias("prefix"),
-    )
     wanted = table.select("condition", "prefix").where(F.length("prefix") > 0).distinct()
+    # A few numbers, found by a subquery.
+    lengths = wanted.agg(F.collect_set(F.length("prefix"))).scalar()
+    fitting = F.filter("_lengths", lambda n: n <= F.length(code))
+    if match == "start":
+        parts = F.transform(fitting, lambda n: F.substring(F.col(code), F.lit(1), n))
+    else:
+        starts = lambda n: F.sequence(F.lit(1), F.length(code) - n + 1)
+        parts = F.flatten(
+            F.transform(fitting, lambda n: F.transform(starts(n), lambda i: F.substring(F.col(code), i, n)))
+        )
+    expanded = codes.withColumn("_lengths", lengths).select(code, F.explode(F.array_distinct(parts)).alias("prefix"))
     return (
-        prefixes.join(wanted, "prefix")
+        expanded.join(wanted, "prefix")
         .groupBy(code)
         .agg(F.sort_array(F.collect_set("condition")).alias("_conditions"))
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .spread import spread_join
 
 
 def average_income(
@@ -16,7 +15,6 @@ def average_income(
     year: str = "year",
     amount: str = "income",
     years: int = 5,
-    **spread,
 ) -> DataFrame:
     """Every row of ``ids`` with ``average_income`` and ``years_found``.
 
@@ -42,6 +40,6 @@ def average_income(
         )
     )
     dated = ids.withColumn("_index_year", F.year(date))
-    return spread_join(dated, means, [id, "_index_year"], "left", **spread).select(
+    return dated.join(means, [id, "_index_year"], "left").select(
         *ids.columns, "average_income", F.coalesce("years_found", F.lit(0)).alias("years_found")
     )

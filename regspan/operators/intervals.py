@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .spread import spread_join
 
 
 def chained_days(df: DataFrame, id: str, start: str, end: str) -> DataFrame:
@@ -37,14 +36,14 @@ def chained_days(df: DataFrame, id: str, start: str, end: str) -> DataFrame:
     )
 
 
-def adm_limits(df: DataFrame, id: str, start: str, end: str, **spread) -> DataFrame:
+def adm_limits(df: DataFrame, id: str, start: str, end: str) -> DataFrame:
     """Every row with the true first start and last end of its chain of admissions.
 
     Our rule: admissions of a person chain when one starts no later than the
     latest end so far, so touching days count. Start and end are dates; a
     missing end counts as its start.
     """
-    return spread_join(df, chained_days(df, id, start, end), [id, start], "left", **spread).select(
+    return df.join(chained_days(df, id, start, end), [id, start], "left").select(
         *df.columns, "first_start", "last_end"
     )
 

@@ -23,53 +23,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .spread import spread_join
+from ..functions.blocks import DAY_BITS, blocks, blocks_of_day, day_number
 
-# Day numbers count from here and need this many bits (up to year 2158).
-FIRST_DAY = "1800-01-01"
-DAY_BITS = 17
 # A block's persons are numbered in this many parts (2 ** bits), so that a
 # large stratum is numbered by many tasks.
 PART_BITS = 10
 _HASH_DIGITS = 15
 
 
-def _day(date: Column) -> Column:
-    return F.datediff(date, F.lit(FIRST_DAY).cast("date"))
-
-
 def _hash(*parts: Column) -> Column:
     """A 60-bit number from text."""
     text = F.concat_ws("|", *[p.cast("string") for p in parts])
     return F.conv(F.substring(F.md5(text), 1, _HASH_DIGITS), 16, 10).cast("long")
 
 
-def _blocks(low: str, high: str) -> Column:
-    """The largest aligned blocks that make up the days ``[low, high)``.
-
-    Of each block size, the first whole block belongs if its number is odd
-    (the next larger block would start before ``low``), and the last whole
-    block if its number is even (the next larger would end after ``high``).
-    """
-    found = []
-    for bits in range(DAY_BITS + 1):
-        first = f"shiftright({low} + {(1 << bits) - 1}, {bits})"
-        after = f"shiftright({high}, {bits})"
-        for block, belongs in ((first, f"{first} % 2 = 1"), (f"{after} - 1", f"{after} % 2 = 1")):
-            found.append(
-                f"CASE WHEN {first} < {after} AND {belongs}"
-                f" THEN struct({bits} AS bits, {block} AS block) END"
-            )
-    return F.expr(f"array_compact(array({', '.join(found)}))")
-
-
-def _blocks_of_day(day: str) -> Column:
-    """The one block of each size that holds a day, smallest first."""
-    return F.expr(
-        f"transform(sequence(0, {DAY_BITS}), b -> struct(b AS bits, shiftright({day}, b) AS block))"
-    )
-
-
 def _numbered(at_risk: DataFrame, block: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with their number (from 0) in the seeded order of their block, and block counts."""
     in_part = Window.partitionBy(*block, "_part").orderBy("_order", "_person")
@@ -116,7 +83,6 @@ def _match(
     seed: int,
     id: str,
     entry: str,
-    **spread,
 ) -> DataFrame:
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -137,12 +103,12 @@ def _match(
 
     # Strata and dates of cases: at most strata x days rows.
     points = cases.where(known).select(*strata, "match_date").distinct()
-    around = points.withColumn("_day", _day(F.col("match_date")))
-    around = around.select(*strata, "match_date", F.explode(_blocks_of_day("_day")).alias("_b"))
+    around = points.withColumn("_day", day_number(F.col("match_date")))
+    around = around.select(*strata, "match_date", F.explode(blocks_of_day("_day")).alias("_b"))
     around = around.select(*strata, "match_date", *keys)
 
-    exit_day = F.coalesce(F.least(*[_day(F.col(c)) for c in leaves], last_day), last_day)
-    low = F.greatest(_day(F.col(entry)), F.lit(0))
+    exit_day = F.coalesce(F.least(*[day_number(F.col(c)) for c in leaves], last_day), last_day)
+    low = F.greatest(day_number(F.col(entry)), F.lit(0))
     at_risk = (
         df.where(F.col(entry).isNotNull() & known)
         .select(
@@ -152,11 +118,11 @@ def _match(
             low.alias("_low"),
             F.greatest(exit_day, F.lit(0)).alias("_high"),
         )
-        .select("_person", *strata, "_order", F.explode(_blocks("_low", "_high")).alias("_b"))
+        .select("_person", *strata, "_order", F.explode(blocks("_low", "_high")).alias("_b"))
         .select("_person", *strata, "_order", *keys)
     )
     # Only blocks around some case matter.
-    at_risk = spread_join(at_risk, around.select(*block).distinct(), block, "left_semi", **spread)
+    at_risk = at_risk.join(around.select(*block).distinct(), block, "left_semi")
     people, counts = _numbered(at_risk, block)
 
     # One element per block size.
@@ -176,7 +142,7 @@ def _match(
         )
     )
     draws = (
-        spread_join(cases, choices, [*strata, "match_date"], "inner", **spread)
+        cases.join(choices, [*strata, "match_date"], "inner")
         .select("*", F.posexplode(_draw(k, seed)).alias("_turn", "_pick"))
         .withColumn("_found", F.expr(_LOCATED))
         .select(
@@ -188,7 +154,7 @@ def _match(
             ],
         )
     )
-    controls = spread_join(draws, people, [*block, "_number"], "inner", **spread)
+    controls = draws.join(people, [*block, "_number"], "inner")
     shown = [c for c in strata if c != "_all"]
     columns = ["case_id", F.col("_person").alias("id"), *shown, "match_date", "rank"]
     as_rank0 = cases.select(
@@ -216,7 +182,6 @@ def incidence_match(
     entry: str = "entry",
     end: str = "end",
     case_date: str = "case_date",
-    **spread,
 ) -> DataFrame:
     """k controls per case from those at risk at the case date.
 
@@ -227,7 +192,7 @@ def incidence_match(
     match_date, rank)``: the case with rank 0, its controls from 1. Cases with
     fewer than k candidates get all of them. Equal seeds give equal results.
     """
-    return _match(df, case_date, [end, case_date], k, strata, seed, id, entry, **spread)
+    return _match(df, case_date, [end, case_date], k, strata, seed, id, entry)
 
 
 def exposure_match(
@@ -240,14 +205,13 @@ def exposure_match(
     end: str = "end",
     case_date: str = "case_date",
     exposure_date: str = "exposure_date",
-    **spread,
 ) -> DataFrame:
     """As ``incidence_match``, for exposed persons at their exposure date.
 
     A control is alive, event-free and not yet exposed on that date.
     """
     leaves = [end, case_date, exposure_date]
-    return _match(df, exposure_date, leaves, k, strata, seed, id, entry, **spread)
+    return _match(df, exposure_date, leaves, k, strata, seed, id, entry)
 
 
 def match_report(matched: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import LAST_DAY
 from ..functions.codes import (
     Conditions,
     condition_lists,
@@ -112,8 +113,9 @@ def _class_days(rx: DataFrame, id: str, atc: str, date: str, classes: Conditions
     return rx.where(wanted).select(id, date, hits.alias("drug_class"))
 
 
-# A depot is not followed further than this, and finished purchases per batch of the fold.
-MAX_DAYS = 36_525
+# A depot lasts to the end of the calendar at most.
+CALENDAR_DAYS = 3_652_059
+# Finished purchases per batch of the fold.
 BATCH = 128
 
 
@@ -156,7 +158,8 @@ def daily_purchases(
 ) -> DataFrame:
     """``(id, drug, date, amount, strength)``: one row per id, drug and day.
 
-    The amount is the day's total; the strength is its largest.
+    The amount is the day's total, exact to 6 decimals whatever the order of rows; the strength
+    is its largest.
     """
     lists = {name: list(drug.prefixes) for name, drug in drugs.items()}
     wanted = starts_with_any(F.col(atc), shortest_prefixes(p for ps in lists.values() for p in ps))
@@ -164,12 +167,12 @@ def daily_purchases(
     rows = rx.where(wanted & F.col(date).isNotNull()).select(
         id,
         F.col(date).alias("date"),
-        amount.alias("amount"),
+        F.round(amount, 6).cast("decimal(28,6)").alias("amount"),
         F.col(strength).cast("double").alias("strength"),
         F.explode(matched_conditions(F.col(atc), lists)).alias("drug"),
     )
     return rows.groupBy(id, "drug", "date").agg(
-        F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount"),
+        F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("amount"),
         F.max("strength").alias("strength"),
     )
 
@@ -194,7 +197,7 @@ def treatment_periods(
     largest strength. Otherwise the dose is the amount bought divided by the
     days it lasted over the last ``n_prev`` purchases of the run, within
     ``min_dose`` and ``max_dose``. A period ends when the depot is empty or at
-    the next purchase. Doses are rounded to 6 decimals; ``merge`` joins
+    the next purchase, on 9999-12-31 at the latest. Doses are rounded to 6 decimals; ``merge`` joins
     touching periods of equal dose.
     """
     daily = daily_purchases(rx, drugs, id, atc, date, packages, tablets, strength)
@@ -213,7 +216,8 @@ def treatment_periods(
         lambda p, i: F.struct(
             p["date"].alias("start"),
             F.least(
-                F.date_add(p["date"], p["days"]), F.get(F.col("_periods"), i + 1)["date"]
+                F.date_add(p["date"], p["days"]), F.get(F.col("_periods"), i + 1)["date"],
+                F.lit(LAST_DAY).cast("date"),
             ).alias("end"),
             F.round(p["dose"], 6).alias("dose"),
         ),
@@ -227,8 +231,8 @@ def treatment_periods(
 
 
 def _lasting(depot: str, dose: str) -> str:
-    """Whole days a depot lasts; a century at most, which keeps dates in range."""
-    return f"int(least(floor({depot} / {dose}), {MAX_DAYS}))"
+    """Whole days a depot lasts, as many as the calendar has at most."""
+    return f"int(least(floor({depot} / {dose}), {CALENDAR_DAYS}))"
 
 
 def _dosed() -> Column:

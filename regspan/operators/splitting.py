@@ -3,6 +3,8 @@
 Observations are half-open ``[start, end)`` rows. Splitting never moves,
 loses or repeats time: the pieces of an observation join up to it exactly, and
 its event indicator stays on the last piece. An empty observation is kept as one piece.
+A missing end is open, for observations and for periods: the last piece of an open observation
+has no end either.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .spread import spread_join
+from ..functions.blocks import DAY_BITS, LAST_DAY, blocks, blocks_of_day, day_number
 
 _PIECE = "_piece"
 # Years per block in which steps and observations meet.
@@ -23,7 +25,7 @@ BIN_YEARS = 5
 def _explode_cuts(base: DataFrame, cuts: Column, start: str, end: str) -> DataFrame:
     """One row per piece; ``cuts`` is an array of dates, in any order."""
     points = F.array_sort(F.array_distinct(F.array_compact(cuts)))
-    inside = F.filter(points, lambda c: (c > F.col(start)) & (c < F.col(end)))
+    inside = F.filter(points, lambda c: (c > F.col(start)) & F.coalesce(c < F.col(end), F.lit(True)))
     points = F.concat(F.array(F.col(start)), inside)
     df = base.withColumn("_points", points)
     piece = F.transform(
@@ -58,7 +60,6 @@ def lexis_two(
     start: str = "start",
     end: str = "end",
     event: str | None = None,
-    **spread,
 ) -> DataFrame:
     """Split at the date each condition appears; a 0/1 column per condition.
 
@@ -67,7 +68,7 @@ def lexis_two(
     0. ``dates`` may repeat an id; the earliest date counts.
     """
     first = dates.groupBy(id).agg(*[F.min(c).alias(f"_{c}") for c in conditions])
-    joined = spread_join(base, first, id, "left", **spread)
+    joined = base.join(first, id, "left")
     cuts = F.array(*[F.col(f"_{c}") for c in conditions])
     pieces = _explode_cuts(joined, cuts, start, end)
     flags = [
@@ -105,50 +106,52 @@ def lexis_seq(
     return pieces.select(*_piece_columns(base, start, end, event), band.alias(label))
 
 
+def _open_end(end: str) -> Column:
+    return F.coalesce(F.col(end), F.lit(LAST_DAY).cast("date"))
+
+
 def value_steps(periods: DataFrame, id: str, start: str, end: str, value: str) -> DataFrame:
     """The steps ``(id, at, value)`` of a value given by periods.
 
     Where periods overlap, the one that started last decides, then the larger
     value; uncovered time has a null value. There is a step at every start and
-    end. Periods are clipped to calendar years and reduced to one row per
-    clipped interval before they meet, so a group holds at most one row per
-    pair of days of a year, and a person has at most one step per day.
+    at every end. A period without an end is open.
     """
-    year = F.col("_year")
-    jan1, next_jan1 = (F.make_date(y, F.lit(1), F.lit(1)) for y in (year, year + 1))
-    years = F.sequence(F.year("_s"), F.year(F.date_sub(F.col("_e"), 1)))
-    clipped = (
-        periods.where(F.col(id).isNotNull() & (F.col(start) < F.col(end)))
-        .select(id, F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(value).alias("_v"))
-        .withColumn("_year", F.explode(years))
-        .withColumn("_from", F.greatest(F.col("_s"), jan1))
-        .withColumn("_to", F.least(F.col("_e"), next_jan1))
-        .groupBy(id, "_year", "_from", "_to")
-        .agg(
-            F.max(F.struct(F.col("_s").alias("since"), F.col("_v").alias("value"))).alias("top"),
-            F.max(F.col("_s") == F.col("_from")).alias("opens"),
-            F.max(F.col("_e") == F.col("_to")).alias("closes"),
-        )
+    spans = periods.where(F.col(id).isNotNull()).select(
+        id, F.col(start).alias("_s"), _open_end(end).alias("_e"), F.col(end).alias("_step"),
+        F.struct(F.col(start).alias("since"), F.col(value).alias("value")).alias("_top"),
+        F.lit(DAY_BITS).alias("_bits"),
     )
-    interval = F.struct(F.col("_from").alias("s"), F.col("_to").alias("e"), "top", "opens", "closes")
-    yearly = clipped.groupBy(id, "_year").agg(F.collect_list(interval).alias("_p"))
-    days = F.expr("array_sort(array_distinct(concat(transform(_p, p -> p.s), transform(_p, p -> p.e))))")
-    steps = F.expr(
-        """transform(_days, d -> struct(
-             d AS at,
-             array_max(transform(filter(_p, p -> p.s <= d AND p.e > d), p -> p.top)) AS top,
-             exists(_p, p -> (p.s = d AND p.opens) OR (p.e = d AND p.closes)) AS real))"""
+    return _steps(spans, id)
+
+
+def _steps(spans: DataFrame, id: str) -> DataFrame:
+    """Steps of the spans ``[_s, _e)``, with a step at ``_s`` and at ``_step`` unless that is null.
+
+    A span is the union of a few aligned blocks of days and each day lies in one block of
+    each size, so the top span of a day is the greatest of at most ``_bits`` + 1 blocks found by an equi
+    join. Nothing is paired and no group grows with a person's rows.
+    """
+    spans = (
+        spans.where(F.col("_s") < F.col("_e"))
+        .groupBy(id, "_s", "_e", "_step", "_bits")
+        .agg(F.max("_top").alias("_top"))
+        .withColumns({"_low": day_number(F.col("_s")), "_high": day_number(F.col("_e"))})
     )
-    # A year's last step and the next year's first may share 1 January; a step
-    # there that is only the clipping is dropped.
-    return (
-        yearly.withColumn("_days", days)
-        .select(id, F.explode(steps).alias("_step"))
-        .groupBy(id, F.col("_step.at").alias("at"))
-        .agg(F.max("_step.top").alias("top"), F.max("_step.real").alias("real"))
-        .where("real")
-        .select(id, "at", F.col("top.value").alias("value"))
+    covers = (
+        spans.select(id, "_top", F.explode(blocks("_low", "_high")).alias("_b"))
+        .select(id, "_top", F.col("_b.bits").alias("_level"), F.col("_b.block").alias("_block"))
+        .groupBy(id, "_level", "_block")
+        .agg(F.max("_top").alias("_top"))
     )
+    days = spans.select(id, "_bits", F.explode(F.array_compact(F.array("_s", "_step"))).alias("at"))
+    days = days.groupBy(id, "at").agg(F.max("_bits").alias("_bits"))
+    asked = days.withColumn("_day", day_number(F.col("at"))).select(
+        id, "at", F.explode(F.slice(blocks_of_day("_day"), F.lit(1), F.col("_bits") + 1)).alias("_b")
+    )
+    asked = asked.select(id, "at", F.col("_b.bits").alias("_level"), F.col("_b.block").alias("_block"))
+    found = asked.join(covers, [id, "_level", "_block"], "left")
+    return found.groupBy(id, "at").agg(F.max("_top")["value"].alias("value"))
 
 
 def _bin(date: str) -> Column:
@@ -167,22 +170,36 @@ def lexis_from_to(
     value: str = "value",
     name: str | None = None,
     default=None,
-    **spread,
 ) -> DataFrame:
     """Split at every period start and end inside the observation.
 
     The new column holds the covering period's value, else ``default``;
-    overlaps follow ``value_steps``.
+    overlaps follow ``value_steps``. A missing end is open, of observations and periods alike;
+    an end of 9999-12-31 of a period is the same.
 
-    Each person's steps and observation starts form one timeline that knows,
+    Periods are first cut to the time from a person's first observation start to the last end.
+    Each person's steps and observation starts then form one timeline that knows,
     for each day on it, the value and the next step. Timeline and observations
-    meet per person and block of years, so an observation is compared with
-    the days of its own years only.
+    meet per person and block of years that holds a point of the timeline, so an observation is
+    compared with the days of its own years only, and an open one makes no empty blocks.
     """
     name = name or value
-    steps = value_steps(periods, id, period_start, period_end, value)
-    known = F.struct("value").alias("step")
     starts = base.where(F.col(id).isNotNull() & F.col(start).isNotNull())
+    seen = starts.groupBy(id).agg(F.min(start).alias("_first"), F.max(_open_end(end)).alias("_final"))
+    cut = periods.where(F.col(id).isNotNull()).join(seen, id)
+    last = F.least(_open_end(period_end), F.col("_final"))
+    width = day_number(F.col("_final")) - day_number(F.col("_first")) + 1
+    spans = cut.select(
+        id,
+        F.greatest(F.when(F.col(period_start).isNotNull(), F.col("_first")), F.col(period_start)).alias("_s"),
+        last.alias("_e"),
+        F.when(last < F.col("_final"), last).alias("_step"),
+        F.struct(F.col(period_start).alias("since"), F.col(value).alias("value")).alias("_top"),
+        # No block larger than the person's time can be part of a span.
+        F.length(F.bin(F.greatest(width, F.lit(1)))).alias("_bits"),
+    )
+    steps = _steps(spans, id)
+    known = F.struct("value").alias("step")
     points = (
         steps.select(id, "at", known)
         .unionByName(starts.select(id, F.col(start).alias("at")), allowMissingColumns=True)
@@ -203,14 +220,16 @@ def lexis_from_to(
     binned = timeline.groupBy(id, _bin("at").alias("_bin")).agg(
         F.collect_list(F.struct("at", "is_step", "value", "next")).alias("_points")
     )
-    last_day = F.greatest(F.date_sub(F.col(end), 1), F.col(start))
-    spans = base.withColumn("_last", F.coalesce(last_day, F.col(start)))
-    spans = spans.withColumn("_bin", F.explode_outer(F.sequence(_bin(start), _bin("_last"))))
-    # The first block of years always holds the observation's own start.
-    joined = spread_join(spans, binned, [id, "_bin"], "left", **spread)
+    # At most one number per block of years.
+    bins = binned.groupBy(id).agg(F.collect_set("_bin").alias("_bins"))
+    last_day = F.greatest(F.date_sub(_open_end(end), 1), F.col(start))
+    mine = F.filter("_bins", lambda b: (b >= _bin(start)) & (b <= F.floor(F.year(last_day) / BIN_YEARS)))
+    spans_of = base.join(bins, id, "left").withColumn("_bin", F.explode_outer(mine)).drop("_bins")
+    joined = spans_of.join(binned, [id, "_bin"], "left")
     pieces = F.expr(
         f"""CASE WHEN _points IS NOT NULL THEN transform(
-              filter(_points, p -> p.at = `{start}` OR (p.is_step AND p.at > `{start}` AND p.at < `{end}`)),
+              filter(_points, p -> p.at = `{start}`
+                OR (p.is_step AND p.at > `{start}` AND coalesce(p.at < `{end}`, true))),
               p -> struct(p.at AS start, least(p.next, `{end}`) AS end, p.value AS value))
             WHEN `{id}` IS NULL OR `{start}` IS NULL THEN
               array(struct(`{start}` AS start, `{end}` AS end, null AS value))

@@ -2,59 +2,30 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is heavy above this many rows, or above its share of a table's rows if that is more.
+# Rows of a key per part, and the most keys whose list is broadcast.
 HEAVY_ROWS = 2_000_000
-HEAVY_SHARE = 10_000
-# Stored bytes taken for one row when rows are estimated from file sizes.
-ROW_BYTES = 32
-# At most this many keys are split, so the broadcast list of them is bounded.
-MAX_HEAVY_KEYS = 10_000
+HEAVY_KEYS = 100_000
 # Keys are first counted in this many groups, which bounds what that count shuffles.
 KEY_GROUPS = 65_536
-# Tables made from fewer bytes than this have no key heavy enough to matter.
-SMALL_BYTES = 256 * 1024 * 1024
 
 _SALT = "_spread"
 _PARTS = "_parts"
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Total size of the files and tables a DataFrame is made from.
-
-    Read from the analysed plan, so nothing runs. An input of unknown size
-    counts as huge.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-
-
-def broadcast_limit(df: DataFrame) -> int:
-    """Spark's own size limit for broadcasting, in bytes; negative is never."""
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").lower()
-    number, unit = re.fullmatch(r"(-?\d+)([kmgt]?)b?", text).groups()
-    return int(number) * 1024 ** " kmgt".index(unit or " ")
-
-
-def heavy_limit(df: DataFrame) -> int:
-    """Rows from which a key of a table of this size is worth splitting."""
-    return max(HEAVY_ROWS, input_bytes(df) // ROW_BYTES // HEAVY_SHARE)
-
-
-def heavy_keys(rows: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def heavy_keys(rows: DataFrame, on: str | Sequence[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Keys with more than ``heavy_rows`` rows and the number of parts for each.
 
     Rows are counted by a hash group of the key, then only the keys of the full
     groups are counted one by one, so that millions of light keys are not
-    shuffled. Counts are exact: both join sides see the same list whenever it
-    is evaluated. At most ``MAX_HEAVY_KEYS`` rows, the heaviest ones.
+    shuffled. Counts are exact.
     """
+    on = [on] if isinstance(on, str) else list(on)
     grouped = rows.select(*on, F.pmod(F.xxhash64(*on), F.lit(KEY_GROUPS)).alias("_group"))
     full = grouped.groupBy("_group").count().where(F.col("count") > heavy_rows).select("_group")
     return (
@@ -62,8 +33,6 @@ def heavy_keys(rows: DataFrame, on: Sequence[str], heavy_rows: int = HEAVY_ROWS)
         .groupBy(*on)
         .count()
         .where(F.col("count") > heavy_rows)
-        .orderBy(F.col("count").desc(), *on)
-        .limit(MAX_HEAVY_KEYS)
         .select(*on, F.ceil(F.col("count") / heavy_rows).cast("int").alias(_PARTS))
     )
 
@@ -82,35 +51,30 @@ def spread_join(
     on: str | Sequence[str],
     how: str = "inner",
     *,
-    spread: bool | None = None,
-    heavy_rows: int | None = None,
-    counts: DataFrame | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``side`` (few rows per key), splitting heavy keys of ``rows``.
-
-    ``how`` is inner, left or left_semi. Rows of a heavy key go to one of
-    several parts by their input partition (stable when a task is run again)
-    and the side's rows of that key are repeated once per part. All other keys
-    join as usual. With ``spread=None`` this is skipped where the size of the
-    inputs shows that it cannot pay: ``rows`` is small, or ``side`` is under
-    Spark's own broadcast limit. Keys are counted in ``counts`` if given, say
-    the base table of costly ``rows``; the list of heavy keys only decides
-    where rows go, never which rows there are.
+    """Join ``rows`` to ``side`` (few rows per key).
+
+    ``how`` is inner, left or left_semi. This is Spark's own join: filters reach the scans, each
+    input is read once, and adaptive execution splits a skewed partition, whatever the size of
+    the tables. Only where a measured case needs more, pass ``heavy``: the heavy keys of ``rows``
+    and their numbers of parts, counted once with ``heavy_keys`` and kept. Rows of those keys are then
+    dealt to their parts by a hash of their other columns, which a rerun of a task repeats,
+    and the side's rows of those keys are repeated once per part. More than ``HEAVY_KEYS`` keys
+    are an error: count them with a higher limit.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join type {how!r}")
-    if spread is None:
-        spread = input_bytes(rows) > SMALL_BYTES and input_bytes(side) > broadcast_limit(rows)
-    if not spread:
+    if heavy is None:
         return rows.join(side, on, how)
 
-    counted = rows if counts is None else counts
-    heavy = heavy_keys(counted, on, heavy_rows or heavy_limit(counted))
-    salted = rows.withColumn("_at", F.spark_partition_id())
-    salted = _with_parts(salted, heavy, on)
-    part = F.coalesce(F.pmod(F.col("_at"), F.col(_PARTS)), F.lit(0))
-    salted = salted.withColumn(_SALT, part).drop(_PARTS, "_at")
+    n = heavy.count()
+    if n > HEAVY_KEYS:
+        raise ValueError(f"{n} heavy keys are too many to broadcast, raise the limit of rows")
+    others = [c for c in rows.columns if c not in on] or on
+    part = F.pmod(F.xxhash64(*others), F.coalesce(F.col(_PARTS), F.lit(1)))
+    salted = _with_parts(rows, heavy, on).withColumn(_SALT, part.cast("int")).drop(_PARTS)
     copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1))
     repeated = _with_parts(side, heavy, on).withColumn(_SALT, copies).drop(_PARTS)
     return salted.join(repeated, [*on, _SALT], how).drop(_SALT)

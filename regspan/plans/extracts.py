@@ -8,11 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import Conditions, condition_lists, starts_with_any
-from ..functions.dates import clock_time, seconds_between
+from ..functions.dates import seconds_between
 from ..operators.benefits import import_dream
 from ..operators.cohort import cohort_extract, restrict
 from ..operators.conditions import find_condition
-from ..operators.spread import spread_join
 from ..sources.files import locate
 from ..sources.registers import append, read_periods, read_register, select_prefix
 
@@ -47,15 +46,14 @@ def hospital_conditions(
         .select("pnr", "diag", "inddto"),
         population,
     )
-    start = clock_time(F.col("dato_start"), F.col("tidspunkt_start"))
-    end = clock_time(F.col("dato_slut"), F.col("tidspunkt_slut"))
-    stays = contacts.where(
-        (F.col("kontakttype") == contact_type) & (seconds_between(start, end) > longer_than)
-    ).select("dw_ek_kontakt", F.col("cpr").alias("pnr"), F.col("dato_start").alias("inddto"))
+    lasted = seconds_between(
+        F.col("dato_start"), F.col("tidspunkt_start"), F.col("dato_slut"), F.col("tidspunkt_slut")
+    )
+    stays = contacts.where((F.col("kontakttype") == contact_type) & (lasted > longer_than)).select("dw_ek_kontakt", F.col("cpr").alias("pnr"), F.col("dato_start").alias("inddto"))
     wanted = diagnoses.where(_any_prefix("diagnosekode", conditions)).select(
         "dw_ek_kontakt", F.col("diagnosekode").alias("diag")
     )
-    newer = spread_join(wanted, restrict(stays, population), "dw_ek_kontakt")
+    newer = wanted.join(restrict(stays, population), "dw_ek_kontakt")
     keep = ["pnr", "inddto"]
     return append(find_condition(df, "diag", keep, conditions) for df in (older, newer))
 
@@ -91,12 +89,10 @@ def education_level(
 ) -> DataFrame:
     """Education records of the population with the levels of a code table.
 
-    A code the table does not know keeps its row with null levels. The table is
-    joined by ``spread_join``: broadcast by Spark while it is small, and common
-    codes split where it is not.
+    A code the table does not know keeps its row with null levels.
     """
     rows = restrict(register, population)
-    return rows if lookup is None else spread_join(rows, lookup, code, "left")
+    return rows if lookup is None else rows.join(lookup, code, "left")
 
 
 # Directory-name patterns of the yearly registers.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,27 +13,33 @@ from .files import list_names
 _RANGED = ("int", "bigint", "smallint", "tinyint", "double", "float", "date", "string")
 
 
-def dataset_contents(df: DataFrame, dataset: str = "") -> DataFrame:
-    """One row per column: type, rows, non-null and distinct values, least, greatest.
+MEASURES = ("rows", "non_null", "distinct", "least", "greatest")
 
-    One aggregate over the table; distinct counts are approximate.
+
+def dataset_contents(df: DataFrame, dataset: str = "", measures: Sequence[str] = MEASURES) -> DataFrame:
+    """One row per column: type and the ``measures`` asked for, no others are computed.
+
+    They are the rows, non-null and distinct values, and the least and greatest value as text. One aggregate over
+    the table; distinct counts are approximate. Least and greatest are null where a type has no order
+    worth showing.
     """
+    unknown = set(measures) - set(MEASURES)
+    if unknown:
+        raise ValueError(f"unknown measures: {sorted(unknown)}")
     per_column = []
     for field in df.schema.fields:
         c, kind = F.col(f"`{field.name}`"), field.dataType.simpleString()
         ranged = kind.startswith(("decimal", "timestamp")) or kind in _RANGED
         flat = ranged or kind in ("boolean", "binary")
-        per_column.append(
-            F.struct(
-                F.lit(field.name).alias("column"),
-                F.lit(kind).alias("type"),
-                F.count(F.lit(1)).alias("rows"),
-                F.count(c).alias("non_null"),
-                (F.approx_count_distinct(c) if flat else F.lit(None).cast("long")).alias("distinct"),
-                (F.min(c).cast("string") if ranged else F.lit(None).cast("string")).alias("least"),
-                (F.max(c).cast("string") if ranged else F.lit(None).cast("string")).alias("greatest"),
-            )
-        )
+        found = {
+            "rows": F.count(F.lit(1)),
+            "non_null": F.count(c),
+            "distinct": F.approx_count_distinct(c) if flat else F.lit(None).cast("long"),
+            "least": F.min(c).cast("string") if ranged else F.lit(None).cast("string"),
+            "greatest": F.max(c).cast("string") if ranged else F.lit(None).cast("string"),
+        }
+        names = F.lit(field.name).alias("column"), F.lit(kind).alias("type")
+        per_column.append(F.struct(*names, *[found[m].alias(m) for m in measures]))
     one_row = df.agg(F.array(*per_column).alias("_columns"))
     return one_row.select(F.lit(dataset).alias("dataset"), F.explode("_columns").alias("_c")).select(
         "dataset", "_c.*"

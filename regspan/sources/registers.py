@@ -6,8 +6,11 @@ from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .files import list_periods
 
@@ -41,11 +44,12 @@ def read_periods(
     """One table from a register kept as one directory per period.
 
     Directories whose name matches ``pattern`` are chosen before anything is
-    read. Those with the same columns are read together; a column missing from
-    some years is null there. A column whose type differs between years must be
-    given a type in ``types`` (cast strictly, so a bad value is an error rather
-    than a silent null under Spark's ANSI mode). ``period`` adds the year in
-    the directory name as an integer column.
+    read. The schemas of all their files are merged by one Spark job and the files read
+    by one scan; a column missing from some files is null there. Only where types
+    differ are schemas looked at directory by directory. A column whose type differs between years must
+    be given a type in ``types`` (cast strictly, so a bad value is an error rather
+    than a silent null under Spark's ANSI mode); types that differ within one directory are an error.
+    ``period`` adds the year in the directory name as an integer column.
     """
     chosen = list_periods(spark, folder, pattern)
     if not chosen:
@@ -56,10 +60,9 @@ def read_periods(
     # Period directories of equal schema are one scan.
     groups: dict[tuple, list[str]] = defaultdict(list)
     schemas = {}
-    for path in chosen.values():
-        schema = spark.read.parquet(path).schema
+    for paths, schema in _schemas(spark, list(chosen.values())):
         fields = tuple((f.name, f.dataType.simpleString()) for f in schema)
-        groups[fields].append(path)
+        groups[fields].extend(paths)
         schemas[fields] = schema
     seen: dict[str, set[str]] = defaultdict(set)
     for columns_of_group in groups:
@@ -89,10 +92,36 @@ def read_periods(
     return table.select(*order, *([period] if period else []))
 
 
+def _merged_schema(spark: SparkSession, paths: Sequence[str]) -> StructType | None:
+    """The schema of all files together, found by one job; None if types differ."""
+    try:
+        return spark.read.option("mergeSchema", True).parquet(*paths).schema
+    except (PySparkException, Py4JJavaError) as err:
+        if "CANNOT_MERGE" in str(err):
+            return None
+        raise
+
+
+def _schemas(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], StructType]]:
+    """All paths with one schema if it merges, else each path with its own."""
+    together = _merged_schema(spark, paths)
+    if together is not None:
+        return [(paths, together)]
+    out = []
+    for path in paths:
+        schema = _merged_schema(spark, [path])
+        if schema is None:
+            raise TypeError(f"types differ between the files of {path}")
+        out.append(([path], schema))
+    return out
+
+
 def period_from_path(year_pattern: str = r"^\D*(\d{4})") -> Column:
     """The year in the name of the directory a row was read from."""
     directory = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return F.regexp_extract(directory, year_pattern, 1).cast("int")
+    # The path is percent-encoded, where a plus sign stands for itself.
+    name = F.url_decode(F.replace(directory, F.lit("+"), F.lit("%2B")))
+    return F.regexp_extract(name, year_pattern, 1).cast("int")
 
 
 def select_prefix(df: DataFrame, keep: Sequence[str], prefix: str) -> DataFrame:

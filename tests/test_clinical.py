@@ -129,6 +129,12 @@ def test_charlson(spark):
     assert rows(recent, "pnr", "charlson_index") == [("P", 1), ("Q", 3), ("R", 0), ("S", 0)]
     severe, _ = charlson(*args, severe_over_mild=[("dm_severe", "dm")])
     assert rows(severe, "pnr", "charlson_index") == [("P", 2), ("Q", 2), ("R", 0), ("S", 0)]
+    # Several severe components over one mild: any of them replaces it.
+    several = [("dm_severe", "mi"), ("dm", "mi")]
+    both, _ = charlson(df, "pnr", "code", "day", "ix", codes, {"mi": 1, "dm": 3, "dm_severe": 4}, severe_over_mild=several)
+    assert rows(both, "pnr", "charlson_index") == [("P", 3), ("Q", 7), ("R", 0), ("S", 0)]
+    with pytest.raises(ValueError):
+        charlson(*args, severe_over_mild=[("dm_severe", "nosuch")])
     with pytest.raises(ValueError):
         charlson(df, "pnr", "code", "day", "ix", codes, {"mi": 1})
     found = spark.createDataFrame([("P", "mi"), ("P", "mi"), ("P", "dm"), ("Q", "x")], "pnr string, condition string")
@@ -226,3 +232,24 @@ def test_impossible_limits():
         Drug(["X"], min_dose=0.0)
     with pytest.raises(ValueError):
         Drug(["X"], min_dose=2.0, max_dose=1.0)
+
+
+def test_a_depot_lasts_as_long_as_it_lasts(spark):
+    rx = spark.createDataFrame([("P", "Y1", d("2000-01-01"), 1, 50_000, 1.0), ("Q", "Y1", d("2000-01-01"), 10_000, 100_000, 1.0)], RX)
+    drugs = {"y": Drug(["Y1"], {1.0: 1.0}, min_dose=0.001, max_dose=1e6, max_depot=1e12)}
+    found = {r["pnr"]: r["end"] for r in treatment_periods(rx, drugs).collect()}
+    assert found == {"P": d("2000-01-01") + dt.timedelta(days=50_000), "Q": d("9999-12-31")}
+
+
+def test_day_amounts_do_not_depend_on_the_order_of_rows(spark):
+    day = [("P", "Y1", d("2000-01-01"), 1, n, s) for n, s in [(3, 0.1), (7, 0.1), (1, 2.5), (2, 0.3), (9, 0.1)] * 20]
+    from regspan.operators.prescriptions import daily_purchases
+
+    found = set()
+    for seed in range(5):
+        random.seed(seed)
+        random.shuffle(day)
+        df = spark.createDataFrame(day, RX).repartition(1 + seed)
+        (row,) = daily_purchases(df, DRUGS, "pnr", "atc", "eksd", "apk", "packsize", "strnum").collect()
+        found.add(row["amount"])
+    assert found == {100.0}

@@ -48,13 +48,19 @@ def test_long_mapping_uses_the_table(coded, monkeypatch):
     assert rows(find_condition(coded, "code", ["i"], LISTS)) == brute("start")
 
 
-def test_heavy_code_in_table_mode(spark, coded, monkeypatch):
-    from regspan.operators import spread
+def test_contains_with_a_table(spark, coded):
+    pairs = [(name, p) for name, ps in LISTS.items() for p in ([ps] if isinstance(ps, str) else ps)]
+    table = spark.createDataFrame([*pairs, ("empty", "")], "condition string, prefix string")
+    found = find_condition(coded, "code", ["i"], table, match="contains")
+    assert rows(found) == brute("contains") and "NestedLoop" not in plan(found)
 
-    monkeypatch.setattr(spread, "SMALL_BYTES", -1)
-    monkeypatch.setattr(spread, "broadcast_limit", lambda df: -1)
+
+def test_codes_bound_short_and_long_lists_alike(spark, coded, monkeypatch):
+    some = coded.select("code").where("code IS NOT NULL").distinct().limit(3)
+    some = spark.createDataFrame(some.collect(), some.schema)
+    short = rows(find_condition(coded, "code", ["i"], LISTS, codes=some))
     monkeypatch.setattr(module, "LITERAL_PREFIXES", 2)
-    assert rows(find_condition(coded, "code", ["i"], LISTS)) == brute("start")
+    assert short == rows(find_condition(coded, "code", ["i"], LISTS, codes=some))
 
 
 def test_prefixes_reach_the_scan(spark, tmp_path, coded):

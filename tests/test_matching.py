@@ -8,14 +8,8 @@ import pytest
 from helpers import d, rows
 from pyspark.sql import functions as F
 
-from regspan.operators.matching import (
-    DAY_BITS,
-    _blocks,
-    _blocks_of_day,
-    exposure_match,
-    incidence_match,
-    match_report,
-)
+from regspan.functions.blocks import DAY_BITS, blocks, blocks_of_day
+from regspan.operators.matching import exposure_match, incidence_match, match_report
 
 SCHEMA = "id string, sex string, entry date, `end` date, case_date date, exposure_date date"
 
@@ -82,11 +76,13 @@ def test_seed_decides(spark, people):
     assert one == again != other
 
 
-def test_spread_gives_the_same(spark, people):
-    df = spark.createDataFrame(people, SCHEMA)
-    plain = rows(incidence_match(df, 3, ["sex"], seed=1), "case_id", "rank", "id")
-    spread = incidence_match(df, 3, ["sex"], seed=1, spread=True, heavy_rows=2)
-    assert rows(spread, "case_id", "rank", "id") == plain
+@pytest.mark.parametrize("far", ["2200-01-01", "1795-01-01", "9999-12-30", "0001-01-02"])
+def test_any_day_of_the_calendar(spark, far):
+    """No case is left out because its day is far from today."""
+    t = d(far)
+    people = [("K", "m", t, None, t, None), ("A", "m", t, None, None, None), ("B", "m", d("2000-01-01"), d("2001-01-01"), None, None)]
+    found = rows(incidence_match(spark.createDataFrame(people, SCHEMA), 2, ["sex"], seed=1), "case_id", "id", "rank")
+    assert found == [("K", "A", 1), ("K", "K", 0)]
 
 
 def test_no_strata(spark, people):
@@ -113,7 +109,7 @@ def test_blocks_cover_each_day_once(spark):
     spans += [tuple(sorted(random.sample(range(top), 2))) for _ in range(30)]
     spans += [(s := random.randrange(top - 50), s + random.randrange(50)) for _ in range(30)]
     df = spark.createDataFrame(spans, "low int, high int")
-    for r in df.select("*", _blocks("low", "high").alias("b")).collect():
+    for r in df.select("*", blocks("low", "high").alias("b")).collect():
         covered = sorted((b["block"] << b["bits"], (b["block"] + 1) << b["bits"]) for b in r["b"])
         assert all(x[1] == y[0] for x, y in zip(covered, covered[1:]))
         assert len(covered) <= 2 * DAY_BITS
@@ -121,7 +117,7 @@ def test_blocks_cover_each_day_once(spark):
             assert (covered[0][0], covered[-1][1]) == (r["low"], r["high"])
         else:
             assert covered == []
-    (row,) = spark.range(1).select(_blocks_of_day("77").alias("b")).collect()
+    (row,) = spark.range(1).select(blocks_of_day("77").alias("b")).collect()
     assert all(b["block"] == 77 >> b["bits"] for b in row["b"]) and len(row["b"]) == DAY_BITS + 1
 
 

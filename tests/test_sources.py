@@ -195,3 +195,53 @@ def test_study_from_tree(spark, tree):
     assert rows(extracts.read_dream(spark, tree, population)) == [("P1", "111", d("2007-12-31"), d("2008-01-14"))]
     lookup = spark.createDataFrame([("10", 2)], "hfaudd string, level5 int")
     assert rows(extracts.read_education(spark, tree, population, lookup), "pnr", "year", "level5") == [("P1", 2014, 2)]
+
+
+def test_year_from_an_encoded_name(spark, tmp_path):
+    for name in ("bef 1985", "bef 2019+x", "bef é 2001"):
+        write(spark, tmp_path / name, [(name,)], "pnr string")
+    df = read_periods(spark, str(tmp_path), "bef", period="year")
+    found = {r["pnr"]: r["year"] for r in df.collect()}
+    assert found == {"bef 1985": 1985, "bef 2019+x": 2019, "bef é 2001": 2001}
+
+
+def test_drift_between_the_files_of_a_directory(spark, tmp_path):
+    write(spark, tmp_path / "a", [("P1",)], "pnr string")
+    write(spark, tmp_path / "b", [("P2", 1)], "pnr string, v int")
+    write(spark, tmp_path / "c", [("P3", "x")], "pnr string, v string")
+    folder = tmp_path / "reg" / "udda2014"
+    folder.mkdir(parents=True)
+
+    def move(name):
+        for i, part in enumerate((tmp_path / name).glob("part-*.parquet")):
+            part.rename(folder / f"{name}{i}.parquet")
+
+    for name in "ab":
+        move(name)
+    df = read_periods(spark, str(tmp_path / "reg"), "udda")
+    assert rows(df, "pnr", "v") == [("P1", None), ("P2", 1)]
+    move("c")
+    with pytest.raises(TypeError, match="udda2014"):
+        read_periods(spark, str(tmp_path / "reg"), "udda")
+
+
+def test_contents_compute_only_what_is_asked(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "s string, n int")
+    found = dataset_contents(df, "t", ["rows", "non_null"])
+    assert found.columns == ["dataset", "column", "type", "rows", "non_null"]
+    assert rows(found, "column", "rows", "non_null") == [("n", 2, 2), ("s", 2, 1)]
+    text = plan(found)
+    assert "approx_count_distinct" not in text and "min(" not in text
+    with pytest.raises(ValueError):
+        dataset_contents(df, measures=["median"])
+
+
+def test_release_deletes_what_was_kept(spark):
+    from regspan.session import own_folder, release
+    from regspan.sources.sinks import keep
+
+    kept = keep(spark.range(3), "numbers")
+    assert kept.count() == 3 and list_names(spark, own_folder(spark))
+    release(spark)
+    with pytest.raises(Exception):
+        list_names(spark, own_folder(spark))

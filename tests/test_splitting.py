@@ -27,12 +27,11 @@ def test_admission_cases(spark):
         [(p, day(s), None if e is None else day(e), i) for i, (p, s, e) in enumerate(data)],
         "pnr string, start date, end date, i int",
     )
-    for options in ({}, {"spread": True, "heavy_rows": 1}):
-        out = rows(adm_limits(df, "pnr", "start", "end", **options), "i", "first_start", "last_end")
-        assert out == [
-            (0, day(0), day(12)), (1, day(0), day(12)), (2, day(0), day(12)), (3, day(13), day(15)),
-            (4, day(0), day(12)), (5, day(0), day(1)), (6, day(5), day(7)), (7, day(5), day(7)),
-        ]
+    out = rows(adm_limits(df, "pnr", "start", "end"), "i", "first_start", "last_end")
+    assert out == [
+        (0, day(0), day(12)), (1, day(0), day(12)), (2, day(0), day(12)), (3, day(13), day(15)),
+        (4, day(0), day(12)), (5, day(0), day(1)), (6, day(5), day(7)), (7, day(5), day(7)),
+    ]
 
 
 def test_chains_against_loop(spark):
@@ -77,8 +76,6 @@ def check_partition(base, pieces):
 def test_two(spark, base):
     dates = base.select("pnr", F.date_add("start", 100).alias("a"), F.date_add("start", 5).alias("b"))
     pieces = pieces_of(lexis_two(base, dates, ["a", "b"], event="event"), "a", "b")
-    spread = lexis_two(base, dates, ["a", "b"], event="event", spread=True, heavy_rows=1)
-    assert pieces == pieces_of(spread, "a", "b")
     check_partition(base, pieces)
     first = {r["pnr"]: (r["a"], r["b"]) for r in dates.groupBy("pnr").agg(F.min("a").alias("a"), F.min("b").alias("b")).collect()}
     for r in base.collect():
@@ -120,9 +117,8 @@ def periods(spark):
     return spark.createDataFrame(data, "pnr string, `from` date, `to` date, value int")
 
 
-@pytest.mark.parametrize("options", [{}, {"spread": True, "heavy_rows": 1}])
-def test_from_to_against_days(base, periods, options):
-    out = lexis_from_to(base, periods, event="event", name="dose", default=-1, **options)
+def test_from_to_against_days(base, periods):
+    out = lexis_from_to(base, periods, event="event", name="dose", default=-1)
     pieces = pieces_of(out, "dose")
     check_partition(base, pieces)
     known = [tuple(r) for r in periods.collect()]
@@ -151,8 +147,8 @@ def test_from_to_edges(spark):
     assert rows(lexis_from_to(obs, periods, event="event"), "pnr", "start", "end", "event", "value") == [
         (None, day(0), day(5), 1, None),
         ("P", None, day(5), 1, None),
-        ("P", day(0), day(3900), 0, None), ("P", day(10), day(10), 1, None),
-        ("P", day(3900), day(3950), 0, 7), ("P", day(3950), day(4000), 1, None),
+        ("P", day(0), day(5), 0, None), ("P", day(5), day(3900), 0, 8), ("P", day(10), day(10), 1, 8),
+        ("P", day(3900), day(3950), 0, 7), ("P", day(3950), day(4000), 1, 8),
         ("Q", day(0), day(3000), 0, None),
     ]
 
@@ -171,3 +167,64 @@ def test_calendar_and_age(spark, base):
         lexis_seq(base, [40], "age")
     with pytest.raises(ValueError):
         lexis_seq(base, cuts, "weekday")
+
+
+FAR = d("9999-12-31")
+
+
+def test_open_observation_keeps_its_time_and_event(spark):
+    obs = spark.createDataFrame([("P", 1, d("2000-01-01"), None, 1)], "pnr string, obs int, start date, end date, event int")
+    periods = spark.createDataFrame(
+        [("P", d("2000-03-01"), None, 7), ("P", d("2000-02-01"), d("2000-04-01"), 5), ("P", d("1990-01-01"), FAR, 3)],
+        "pnr string, `from` date, `to` date, value int",
+    )
+    want = [
+        (d("2000-01-01"), d("2000-02-01"), 0, 3), (d("2000-02-01"), d("2000-03-01"), 0, 5),
+        (d("2000-03-01"), d("2000-04-01"), 0, 7), (d("2000-04-01"), None, 1, 7),
+    ]
+    assert rows(lexis_from_to(obs, periods, event="event"), "start", "end", "event", "value") == want
+    dates = spark.createDataFrame([("P", d("2010-05-05"))], "pnr string, c date")
+    assert rows(lexis_two(obs, dates, ["c"], event="event"), "start", "end", "event", "c") == [
+        (d("2000-01-01"), d("2010-05-05"), 0, 0), (d("2010-05-05"), None, 1, 1),
+    ]
+    cut = lexis_seq(obs, [d("2001-01-01"), d("1999-01-01")], event="event")
+    assert rows(cut, "start", "end", "event", "band") == [
+        (d("2000-01-01"), d("2001-01-01"), 0, 1), (d("2001-01-01"), None, 1, 2),
+    ]
+
+
+def test_open_ends_against_days(spark):
+    """Observations and periods with missing and far ends; days and events are preserved."""
+    random.seed(12)
+    ends = lambda s: random.choice([None, FAR, day(s + 1), day(s + random.randrange(1, 900))])
+    base = [(f"P{i % 12}", i, day(s := random.randrange(900)), ends(s), 1) for i in range(60)]
+    steps = [(f"P{random.randrange(14)}", day(s := random.randrange(-300, 1500)), ends(s), random.randrange(5)) for _ in range(150)]
+    obs = spark.createDataFrame(base, "pnr string, obs int, start date, end date, event int")
+    periods = spark.createDataFrame(steps, "pnr string, `from` date, `to` date, value int")
+    out = {}
+    for r in lexis_from_to(obs, periods, event="event", default=-1).collect():
+        out.setdefault(r["obs"], []).append((r["start"], r["end"], r["event"], r["value"]))
+    for person, i, start, end, event in base:
+        mine = [(s, e or FAR, v) for p, s, e, v in steps if p == person]
+        pieces = sorted(out[i], key=lambda x: x[0])
+        assert pieces[0][0] == start and pieces[-1][1] == end
+        assert all(a[1] == b[0] for a, b in zip(pieces, pieces[1:])) and sum(p[2] for p in pieces) == event
+        cuts = {c for s, e, _ in mine for c in (s, e) if start < c < (end or FAR)}
+        assert {p[0] for p in pieces} == cuts | {start}
+        for s, _, _, v in pieces:
+            covering = [(a, x) for a, b, x in mine if a <= s < b]
+            assert v == (max(covering)[1] if covering else -1)
+
+
+def test_far_ends_make_no_empty_blocks(spark):
+    obs = spark.createDataFrame([("P", d("2000-01-01"), FAR, 1)], "pnr string, start date, end date, event int")
+    periods = spark.createDataFrame([("P", d("0001-01-01"), FAR, 1)], "pnr string, `from` date, `to` date, value int")
+    out = lexis_from_to(obs, periods, event="event")
+    assert rows(out, "start", "end", "value") == [(d("2000-01-01"), FAR, 1)]
+
+
+def test_equal_starts_and_null_values(spark):
+    data = [("P", day(0), day(10), 1), ("P", day(0), day(20), 2), ("P", day(5), day(8), None), ("P", day(0), day(10), 3)]
+    df = spark.createDataFrame(data, "pnr string, `from` date, `to` date, value int")
+    steps = rows(value_steps(df, "pnr", "from", "to", "value"), "at", "value")
+    assert steps == [(day(0), 3), (day(5), None), (day(8), 3), (day(10), 2), (day(20), None)]

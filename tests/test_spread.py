@@ -1,25 +1,24 @@
 """Joins with a key that owns a third of all rows."""
 
 import pytest
+from helpers import plan
 from pyspark.sql import functions as F
 
+from catalogue.people import follow_up
+from catalogue.scans import approved_extract
+from regspan.operators import spread
 from regspan.operators.cohort import restrict
-from regspan.operators.spread import (
-    HEAVY_ROWS,
-    broadcast_limit,
-    heavy_keys,
-    heavy_limit,
-    input_bytes,
-    spread_join,
-)
+from regspan.operators.spread import heavy_keys, spread_join
+
+SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
 def skewed(spark):
-    # Key 7 owns a third of the rows, exact copies included; some keys are null.
+    # Key 7 owns a third of the rows; some keys are null.
     n = F.col("id")
     key = F.when(n % 3 == 0, 7).when(n % 50 == 1, None).otherwise(n % 40)
-    return spark.range(0, 6000, 1, 12).select(key.alias("k"), (n % 5).alias("v"))
+    return spark.range(0, 6000, 1, 12).select(key.alias("k"), (n % 1000).alias("v"))
 
 
 @pytest.fixture(scope="module")
@@ -28,19 +27,12 @@ def side(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_spread_equals_plain(skewed, side, how):
-    spread = spread_join(skewed, side, "k", how, spread=True, heavy_rows=100)
+def test_salted_equals_plain(skewed, side, how):
+    salted = spread_join(skewed, side, "k", how, heavy=heavy_keys(skewed, "k", 100))
     plain = skewed.join(side, "k", how)
-    assert spread.columns == plain.columns
-    assert spread.exceptAll(plain).count() == 0
-    assert plain.exceptAll(spread).count() == 0
-
-
-def test_counts_from_another_table_change_nothing(skewed, side):
-    other = skewed.where("v = 1")
-    spread = spread_join(skewed, side, "k", spread=True, heavy_rows=50, counts=other)
-    plain = skewed.join(side, "k")
-    assert spread.exceptAll(plain).count() == plain.exceptAll(spread).count() == 0
+    assert salted.columns == plain.columns
+    assert salted.exceptAll(plain).count() == 0
+    assert plain.exceptAll(salted).count() == 0
 
 
 def test_only_heavy_keys_are_split(skewed):
@@ -52,10 +44,8 @@ def test_heavy_key_uses_several_tasks(spark, skewed, side):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = spread_join(skewed, side, "k", spread=True, heavy_rows=100)
-        per_task = (
-            joined.where("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
-        )
+        joined = spread_join(skewed, side, "k", heavy=heavy_keys(skewed, "k", 100))
+        per_task = joined.where("k = 7").groupBy(F.spark_partition_id().alias("p")).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -63,18 +53,30 @@ def test_heavy_key_uses_several_tasks(spark, skewed, side):
     assert max(r["count"] for r in per_task) < 2000
 
 
+def test_too_many_heavy_keys_are_an_error(skewed, side, monkeypatch):
+    monkeypatch.setattr(spread, "HEAVY_KEYS", 0)
+    with pytest.raises(ValueError):
+        spread_join(skewed, side, "k", heavy=heavy_keys(skewed, "k", 100))
+    with pytest.raises(ValueError):
+        spread_join(skewed, side, "k", "outer")
+
+
 def test_restrict_keeps_duplicates_once_each(spark):
     register = spark.createDataFrame([("P1", 1), ("P1", 1), ("P2", 2), (None, 3), ("", 4)], "pnr string, v int")
     people = spark.createDataFrame([("P1",), ("P1",), ("",), (None,)], "pnr string")
-    for options in ({}, {"spread": True, "heavy_rows": 1}):
-        assert sorted(r["v"] for r in restrict(register, people, **options).collect()) == [1, 1]
+    assert sorted(r["v"] for r in restrict(register, people).collect()) == [1, 1]
 
 
-def test_sizes(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).write.parquet(path)
-    assert 0 < input_bytes(spark.read.parquet(path)) < 100_000
-    assert broadcast_limit(spark.range(1)) == 10 * 1024 * 1024
-    assert heavy_limit(spark.read.parquet(path)) == HEAVY_ROWS
-    with pytest.raises(ValueError):
-        spread_join(spark.range(1), spark.range(1), "id", "outer")
+@pytest.mark.parametrize("query", [follow_up, approved_extract])
+def test_fact_table_is_scanned_once_with_its_filters(spark, query):
+    """Also where nothing is broadcast, as with large tables."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(query(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    initial = text.split("Initial Plan")[-1]
+    scans = [line for line in initial.splitlines() if "lineitem.parquet" in line]
+    assert len(scans) == 1
+    if query is follow_up:
+        assert "EqualTo(l_returnflag,R)" in scans[0]
