@@ -63,6 +63,8 @@ _TAG = re.compile(
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 _NAME = re.compile(r"[a-z]+")
+_AROUND = re.compile(r"(?:has|with|no|without|is|show|hide)[-_]")
+_HIDDEN, _QUOTED = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)"), re.compile(r"\"[^\"]*\"|'[^']*'")
 
 
 @dataclass
@@ -83,7 +85,9 @@ def _hidden(name: str, raw: str, path: tuple[str, ...]) -> tuple[bool, str]:
     if "=" in raw:
         for key, a, b, c in _ATTRIBUTE.findall(raw):
             found.setdefault(key.lower(), entities.unescape(a or b or c))
-    names = _NAME.findall(f"{found.get('class', '')} {found.get('id', '')}".lower())
+    labels = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
+    # "has-sidebar" names the page around a sidebar.
+    names = [n for x in labels if not _AROUND.match(x) for n in _NAME.findall(x)]
     shown = f"{name}.{'.'.join(names)}" if names else name
     if name in ROOTS:
         return False, shown
@@ -95,7 +99,7 @@ def _hidden(name: str, raw: str, path: tuple[str, ...]) -> tuple[bool, str]:
         or found.get("role", "").lower() in ROLES
         or found.get("aria-hidden", "").lower() == "true"
         or "display:none" in style
-        or bool(re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", raw))
+        or ("hidden" in raw and bool(_HIDDEN.search(_QUOTED.sub("", raw))))
     )
     return out, shown
 

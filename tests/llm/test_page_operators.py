@@ -151,6 +151,8 @@ PAGES = [
     (f"<div class=cookie-notice>We use cookies, ok.</div><article>{ARTICLE}<section id='comments'><p>Reader says, hello.</p></section></article>", WANT),
     (f"<!-- <p>no</p> --><article>{ARTICLE}<div hidden>gone</div><div style='display: none'>gone</div></article>", WANT),
     (f"<div class='ad'>Buy now, cheap.</div><article>{ARTICLE}<ins class='adsbygoogle'>Ad</ins></article>", WANT),
+    (f"<div class='page has-sidebar'><article title='a hidden thing'>{ARTICLE}</article><div class='sidebar'>x, y.</div></div>", WANT),
+    (f"<div id=post><div class=body>{ARTICLE}</div></div><p class='notice'>Mind this, please.</p><span class=ad>Buy.</span>", WANT),
     ("<nav>Only <a href=x>menu</a></nav>", ""), ("x < y & z &gt; 1", "x < y & z > 1"), ("<p title='a > b'>c &#233; &eacute;&nbsp;d</p>", "c é é d"),
     ("<table><tr><td>one<td>two<tr><td>three</table>", "one two three"), ("<p>unclosed <b>bold <i>it", "unclosed bold it"),
     ("<p>" + "long words, " * 5000 + "</p>", ("long words, " * 5000).strip()), ("<a \"b<p>x, y", "x, y"), ("a<!-- open", "a"),
