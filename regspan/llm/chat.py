@@ -41,10 +41,10 @@ def _hash(seed: int) -> Column:
 def prefix_hashes(rows: DataFrame) -> DataFrame:
     """Per conversation and turn: hashes ``_p1``, ``_p2`` and number ``_n`` of all rows up to that turn.
 
-    A rolling hash is the sum of the hashes of the turns so far, each of which contains the turn's number; two
-    independent sums make 128 bits. Sums run within blocks of turn numbers; a block starts at the sum of
-    the earlier blocks, so a conversation of any length is spread over tasks. ``_f1``, ``_f2``, ``_all``
-    belong to the whole conversation.
+    A rolling hash is the sum of the hashes of the turns so far, each of which contains the turn's
+    number; two independent sums make 128 bits. Sums run within blocks of turn numbers; a block
+    starts at the sum of the earlier blocks (``_before`` rows), so a conversation of any length is
+    spread over tasks. ``_f1``, ``_f2``, ``_all`` belong to the whole conversation.
     """
     once = rows.select(*_ID, "_block", "_at", _hash(1).alias("_h1"), _hash(2).alias("_h2")).distinct()
     turns = once.groupBy(*_ID, "_block", "_at").agg(
@@ -64,23 +64,26 @@ def prefix_hashes(rows: DataFrame) -> DataFrame:
     )
     upto = Window.partitionBy(*_ID, "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     running = turns.select(*_ID, "_block", "_at", *[F.sum(c).over(upto).alias(f"_r{k}") for k, c in sums.items()])
+    upto_here = {"1": "_p1", "2": "_p2", "n": "_n"}
     whole = {"1": "_f1", "2": "_f2", "n": "_all"}
-    wide = "decimal(38,0)"
+    kinds = {"1": "decimal(38,0)", "2": "decimal(38,0)", "n": "long"}
     return running.join(starts, [*_ID, "_block"]).select(
         *_ID,
         "_block",
         "_at",
-        *[(F.col(f"_r{k}") + F.col(f"_s{k}")).cast(wide if k != "n" else "long").alias("_n" if k == "n" else f"_p{k}") for k in sums],
+        *[(F.col(f"_r{k}") + F.col(f"_s{k}")).cast(kinds[k]).alias(c) for k, c in upto_here.items()],
         F.col("_sn").alias("_before"),
-        *[F.col(f"_t{k}").cast(wide if k != "n" else "long").alias(c) for k, c in whole.items()],
+        *[F.col(f"_t{k}").cast(kinds[k]).alias(c) for k, c in whole.items()],
     )
 
 
 def maximal(prefixes: DataFrame) -> DataFrame:
     """Ids of the conversations that no longer one begins with; of equal ones the least id, null last."""
-    whole = prefixes.where("_n = _all").groupBy("_f1", "_f2", "_all").agg(F.min(F.struct("_none", "_conv")).alias("_id"))
-    begun = prefixes.where("_n < _all").select(F.col("_p1").alias("_f1"), F.col("_p2").alias("_f2"), F.col("_n").alias("_all")).distinct()
-    return whole.join(begun, ["_f1", "_f2", "_all"], "left_anti").select("_id._conv", "_id._none")
+    print_ = ["_f1", "_f2", "_all"]
+    least = F.min(F.struct("_none", "_conv")).alias("_id")
+    whole = prefixes.where("_n = _all").groupBy(*print_).agg(least)
+    begun = prefixes.where("_n < _all").select("_p1", "_p2", "_n").distinct().toDF(*print_)
+    return whole.join(begun, print_, "left_anti").select("_id._conv", "_id._none")
 
 
 def _plain(text: Column) -> Column:
@@ -95,9 +98,10 @@ def format_chats(
     """``conv``, ``first_turn``, ``n_turns`` and the rendered ``text`` of every maximal conversation.
 
     A conversation is dropped if all its turns (number, role and text) are the first turns of a
-    longer one; of equal conversations the least id stays. A turn is rendered as its role and text between the marks
-    ``<|im_start|>`` and ``<|im_end|>``, which are broken by a space where a text contains them. A
-    conversation gives one row per ``per_row`` turn numbers, so no row or group grows without bound.
+    longer one; of equal conversations the least id stays. A turn is rendered as its role and text
+    between the marks ``<|im_start|>`` and ``<|im_end|>``, which are broken by a space where a text
+    contains them. A conversation gives one row per ``per_row`` turn numbers, so no row or group
+    grows without bound.
 
     Repeated rows count once. Different rows of one turn number are ordered by role and text. Turns
     without a number come first, in a row of their own with a null ``first_turn``; a null role reads

@@ -17,7 +17,7 @@ from .words import ALPHANUMERIC, mix, utf8, word_hashes
 # Words ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` of lower-cased text in one window.
 N = 13
 # Windows sent to every executor at once; a larger benchmark is scanned in several passes.
-BROADCAST_WINDOWS = 500_000
+BROADCAST_WINDOWS = 200_000
 
 _Q = mix(np.arange(101, 165, dtype=np.uint64)) | np.uint64(1)
 
@@ -50,8 +50,9 @@ def _item_windows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Reco
                     out[1].append(length)
                     out[2].append(int(h))
                     out[3].append(b" ".join(words[p : p + length]))
+        kinds = (items.type, pa.int32(), pa.int64(), pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], items.type), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.binary())],
+            [pa.array(values, kind) for values, kind in zip(out, kinds)],
             names=["_item", "_length", "_window", "_words"],
         )
 
@@ -62,9 +63,8 @@ def benchmark_windows(benchmark: DataFrame, item: str, text: str, n: int) -> Dat
     found = rows.mapInArrow(
         lambda it: _item_windows(it, n), "_item long, _length int, _window long, _words binary"
     )
-    return keep(
-        found.groupBy("_window", "_length", "_words").agg(F.sort_array(F.collect_set("_item")).alias("_items")), "windows"
-    )
+    items = F.sort_array(F.collect_set("_item")).alias("_items")
+    return keep(found.groupBy("_window", "_length", "_words").agg(items), "windows")
 
 
 class _Filter:
@@ -192,13 +192,13 @@ def _together(first: DataFrame, passes: list[DataFrame]) -> DataFrame:
     none = F.expr(f"CAST(array() AS {SPANS})")
 
     def add(done, span):
-        last = F.element_at(done, -1)
+        last = F.try_element_at(done, F.lit(-1))
         stop = F.greatest(last["first"] + last["words"], span["first"] + span["words"])
         longer = F.struct(
             last["first"].alias("first"), (stop - last["first"]).alias("words"),
             last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"),
         )
-        joins = (F.size(done) > 0) & (span["first"] <= F.try_element_at(done, F.lit(-1))["first"] + F.try_element_at(done, F.lit(-1))["words"])
+        joins = (F.size(done) > 0) & (span["first"] <= last["first"] + last["words"])
         return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(
             F.concat(done, F.array(span))
         )

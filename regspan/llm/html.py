@@ -17,8 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .frames import without
-
 # A path is content from this share of the best path's score on.
 SHARE = 0.2
 
@@ -34,23 +32,30 @@ BOILERPLATE = {
     "nav", "footer", "aside", "form", "button", "select", "option", "menu", "dialog", "fieldset", "head",
     "canvas", "object", "audio", "video",
 }
-ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "form"}
+ROLES = {
+    "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu",
+    "menubar", "form",
+}
 PARTS = {
-    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsbygoogle", "sponsor", "sponsored", "promo",
-    "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay",
-    "newsletter", "subscribe", "subscription", "signup", "login", "sidebar", "sidebars", "widget", "widgets",
-    "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar", "toolbar",
-    "comment", "comments", "commentlist", "disqus", "respond", "replies", "share", "sharing", "social", "related",
-    "recommended", "recommendations", "teaser", "teasers", "pagination", "pager", "search", "searchbox", "hidden", "copyright", "disclaimer",
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "adsbygoogle", "sponsor", "sponsored",
+    "promo", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup",
+    "modal", "overlay", "newsletter", "subscribe", "subscription", "signup", "login", "sidebar", "sidebars", "widget",
+    "widgets", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar",
+    "toolbar", "comment", "comments", "commentlist", "disqus", "respond", "replies", "share", "sharing", "social",
+    "related", "recommended", "recommendations", "teaser", "teasers", "pagination", "pager", "search", "searchbox",
+    "hidden", "copyright", "disclaimer",
 }
 ROOTS = {"html", "body", "main"}
 CONTENT = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
-PROSE = HEADINGS | {"p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "table", "tbody", "thead", "tr", "td", "th", "caption", "figure", "figcaption"}
+PROSE = HEADINGS | {
+    "p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "table", "tbody", "thead", "tr", "td", "th",
+    "caption", "figure", "figcaption",
+}
 # Start tags that end an open element of the given names.
 CLOSES = {
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
-    "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"},
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
+    "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "tbody": {"tbody", "thead", "tr", "td", "th"},
 }
 SCOPES = {"ul", "ol", "dl", "table", "select"}
 
@@ -165,7 +170,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if name not in INLINE:
             # A block ends an open paragraph with its inline elements, list items end each other, and so on.
-            wanted = CLOSES.get(name, set()) | {"p", *HEADINGS} if name in HEADINGS else CLOSES.get(name, set()) | {"p"}
+            wanted = CLOSES.get(name, set()) | {"p"} | (HEADINGS if name in HEADINGS else set())
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] in wanted:
                     pop_to(i)
@@ -248,20 +253,21 @@ def main_text(page: str | None) -> str:
 def extract_text(pages: DataFrame, html: str = "html", columns: Sequence[str] | None = None) -> DataFrame:
     """``pages`` (or some ``columns``) with ``text`` and ``n_chars`` (code points).
 
-    Left out are scripts, styles, navigation, page headers and footers, sidebars, notices, adverts, forms and
-    comments: by element, role and the words of class and id. Among the other blocks, tag paths are scored
-    and those near the best are content, with all blocks of the article (or of the element) around them. Character
-    references are decoded. A null or empty page, or one without content, gives an empty text. Input columns of the
-    new names are replaced. One pass over the rows, no shuffle.
+    Left out are scripts, styles, navigation, page headers and footers, sidebars, notices, adverts,
+    forms and comments: by element, role and the words of class and id. Among the other blocks,
+    tag paths are scored and those near the best are content, with all blocks of the article (or
+    of the element) around them. Character references are decoded. A null or empty page, or one
+    without content, gives an empty text. Input columns of the new names are replaced. One pass
+    over the rows, no shuffle.
     """
     kept = [c for c in (columns or pages.columns) if c.lower() not in ("text", "n_chars")]
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(p.as_py()) for p in batch.column("_html")]
+            texts = [main_text(p.as_py()) for p in batch.columns[-1]]
             new = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *new], [*kept, "text", "n_chars"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], [*kept, "text", "n_chars"])
 
-    rows = without(pages, ["_html"] if html != "_html" else []).withColumn("_html", pages[html]).select(*kept, "_html")
-    types = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in kept)
+    rows = pages.select(*kept, pages[html].alias("_html"))
+    types = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in kept)
     return rows.mapInArrow(extract, f"{types}text string, n_chars long")

@@ -64,7 +64,8 @@ def targets(sources: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MO
         (F.col("_level._left") * F.col("_w")).cast("double") / F.col("_level._weight").cast("double")
     )
     rate = F.when(F.col("_size") > 0, F.col("target") / F.col("_size")).otherwise(F.lit(0.0))
-    return share.withColumn("target", target).withColumn("_rate", rate).select("_source", "_none", "_size", "target", "_rate")
+    found = share.withColumn("target", target).withColumn("_rate", rate)
+    return found.select("_source", "_none", "_size", "target", "_rate")
 
 
 def offset(source: Column, none: Column, seed: str) -> Column:
@@ -116,7 +117,8 @@ def plan_mix(
     cells = keep(sized.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_words")), "cells")
     sums = cells.groupBy("_source", "_none").agg(F.sum("_words").alias("_size"))
     goal = targets(sums, weights, most).withColumnsRenamed({"_size": "source_size"})
-    before = Window.partitionBy("_source", "_none").orderBy("_class", "_cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_source", "_none").orderBy("_class", "_cell")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .select(*on, "_before")

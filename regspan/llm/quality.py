@@ -113,7 +113,8 @@ def features(docs: DataFrame, id: str, text: str) -> DataFrame:
         for batch in batches:
             x = text_statistics(batch.column("_text"))
             at = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.ListArray.from_arrays(at, x.ravel())], ["_id", "_x"])
+            lists = pa.ListArray.from_arrays(at, x.ravel())
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), lists], ["_id", "_x"])
 
     rows = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
     return keep(rows.mapInArrow(of, f"_id {docs.schema[id].dataType.simpleString()}, _x array<double>"), "features")
@@ -169,7 +170,8 @@ def _levels(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray] | No
         for batch in batches:
             raw = model.raw(_matrix(batch.column("_x")))
             at = np.clip(np.floor((raw + 0.5) * BINS / 2), -1, BINS)
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(raw), batch.column("_y")], ["_bin", "_raw", "_y"])
+            columns = [pa.array(at.astype(np.int64)), pa.array(raw), batch.column("_y")]
+            yield pa.RecordBatch.from_arrays(columns, ["_bin", "_raw", "_y"])
 
     counted = (
         rows.select("_x", "_y").mapInArrow(bins, "_bin long, _raw double, _y double").groupBy("_bin")
@@ -181,11 +183,14 @@ def _levels(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray] | No
     return isotonic(counted["x"].to_numpy(), counted["y"].to_numpy(), counted["n"].to_numpy(float))
 
 
-def fit(found: DataFrame, labels: DataFrame, id: str = "doc_id", quality: str = "quality", most: int = MAX_LABELLED) -> Model:
+def fit(
+    found: DataFrame, labels: DataFrame, id: str = "doc_id", quality: str = "quality", most: int = MAX_LABELLED
+) -> Model:
     """Fit on labelled rows outside fold 0: ridge on folds 1 to 3, calibration on fold 4.
 
-    Of more than ``most`` labelled rows a share is used, by a hash of the id. The normal equations are summed per task, so the driver
-    gets one matrix of FOURIER + 1 rows. Without labels every score is about 0.5.
+    Of more than ``most`` labelled rows a share is used, by a hash of the id. The normal equations
+    are summed per task, so the driver gets one matrix of FOURIER + 1 rows. Without labels every
+    score is about 0.5.
     """
     rng = np.random.default_rng(SEED)
     width = len(STATISTICS)
@@ -225,15 +230,17 @@ def classify(
     """Per document: ``id``, ``held_out``, ``score`` and ``predicted`` (1 if the score reaches the threshold).
 
     Only statistics of the whole text are inputs. Null texts count as empty and get a score
-    like any text. A null id is held out. Rows repeated in ``docs`` or ``labels`` weigh as
-    often as they occur; labels of unknown documents and null labels are ignored. An empty table gives an empty result.
+    like any text. A null id is held out. Rows repeated in ``docs`` or ``labels`` weigh as often as
+    they occur; labels of unknown documents and null labels are ignored. An empty table gives an
+    empty result.
     """
     found = features(docs, id, text)
     model = fit(found, labels, id, quality, most)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(model.score(_matrix(batch.column("_x"))))], ["_id", "score"])
+            scores = pa.array(model.score(_matrix(batch.column("_x"))))
+            yield pa.RecordBatch.from_arrays([batch.column("_id"), scores], ["_id", "score"])
 
     scored = found.mapInArrow(score, f"_id {docs.schema[id].dataType.simpleString()}, score double")
     return scored.select(
@@ -250,8 +257,8 @@ def passing(
 ) -> DataFrame:
     """The documents whose score reaches the threshold, with their own columns.
 
-    The model is fitted on the labelled rows of ``training`` (``docs`` by default). Documents are not shuffled: their
-    statistics are computed where they are read.
+    The model is fitted on the labelled rows of ``training`` (``docs`` by default). Documents are
+    not shuffled: their statistics are computed where they are read.
     """
     model = fit(features(docs if training is None else training, id, text), labels, id, quality, most)
 

@@ -111,7 +111,9 @@ def measures_of(text: str, known: Mapping[str, str] | None = None) -> dict[str,
     return {n: F.col(known[n]) if n in known else f(F.col(text)) for n, f in MEASURES.items()}
 
 
-def estimate(docs: DataFrame, rules: Sequence[Rule], text: str, rows: int = SAMPLE_ROWS) -> tuple[dict[str, float], dict[int, int]]:
+def estimate(
+    docs: DataFrame, rules: Sequence[Rule], text: str, rows: int = SAMPLE_ROWS
+) -> tuple[dict[str, float], dict[int, int]]:
     """Seconds of each rule over a sample, and how many rows fail which rules (as a bit mask).
 
     The sample is the first ``rows`` rows, which one task reaches without reading on, written once.
@@ -160,8 +162,9 @@ def cascade(
     """``docs`` with ``failed_rule``: the first rule failed in order of rejection per cost, null if none.
 
     The order comes from a sample (``estimate``) and may differ between runs; which documents
-    fail any rule does not. ``known`` names columns that already hold measures. A null text has no words. An input
-    column of the name ``failed_rule`` is replaced.
+    fail any rule does not. ``known`` names columns that already hold measures. A null or empty
+    text has no words and fails; an empty table gives an empty result. An input column of the
+    name ``failed_rule`` is replaced.
     """
     order = ordered(rules, *estimate(docs, rules, text))
     return without(docs, ["failed_rule"]).withColumn("failed_rule", first_failure(order, measures_of(text, known)))

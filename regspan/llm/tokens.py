@@ -157,7 +157,8 @@ def _count(
                 waiting, texts, size = [], [], 0
         if waiting:
             counts[waiting] = counter.counts(texts)
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(counts)], [*columns, "_tokens"])
+        carried = [batch.column(c) for c in columns]
+        yield pa.RecordBatch.from_arrays([*carried, pa.array(counts)], [*columns, "_tokens"])
 
 
 def count_tokens(
@@ -167,9 +168,9 @@ def count_tokens(
     """``docs`` (or some ``columns``) with ``n_bytes`` (UTF-8) and ``n_tokens``.
 
     ``tokenizer`` is the path of a byte-level BPE file of the library tokenizers, read on the driver
-    and sent to the tasks (a few MB). Counts are those of the whole text without begin, end or added special tokens; strings of special
-    tokens inside a text are handled as the library does by default. A null text is empty and
-    has none. Input columns of the new names are replaced. Rows are counted where they are read:
+    and sent to the tasks (a few MB). Counts are those of the whole text without begin, end or
+    added special tokens; strings of special tokens inside a text are handled as the library does
+    by default. A null text is empty and has none. Input columns of the new names are replaced. Rows are counted where they are read:
     no shuffle, and memory bounded by a chunk besides the row itself.
     """
     with open(tokenizer, encoding="utf-8") as file:

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.sinks import keep
-from .frames import without
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -58,26 +57,26 @@ def _by_expression(places: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """The longest rule that fits as one CASE, longest first."""
     found = F.when(F.lit(False), F.struct(F.lit("").alias("rule"), F.lit("").alias("verdict")))
     for r in sorted(rules, key=lambda r: (-len(r.name), r.name, r.verdict)):
-        fits = ((F.col("_host") == r.host) | F.col("_host").endswith(f".{r.host}")) & F.col("_path").startswith(r.path)
-        found = found.when(fits, F.struct(F.lit(r.name).alias("rule"), F.lit(r.verdict).alias("verdict")))
+        here = (F.col("_host") == r.host) | F.col("_host").endswith(f".{r.host}")
+        found = found.when(here & F.col("_path").startswith(r.path), F.struct(F.lit(r.name).alias("rule"), F.lit(r.verdict).alias("verdict")))
     return places.withColumn("_found", found)
 
 
 def _by_join(places: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """The same by equi joins: distinct hosts meet rules through their suffixes, distinct places through path beginnings."""
-    spark = places.sparkSession
-    table = spark.createDataFrame(
-        [(r.host, r.path, r.name, r.verdict) for r in rules], "_rule_host string, _rule_path string, rule string, verdict string"
+    """The same by equi joins: hosts meet rules by their suffixes, places by the beginnings of paths."""
+    table = places.sparkSession.createDataFrame(
+        [(r.host, r.path, r.name, r.verdict) for r in rules],
+        "_rule_host string, _rule_path string, rule string, verdict string",
     )
-    lengths = sorted({len(r.path) for r in rules})
+    lengths = F.array(*[F.lit(n) for n in sorted({len(r.path) for r in rules})])
     distinct = places.select("_host", "_path").distinct()
     labels = F.split("_host", r"\.")
-    suffix = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    from_label = lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
+    suffix = F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), from_label))
     hosts = distinct.select("_host").distinct().select("_host", suffix.alias("_rule_host"))
     ruled = hosts.join(table.select("_rule_host").distinct(), "_rule_host")
-    begins = F.array_distinct(
-        F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length("_path")), lambda n: F.substring(F.col("_path"), F.lit(1), n))
-    )
+    fitting = F.filter(lengths, lambda n: n <= F.length("_path"))
+    begins = F.array_distinct(F.transform(fitting, lambda n: F.substring(F.col("_path"), F.lit(1), n)))
     tried = distinct.join(ruled, "_host").withColumn("_rule_path", F.explode(begins))
     best = tried.join(table, ["_rule_host", "_rule_path"]).groupBy("_host", "_path").agg(
         F.min(F.struct((-F.length("rule")).alias("_n"), "rule", "verdict")).alias("_best")
@@ -87,7 +86,7 @@ def _by_join(places: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def judge_by_rules(places: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """``places`` (``_host``, ``_path``) with ``_found``: rule and verdict of the longest rule that fits, else null."""
+    """``places`` (``_host``, ``_path``) with ``_found``: the longest rule that fits and its verdict, or null."""
     return _by_expression(places, rules) if len(rules) <= LITERAL_RULES else _by_join(places, rules)
 
 
@@ -97,7 +96,8 @@ def host_edges(pages: DataFrame, url: str, html: str) -> DataFrame:
     links = F.explode(F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1)))
     found = pages.select(host_of(F.col(url)).alias("_from"), links.alias("_to"))
     found = found.withColumn("_to", F.translate("_to", UPPER, LOWER))
-    return found.where("_from != '' AND _to != '' AND _from != _to").groupBy("_from", "_to").agg(F.count(F.lit(1)).alias("_links"))
+    found = found.where("_from != '' AND _to != '' AND _from != _to")
+    return found.groupBy("_from", "_to").agg(F.count(F.lit(1)).alias("_links"))
 
 
 def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
@@ -119,25 +119,30 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iterati
     return scores
 
 
-def host_verdicts(places: DataFrame, edges: DataFrame, margin: float = MARGIN, damping: float = DAMPING, iterations: int = ITERATIONS) -> DataFrame:
+def host_verdicts(
+    places: DataFrame, edges: DataFrame, margin: float = MARGIN, damping: float = DAMPING,
+    iterations: int = ITERATIONS,
+) -> DataFrame:
     """``_host``, ``trust``, ``distrust`` and ``blocked`` of every host with either.
 
-    ``places`` holds judged pages. The seed of trust is the share of a host's pages that a rule allows, that of distrust
-    the share that a rule blocks. Trust follows links, distrust goes against them: who links to blocked hosts is
-    distrusted. A host is blocked if its distrust exceeds its trust by ``margin``.
+    ``places`` holds judged pages. The seed of trust is the share of a host's pages that a rule
+    allows, that of distrust the share that a rule blocks. Trust follows links, distrust goes
+    against them: who links to blocked hosts is distrusted. A host is blocked if its distrust
+    exceeds its trust by ``margin``.
     """
     share = lambda v: F.avg((F.coalesce(F.col("_found.verdict"), F.lit("")) == v).cast("double"))
-    seeds = keep(places.where("_host != ''").groupBy("_host").agg(share("allow").alias("_allow"), share("block").alias("_block")), "seeds")
+    shares = share("allow").alias("_allow"), share("block").alias("_block")
+    seeds = keep(places.where("_host != ''").groupBy("_host").agg(*shares), "seeds")
     edges = keep(edges, "edges")
 
     def shared(a: str, b: str) -> DataFrame:
         out = edges.groupBy(a).agg(F.sum("_links").alias("_sum"))
-        joined = edges.join(out, a).select(F.col(a).alias("_from"), F.col(b).alias("_to"), (F.col("_links") / F.col("_sum")).alias("_share"))
-        return keep(joined, "shares")
+        part = (F.col("_links") / F.col("_sum")).alias("_share")
+        return keep(edges.join(out, a).select(F.col(a).alias("_from"), F.col(b).alias("_to"), part), "shares")
 
     def scores(seed: str, graph: DataFrame, name: str) -> DataFrame:
-        found = spread(seeds.where(F.col(seed) > 0).select("_host", F.col(seed).alias("_seed")), graph, damping, iterations)
-        return found.withColumnRenamed("_score", name)
+        some = seeds.where(F.col(seed) > 0).select("_host", F.col(seed).alias("_seed"))
+        return spread(some, graph, damping, iterations).withColumnRenamed("_score", name)
 
     trust = scores("_allow", shared("_from", "_to"), "trust")
     distrust = scores("_block", shared("_to", "_from"), "distrust")
@@ -146,24 +151,26 @@ def host_verdicts(places: DataFrame, edges: DataFrame, margin: float = MARGIN, d
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[Rule], url: str = "url", html: str = "html", columns: Sequence[str] | None = None,
-    margin: float = MARGIN, iterations: int = ITERATIONS,
+    pages: DataFrame, rules: Sequence[Rule], url: str = "url", html: str = "html",
+    columns: Sequence[str] | None = None, margin: float = MARGIN, iterations: int = ITERATIONS,
 ) -> DataFrame:
     """``pages`` (or some ``columns``) with ``host``, ``path``, ``rule``, ``verdict``.
 
-    The longest rule that fits decides; a page that no rule fits gets its host's verdict from the link
-    graph, and ``allow`` if the host is unknown to it. A null url and one without ``://`` have an empty host
-    and path, no rule, and are allowed. Null html has no links. Repeated pages and links count as often as they occur. Input columns
-    of the new names are replaced.
+    The longest rule that fits decides; a page that no rule fits gets its host's verdict from the
+    link graph, and ``allow`` if the host is unknown to it. A null url and one without ``://`` have
+    an empty host and path, no rule, and are allowed. Null html has no links. Repeated pages and
+    links count as often as they occur. Input columns of the new names are replaced. An empty table
+    gives an empty result.
 
-    Of the hosts, only the blocked ones meet the pages again; a hot host there is a skewed key of the larger side.
+    Of the hosts, only the blocked ones meet the pages again; a hot host there is a skewed key of
+    the larger side.
     """
-    new = ["host", "path", "rule", "verdict", "_host", "_path", "_found", "_url"]
+    new = ["host", "path", "rule", "verdict", "_host", "_path", "_found"]
     kept = [c for c in (columns or pages.columns) if c.lower() not in new]
-    base = pages.withColumn("_url", F.col(url)) if url not in kept else without(pages, ["_url"]).withColumn("_url", F.col(url))
-    places = base.select(*kept, host_of(F.col("_url")).alias("_host"), path_of(F.col("_url")).alias("_path"))
-    light = pages.select(host_of(F.col(url)).alias("_host"), path_of(F.col(url)).alias("_path"))
-    known = host_verdicts(judge_by_rules(light, rules), host_edges(pages, url, html), margin, DAMPING, iterations)
+    place = host_of(F.col(url)).alias("_host"), path_of(F.col(url)).alias("_path")
+    places = pages.select(*kept, *place)
+    judged = judge_by_rules(pages.select(*place), rules)
+    known = host_verdicts(judged, host_edges(pages, url, html), margin, DAMPING, iterations)
     blocked = keep(known.where("blocked").select("_host", F.lit("block").alias("_verdict")), "blocked")
     judged = judge_by_rules(places, rules).join(blocked, "_host", "left")
     return judged.select(

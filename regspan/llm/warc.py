@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
@@ -61,9 +60,10 @@ def write_archives(
     """Write request, response (or revisit) and metadata records of every page below ``path``.
 
     Of records with equal payloads of at least ``least_bytes`` bytes, the one with the least id is
-    the response and the others are revisits without a payload that refer to it. A null payload is empty, a null url
-    leaves out the target. Rows that repeat the least id with its payload are all responses, and so are
-    equal payloads none of which has an id; ids come before nulls. The payload is the text as UTF-8.
+    the response and the others are revisits without a payload that refer to it. A null payload is
+    empty, a null url leaves out the target. Rows that repeat the least id with its payload are all
+    responses, and so are equal payloads none of which has an id; ids come before nulls. The
+    payload is the text as UTF-8. An empty table gives archives without records.
 
     One shuffle by payload digest: first occurrences are found by an aggregate that a hot payload
     does not burden, and joined back, where Spark splits a skewed digest. The files are gzip
@@ -74,7 +74,10 @@ def write_archives(
         F.col(id).alias("_id"),
         F.col(url).cast("string").alias("_url"),
         payload.alias("_payload"),
-    ).withColumns({"_digest": F.sha1(F.col("_payload").cast("binary")), "_bytes": F.octet_length("_payload").cast("long")})
+    )
+    rows = rows.withColumns(
+        {"_digest": F.sha1(F.col("_payload").cast("binary")), "_bytes": F.octet_length("_payload").cast("long")}
+    )
     order = F.struct(F.col("_id").isNull().alias("_none"), F.col("_id").alias("_id"))
     first = (
         rows.where(F.col("_bytes") >= least_bytes)
@@ -100,8 +103,8 @@ def write_archives(
     sha = _line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("_sha")))
     concurrent = _line("WARC-Concurrent-To", link(named("response")))
     get = F.concat(
-        F.lit("GET "), F.when(F.col("_path") == "", "/").otherwise(F.regexp_replace("_path", r"\s", "%20")), F.lit(" HTTP/1.1" + CRLF),
-        _line("Host", F.col("_site")), F.lit(CRLF),
+        F.lit("GET "), F.when(F.col("_path") == "", "/").otherwise(F.regexp_replace("_path", r"\s", "%20")),
+        F.lit(" HTTP/1.1" + CRLF), _line("Host", F.col("_site")), F.lit(CRLF),
     )
     head = F.concat(
         F.lit("HTTP/1.1 200 OK" + CRLF), _line("Content-Type", F.lit("text/html; charset=utf-8")),
@@ -121,7 +124,7 @@ def write_archives(
             "application/http; msgtype=response", target, when, sha,
         )
     )
-    facts = F.concat(_line("payloadLength", F.col("_bytes").cast("string")), _line("captureId", F.col("_id").cast("string")))
+    facts = F.concat(_line("payloadLength", F.col("_bytes").cast("string")), _line("captureId", F.col("_name")))
     metadata = _record("metadata", named("metadata"), facts, "application/warc-fields", target, when, concurrent)
     records = keyed.select(F.explode(F.array(request, response, metadata)).alias("value"))
     records.write.option("lineSep", END_OF_RECORD).option("compression", "gzip").text(path)
@@ -134,8 +137,9 @@ _FIELDS = [
     ("fields", pa.map_(pa.string(), pa.string())),
 ]
 _SCHEMA = (
-    "record_id string, type string, concurrent_to string, refers_to string, target_uri string, date string, digest string, "
-    "http string, payload_bytes long, payload_digest string, payload binary, fields map<string,string>"
+    "record_id string, type string, concurrent_to string, refers_to string, target_uri string, date string, "
+    "digest string, http string, payload_bytes long, payload_digest string, payload binary, "
+    "fields map<string,string>"
 )
 
 
@@ -163,8 +167,8 @@ def _parsed(head: list[bytes], block: bytes, payloads: bool) -> tuple:
     bare = lambda n: names[n].strip("<>") if n in names else None
     stated = names.get("warc-payload-digest")
     return (
-        bare("warc-record-id"), kind, bare("warc-concurrent-to"), bare("warc-refers-to"), names.get("warc-target-uri"),
-        names.get("warc-date"), stated.partition(":")[2] if stated else None, http,
+        bare("warc-record-id"), kind, bare("warc-concurrent-to"), bare("warc-refers-to"),
+        names.get("warc-target-uri"), names.get("warc-date"), stated.partition(":")[2] if stated else None, http,
         len(payload) if own else None,
         base64.b32encode(hashlib.sha1(payload).digest()).decode() if own else None,
         payload if own and payloads else None, list(fields.items()),
@@ -211,7 +215,8 @@ def _read(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.Reco
 
     def batch() -> pa.RecordBatch:
         columns = list(zip(*rows)) if rows else [[] for _ in _FIELDS]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, _FIELDS)], [n for n, _ in _FIELDS])
+        arrays = [pa.array(list(c), kind) for c, (_, kind) in zip(columns, _FIELDS)]
+        return pa.RecordBatch.from_arrays(arrays, [n for n, _ in _FIELDS])
 
     for found in batches:
         for line, file in zip(found.column("line").to_pylist(), found.column("file").to_pylist()):
@@ -248,13 +253,15 @@ def captures(records: DataFrame) -> DataFrame:
 
     A capture is a response, revisit or resource record. Requests and metadata are joined by the
     record they are concurrent to; metadata concurrent to a request belongs to that request's
-    capture. Records concurrent to nothing known are left out; of several requests the one with the least id counts.
+    capture. Records concurrent to nothing known are left out; of several requests the one with
+    the least id counts.
     """
     part = lambda *kinds: records.where(F.col("type").isin(*kinds))
     main = part("response", "revisit", "resource").select(
         F.col("record_id").alias("_key"),
         F.struct(
-            "record_id", "type", "refers_to", "target_uri", "date", "digest", "http", "payload_bytes", "payload_digest", "payload"
+            "record_id", "type", "refers_to", "target_uri", "date", "digest", "http", "payload_bytes",
+            "payload_digest", "payload",
         ).alias("response"),
     )
     requests = part("request").where("concurrent_to IS NOT NULL")
@@ -267,7 +274,8 @@ def captures(records: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.struct("record_id", F.map_entries("fields").alias("fields")))).alias("metadata")
     )
     plain = F.transform(
-        "metadata", lambda m: F.struct(m["record_id"].alias("record_id"), F.map_from_entries(m["fields"]).alias("fields"))
+        "metadata",
+        lambda m: F.struct(m["record_id"].alias("record_id"), F.map_from_entries(m["fields"]).alias("fields")),
     )
     notes = notes.withColumn("metadata", plain)
     return main.join(asked, "_key", "left").join(notes, "_key", "left").drop("_key")
