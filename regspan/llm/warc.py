@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.sinks import keep
+
 # Fixed values of the format.
 VERSION = "WARC/1.1"
 CRLF = "\r\n"
@@ -254,8 +256,9 @@ def captures(records: DataFrame) -> DataFrame:
     A capture is a response, revisit or resource record. Requests and metadata are joined by the
     record they are concurrent to; metadata concurrent to a request belongs to that request's
     capture. Records concurrent to nothing known are left out; of several requests the one with
-    the least id counts.
+    the least id counts. The records are written once, so that archives are read only once.
     """
+    records = keep(records, "records")
     part = lambda *kinds: records.where(F.col("type").isin(*kinds))
     main = part("response", "revisit", "resource").select(
         F.col("record_id").alias("_key"),
