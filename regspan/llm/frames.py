@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # What all contracts call white space, as the inside of a character class.
@@ -34,3 +35,25 @@ def words_of(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """The number of words ``[^\\x20\\x09-\\x0D]+``; 0 for a null text."""
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")
+
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Within the block, jobs pass rows to Python in Arrow batches of about ``size``."""
+    before = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
+def settle(spark: SparkSession) -> None:
+    """The session setting these operators are best run with: Arrow batches of 8 MB.
+
+    The default of 64 MB costs an executor several hundred MB per task with long texts.
+    """
+    spark.conf.set(BATCH_BYTES, "8m")

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.sinks import keep
+from .frames import small_batches
 from .words import NOT_SPACE, mix, word_hashes
 
 # Shingle positions run over [0, 2**22). Positions shared by two shingles only add candidates.
@@ -22,6 +23,11 @@ POSITION_BITS = 22
 SEED = 20_240_511
 # 64 bands of 8 coordinates: a pair of similarity 0.8 shares no band with probability 8e-6.
 BANDS, ROWS = 64, 8
+# Coordinates in a sketch; those beyond the bands sharpen the estimate of a similarity.
+COORDINATES = 1024
+# A pair is compared in full unless its estimate is so many standard deviations below the bound;
+# a link is then missed once in 300,000, and only where it just reaches the bound.
+DEVIATIONS = 4.5
 # Different choices of a bucket's hub; see ``star_pairs``.
 HUBS = 4
 
@@ -96,18 +102,20 @@ def signatures(docs: DataFrame, id: str, text: str, width: int, bands: int = BAN
     """
     rows_in = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     schema = f"_id {docs.schema[id].dataType.simpleString()}, _hash long, _size long, _print binary, _sketch binary"
-    signed = rows_in.mapInArrow(lambda it: _sign(it, width, bands * rows), schema)
+    coordinates = max(COORDINATES, bands * rows)
+    signed = rows_in.mapInArrow(lambda it: _sign(it, width, coordinates), schema)
     # Row numbers are fixed by being written.
-    return keep(signed.withColumn("_row", F.monotonically_increasing_id()), "signatures")
+    with small_batches(docs.sparkSession):
+        return keep(signed.withColumn("_row", F.monotonically_increasing_id()), "signatures")
 
 
 def bucket_entries(reps: DataFrame, bands: int, rows: int) -> DataFrame:
-    """(_key, _node, _turn) for every band of every class; equal keys share a band."""
+    """(_key, _band, _node) for every band of every class; equal keys share a band."""
     keys = F.expr(
         f"transform(sequence(0, {bands - 1}), b -> struct("
-        f"xxhash64(b, substring(_sketch, 1 + {rows} * b, {rows})) AS _key, b % {HUBS} AS _turn))"
+        f"xxhash64(b, substring(_sketch, 1 + {rows} * b, {rows})) AS _key, b AS _band))"
     )
-    return reps.select(F.explode(keys).alias("_e"), "_node").select("_e._key", "_e._turn", "_node")
+    return reps.select(F.explode(keys).alias("_e"), "_node").select("_e._key", "_e._band", "_node")
 
 
 def shared_buckets(reps: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -117,9 +125,10 @@ def shared_buckets(reps: DataFrame, bands: int, rows: int) -> DataFrame:
     then the hub of most buckets of a family of copies, which keeps the distinct pairs few.
     """
     entries = bucket_entries(reps, bands, rows)
-    order = F.struct(F.xxhash64("_node", "_turn"), F.col("_node").alias("_node"))
+    order = F.struct(F.xxhash64("_node", F.col("_band") % HUBS), F.col("_node").alias("_node"))
     hubs = entries.groupBy("_key").agg(F.min(order)["_node"].alias("_hub"), F.count(F.lit(1)).alias("_n"))
-    return keep(entries.join(hubs.where("_n > 1").drop("_n"), "_key").select("_key", "_node", "_hub"), "buckets")
+    shared = entries.join(hubs.where("_n > 1").drop("_n"), "_key")
+    return keep(shared.select("_key", "_band", "_node", "_hub"), "buckets")
 
 
 def _verify(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -145,7 +154,9 @@ def shingle_set(text: str | None, width: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[j:] for j in range(width))))
 
 
-def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id: str, text: str, width: int, percent: int) -> DataFrame:
+def confirm(
+    pairs: DataFrame, reps: DataFrame, docs: DataFrame, id: str, text: str, width: int, percent: int
+) -> DataFrame:
     """The pairs whose full shingle sets reach the similarity, written once.
 
     Texts are fetched once per class, only for classes in a pair. A class in very many pairs
@@ -160,7 +171,8 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, id: str, text: s
     side = lambda c: texts.select(F.col("_node").alias(f"_{c}"), F.col("_text").alias(f"_text_{c}"))
     # Sorted by _a last, so that a task meets a hub's pairs one after another.
     both = pairs.join(side("b"), "_b").join(side("a"), "_a").select("_a", "_b", "_text_a", "_text_b")
-    return keep(both.mapInArrow(lambda it: _verify(it, width, percent), "_a long, _b long"), "links")
+    with small_batches(docs.sparkSession):
+        return keep(both.mapInArrow(lambda it: _verify(it, width, percent), "_a long, _b long"), "links")
 
 
 def _sized(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
@@ -177,70 +189,74 @@ def star_pairs(buckets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return keep(_sized(pairs, reps, percent), "pairs")
 
 
-# Classes of one bucket are compared in tasks of at most about two blocks.
-BLOCK = 256
+# A task compares the classes of at most about two blocks of one bucket, or of several small
+# buckets that hold about PACK entries together.
+BLOCK, PACK = 256, 2_000
 
 
-def _compare(batches: Iterator[pa.RecordBatch], percent: int, least: float) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("_a", pa.int64()), ("_b", pa.int64())])
-    for batch in batches:
-        members = batch.column("_members")
-        flat, at = members.values, members.offsets.to_numpy()
-        node, label, size, side = (
-            flat.field(n).to_numpy(zero_copy_only=False) for n in ("_node", "_label", "_size", "_side")
-        )
-        sketches = flat.field("_sketch")
-        out: list[np.ndarray] = []
-        for i in range(len(batch)):
-            lo, hi = at[i], at[i + 1]
-            order = np.argsort(node[lo:hi], kind="stable") + lo
-            table = np.stack([np.frombuffer(sketches[j].as_buffer(), np.uint8) for j in order])
-            n, l, z, s = node[order], label[order], size[order], side[order]
-            for k in range(len(order) - 1):
-                rest = slice(k + 1, None)
-                # A pair within one block is compared in that block's own group only.
-                apart = (l[rest] != l[k]) & ((s[rest] != s[k]) | (s[k] == 2))
-                apart &= 100 * np.minimum(z[rest], z[k]) >= percent * np.maximum(z[rest], z[k])
-                other = np.flatnonzero(apart) + k + 1
-                other = other[(table[other] == table[k]).mean(axis=1) >= least]
-                out.append(np.stack([np.full(len(other), n[k]), n[other]]))
-        pairs = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], schema=schema)
-
-
-def rest_pairs(buckets: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, coordinates: int) -> DataFrame:
+def _compare(table: pa.Table, percent: int, least: float, bands: int, rows: int) -> pa.Table:
+    """Pairs of a group's rows that share a bucket, are apart and may be linked.
+
+    A pair that shares several buckets is given in the first of its bands only.
+    """
+    table = table.combine_chunks().sort_by([("_key", "ascending"), ("_node", "ascending")])
+    column = lambda c: table.column(c).to_numpy()
+    key, node, label, size, side, band = map(column, ("_key", "_node", "_label", "_size", "_side", "_band"))
+    sketches = np.frombuffer(b"".join(table.column("_sketch").to_pylist()), np.uint8).reshape(len(key), -1)
+    stops = np.searchsorted(key, key, "right")
+    out = [np.zeros((2, 0), np.int64)]
+    for k in range(len(key)):
+        rest = slice(k + 1, stops[k])
+        # Side 2 is a block compared with itself; else only pairs across the two blocks count.
+        apart = (label[rest] != label[k]) & ((side[rest] != side[k]) | (side[k] == 2))
+        apart &= 100 * np.minimum(size[rest], size[k]) >= percent * np.maximum(size[rest], size[k])
+        other = np.flatnonzero(apart) + k + 1
+        if len(other):
+            same = sketches[other] == sketches[k]
+            shared = same[:, : bands * rows].reshape(len(other), bands, rows).all(axis=2)
+            other = other[(same.mean(axis=1) >= least) & (shared.argmax(axis=1) == band[k])]
+            out.append(np.stack([np.full(len(other), node[k]), node[other]]))
+    pairs = np.concatenate(out, axis=1)
+    return pa.table({"_a": pairs[0], "_b": pairs[1]})
+
+
+def rest_pairs(
+    buckets: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, bands: int, rows: int
+) -> DataFrame:
     """Pairs that share a bucket but no component yet and whose sketches do not rule out a link.
 
-    Only buckets that hold several components remain. Their classes meet in groups of at most
-    two blocks; a group gives only pairs whose sketches agree on nearly ``percent`` of the
-    coordinates (five standard deviations below it: a link is missed once in millions).
+    Only buckets that hold several components remain. A large one is cut into blocks, which meet
+    two by two. Pairs come out only if their sketches agree on nearly ``percent`` of the
+    coordinates (see ``DEVIATIONS``).
     """
     p = percent / 100
-    least = p - 5 * float(np.sqrt(p * (1 - p) / coordinates))
-    entries = buckets.select("_key", "_node").join(labels, "_node", "left")
+    least = p - DEVIATIONS * float(np.sqrt(p * (1 - p) / max(COORDINATES, bands * rows)))
+    entries = buckets.select("_key", "_band", "_node").join(labels, "_node", "left")
     entries = entries.withColumn("_label", F.coalesce("_label", "_node"))
     open_ = (
         entries.groupBy("_key")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_label").alias("_lo"), F.max("_label").alias("_hi"))
         .where("_lo != _hi")
-        .select("_key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
+        .select("_key", F.col("_n"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
     )
+    open_ = keep(open_, "open")
+    small = open_.where("_blocks = 1").agg(F.sum("_n")).first()[0] or 0
     members = entries.join(open_, "_key").join(reps.select("_node", "_size", "_sketch"), "_node")
     mine = F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int")
-    spread = members.withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    groups = (
-        spread.groupBy("_key", F.least("_mine", "_other").alias("_i"), F.greatest("_mine", "_other").alias("_j"))
-        .agg(
-            F.collect_list(
-                F.struct(
-                    "_node", "_label", "_size", "_sketch",
-                    F.when(F.col("_mine") == F.col("_other"), 2).when(F.col("_mine") < F.col("_other"), 0).otherwise(1).alias("_side"),
-                )
-            ).alias("_members")
-        )
-        .select("_members")
+    spread = members.withColumn("_mine", mine).withColumn(
+        "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    )
+    pack = F.pmod(F.xxhash64("_key"), F.lit(-(-small // PACK) or 1))
+    side = F.when(F.col("_mine") == F.col("_other"), 2).otherwise((F.col("_mine") > F.col("_other")).cast("int"))
+    spread = spread.select(
+        F.when(F.col("_blocks") == 1, pack).otherwise(F.col("_key")).alias("_pack"),
+        F.when(F.col("_blocks") > 1, F.least("_mine", "_other")).otherwise(-1).alias("_i"),
+        F.when(F.col("_blocks") > 1, F.greatest("_mine", "_other")).otherwise(-1).alias("_j"),
+        "_key", "_band", "_node", "_label", "_size", side.alias("_side"), "_sketch",
+    )
+    return spread.groupBy("_pack", "_i", "_j").applyInArrow(
+        lambda table: _compare(table, percent, least, bands, rows), "_a long, _b long"
     )
-    return groups.mapInArrow(lambda it: _compare(it, percent, least), "_a long, _b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -263,12 +279,12 @@ def components(edges: DataFrame) -> DataFrame:
             labels = hook.withColumnRenamed("_up", "_label")
         else:
             to = hook.select(F.col("_node").alias("_label"), "_up")
-            labels = keep(
-                labels.join(to, "_label", "left").select("_node", F.coalesce("_up", "_label").alias("_label")), "labels"
-            )
+            moved = labels.join(to, "_label", "left")
+            labels = keep(moved.select("_node", F.coalesce("_up", "_label").alias("_label")), "labels")
         a, b = (hook.select(F.col("_node").alias(f"_{c}"), F.col("_up").alias(f"_{c}2")) for c in "ab")
         moved = edges.join(a, "_a").join(b, "_b").where("_a2 != _b2")
-        edges = keep(moved.select(F.least("_a2", "_b2").alias("_a"), F.greatest("_a2", "_b2").alias("_b")).distinct(), "edges")
+        ends = F.least("_a2", "_b2").alias("_a"), F.greatest("_a2", "_b2").alias("_b")
+        edges = keep(moved.select(*ends).distinct(), "edges")
     if labels is None:
         return edges.select(F.col("_a").alias("_node"), F.col("_b").alias("_label"))
     return labels
@@ -293,8 +309,9 @@ def judge(
     first = star_pairs(buckets, reps, percent)
     links = confirm(first, reps, docs, id, text, width, percent)
     labels = components(links)
-    more = rest_pairs(buckets, labels, reps, percent, bands * rows).join(first, ["_a", "_b"], "left_anti")
-    more = confirm(keep(more, "pairs"), reps, docs, id, text, width, percent)
+    more = rest_pairs(buckets, labels, reps, percent, bands, rows)
+    more = keep(more.join(first, ["_a", "_b"], "left_anti"), "pairs")
+    more = confirm(more, reps, docs, id, text, width, percent)
     labels = components(links.union(more))
 
     member = classes.join(labels, "_node", "left").withColumn("_label", F.coalesce("_label", "_node"))
@@ -357,9 +374,9 @@ def drop_near_duplicates(
     linked = judged.where("_size > 0").groupBy("_label").agg(F.min(key).alias("_k")).select("_k.*")
     alone = judged.where("_size = 0").select(key.alias("_k")).select("_k.*")
     zero = F.lit(0).cast(docs.schema[id].dataType)
-    stays = linked.union(alone).select(F.coalesce("_id", zero).alias("_id"), "_no_id", "_hash").distinct()
-    rows_in = docs.withColumns(
-        {"_id": F.coalesce(F.col(id), zero), "_no_id": F.col(id).isNull(), "_hash": F.xxhash64(text)}
-    )
-    on = ["_id", "_no_id", "_hash"]
+    on = ["_near_id", "_near_no_id", "_near_hash"]
+    named = (F.coalesce("_id", zero), F.col("_no_id"), F.col("_hash"))
+    stays = linked.union(alone).select(*[c.alias(n) for c, n in zip(named, on)]).distinct()
+    own = (F.coalesce(F.col(id), zero), F.col(id).isNull(), F.xxhash64(text))
+    rows_in = docs.withColumns(dict(zip(on, own)))
     return rows_in.join(stays, on, "left_semi").dropDuplicates(on).select(*docs.columns)

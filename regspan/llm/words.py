@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _P = 0x9E3779B97F4A7C15
 _P_INVERSE = pow(_P, -1, 1 << 64)
@@ -48,12 +48,13 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its texts; null is empty."""
-    if not pa.types.is_large_string(column.type):
-        column = column.cast(pa.large_string())
     if column.null_count:
         column = column.fill_null("")
     _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    at = np.zeros(1, np.int64)
+    if len(column):
+        at = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     return (np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)), at
 
 
