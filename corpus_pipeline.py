@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from regspan.llm.decontaminate import without_contaminated
+from regspan.llm.frames import settle
 from regspan.llm.minhash import drop_near_duplicates
 from regspan.llm.mixing import mix
 from regspan.llm.quality import passing as passing_classifier
@@ -17,7 +18,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail a rule of the cascade go."""
+    """Documents that fail a rule of the cascade go. As the first stage it settles the session."""
+    settle(spark)
     return passing_rules(docs)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from ..session import own_folder
 from .chat import format_chats
 from .decontaminate import find_passages
+from .frames import settle
 from .html import extract_text
 from .minhash import near_duplicates
 from .mixing import plan_mix
@@ -30,7 +32,12 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        @wraps(fn)
+        def settled(spark: SparkSession, sf: str) -> DataFrame:
+            settle(spark)
+            return fn(spark, sf)
+
+        QUERIES[fn.__name__] = settled
         if sql is not None:
             ORACLES[fn.__name__] = sql.strip()
         return fn
