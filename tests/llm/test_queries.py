@@ -99,3 +99,44 @@ def test_pipeline_stage_by_stage(spark):
     assert [n for n, _ in corpus_pipeline.STAGES][-1] == "mixing"
     first = corpus_pipeline.run(spark, SF)
     assert sorted(map(str, first.collect())) == sorted(map(str, docs.collect()))
+
+
+def folder(spark, tmp_path, rows):
+    """A folder like the given ones, with nulls, repeats and columns named like the operators' own."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size string, SCORE double, copies int, _id string"
+    spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i % 7 > 0), 0) for i in range(60)] + [(1, 1, 0), (None, 0, 0), (999, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    items = [(1, "alpha " * 5 + "beta gamma delta epsilon zeta eta theta iota"), (None, None), (2, "")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_pipeline_on_odd_rows(spark, tmp_path):
+    import random
+
+    rng = random.Random(9)
+    words = [f"word{i}" for i in range(300)]
+    rows = []
+    for i in range(60):
+        text = " ".join(rng.choice(words) for _ in range(rng.randrange(60, 140))) if i % 7 else "SPAM!! " * 80
+        rows.append((i, text, "en", [None, "a", "b"][i % 3], len(text), "s", 0.5, 1, "x"))
+    odd = [(None, None), (None, ""), (70, "\n \t"), (71, rows[1][1] + " more"), (None, rows[2][1]), (72, "alpha " * 60), (73, "y " * 40_000)]
+    rows += [(i, t, None, None, None, None, None, None, None) for i, t in odd] + [rows[3], rows[3]]
+    sf = folder(spark, tmp_path, rows)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.keep(stage(spark, docs, sf), name)
+        assert docs.columns == columns
+        assert docs.where("size IS NOT NULL AND size != 's'").count() == 0
+    left = [(r.doc_id, r.text) for r in docs.collect()]
+    component, _ = brute.components(left, 5)
+    assert len(left) == len(set(component)) > 30
+    assert {i for i, _ in left} <= set(range(60)) | {71}
+    assert corpus_pipeline.run(spark, sf).count() > 0
+
+
+def test_pipeline_on_empty_tables(spark, tmp_path):
+    sf = folder(spark, tmp_path, [])
+    assert corpus_pipeline.run(spark, sf).count() == 0
