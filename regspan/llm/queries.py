@@ -17,7 +17,7 @@ from .html import extract_text
 from .minhash import near_duplicates
 from .mixing import plan_mix
 from .quality import classify
-from .rules import MEASURES, cascade, measures_of
+from .rules import MEASURES, cascade, with_measures
 from .tokens import count_tokens
 from .urls import Rule, judge_urls
 from .warc import captures, read_records, write_archives
@@ -240,8 +240,7 @@ FROM judged
 @query(RULES_SQL)
 def op8_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Quality measures of each document and the verdict of the rule cascade."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
-    measured = docs.withColumns(measures_of("text"))
+    measured = with_measures(table(spark, sf, "documents").select("doc_id", "text"))
     judged = cascade(measured, known={n: n for n in MEASURES})
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return judged.select(

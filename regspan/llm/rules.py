@@ -22,28 +22,28 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def n_words(text: Column) -> Column:
-    return F.size(words_of(text)).cast("long")
+def n_words(text: Column, words: Column) -> Column:
+    return F.size(words).cast("long")
 
 
-def word_chars(text: Column) -> Column:
+def word_chars(text: Column, words: Column) -> Column:
     """Code points in words."""
-    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), f"[{SPACE}]+", "")).cast("long")
+    return F.length(F.array_join(words, "")).cast("long")
 
 
-def n_symbols(text: Column) -> Column:
+def n_symbols(text: Column, words: Column) -> Column:
     """Characters of ``[#*$%&|<>]``."""
     text = F.coalesce(text, F.lit(""))
     return (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
 
 
-def n_dup_lines(text: Column) -> Column:
+def n_dup_lines(text: Column, words: Column) -> Column:
     """Lines with a word that equal an earlier line."""
     lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
     return _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def n_repeat_words(text: Column) -> Column:
+def n_repeat_words(text: Column, words: Column) -> Column:
     """Words inside 3-word windows that occur twice or more in the text, the first included.
 
     Windows are compared by 64-bit hash. Texts without a repeated window are found with one hash
@@ -58,27 +58,25 @@ def n_repeat_words(text: Column) -> Column:
         spread = lambda x: F.flatten(F.transform(x, lambda e: F.array(e["i"], e["i"] + 1, e["i"] + 2)))
         return _let(ordered, lambda x: F.size(F.array_distinct(spread(repeated(x)))))
 
-    def of(words: Column) -> Column:
-        n = F.size(words)
-        at = F.sequence(F.lit(0), n - 3)
-        found = F.transform(
-            at, lambda i: F.struct(F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("h"), i.alias("i"))
-        )
-        some = _let(
-            found, lambda x: F.when(F.size(F.array_distinct(x["h"])) == n - 2, F.lit(0)).otherwise(covered(x))
-        )
-        return F.when(n < 4, F.lit(0)).otherwise(some)
+    n = F.size(words)
+    found = F.transform(
+        F.sequence(F.lit(0), n - 3),
+        lambda i: F.struct(F.xxhash64(words[i], words[i + 1], words[i + 2]).alias("h"), i.alias("i")),
+    )
+    some = _let(
+        found, lambda x: F.when(F.size(F.array_distinct(x["h"])) == n - 2, F.lit(0)).otherwise(covered(x))
+    )
+    return F.when(n < 4, F.lit(0)).otherwise(some).cast("long")
 
-    return _let(words_of(text), of).cast("long")
 
-
-def n_upper(text: Column) -> Column:
+def n_upper(text: Column, words: Column) -> Column:
     """Characters A-Z."""
     text = F.coalesce(text, F.lit(""))
     return (F.length(text) - F.length(F.regexp_replace(text, "[A-Z]+", ""))).cast("long")
 
 
-MEASURES: dict[str, Callable[[Column], Column]] = {
+# Each from the text and its words, so that words are split once per document.
+MEASURES: dict[str, Callable[[Column, Column], Column]] = {
     f.__name__: f for f in (n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper)
 }
 
@@ -105,10 +103,14 @@ RULES: tuple[Rule, ...] = (
 BASE = ("few_words", "repeated_words")
 
 
-def measures_of(text: str, known: Mapping[str, str] | None = None) -> dict[str, Column]:
-    """Each measure as an expression on the text, or as a column that already holds it."""
-    known = known or {}
-    return {n: F.col(known[n]) if n in known else f(F.col(text)) for n, f in MEASURES.items()}
+def measures_of(text: Column, words: Column) -> dict[str, Column]:
+    return {name: f(text, words) for name, f in MEASURES.items()}
+
+
+def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with a column for each measure; input columns of those names are replaced."""
+    split = without(docs, [*MEASURES, "_words"]).withColumn("_words", words_of(F.col(text)))
+    return split.withColumns(measures_of(F.col(text), F.col("_words"))).drop("_words")
 
 
 def estimate(
@@ -120,19 +122,22 @@ def estimate(
     A rule's cost is the faster of two runs less that of an empty run.
     """
     sample = keep(docs.select(text).coalesce(1).limit(rows), "sample")
-    measures = measures_of(text)
+    value = F.col(text)
+
+    def fails(rule: Rule) -> Column:
+        return _let(words_of(value), lambda words: rule.fails(measures_of(value, words)))
 
-    def seconds(fails: Column) -> float:
+    def seconds(failed: Column) -> float:
         runs = []
         for _ in range(2):
             begun = time.perf_counter()
-            sample.agg(F.sum(fails.cast("long"))).collect()
+            sample.agg(F.sum(failed.cast("long"))).collect()
             runs.append(time.perf_counter() - begun)
         return min(runs)
 
-    idle = seconds(F.col(text).isNull())
-    cost = {r.name: max(seconds(r.fails(measures)) - idle, 1e-3) for r in rules}
-    mask = sum((r.fails(measures).cast("long") * (1 << i) for i, r in enumerate(rules)), F.lit(0))
+    idle = seconds(value.isNull())
+    cost = {r.name: max(seconds(fails(r)) - idle, 1e-3) for r in rules}
+    mask = sum((fails(r).cast("long") * (1 << i) for i, r in enumerate(rules)), F.lit(0))
     return cost, {int(m): int(n) for m, n in sample.groupBy(mask.alias("m")).count().collect()}
 
 
@@ -156,21 +161,26 @@ def first_failure(rules: Sequence[Rule], measures: Measures) -> Column:
     return chain
 
 
+def _verdict(order: Sequence[Rule], text: str) -> Column:
+    return _let(words_of(F.col(text)), lambda words: first_failure(order, measures_of(F.col(text), words)))
+
+
 def cascade(
     docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text", known: Mapping[str, str] | None = None
 ) -> DataFrame:
     """``docs`` with ``failed_rule``: the first rule failed in order of rejection per cost, null if none.
 
     The order comes from a sample (``estimate``) and may differ between runs; which documents
-    fail any rule does not. ``known`` names columns that already hold measures. A null or empty
+    fail any rule does not. ``known`` names the columns that already hold all measures. A null or empty
     text has no words and fails; an empty table gives an empty result. An input column of the
     name ``failed_rule`` is replaced.
     """
     order = ordered(rules, *estimate(docs, rules, text))
-    return without(docs, ["failed_rule"]).withColumn("failed_rule", first_failure(order, measures_of(text, known)))
+    failed = first_failure(order, {n: F.col(c) for n, c in known.items()}) if known else _verdict(order, text)
+    return without(docs, ["failed_rule"]).withColumn("failed_rule", failed)
 
 
 def passing(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text") -> DataFrame:
     """The documents that fail no rule, with their own columns."""
     order = ordered(rules, *estimate(docs, rules, text))
-    return docs.where(first_failure(order, measures_of(text)).isNull())
+    return docs.where(_verdict(order, text).isNull())
