@@ -61,7 +61,7 @@ if __name__ == "__main__":
 
     sf = os.environ.get("SF_DIR", "/root/testdata/sf0.01")
     spark = local_session()
-    wanted = sys.argv[1:] or list(queries())
+    wanted = sys.argv[1:] or list(oracle_sql())
     oracles, bad = oracle_sql(), 0
     con = connect(sf)
     for name in wanted:
