@@ -23,8 +23,9 @@ POSITION_BITS = 22
 SEED = 20_240_511
 # 64 bands of 8 coordinates: a pair of similarity 0.8 shares no band with probability 8e-6.
 BANDS, ROWS = 64, 8
-# Coordinates in a sketch; those beyond the bands sharpen the estimate of a similarity.
-COORDINATES = 1024
+# The least shingle hashes kept of a set, for classes that need comparing beyond their buckets' hubs:
+# all of a set of up to so many shingles.
+LEAST = 512
 # A pair is compared in full unless its estimate is so many standard deviations below the bound;
 # a link is then missed once in 300,000, and only where it just reaches the bound.
 DEVIATIONS = 4.5
@@ -102,8 +103,7 @@ def signatures(docs: DataFrame, id: str, text: str, width: int, bands: int = BAN
     """
     rows_in = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
     schema = f"_id {docs.schema[id].dataType.simpleString()}, _hash long, _size long, _print binary, _sketch binary"
-    coordinates = max(COORDINATES, bands * rows)
-    signed = rows_in.mapInArrow(lambda it: _sign(it, width, coordinates), schema)
+    signed = rows_in.mapInArrow(lambda it: _sign(it, width, bands * rows), schema)
     # Row numbers are fixed by being written.
     with small_batches(docs.sparkSession):
         return keep(signed.withColumn("_row", F.monotonically_increasing_id()), "signatures")
@@ -154,6 +154,15 @@ def shingle_set(text: str | None, width: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[j:] for j in range(width))))
 
 
+def texts_of(nodes: DataFrame, reps: DataFrame, docs: DataFrame, id: str, text: str) -> DataFrame:
+    """``_node`` and ``_text`` of some classes, written once."""
+    named = reps.join(nodes, "_node").select("_node", "_id", "_hash")
+    found = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
+    same = F.col("n._id").eqNullSafe(F.col("t._id")) & (F.col("n._hash") == F.col("t._hash"))
+    texts = found.alias("t").join(named.alias("n"), same).select("n._node", "t._text")
+    return keep(texts.dropDuplicates(["_node"]), "texts")
+
+
 def confirm(
     pairs: DataFrame, reps: DataFrame, docs: DataFrame, id: str, text: str, width: int, percent: int
 ) -> DataFrame:
@@ -163,11 +172,7 @@ def confirm(
     is a skewed join key, which Spark splits.
     """
     wanted = pairs.select(F.explode(F.array("_a", "_b")).alias("_node")).distinct()
-    named = reps.join(wanted, "_node").select("_node", "_id", "_hash")
-    found = docs.select(F.col(id).alias("_id"), F.xxhash64(text).alias("_hash"), F.col(text).alias("_text"))
-    same = F.col("n._id").eqNullSafe(F.col("t._id")) & (F.col("n._hash") == F.col("t._hash"))
-    texts = found.alias("t").join(named.alias("n"), same).select("n._node", "t._text").dropDuplicates(["_node"])
-    texts = keep(texts, "texts")
+    texts = texts_of(wanted, reps, docs, id, text)
     side = lambda c: texts.select(F.col("_node").alias(f"_{c}"), F.col("_text").alias(f"_text_{c}"))
     # Sorted by _a last, so that a task meets a hub's pairs one after another.
     both = pairs.join(side("b"), "_b").join(side("a"), "_a").select("_a", "_b", "_text_a", "_text_b")
@@ -194,7 +199,37 @@ def star_pairs(buckets: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 BLOCK, PACK = 256, 2_000
 
 
-def _compare(table: pa.Table, percent: int, least: float, bands: int, rows: int) -> pa.Table:
+def _least(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The ``LEAST`` least 32-bit hashes of each text's shingles, ascending."""
+    for batch in batches:
+        sets = []
+        for _, n, _, _, hashes, first in word_hashes(batch.column("_text"), NOT_SPACE):
+            for k in range(n):
+                short = (shingle_hashes(hashes[first[k] : first[k + 1]], width) >> np.uint64(32)).astype(np.uint32)
+                sets.append(np.unique(short)[:LEAST].tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("_node"), pa.array(sets, pa.binary())], ["_node", "_least"])
+
+
+def _may_link(a: np.ndarray, b: np.ndarray, sizes: tuple[int, int], percent: int, least: float) -> bool:
+    """Whether two sets may be linked, from their least hashes.
+
+    If both are whole, the answer is exact but for equal hashes of unequal shingles, which only
+    raise the similarity. Else the least hashes of the union are a sample of it.
+    """
+    both = np.concatenate([a, b])
+    both.sort()
+    twice = both[1:] == both[:-1]
+    if max(sizes) <= LEAST:
+        common = int(twice.sum())
+        return 100 * common >= percent * (len(both) - common)
+    new = np.concatenate([[True], ~twice])
+    common = np.flatnonzero(twice)
+    last = np.flatnonzero(new)[: min(len(a), len(b))][-1]
+    seen = int((common < last + 1).sum())
+    return seen >= least * int(new[: last + 1].sum())
+
+
+def _compare(table: pa.Table, percent: int, bands: int, rows: int) -> pa.Table:
     """Pairs of a group's rows that share a bucket, are apart and may be linked.
 
     A pair that shares several buckets is given in the first of its bands only.
@@ -203,6 +238,9 @@ def _compare(table: pa.Table, percent: int, least: float, bands: int, rows: int)
     column = lambda c: table.column(c).to_numpy()
     key, node, label, size, side, band = map(column, ("_key", "_node", "_label", "_size", "_side", "_band"))
     sketches = np.frombuffer(b"".join(table.column("_sketch").to_pylist()), np.uint8).reshape(len(key), -1)
+    sets = [np.frombuffer(x, np.uint32) for x in table.column("_least").to_pylist()]
+    p = percent / 100
+    floor = lambda n: p - DEVIATIONS * float(np.sqrt(p * (1 - p) / n))
     stops = np.searchsorted(key, key, "right")
     out = [np.zeros((2, 0), np.int64)]
     for k in range(len(key)):
@@ -214,48 +252,74 @@ def _compare(table: pa.Table, percent: int, least: float, bands: int, rows: int)
         if len(other):
             same = sketches[other] == sketches[k]
             shared = same[:, : bands * rows].reshape(len(other), bands, rows).all(axis=2)
-            other = other[(same.mean(axis=1) >= least) & (shared.argmax(axis=1) == band[k])]
+            other = other[(same.mean(axis=1) >= floor(bands * rows)) & (shared.argmax(axis=1) == band[k])]
+            near = [_may_link(sets[k], sets[j], (size[k], size[j]), percent, floor(LEAST)) for j in other]
+            other = other[np.array(near, bool)]
             out.append(np.stack([np.full(len(other), node[k]), node[other]]))
     pairs = np.concatenate(out, axis=1)
     return pa.table({"_a": pairs[0], "_b": pairs[1]})
 
 
 def rest_pairs(
-    buckets: DataFrame, labels: DataFrame, reps: DataFrame, percent: int, bands: int, rows: int
+    buckets: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, id: str, text: str, width: int,
+    percent: int, bands: int, rows: int,
 ) -> DataFrame:
-    """Pairs that share a bucket but no component yet and whose sketches do not rule out a link.
+    """Pairs that share a bucket but no component yet and that may be linked.
 
-    Only buckets that hold several components remain. A large one is cut into blocks, which meet
-    two by two. Pairs come out only if their sketches agree on nearly ``percent`` of the
-    coordinates (see ``DEVIATIONS``).
+    Only buckets that hold several components remain. In a large one, the classes outside its largest
+    component are cut into blocks, which meet each other and the blocks of that component; the
+    latter do not meet, so a bucket of linked copies with a few strangers costs about its size. A pair
+    comes out only if neither the sketches nor the least hashes of its sets rule it out; the latter are
+    the whole sets of all but long texts, so hardly any pair comes out in vain.
     """
-    p = percent / 100
-    least = p - DEVIATIONS * float(np.sqrt(p * (1 - p) / max(COORDINATES, bands * rows)))
     entries = buckets.select("_key", "_band", "_node").join(labels, "_node", "left")
     entries = entries.withColumn("_label", F.coalesce("_label", "_node"))
+    parts = entries.groupBy("_key", "_label").agg(F.count(F.lit(1)).alias("_c"))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
     open_ = (
-        entries.groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_label").alias("_lo"), F.max("_label").alias("_hi"))
-        .where("_lo != _hi")
-        .select("_key", F.col("_n"), F.ceil(F.col("_n") / BLOCK).cast("int").alias("_blocks"))
+        parts.groupBy("_key")
+        .agg(F.sum("_c").alias("_n"), F.max(F.struct("_c", "_label")).alias("_main"), F.count(F.lit(1)).alias("_parts"))
+        .where("_parts > 1")
+        .select(
+            "_key", "_n", F.col("_main._label").alias("_main"),
+            blocks(F.col("_n") - F.col("_main._c")).alias("_others"), blocks(F.col("_main._c")).alias("_mains"),
+        )
     )
     open_ = keep(open_, "open")
-    small = open_.where("_blocks = 1").agg(F.sum("_n")).first()[0] or 0
-    members = entries.join(open_, "_key").join(reps.select("_node", "_size", "_sketch"), "_node")
-    mine = F.pmod(F.xxhash64("_node"), F.col("_blocks")).cast("int")
-    spread = members.withColumn("_mine", mine).withColumn(
-        "_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    small = open_.where(F.col("_n") <= BLOCK).agg(F.sum("_n")).first()[0] or 0
+    members = keep(entries.join(open_, "_key"), "members")
+    texts = texts_of(members.select("_node").distinct(), reps, docs, id, text)
+    with small_batches(docs.sparkSession):
+        sets = keep(texts.mapInArrow(lambda it: _least(it, width), "_node long, _least binary"), "sets")
+    known = reps.select("_node", "_size", "_sketch").join(sets, "_node")
+
+    # Groups (_pack, _i, _j): _j below 0 are blocks of the largest component, the others' blocks meet at _i <= _j.
+    number = lambda n: F.sequence(F.lit(0), n - 1)
+    place = lambda pack, i, j, side: F.struct(
+        pack.cast("long").alias("_pack"), i.cast("int").alias("_i"), j.cast("int").alias("_j"), side.cast("int").alias("_side")
+    )
+    key, hashed = F.col("_key"), F.xxhash64("_node")
+    mine, main = F.pmod(hashed, "_others"), F.pmod(hashed, "_mains")
+    with_others = F.transform(
+        number(F.col("_others")),
+        lambda o: place(
+            key, F.least(mine, o), F.greatest(mine, o),
+            F.when(mine == o, F.lit(2)).otherwise((mine > o).cast("int")),
+        ),
+    )
+    with_mains = F.transform(number(F.col("_mains")), lambda m: place(key, mine, -1 - m, F.lit(0)))
+    of_main = F.transform(number(F.col("_others")), lambda o: place(key, o, -1 - main, F.lit(1)))
+    together = F.array(place(F.pmod(F.xxhash64("_key"), F.lit(-(-small // PACK) or 1)), F.lit(-1), F.lit(0), F.lit(2)))
+    groups = (
+        F.when(F.col("_n") <= BLOCK, together)
+        .when(F.col("_label") == F.col("_main"), of_main)
+        .otherwise(F.concat(with_others, with_mains))
     )
-    pack = F.pmod(F.xxhash64("_key"), F.lit(-(-small // PACK) or 1))
-    side = F.when(F.col("_mine") == F.col("_other"), 2).otherwise((F.col("_mine") > F.col("_other")).cast("int"))
-    spread = spread.select(
-        F.when(F.col("_blocks") == 1, pack).otherwise(F.col("_key")).alias("_pack"),
-        F.when(F.col("_blocks") > 1, F.least("_mine", "_other")).otherwise(-1).alias("_i"),
-        F.when(F.col("_blocks") > 1, F.greatest("_mine", "_other")).otherwise(-1).alias("_j"),
-        "_key", "_band", "_node", "_label", "_size", side.alias("_side"), "_sketch",
+    spread = members.withColumn("_g", F.explode(groups)).join(known, "_node").select(
+        "_g.*", "_key", "_band", "_node", "_label", "_size", "_sketch", "_least"
     )
     return spread.groupBy("_pack", "_i", "_j").applyInArrow(
-        lambda table: _compare(table, percent, least, bands, rows), "_a long, _b long"
+        lambda table: _compare(table, percent, bands, rows), "_a long, _b long"
     )
 
 
@@ -309,7 +373,7 @@ def judge(
     first = star_pairs(buckets, reps, percent)
     links = confirm(first, reps, docs, id, text, width, percent)
     labels = components(links)
-    more = rest_pairs(buckets, labels, reps, percent, bands, rows)
+    more = rest_pairs(buckets, labels, reps, docs, id, text, width, percent, bands, rows)
     more = keep(more.join(first, ["_a", "_b"], "left_anti"), "pairs")
     more = confirm(more, reps, docs, id, text, width, percent)
     labels = components(links.union(more))
@@ -342,7 +406,7 @@ def near_duplicates(
     2. Circulant MinHash: one permutation places a shingle on a circle, coordinate k reads a
        second permutation k places further. Bands of coordinates give buckets.
     3. Every class is compared with its buckets' hubs on the full sets; then, in buckets that
-       still hold several components, the other pairs whose sketches allow a link.
+       still hold several components, the other pairs that sketches and least hashes do not rule out.
     4. Components by contraction.
     """
     judged = judge(docs, id, text, width, percent, bands, rows)

@@ -170,7 +170,7 @@ TEXTS = [
 
 def test_measures(spark):
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
-    for r in frame.withColumns(rules.measures_of("text")).collect():
+    for r in rules.with_measures(frame).collect():
         assert {n: r[n] for n in rules.MEASURES} == brute.measures(r.text), r.text
 
 
@@ -334,3 +334,22 @@ def test_overlaps_widen_until_they_align(tokenizer):
         text = " ".join("".join(rng.choice("abcdé字12") for _ in range(gap)) for _ in range(12_000 // gap + 1))
         for chunk, overlap in ((64, 4), (500, 16), (1000, 900)):
             assert tokens.count_long(plain, text, chunk, overlap) == len(plain.encode(text, add_special_tokens=False).ids)
+
+
+def test_least_hashes_rule_out_no_link():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n in (40, 400, 5000):
+        for _ in range(30):
+            base = rng.choice(2**32, n + 200, replace=False).astype(np.uint32)
+            shared = rng.integers(int(n * 0.6), n)
+            a, b = np.sort(base[:n]), np.sort(np.concatenate([base[:shared], base[n : n + min(200, n - shared)]]))
+            similarity = shared / (len(a) + len(b) - shared)
+            left, right = a[: minhash.LEAST], b[: minhash.LEAST]
+            floor = 0.8 - minhash.DEVIATIONS * (0.16 / minhash.LEAST) ** 0.5
+            may = minhash._may_link(left, right, (len(a), len(b)), 80, floor)
+            assert may or similarity < 0.8
+            if max(len(a), len(b)) <= minhash.LEAST:
+                assert may == (100 * shared >= 80 * (len(a) + len(b) - shared))
+            assert not may or similarity > 0.6
