@@ -1,4 +1,9 @@
-"""A training-corpus pipeline: five operators applied to ``documents`` one after another."""
+"""A training-corpus pipeline: five operators applied to ``documents`` one after another.
+
+Every stage returns the columns of ``documents``, extra ones included, and whole texts. Documents
+without words, null texts included, are rejected by the first stage; a null id is kept like any
+other, and comes last where a group of copies has to choose. Empty tables pass through.
+"""
 
 from __future__ import annotations
 

@@ -170,8 +170,10 @@ def count_tokens(
     ``tokenizer`` is the path of a byte-level BPE file of the library tokenizers, read on the driver
     and sent to the tasks (a few MB). Counts are those of the whole text without begin, end or
     added special tokens; strings of special tokens inside a text are handled as the library does
-    by default. A null text is empty and has none. Input columns of the new names are replaced. Rows are counted where they are read:
-    no shuffle, and memory bounded by a chunk besides the row itself.
+    by default. A null text is empty and has none; an empty table gives an empty result; repeated
+    rows are counted each. Input columns of the new names are replaced. Rows are counted where they
+    are read: no shuffle, and memory bounded by a chunk besides the row itself, unless a text has no
+    certain cut in it.
     """
     with open(tokenizer, encoding="utf-8") as file:
         content = file.read()

@@ -6,7 +6,7 @@ import brute
 import pytest
 from pyspark.sql import functions as F
 
-from regspan.llm import decontaminate, minhash, mixing, quality, rules, tokens
+from regspan.llm import chat, decontaminate, minhash, mixing, quality, rules, tokens
 
 random.seed(11)
 VOCABULARY = [f"w{i}" for i in range(400)] + ["The", "ÉTÉ", "été", "naïve", "##", "a|b", "x"]
@@ -194,10 +194,12 @@ def test_rules_are_ordered_by_rejection_per_cost():
     assert [r.name for r in rules.ordered([a, b, c], cost | {"c": 1.0}, failed)] == ["b", "a", "c"]
 
 
-def test_rules_run_without_python(spark):
-    frame = spark.createDataFrame([(1, "x")], "doc_id long, text string")
-    plan = rules.cascade(frame)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan
+def test_native_operators_run_without_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    for frame in (rules.cascade(docs), rules.passing(docs), mixing.mix(docs), mixing.plan_mix(docs), chat.format_chats(turns)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Scan ExistingRDD", "NestedLoop", "Cartesian"))
 
 
 def test_mix(docs, rows):
