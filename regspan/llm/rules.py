@@ -14,7 +14,7 @@ from .frames import SPACE, without, words_of
 
 SYMBOLS = "#*$%&|<>"
 # Rows used to estimate cost and selectivity; they decide the order of the rules only.
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 1_000
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -137,7 +137,12 @@ def estimate(
 
     idle = seconds(value.isNull())
     cost = {r.name: max(seconds(fails(r)) - idle, 1e-3) for r in rules}
-    mask = sum((fails(r).cast("long") * (1 << i) for i, r in enumerate(rules)), F.lit(0))
+
+    def failed_of(words: Column) -> Column:
+        found = measures_of(value, words)
+        return sum((r.fails(found).cast("long") * (1 << i) for i, r in enumerate(rules)), F.lit(0).cast("long"))
+
+    mask = _let(words_of(value), failed_of)
     return cost, {int(m): int(n) for m, n in sample.groupBy(mask.alias("m")).count().collect()}
 
 
