@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -21,7 +21,15 @@ from pyspark.sql import DataFrame
 SHARE = 0.2
 
 # Element names of the HTML standard and customary names of page parts.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noframes", "xmp", "svg", "math"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noframes", "xmp"}
+# Drawings and formulas: their elements may close themselves and nest; an HTML element ends them unless it is in a HOLDER.
+FOREIGN = {"svg", "math"}
+HOLDERS = {"foreignobject", "desc", "title", "annotation-xml", "mi", "mo", "mn", "ms", "mtext"}
+ENDS_FOREIGN = {
+    "b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3",
+    "h4", "h5", "h6", "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s",
+    "small", "span", "strong", "strike", "sub", "sup", "table", "tt", "u", "ul", "var",
+}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins",
@@ -109,6 +117,38 @@ def _hidden(name: str, raw: str, path: tuple[str, ...]) -> tuple[bool, str]:
     return out, shown
 
 
+def _behind_foreign(page: str, at: int, name: str, stack: list[tuple[str, str, bool]]) -> int:
+    """Where a drawing or formula ends whose start tag ends at ``at``, by the rules of the HTML standard.
+
+    That is behind its own end tag, or else before an HTML element or before the end of an element on the ``stack``.
+    """
+    inner, opened, around = [name], Counter([name]), None
+    for tag in _TAG.finditer(page, at):
+        name = (tag[2] or tag[5] or "").lower()
+        if not name:
+            continue
+        held = any(opened[h] for h in HOLDERS)
+        if (tag[1] or tag[4]) == "/":
+            if opened[name]:
+                while True:
+                    last = inner.pop()
+                    opened[last] -= 1
+                    if last == name:
+                        break
+                if not inner:
+                    return tag.end()
+            elif not held:
+                around = around or {"p", "br", *(s[0] for s in stack)}
+                if name in around:
+                    return tag.start()
+        elif not held and name in ENDS_FOREIGN:
+            return tag.start()
+        elif name not in VOID and not (tag[3] or tag[6] or "").endswith("/"):
+            inner.append(name)
+            opened[name] += 1
+    return len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order; those of left-out parts are not ``inside``."""
     out: list[Block] = []
@@ -163,6 +203,10 @@ def blocks(page: str) -> list[Block]:
             stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(page, at)
             at = stop.start() if stop else end
             continue
+        if name in FOREIGN:
+            if not raw.endswith("/"):
+                at = _behind_foreign(page, at, name, stack)
+            continue
         if name == "br" or name == "hr":
             if block is not None:
                 block.parts.append(" ")

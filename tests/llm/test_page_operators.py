@@ -182,6 +182,19 @@ def test_hostile_pages_take_linear_time():
     assert time.perf_counter() - begun < 30
 
 
+ICONS = [
+    "<svg class='icon'/>", "<SVG viewBox='0 0 1 1' />", "<svg><path d='x'/><svg><g/></svg><text>Label.</text></svg>", "<math display='block'/>",
+    "<svg><path d='x'>", "<svg><foreignObject><p>Label.</p></foreignObject><title>Icon</title></svg>", "<svg><svg/><use href='#a'/></svg>",
+]
+
+
+@pytest.mark.parametrize("icon", ICONS)
+def test_text_behind_a_drawing_stays(icon):
+    assert html.main_text(f"<article>{icon}{ARTICLE}</article>") == WANT
+    assert html.main_text(f"<article><div>{icon}</div>{ARTICLE}</article><div class=ad>{icon}</div><svg><g/></svg>") == WANT
+    assert html.main_text(f"<article>{ARTICLE}<p>Icon: {icon}</p><p>Last.</article>") == f"{WANT} Icon: Last."
+
+
 PAYLOADS = [
     "<p>one</p>", "", None, "a\r\n\r\nb\r\n", "\r", "x\r\r\n\n", "WARC/1.1\r\nWARC-Type: response\r\n\r\n", "é字😀", "ends\r", "<p>one</p>", "\r\n", "\r\n\r\n", "x" * 300_000,
 ]
