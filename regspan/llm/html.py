@@ -12,6 +12,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -67,17 +68,14 @@ CLOSES = {
 }
 SCOPES = {"ul", "ol", "dl", "table", "select"}
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^<>\"']++|\"[^\"]{0,2000}+\"|'[^']{0,2000}+'){0,128}+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
-    re.S,
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)", re.S)
+# The end of a tag, or an attribute with its value; the fifth group is a quote that is never closed.
+_ATTRIBUTE = re.compile(
+    r"""[\s/]*+(?:(>)|(=?[^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|(["'])|([^\s>]*+)))?)"""
 )
-_ATTRIBUTE = re.compile(r"""([^\s=/"'>]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 _NAME = re.compile(r"[a-z]+")
 _AROUND = re.compile(r"(?:has|with|no|without|is|show|hide)[-_]")
-_HIDDEN, _QUOTED = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)"), re.compile(r"\"[^\"]*\"|'[^']*'")
 
 
 @dataclass
@@ -92,12 +90,61 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-def _hidden(name: str, raw: str, path: tuple[str, ...]) -> tuple[bool, str]:
+class Tag(NamedTuple):
+    """A tag's place in the page; comments and declarations have no ``name``."""
+
+    start: int
+    end: int
+    name: str = ""
+    closing: bool = False
+    alone: bool = False  # closes itself
+    attributes: dict[str, str] = {}
+
+
+class _Tags:
+    """Finds the tags of a page in time linear in its length.
+
+    A tag may have any number of attributes of any length. It ends at the first ``>`` outside a quoted value, or at
+    the first one at all if a quote is never closed.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.comments = page, page.rfind(">"), "<!--" in page
+        self.unclosed: set[int] = set()  # attributes from which on a quote is never closed
+
+    def after(self, at: int) -> Tag | None:
+        """The first tag from ``at`` on."""
+        while at <= self.last or self.comments:
+            found = _TAG.search(self.page, at)
+            if not found:
+                return None
+            if not found[2]:
+                return Tag(found.start(), found.end())
+            at = found.end()
+            if at <= self.last:
+                attributes, end = self._attributes(at)
+                alone = self.page[end - 2] == "/" and end - 2 >= at
+                return Tag(found.start(), end, found[2].lower(), found[1] == "/", alone, attributes)
+        return None
+
+    def _attributes(self, at: int) -> tuple[dict[str, str], int]:
+        first, found, begun = self.page.find(">", at), {}, []
+        while at <= first or at not in self.unclosed:
+            part = _ATTRIBUTE.match(self.page, at)
+            if part[1]:
+                return {k: v for k, (v, _) in found.items()}, part.end()
+            if part[5] or not part[2]:
+                break
+            begun.append(at)
+            at = part.end()
+            found.setdefault(part[2].lower(), (part[3] or part[4] or part[6] or "", at))
+        self.unclosed.update(begun)
+        return {k: v for k, (v, end) in found.items() if end <= first}, first + 1
+
+
+def _hidden(name: str, attributes: dict[str, str], stack: list[tuple[str, str, bool]]) -> tuple[bool, str]:
     """Whether an element is a page part to leave out, and its name in the path."""
-    found = {}
-    if "=" in raw:
-        for key, a, b, c in _ATTRIBUTE.findall(raw):
-            found.setdefault(key.lower(), entities.unescape(a or b or c))
+    found = {k: entities.unescape(v) for k, v in attributes.items() if k in ("class", "id", "style", "role", "aria-hidden")}
     labels = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
     # "has-sidebar" names the page around a sidebar.
     names = [n for x in labels if not _AROUND.match(x) for n in _NAME.findall(x)]
@@ -107,28 +154,28 @@ def _hidden(name: str, raw: str, path: tuple[str, ...]) -> tuple[bool, str]:
     style = found.get("style", "").replace(" ", "").lower()
     out = (
         name in BOILERPLATE
-        or (name == "header" and not CONTENT & {p.split(".")[0] for p in path})
+        or (name == "header" and not CONTENT & {x[0] for x in stack})
         or bool(PARTS & set(names))
         or found.get("role", "").lower() in ROLES
         or found.get("aria-hidden", "").lower() == "true"
         or "display:none" in style
-        or ("hidden" in raw and bool(_HIDDEN.search(_QUOTED.sub("", raw))))
+        or "hidden" in attributes
     )
     return out, shown
 
 
-def _behind_foreign(page: str, at: int, name: str, stack: list[tuple[str, str, bool]]) -> int:
+def _behind_foreign(tags: _Tags, at: int, name: str, stack: list[tuple[str, str, bool]]) -> int:
     """Where a drawing or formula ends whose start tag ends at ``at``, by the rules of the HTML standard.
 
     That is behind its own end tag, or else before an HTML element or before the end of an element on the ``stack``.
     """
     inner, opened, around = [name], Counter([name]), None
-    for tag in _TAG.finditer(page, at):
-        name = (tag[2] or tag[5] or "").lower()
+    while tag := tags.after(at):
+        at, name = tag.end, tag.name
         if not name:
             continue
         held = any(opened[h] for h in HOLDERS)
-        if (tag[1] or tag[4]) == "/":
+        if tag.closing:
             if opened[name]:
                 while True:
                     last = inner.pop()
@@ -136,17 +183,17 @@ def _behind_foreign(page: str, at: int, name: str, stack: list[tuple[str, str, b
                     if last == name:
                         break
                 if not inner:
-                    return tag.end()
+                    return tag.end
             elif not held:
                 around = around or {"p", "br", *(s[0] for s in stack)}
                 if name in around:
-                    return tag.start()
+                    return tag.start
         elif not held and name in ENDS_FOREIGN:
-            return tag.start()
-        elif name not in VOID and not (tag[3] or tag[6] or "").endswith("/"):
+            return tag.start
+        elif name not in VOID and not tag.alone:
             inner.append(name)
             opened[name] += 1
-    return len(page)
+    return len(tags.page)
 
 
 def blocks(page: str) -> list[Block]:
@@ -178,20 +225,17 @@ def blocks(page: str) -> list[Block]:
         del stack[i:]
         links = sum(s[0] == "a" for s in stack)
 
-    at, end = 0, len(page)
-    last = page.rfind(">") if "<!--" not in page else end  # nothing behind it is a tag
+    at, end, tags = 0, len(page), _Tags(page)
     while at < end:
-        tag = _TAG.search(page, at) if at <= last else None
+        tag = tags.after(at)
         if not tag:
             add(page[at:])
             break
-        add(page[at : tag.start()])
-        at = tag.end()
-        name = (tag[2] or tag[5] or "").lower()
+        add(page[at : tag.start])
+        at, name = tag.end, tag.name
         if not name:
             continue
-        closing, raw = (tag[1] or tag[4] or "") == "/", tag[3] or tag[6] or ""
-        if closing:
+        if tag.closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     pop_to(i)
@@ -204,8 +248,8 @@ def blocks(page: str) -> list[Block]:
             at = stop.start() if stop else end
             continue
         if name in FOREIGN:
-            if not raw.endswith("/"):
-                at = _behind_foreign(page, at, name, stack)
+            if not tag.alone:
+                at = _behind_foreign(tags, at, name, stack)
             continue
         if name == "br" or name == "hr":
             if block is not None:
@@ -224,14 +268,14 @@ def blocks(page: str) -> list[Block]:
                 if stack[i][0] in SCOPES or (stack[i][0] not in INLINE and stack[i][0] not in PROSE):
                     break
             block = None
-        left, shown = _hidden(name, raw, tuple(s[1] for s in stack))
+        left, shown = _hidden(name, tag.attributes, stack)
         if left:
             block = None
         if name in INLINE and name != "a" and not left:
-            if not raw.endswith("/"):
+            if not tag.alone:
                 stack.append((name, name, False))
             continue
-        if not raw.endswith("/"):
+        if not tag.alone:
             stack.append((name, shown, left))
             links += name == "a"
     return [b for b in out if b.text]

@@ -195,6 +195,30 @@ def test_text_behind_a_drawing_stays(icon):
     assert html.main_text(f"<article>{ARTICLE}<p>Icon: {icon}</p><p>Last.</article>") == f"{WANT} Icon: Last."
 
 
+LONG = "x" * 2500 + " > LEAK <p> " + "y" * 2500
+
+
+@pytest.mark.parametrize("attributes", [f'data-json="{LONG}"', f"data-json='{LONG}'", " ".join(f"a{i}=1" for i in range(300)) + " title='a > LEAK'", f'a="{LONG}" b = "\'" {"c " * 300} d=\'">\''])
+def test_long_tags_end_outside_quotes(attributes):
+    assert html.main_text(f"<div {attributes} class='sidebar'><p>Other stories, many.</p></div><div id=post>{ARTICLE}</div>") == WANT
+    assert html.main_text(f"<article {attributes}>{ARTICLE}<img {attributes}><br {attributes}/></article {attributes}>") == WANT
+    assert "Other" in html.main_text(f"<div {attributes} data-x=' class=sidebar'><p>Other stories, many.</p></div>")
+
+
+@pytest.mark.parametrize("page,text", [("<p class=x title='>a, b.</p>", "a, b."), ("<p class=ad title='>a, b.</p>", ""), ('<p title=it\'s>a, "b.</p>', 'a, "b.'), ("<p>x</p><a b='", "x <a b='"), ("<p>x</p>y <a <!-- z", "x y <a")])
+def test_quotes_that_are_never_closed(page, text):
+    assert html.main_text(page) == text
+
+
+def test_tags_with_unclosed_quotes_take_linear_time():
+    import time
+
+    begun = time.perf_counter()
+    for page in ("<a " + "b='><a '" * 30_000 + "b='", "<a " * 50_000 + "<!-- >", "<a b='>" * 30_000 + "'", "<a b=\"'>" * 30_000, "<p " + "a='1' " * 30_000 + "b='>"):
+        html.main_text(page)
+    assert time.perf_counter() - begun < 30
+
+
 PAYLOADS = [
     "<p>one</p>", "", None, "a\r\n\r\nb\r\n", "\r", "x\r\r\n\n", "WARC/1.1\r\nWARC-Type: response\r\n\r\n", "é字😀", "ends\r", "<p>one</p>", "\r\n", "\r\n\r\n", "x" * 300_000,
 ]
