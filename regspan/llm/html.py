@@ -1,8 +1,8 @@
 """Main text of web pages by tag-path ratios.
 
 A page is cut into text blocks with their tag paths. Text length and punctuation per block are smoothed
-along the page, summed up per path, fused, and paths above a share of the best one hold
-the content.
+along the page, averaged per path and fused; paths whose density is a share of the best one's, or
+that of a sentence, hold the content. How much text a path has does not matter.
 """
 
 from __future__ import annotations
@@ -18,8 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# A path is content from this share of the best path's score on.
+# A path is content from this share of the best path's density on, and from that of a sentence of 70 characters
+# with one mark on in any case, so that one very dense path does not shut out the others.
 SHARE = 0.2
+SENTENCE = 10.0
 
 # Element names of the HTML standard and customary names of page parts.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noframes", "xmp"}
@@ -281,22 +283,28 @@ def blocks(page: str) -> list[Block]:
     return [b for b in out if b.text]
 
 
+def _sizes(found: list[Block]) -> np.ndarray:
+    """Share of each block that is not in links, and its characters and punctuation marks outside links."""
+    size = np.array([len(b.text) for b in found], float)
+    marks = np.array([len(_PUNCTUATION.findall(b.text)) for b in found], float)
+    plain = np.array([1 - min(b.linked / max(len(b.text), 1), 1) for b in found])
+    return np.array([plain, size * plain, marks * plain])
+
+
 def scores(found: list[Block]) -> dict[tuple[str, ...], float]:
-    """Fused ratio of each tag path of the blocks that are ``inside``."""
+    """Fused density of each tag path of the blocks that are ``inside``: length and punctuation per node.
+
+    What a block has from its neighbours counts by its own share outside links, so text lends nothing to menus.
+    """
     some = [b for b in found if b.inside]
     if not some:
         return {}
-    size = np.array([len(b.text) for b in some], float)
-    marks = np.array([len(_PUNCTUATION.findall(b.text)) for b in some], float)
-    plain = np.array([1 - min(b.linked / max(len(b.text), 1), 1) for b in some])
     smooth = lambda x: np.convolve(np.pad(x, 1, "edge"), [0.25, 0.5, 0.25], "valid")
-    size, marks = smooth(size * plain), smooth(marks * plain)
+    plain, size, marks = _sizes(some)
     sums: dict[tuple[str, ...], np.ndarray] = defaultdict(lambda: np.zeros(3))
-    for b, s, m in zip(some, size, marks):
+    for b, s, m in zip(some, plain * smooth(size), plain * smooth(marks)):
         sums[b.path] += (s, m, 1)
-    total = max(sum(v[0] for v in sums.values()), 1e-9)
-    # Length ratio times punctuation ratio per node, weighted by the share of all text.
-    return {p: float(np.sqrt(s / n * (m + 0.5) / n) * np.sqrt(s / total)) for p, (s, m, n) in sums.items()}
+    return {p: float(np.sqrt(s / n * (m / n + 0.5))) for p, (s, m, n) in sums.items()}
 
 
 def container(path: tuple[str, ...]) -> tuple[str, ...]:
@@ -316,14 +324,16 @@ def main_text(page: str | None) -> str:
     ranked = scores(found)
     if not ranked:
         return ""
-    least = SHARE * max(ranked.values())
+    least = min(SHARE * max(ranked.values()), SENTENCE)
     chosen = {p for p, s in ranked.items() if s >= least}
     inside = [p for p in chosen if container(p)[-1:] and container(p)[-1].split(".")[0] in CONTENT]
     if inside:  # a marked article: stray paths outside it are not part of it
         chosen = set(inside)
     around = {container(p) for p in chosen}
+    _, size, marks = _sizes(found)
+    dense = np.sqrt(size * (marks + 0.5)) >= least
 
-    def content(b: Block) -> bool:
+    def content(b: Block, dense: bool) -> bool:
         if not b.inside:
             return False
         if b.path in chosen:
@@ -331,11 +341,11 @@ def main_text(page: str | None) -> str:
         for c in around:
             if b.path[: len(c)] == c:
                 below = {p.split(".")[0] for p in b.path[len(c) :]}
-                if below <= PROSE or (c and c[-1].split(".")[0] in CONTENT):
+                if dense or below <= PROSE or (c and c[-1].split(".")[0] in CONTENT):
                     return True
         return False
 
-    return " ".join(b.text for b in found if content(b))
+    return " ".join(b.text for b, d in zip(found, dense) if content(b, d))
 
 
 def extract_text(pages: DataFrame, html: str = "html", columns: Sequence[str] | None = None) -> DataFrame:
@@ -343,8 +353,8 @@ def extract_text(pages: DataFrame, html: str = "html", columns: Sequence[str] |
 
     Left out are scripts, styles, navigation, page headers and footers, sidebars, notices, adverts,
     forms and comments: by element, role and the words of class and id. Among the other blocks,
-    tag paths are scored and those near the best are content, with all blocks of the article (or
-    of the element) around them. Character references are decoded. A null or empty page, or one
+    tag paths are scored and those near the best, or as dense as a sentence, are content, with all blocks of
+    the article around them, or else the headings, prose and dense blocks of the element around them. Character references are decoded. A null or empty page, or one
     without content, gives an empty text. Input columns of the new names are replaced. One pass
     over the rows, no shuffle.
     """

@@ -195,6 +195,28 @@ def test_text_behind_a_drawing_stays(icon):
     assert html.main_text(f"<article>{ARTICLE}<p>Icon: {icon}</p><p>Last.</article>") == f"{WANT} Icon: Last."
 
 
+PROSE = "<p>Normal prose of some length, with commas, and a full stop at the end of it.</p>"
+SHORT = "Quoted words, said by somebody else, which are part of the article as well."
+NESTED = [f"<section><p>{SHORT}</p></section>", f"<div class=quote><p>{SHORT}</p></div>", f"<section><h2>Aside</h2><div><p>{SHORT}</p></div></section>",
+          f"<div class=note><p>One</p></div><div class=note><p>Two</p></div><div class=note><p>{SHORT}</p></div>"]
+
+
+@pytest.mark.parametrize("n", [3, 100, 3000])
+@pytest.mark.parametrize("nested", NESTED)
+def test_a_short_nested_part_of_a_long_page_stays(nested, n):
+    top = "<div class=top><a href=/>Home</a> <a href=/x>Other, page</a></div>"
+    found = html.main_text(f"<body>{top}<div id=post>{PROSE * n}{nested}{PROSE * n}</div></body>")
+    assert SHORT in found and found.count("Normal") == 2 * n and "Home" not in found
+    assert ("Aside" in found) == ("Aside" in nested)
+    assert html.main_text(f"<body>{top}<h1>Title</h1><div id=post>{PROSE * n}</div></body>").startswith("Title Normal")
+
+
+def test_one_very_dense_path_does_not_shut_out_the_rest():
+    code = "a = f(x, y); b: c. " * 2000
+    found = html.main_text(f"<body><div id=post>{PROSE * 50}<div class=code><pre>{code}</pre></div></div></body>")
+    assert found.count("Normal") == 50 and code.strip() in found
+
+
 LONG = "x" * 2500 + " > LEAK <p> " + "y" * 2500
 
 
