@@ -24,10 +24,10 @@ SHARE = 0.2
 SENTENCE = 10.0
 
 # Element names of the HTML standard and customary names of page parts.
-RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noframes", "xmp"}
-# Drawings and formulas: their elements may close themselves and nest; an HTML element ends them unless it is in a HOLDER.
-FOREIGN = {"svg", "math"}
-HOLDERS = {"foreignobject", "desc", "title", "annotation-xml", "mi", "mo", "mn", "ms", "mtext"}
+RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noframes"}
+# Drawings: their elements may close themselves and nest; an HTML element ends them unless it is in a HOLDER.
+FOREIGN = {"svg"}
+HOLDERS = {"foreignobject", "desc", "title"}
 ENDS_FOREIGN = {
     "b", "big", "blockquote", "body", "br", "center", "code", "dd", "div", "dl", "dt", "em", "embed", "h1", "h2", "h3",
     "h4", "h5", "h6", "head", "hr", "i", "img", "li", "listing", "menu", "meta", "nobr", "ol", "p", "pre", "ruby", "s",
@@ -39,6 +39,14 @@ INLINE = {
     "kbd", "label", "mark", "nobr", "output", "q", "ruby", "rb", "rp", "rt", "s", "samp", "small", "span", "strike",
     "strong", "sub", "sup", "time", "tt", "u", "var",
 }
+# Formulas: a space parts their symbols.
+SYMBOLS = {"mi", "mn", "mo", "ms", "mtext", "annotation", "annotation-xml"}
+FORMULA = SYMBOLS | {
+    "math", "semantics", "mrow", "mfrac", "msqrt", "mroot", "mstyle", "merror", "mpadded", "mphantom", "mfenced",
+    "menclose", "msub", "msup", "msubsup", "munder", "mover", "munderover", "mmultiscripts", "mprescripts", "none",
+    "mtable", "mtr", "mlabeledtr", "mtd", "maction", "mspace", "mglyph", "maligngroup", "malignmark",
+}
+INLINE |= FORMULA
 BOILERPLATE = {
     "nav", "footer", "aside", "form", "button", "select", "option", "menu", "dialog", "fieldset", "head",
     "canvas", "object", "audio", "video",
@@ -56,13 +64,27 @@ PARTS = {
     "related", "recommended", "recommendations", "teaser", "teasers", "pagination", "pager", "search", "searchbox",
     "hidden", "copyright", "disclaimer",
 }
+# Words that may follow a part's name: "related-posts", "share-buttons", "ad-container".
+FRAME = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "card", "cards", "container", "content",
+    "form", "group", "header", "heading", "holder", "icon", "icons", "inner", "item", "items", "label", "left", "link",
+    "links", "list", "main", "panel", "popup", "posts", "primary", "region", "right", "row", "secondary", "section",
+    "slot", "stories", "text", "title", "toggle", "top", "unit", "wrap", "wrapper", "articles",
+}
+# What an article can be as a whole, and a list by its id; other names are what they are about.
+ARTICLE_PARTS = PARTS - {
+    "social", "search", "share", "sharing", "alert", "notice", "notices", "notification", "menu", "login", "copyright",
+    "banner", "cookie", "cookies", "consent", "gdpr", "subscription", "navigation", "disclaimer", "widget", "widgets",
+}
+LIST_PARTS = {"menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "pagination", "pager", "toolbar"}
 ROOTS = {"html", "body", "main"}
 CONTENT = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 PROSE = HEADINGS | {
     "p", "li", "ul", "ol", "dl", "dt", "dd", "blockquote", "pre", "table", "tbody", "thead", "tr", "td", "th",
-    "caption", "figure", "figcaption",
+    "caption", "figure", "figcaption", "xmp",
 }
+LISTS = {"ul", "ol"}
 # Start tags that end an open element of the given names.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option"},
@@ -75,9 +97,11 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(
 _ATTRIBUTE = re.compile(
     r"""[\s/]*+(?:(>)|(=?[^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|(["'])|([^\s>]*+)))?)"""
 )
+_XMP = re.compile(r"</xmp(?=[\s/>])", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
-_NAME = re.compile(r"[a-z]+")
-_AROUND = re.compile(r"(?:has|with|no|without|is|show|hide)[-_]")
+_NAME = re.compile(r"[^\W\d_]+")
+# "has-sidebar" names the page around a sidebar, "category-social" what a page is about.
+_AROUND = re.compile(r"(?:has|with|no|without|is|show|hide|category|cat|tag|topic|taxonomy|format|type|status)[-_]")
 
 
 @dataclass
@@ -144,11 +168,30 @@ class _Tags:
         return {k: v for k, (v, end) in found.items() if end <= first}, first + 1
 
 
+def _part(labels: str, names: set[str], whole: bool = False) -> bool:
+    """Whether a label is one of the names or, unless ``whole``, ends in one, up to words of FRAME."""
+    for label in labels.lower().split():
+        words = [] if _AROUND.match(label) else _NAME.findall(label)
+        while len(words) > 1 and words[-1] in FRAME and words[-1] not in names:
+            words.pop()
+        if words and words[-1] in names and (len(words) == 1 or not whole):
+            return True
+    return False
+
+
+def _named_part(name: str, classes: str, id: str) -> bool:
+    """Whether class or id name a part to leave out. Ids of headings and prose are slugs of their text."""
+    if name in CONTENT:
+        return _part(classes, ARTICLE_PARTS, True)
+    if name in LISTS:
+        return _part(classes, PARTS) or _part(id, LIST_PARTS, True)
+    return _part(classes, PARTS) or (name not in PROSE and _part(id, PARTS, name == "section"))
+
+
 def _hidden(name: str, attributes: dict[str, str], stack: list[tuple[str, str, bool]]) -> tuple[bool, str]:
     """Whether an element is a page part to leave out, and its name in the path."""
     found = {k: entities.unescape(v) for k, v in attributes.items() if k in ("class", "id", "style", "role", "aria-hidden")}
     labels = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
-    # "has-sidebar" names the page around a sidebar.
     names = [n for x in labels if not _AROUND.match(x) for n in _NAME.findall(x)]
     shown = f"{name}.{'.'.join(names)}" if names else name
     if name in ROOTS:
@@ -157,7 +200,7 @@ def _hidden(name: str, attributes: dict[str, str], stack: list[tuple[str, str, b
     out = (
         name in BOILERPLATE
         or (name == "header" and not CONTENT & {x[0] for x in stack})
-        or bool(PARTS & set(names))
+        or _named_part(name, found.get("class", ""), found.get("id", ""))
         or found.get("role", "").lower() in ROLES
         or found.get("aria-hidden", "").lower() == "true"
         or "display:none" in style
@@ -167,7 +210,7 @@ def _hidden(name: str, attributes: dict[str, str], stack: list[tuple[str, str, b
 
 
 def _behind_foreign(tags: _Tags, at: int, name: str, stack: list[tuple[str, str, bool]]) -> int:
-    """Where a drawing or formula ends whose start tag ends at ``at``, by the rules of the HTML standard.
+    """Where a drawing ends whose start tag ends at ``at``, by the rules of the HTML standard.
 
     That is behind its own end tag, or else before an HTML element or before the end of an element on the ``stack``.
     """
@@ -208,7 +251,7 @@ def blocks(page: str) -> list[Block]:
     def state() -> tuple[tuple[str, ...], bool]:
         return tuple(s[1] for s in stack if s[0] not in INLINE), not any(s[2] for s in stack)
 
-    def add(text: str) -> None:
+    def add(text: str, plain: bool = False) -> None:
         nonlocal block
         if not text:
             return
@@ -217,7 +260,7 @@ def blocks(page: str) -> list[Block]:
                 return
             block = Block(*state())
             out.append(block)
-        block.parts.append(entities.unescape(text))
+        block.parts.append(text if plain else entities.unescape(text))
         block.linked += len(text) if links else 0
 
     def pop_to(i: int) -> None:
@@ -273,6 +316,8 @@ def blocks(page: str) -> list[Block]:
         left, shown = _hidden(name, tag.attributes, stack)
         if left:
             block = None
+        if name in SYMBOLS and block is not None:
+            block.parts.append(" ")
         if name in INLINE and name != "a" and not left:
             if not tag.alone:
                 stack.append((name, name, False))
@@ -280,6 +325,10 @@ def blocks(page: str) -> list[Block]:
         if not tag.alone:
             stack.append((name, shown, left))
             links += name == "a"
+        if name == "xmp":  # its text holds no tags
+            stop = _XMP.search(page, at)
+            add(page[at : stop.start() if stop else end], True)
+            at = stop.start() if stop else end
     return [b for b in out if b.text]
 
 
@@ -352,7 +401,9 @@ def extract_text(pages: DataFrame, html: str = "html", columns: Sequence[str] |
     """``pages`` (or some ``columns``) with ``text`` and ``n_chars`` (code points).
 
     Left out are scripts, styles, navigation, page headers and footers, sidebars, notices, adverts,
-    forms and comments: by element, role and the words of class and id. Among the other blocks,
+    forms, comments and drawings: by element, role, class and id, where a part's name must be the whole label
+    or its last word ("related-posts" counts as "related"). Ids of headings and prose are not looked at, those of
+    sections, of lists as menus, and classes of an article only as a whole. Among the other blocks,
     tag paths are scored and those near the best, or as dense as a sentence, are content, with all blocks of
     the article around them, or else the headings, prose and dense blocks of the element around them. Character references are decoded. A null or empty page, or one
     without content, gives an empty text. Input columns of the new names are replaced. One pass

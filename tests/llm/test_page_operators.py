@@ -217,6 +217,30 @@ def test_one_very_dense_path_does_not_shut_out_the_rest():
     assert found.count("Normal") == 50 and code.strip() in found
 
 
+@pytest.mark.parametrize("page", [
+    f"<article class='post category-social tag-search'>{ARTICLE}</article>", f"<article id=share-prices class='post social'>{ARTICLE}</article>",
+    f"<div class='post category-social' id=share-prices>{ARTICLE}</div>", f"<section id=related-work>{ARTICLE}</section>", f"<section id=image-search>{ARTICLE}</section>",
+    f"<article>{ARTICLE.replace('<h1>', '<h1 id=search>').replace('<p>', '<p id=copyright-notice>')}</article>", f"<div class='поиск-search-results'>{ARTICLE}</div>",
+    f"<div class=post>{ARTICLE}</div><div class='related-posts'><p>Other, more.</p></div><div class='share-buttons'><p>Tell, all.</p></div><ul id=nav><li>Home</ul>",
+    f"<div class=post>{ARTICLE}</div><div id=ad-container-1><p>Buy, now.</p></div><div class=main-menu>Home</div><article class=teaser><p>Other, more.</p></article>",
+])
+def test_only_whole_names_of_parts_hide_an_element(page):
+    assert html.main_text(page) == WANT
+
+
+@pytest.mark.parametrize("label", ["related-work", "share-prices", "search", "social", "menu", "login", "copyright", "hidden", "the-alert"])
+def test_slugs_of_headings_and_prose_hide_nothing(label):
+    for name in ("h1", "h2", "h6", "p", "blockquote", "pre", "li"):
+        assert html.main_text(f"<article>{ARTICLE}<{name} id='{label}'>More.</{name}></article>") == f"{WANT} More."
+
+
+def test_formulas_and_xmp_are_text():
+    formula = "<math display=block><mrow><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup><mspace/></mrow></math>"
+    assert html.main_text(f"<article>{ARTICLE}<p>So {formula}, it says.</p></article>") == f"{WANT} So E = m c 2, it says."
+    assert html.main_text(f"<article>{ARTICLE}<math/><xmp>a <b> &amp; c</p></xmp><p>End.</article>") == f"{WANT} a <b> &amp; c</p> End."
+    assert html.main_text(f"<article>{ARTICLE}<xmp>a <b> c") == f"{WANT} a <b> c"
+
+
 LONG = "x" * 2500 + " > LEAK <p> " + "y" * 2500
 
 
