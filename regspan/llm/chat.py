@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..sources.sinks import keep
 
-# Turns rendered into one row; a longer conversation gives several rows.
+# Turn numbers rendered into one row; a longer conversation gives several rows.
 TURNS_PER_ROW = 1024
 START, END = "<|im_start|>", "<|im_end|>"
 
@@ -41,17 +41,19 @@ def _hash(seed: int) -> Column:
 def prefix_hashes(rows: DataFrame) -> DataFrame:
     """Per conversation and turn: hashes ``_p1``, ``_p2`` and number ``_n`` of all rows up to that turn.
 
+    ``_c`` counts the turn's own rows, ``_rank`` the turn numbers so far without a missing one.
+
     A rolling hash is the sum of the hashes of the turns so far, each of which contains the turn's
     number; two independent sums make 128 bits. Sums run within blocks of turn numbers; a block
-    starts at the sum of the earlier blocks (``_before`` rows), so a conversation of any length is
+    starts at the sum of the earlier blocks, so a conversation of any length is
     spread over tasks. ``_f1``, ``_f2``, ``_all`` belong to the whole conversation.
     """
     once = rows.select(*_ID, "_block", "_at", _hash(1).alias("_h1"), _hash(2).alias("_h2")).distinct()
     turns = once.groupBy(*_ID, "_block", "_at").agg(
         F.sum("_h1").alias("_h1"), F.sum("_h2").alias("_h2"), F.count(F.lit(1)).alias("_c")
     )
-    turns = keep(turns, "turns")
-    sums = {"1": "_h1", "2": "_h2", "n": "_c"}
+    turns = keep(turns.withColumn("_numbered", F.when(F.col("_at") == _FIRST, 0).otherwise(1)), "turns")
+    sums = {"1": "_h1", "2": "_h2", "n": "_c", "r": "_numbered"}
     blocks = turns.groupBy(*_ID, "_block").agg(*[F.sum(c).alias(f"_b{k}") for k, c in sums.items()])
     order = Window.partitionBy(*_ID).orderBy("_block")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
@@ -63,16 +65,15 @@ def prefix_hashes(rows: DataFrame) -> DataFrame:
         *[F.sum(f"_b{k}").over(every).alias(f"_t{k}") for k in sums],
     )
     upto = Window.partitionBy(*_ID, "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    running = turns.select(*_ID, "_block", "_at", *[F.sum(c).over(upto).alias(f"_r{k}") for k, c in sums.items()])
-    upto_here = {"1": "_p1", "2": "_p2", "n": "_n"}
+    running = turns.select(*_ID, "_block", "_at", "_c", *[F.sum(c).over(upto).alias(f"_r{k}") for k, c in sums.items()])
+    upto_here = {"1": "_p1", "2": "_p2", "n": "_n", "r": "_rank"}
     whole = {"1": "_f1", "2": "_f2", "n": "_all"}
-    kinds = {"1": "decimal(38,0)", "2": "decimal(38,0)", "n": "long"}
+    kinds = {"1": "decimal(38,0)", "2": "decimal(38,0)", "n": "long", "r": "long"}
     return running.join(starts, [*_ID, "_block"]).select(
         *_ID,
-        "_block",
         "_at",
+        "_c",
         *[(F.col(f"_r{k}") + F.col(f"_s{k}")).cast(kinds[k]).alias(c) for k, c in upto_here.items()],
-        F.col("_sn").alias("_before"),
         *[F.col(f"_t{k}").cast(kinds[k]).alias(c) for k, c in whole.items()],
     )
 
@@ -100,8 +101,8 @@ def format_chats(
     A conversation is dropped if all its turns (number, role and text) are the first turns of a
     longer one; of equal conversations the least id stays. A turn is rendered as its role and text
     between the marks ``<|im_start|>`` and ``<|im_end|>``, which are broken by a space where a text
-    contains them. A conversation gives one row per ``per_row`` turn numbers, so no row or group
-    grows without bound.
+    contains them. A conversation gives one row per ``per_row`` turn numbers that it has, whatever they
+    are, so no row or group grows without bound.
 
     Repeated rows count once. Different rows of one turn number are ordered by role and text. Turns
     without a number come first, in a row of their own with a null ``first_turn``; a null role reads
@@ -110,12 +111,15 @@ def format_chats(
     """
     rows = _rows(turns, conv, turn, role, text, per_row)
     prefixes = keep(prefix_hashes(rows), "prefixes")
-    # Many different rows of one turn number can overfill a block; it is then cut by hash.
-    sizes = prefixes.groupBy(*_ID, "_block").agg((F.max("_n") - F.min("_before")).alias("_c"))
+    # Turns without a number have a rank of 0 and a part of their own.
+    parts = prefixes.withColumn("_part", F.floor((F.col("_rank") - 1) / per_row))
+    # Many different rows of one turn number can overfill a part; it is then cut by hash.
+    sizes = parts.groupBy(*_ID, "_part").agg(F.sum("_c").alias("_size"))
     wanted = sizes.join(maximal(prefixes), _ID, "left_semi")
-    cut = F.pmod(F.xxhash64("_at", "_role", "_text"), F.ceil(F.col("_c") / (4 * per_row)))
-    kept = rows.join(wanted, [*_ID, "_block"]).withColumn("_cut", cut)
-    groups = kept.groupBy(*_ID, "_block", "_cut").agg(
+    places = parts.select(*_ID, "_part", "_at").join(wanted, [*_ID, "_part"])
+    cut = F.pmod(F.xxhash64("_at", "_role", "_text"), F.ceil(F.col("_size") / (4 * per_row)))
+    kept = rows.join(places, [*_ID, "_at"]).withColumn("_cut", cut)
+    groups = kept.groupBy(*_ID, "_part", "_cut").agg(
         F.sort_array(F.collect_set(F.struct("_at", "_role", "_text"))).alias("_turns")
     )
     shown = F.transform(

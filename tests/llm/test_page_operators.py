@@ -55,6 +55,16 @@ def test_chats(spark, per_row):
         assert [r.first_turn for r in parts] == [0, 8, 16, 24, 32] and sum(r.n_turns for r in parts) == 40
 
 
+def test_rows_are_cut_by_the_number_of_turns(spark):
+    stamps = [(2, 1_700_000_000 + 4000 * i, "user", f"s{i}") for i in range(1000)]
+    many = [*turns_of(1, ["a", "b", "c"], 1023), *stamps, *turns_of(3, [f"t{i}" for i in range(1100)], 5), *turns_of(4, ["a", "b"], -1), (4, None, "user", "n")]
+    rows = chat.format_chats(spark.createDataFrame(many, CHATS).repartition(3)).collect()
+    found = sorted((r.conv_id, r.first_turn or 0, r.first_turn is None, r.n_turns) for r in rows)
+    assert found == [(1, 1023, False, 3), (2, 1_700_000_000, False, 1000), (3, 5, False, 1024), (3, 1029, False, 76), (4, -1, False, 2), (4, 0, True, 1)]
+    text = next(r.text for r in rows if r.conv_id == 2)
+    assert [int(x) for x in re.findall(r"\ns(\d+)<", text)] == list(range(1000))
+
+
 def test_many_rows_of_one_turn_are_cut(spark):
     many = [(1, 0, "user", f"{i}") for i in range(100)] * 2 + turns_of(2, ["a"])
     rows = chat.format_chats(spark.createDataFrame(many, CHATS), per_row=4).collect()
