@@ -107,10 +107,11 @@ def measures_of(text: Column, words: Column) -> dict[str, Column]:
     return {name: f(text, words) for name, f in MEASURES.items()}
 
 
-def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with a column for each measure; input columns of those names are replaced."""
+def with_measures(docs: DataFrame, text: str = "text", names: Sequence[str] = tuple(MEASURES)) -> DataFrame:
+    """``docs`` with a column for each of the named measures; input columns of any measure's name are replaced."""
     split = without(docs, [*MEASURES, "_words"]).withColumn("_words", words_of(F.col(text)))
-    return split.withColumns(measures_of(F.col(text), F.col("_words"))).drop("_words")
+    found = measures_of(F.col(text), F.col("_words"))
+    return split.withColumns({n: found[n] for n in names}).drop("_words")
 
 
 def estimate(
@@ -176,12 +177,16 @@ def cascade(
     """``docs`` with ``failed_rule``: the first rule failed in order of rejection per cost, null if none.
 
     The order comes from a sample (``estimate``) and may differ between runs; which documents
-    fail any rule does not. ``known`` names the columns that already hold all measures. A null or empty
-    text has no words and fails; an empty table gives an empty result. An input column of the
+    fail any rule does not. ``known`` names the columns that already hold some measures; the others are
+    computed for documents that reach a rule in need of them. A null or empty text has no words and fails; an empty table gives an empty result. An input column of the
     name ``failed_rule`` is replaced.
     """
     order = ordered(rules, *estimate(docs, rules, text))
-    failed = first_failure(order, {n: F.col(c) for n, c in known.items()}) if known else _verdict(order, text)
+    if known:
+        value, columns = F.col(text), {n: F.col(c) for n, c in known.items()}
+        failed = first_failure(order, measures_of(value, words_of(value)) | columns)
+    else:
+        failed = _verdict(order, text)
     return without(docs, ["failed_rule"]).withColumn("failed_rule", failed)
 
 

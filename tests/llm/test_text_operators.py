@@ -186,6 +186,15 @@ def test_cascade(spark):
     assert rules.cascade(frame.where("false")).count() == 0
 
 
+def test_measures_that_are_not_known_are_computed_where_needed(spark):
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    for shown in (["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"], ["n_words"]):
+        measured = rules.with_measures(frame, names=shown)
+        assert measured.columns == ["doc_id", "text", *shown]
+        for r in rules.cascade(measured, known={n: n for n in shown}).collect():
+            assert (r.failed_rule is not None) == brute.fails_rules(r.text), r.text
+
+
 def test_rules_are_ordered_by_rejection_per_cost():
     a, b, c = (rules.Rule(n, lambda m: None) for n in "abc")
     failed = {0: 100, 1: 10, 2: 30, 4: 5, 6: 25}  # b fails 55, c 30 of which 25 also fail b
