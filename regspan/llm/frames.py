@@ -19,7 +19,7 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """
     taken = {n.lower() for n in names}
     clash = [c for c in df.columns if c.lower() in taken]
-    return df.select(*[df[c] for c in df.columns if c not in clash]) if clash else df
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in clash]) if clash else df
 
 
 def text_or_empty(text: str) -> Column:

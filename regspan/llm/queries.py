@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 from ..session import own_folder
 from .chat import format_chats
 from .decontaminate import find_passages
-from .frames import settle
+from .frames import settle, words_of
 from .html import extract_text
 from .minhash import near_duplicates
 from .mixing import plan_mix
 from .quality import classify
 from .rules import MEASURES, cascade, with_measures
+from .runs import find_runs
 from .tokens import count_tokens
 from .urls import Rule, judge_urls
 from .warc import captures, read_records, write_archives
@@ -366,3 +367,93 @@ FROM judged j LEFT JOIN trust_20 t ON j.host = t.host LEFT JOIN distrust_20 d ON
 def op6_urls(spark: SparkSession, sf: str) -> DataFrame:
     """Verdict on each page's url by rules, else by its host's place in the link graph."""
     return judge_urls(table(spark, sf, "pages"), URL_RULES, columns=["page_id"])
+
+
+# crc32 of a column ``k`` of ASCII strings, eight divisions per byte.
+CRC_SQL = """CAST(xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+      lambda v, step: xor(v >> 1, (v & 1) * 3988292384)))) AS BIGINT)"""
+
+RUNS_SQL = rf"""
+WITH split AS (
+  SELECT row_number() OVER () AS r, doc_id, CAST(doc_id AS VARCHAR) AS k,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+keyed AS (
+  SELECT *, len(w) AS n, {CRC_SQL} AS h FROM split),
+cut AS (
+  SELECT *, h // 10 AS g, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM keyed),
+damaged AS (
+  SELECT r, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN
+      list_transform(range(0, n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END])
+    ELSE w END AS w
+  FROM cut),
+-- A run holds at least 6 words in a row that recur one period later: equal places of 6 words.
+sixes AS (
+  SELECT r, i, md5(array_to_string(w[i + 1:i + 6], ' ')) AS six
+  FROM (SELECT r, w, unnest(range(0, len(w) - 5)) AS i FROM damaged WHERE len(w) >= 12)),
+pairs AS (
+  SELECT x.r, x.i, y.i - x.i AS p FROM sixes x JOIN sixes y ON x.r = y.r AND x.six = y.six AND x.i < y.i),
+stretches AS (
+  SELECT r, p, min(i) AS start, count(*) + 5 + p AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS island FROM pairs)
+  GROUP BY r, p, island HAVING count(*) + 5 + p >= greatest(12, 2 * p)),
+runs AS (SELECT r, start, length, min(p) AS period FROM stretches GROUP BY r, start, length),
+listed AS (
+  SELECT r, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS shown
+  FROM runs GROUP BY r),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY length DESC, start, period) = 1),
+gone AS (
+  SELECT r, list(DISTINCT i) AS dropped
+  FROM (SELECT r, unnest(range(start + period, start + length)) AS i FROM runs) GROUP BY r),
+words AS (SELECT r, unnest(w) AS word, unnest(range(0, n)) AS i FROM damaged WHERE n > 0),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS collapsed
+  FROM words LEFT JOIN (SELECT r, unnest(dropped) AS i, true AS gone FROM gone) USING (r, i)
+  WHERE gone IS NULL GROUP BY r)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start AS BIGINT) AS start,
+       CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+       CAST(1000 * length // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(shown, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM damaged LEFT JOIN listed USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``, the tail of every tenth text replaced by repetitions of its beginning.
+
+    Which texts, from which word on and with which period follows from the id alone; a null id has none.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    told = docs.select("doc_id", "text", h.alias("h"), g.alias("g"), F.when(h % 10 == 0, words_of(F.col("text"))).alias("w"))
+    told = told.withColumn("n", F.size("w")).withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END"))
+    repeated = F.expr(
+        "array_join(transform(w, (x, i) -> CASE WHEN i < a THEN x"
+        " ELSE w[CAST(a + (i - a) % (1 + (n - a) DIV (3 + g % 8)) AS INT)] END), ' ')"
+    )
+    return told.select("doc_id", F.when(F.col("a").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query(RUNS_SQL)
+def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Periodic runs of words in each document, and the text without repetitions."""
+    found = find_runs(with_repeats(table(spark, sf, "documents")), columns=["doc_id"])
+    best = F.expr(
+        "CASE WHEN size(runs) > 0 THEN"
+        " array_max(transform(runs, r -> struct(r.length AS length, -r.start AS before, -r.period AS period))) END"
+    )
+    told = found.withColumn("best", best)
+    shown = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return told.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.before")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length DIV -best.period").alias("exponent_milli"),
+        F.sha2(shown, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

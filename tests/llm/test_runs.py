@@ -1,0 +1,141 @@
+"""Periodic runs against all periods tried one by one."""
+
+import hashlib
+import random
+import zlib
+
+import brute
+import numpy as np
+import pytest
+
+from regspan.llm import runs as module
+from regspan.llm.queries import with_repeats
+from regspan.llm.runs import Catchers, find_runs, runs_of_texts
+from regspan.llm.words import mix
+
+
+def plain(w, least=12):
+    """(start, length, period) of all runs of a list."""
+    found = {}
+    for p in range(1, len(w) // 2 + 1):
+        i = 0
+        while i + p < len(w):
+            s = i
+            while i + p < len(w) and w[i] == w[i + p]:
+                i += 1
+            if i > s and i + p - s >= max(least, 2 * p):
+                found.setdefault((s, i + p - s), p)
+            i += 1
+    return sorted((s, n, p) for (s, n), p in found.items())
+
+
+def collapsed(w, runs):
+    gone = {i for s, n, p in runs for i in range(s + p, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def sample(rng):
+    kinds, n = rng.choice([1, 2, 3, 5, 50]), rng.choice([0, 1, 5, 12, 13, 30, 60, 100, 200])
+    out = []
+    while len(out) < n:
+        block = [rng.randrange(kinds) for _ in range(rng.randrange(1, 20))]
+        out += block * rng.choice([1, 1, 2, 3, 7])
+    return out[:n] if rng.random() < 0.5 else out
+
+
+def hashed(words):
+    return mix(np.array(words, np.uint64) + np.uint64(1))
+
+
+@pytest.mark.parametrize("append", [7, 50, 1 << 20])
+def test_runs_equal_all_periods(append, monkeypatch):
+    monkeypatch.setattr(module, "APPEND", append)
+    rng = random.Random(append)
+    for _ in range(80):
+        texts = [sample(rng) for _ in range(rng.choice([1, 3, 10]))]
+        first = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        found, of = runs_of_texts(hashed([x for t in texts for x in t]), first)
+        for i, text in enumerate(texts):
+            got = [(s - first[i], e - s, p) for s, e, p in found[of == i]]
+            assert got == plain(text)
+
+
+def test_words_appended_one_by_one():
+    rng = random.Random(3)
+    for _ in range(10):
+        text = sample(rng)
+        catchers = Catchers()
+        for i, w in enumerate(text):
+            catchers.append(hashed([w]))
+            if i % 9 == 0:  # what has been read so far
+                assert [(s, e - s, p) for s, e, p in catchers.runs()] == plain(text[: i + 1])
+        assert [(s, e - s, p) for s, e, p in catchers.runs()] == plain(text)
+
+
+def test_colliding_fingerprints_are_found_out(monkeypatch):
+    monkeypatch.setattr(Catchers, "_same", lambda self, x, y, n: self.words[x] == self.words[y])
+    text = ([1, 2, 3, 4] * 5 + [1, 2, 9, 4] * 4) * 2
+    found, _ = runs_of_texts(hashed(text), np.array([0, len(text)]))
+    assert set(plain(text)) <= {(s, e - s, p) for s, e, p in found.tolist()}
+    for s, e, p in found.tolist():
+        assert text[s : e - p] == text[s + p : e]
+
+
+def test_long_and_highly_repetitive_texts():
+    long = [0] * 40_000 + [1] + [0] * 40_000
+    found, _ = runs_of_texts(hashed(long), np.array([0, len(long)]))
+    assert [(s, e - s, p) for s, e, p in found] == [(0, 40_000, 1), (40_001, 40_000, 1)] or len(found) == 3
+    assert (0, 80_001, 40_001) not in {(s, e - s, p) for s, e, p in found}
+    nested = ([0] * 500 + [1]) * 40
+    found, _ = runs_of_texts(hashed(nested), np.array([0, len(nested)]))
+    assert (0, len(nested), 501) in {(s, e - s, p) for s, e, p in found.tolist()} and len(found) == 41
+
+
+def test_texts_of_all_kinds(spark):
+    line = "one two three four five six seven eight nine ten eleven twelve thirteen"
+    rows = [
+        (1, None), (2, ""), (3, " \n\t\r\x0b\x0c "), (4, "a " * 12), (5, "a " * 11), (6, f"{line}\n{line} {line}"),
+        (7, f" x  {line} "), (8, "ä ö " * 6 + "ende"), (9, "a b c " * 30_000), (None, "b " * 13), (4, "a " * 12),
+        (10, "a b " * 12), (11, "a\x1cb a " * 9),
+    ]
+    frame = spark.createDataFrame([(i, t, 5, "r", "z") for i, t in rows], "id long, text string, runs int, _runs string, `x.y` string")
+    found = find_runs(frame.repartition(2))
+    assert found.columns == ["id", "text", "x.y", "runs", "collapsed"]
+    got = found.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        w = brute.words(r.text)
+        if len(w) < 1000:
+            want = plain(w)
+            assert ([tuple(x) for x in r.runs], r.collapsed) == (want, collapsed(w, want))
+    big = next(r for r in got if r.id == 9)
+    assert [tuple(x) for x in big.runs] == [(0, 90_000, 3)] and big.collapsed == "a b c"
+    assert find_runs(frame.limit(0)).collect() == []
+    assert find_runs(frame, columns=["id"]).columns == ["id", "runs", "collapsed"]
+
+
+def test_query_by_brute_force(spark, tmp_path):
+    from regspan.llm.queries import QUERIES
+
+    rng = random.Random(11)
+    rows = [(i, " ".join(str(x) for x in sample(rng))) for i in range(60)] + [(60, None), (61, " "), (None, "a b " * 9), (5, "c " * 40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    want = []
+    for id, text in rows:
+        w = brute.words(text)
+        h = zlib.crc32(str(id).encode()) if id is not None else 1
+        if h % 10 == 0 and w:
+            g = h // 10
+            a = g % len(w)
+            p = 1 + (len(w) - a) // (3 + g % 8)
+            w = [w[i] if i < a else w[a + (i - a) % p] for i in range(len(w))]
+        runs = plain(w)
+        best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        told = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+        shown = "".join(f"{s},{n},{p}\n" for s, n, p in runs)
+        digests = [hashlib.sha256(x.encode()).hexdigest() for x in (shown, collapsed(w, runs))]
+        want.append((id, len(runs), *told, *digests))
+    got = [tuple(r) for r in QUERIES["op11_runs"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert any(zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows)
+    assert with_repeats(spark.read.parquet(f"{tmp_path}/documents.parquet").limit(0)).count() == 0
