@@ -22,7 +22,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import without
 from .words import NOT_SPACE, mix, word_hashes
 
 # A run has at least so many words.
@@ -330,9 +329,8 @@ def find_runs(
     per word of the longest text.
     """
     kept = [c for c in (columns or docs.columns) if c.lower() not in ("runs", "collapsed")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("_runs_text"))
-    rows = without(rows, ["_runs", "_collapsed"])
-    kept = [c for c in rows.columns if c != "_runs_text"]
-    schema = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in kept)
-    found = rows.mapInArrow(lambda it: _find(it, "_runs_text", kept, least), f"{schema}_runs {RUNS}, _collapsed string")
-    return found.select(*[F.col(f"`{c}`") for c in kept], F.col("_runs").alias("runs"), F.col("_collapsed").alias("collapsed"))
+    inside = [f"_{i}" for i in range(len(kept))]  # tasks see plain names
+    rows = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(kept, inside)], F.col(f"`{text}`").alias("_text"))
+    schema = "".join(f"{n} {rows.schema[n].dataType.simpleString()}, " for n in inside)
+    found = rows.mapInArrow(lambda it: _find(it, "_text", inside, least), f"{schema}_runs {RUNS}, _collapsed string")
+    return found.toDF(*kept, "runs", "collapsed")
