@@ -19,6 +19,7 @@ from .mixing import plan_mix
 from .quality import classify
 from .rules import MEASURES, cascade, with_measures
 from .runs import find_runs
+from .sharding import shard_documents
 from .tokens import count_tokens
 from .urls import Rule, judge_urls
 from .warc import captures, read_records, write_archives
@@ -457,3 +458,14 @@ def op11_runs(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(shown, 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query()
+def op12_shards(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents dealt to eight shards of nearly equal bytes; ``slot`` is the place within the shard."""
+    path = f"{own_folder(spark)}/shard-map-{uuid.uuid4().hex}"
+    placed = shard_documents(table(spark, sf, "documents"), path, shards=8, columns=["doc_id"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+        F.col("position").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )

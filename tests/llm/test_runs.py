@@ -100,7 +100,7 @@ def test_texts_of_all_kinds(spark):
     ]
     frame = spark.createDataFrame([(i, t, 5, "r", "z") for i, t in rows], "id long, text string, runs int, _runs string, `x.y` string")
     found = find_runs(frame.repartition(2))
-    assert found.columns == ["id", "text", "x.y", "runs", "collapsed"]
+    assert found.columns == ["id", "text", "_runs", "x.y", "runs", "collapsed"]
     got = found.collect()
     assert len(got) == len(rows)
     for r in got:
