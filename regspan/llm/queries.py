@@ -17,6 +17,7 @@ from .html import extract_text
 from .minhash import near_duplicates
 from .mixing import plan_mix
 from .quality import classify
+from .repair import repair
 from .rules import MEASURES, cascade, with_measures
 from .runs import find_runs
 from .sharding import shard_documents
@@ -469,3 +470,108 @@ def op12_shards(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("position").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _repair_sql() -> str:
+    """Row by row: a state of the pattern holds its least (cost, edits) and the lines that they give."""
+
+    def step(state: str, cost: int, edits: str, lines: str) -> str:
+        return (f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{edits}',"
+                f" 't': list_concat({state}.t, {lines})}} END")
+
+    def least(*ways: str) -> str:
+        return f"list_min(list_filter([{', '.join(ways)}], lambda x: x IS NOT NULL))"
+
+    def inserted(state: str, *roles: str) -> str:
+        lines = "[" + ", ".join(f"'{r}:'" for r in roles) + "]"
+        return step(state, 3 * len(roles), "I" * len(roles), lines)
+
+    def some(condition: str, way: str) -> str:
+        return f"CASE WHEN {condition} THEN {way} END"
+
+    def kept(state: str, initial: str) -> str:
+        ways = [f"{{'c': {state}.c + extra, 'a': {state}.a || 'K', 't': list_append({state}.t, role || ':' || text)}}"]
+        return some(f"{state} IS NOT NULL AND fault NOT IN ('b', 'd') AND role[1] = '{initial}'", ways[0])
+
+    def rerole(state: str, name: str) -> str:
+        way = f"{{'c': {state}.c + 3 + extra, 'a': {state}.a || 'R', 't': list_append({state}.t, '{name}:' || text)}}"
+        return some(f"{state} IS NOT NULL AND fault NOT IN ('b', 'd')", way)
+
+    gone = [step(f"q{k}", 4, "D", "[]") for k in range(4)]
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' ')) AS k
+  FROM conversations),
+drawn AS (SELECT *, {CRC_SQL} % 20 AS d FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN d = 1 THEN '' WHEN d = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT *, unnest(range(0, CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM drawn)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
+                 WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE 'k' END AS fault,
+         lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
+  FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+         count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+walk(conv_id, i, s0, s1, s2, s3) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), {{'c': 0, 'a': '', 't': []::VARCHAR[]}},
+         NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR[]), NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR[]),
+         NULL::STRUCT(c INTEGER, a VARCHAR, t VARCHAR[])
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {gone[0]}, {least(gone[1], kept('q0', 's'))},
+         {least(gone[2], *[kept(q, 'u') for q in ('q0', 'q1', 'q3')], *[rerole(q, 'user') for q in ('q0', 'q1', 'q3')])},
+         {least(gone[3], kept('q2', 'a'), rerole('q2', 'assistant'))}
+  FROM (
+    SELECT w.conv_id, j.i, j.role, j.text, j.fault, CASE WHEN j.fault = 't' THEN 3 ELSE 0 END AS extra,
+           s0 AS q0, s1 AS q1,
+           {least('s2', *[inserted(s, 'user') for s in ('s0', 's1', 's3')])} AS q2,
+           {least('s3', inserted('s2', 'assistant'), *[inserted(s, 'user', 'assistant') for s in ('s0', 's1')])} AS q3
+    FROM walk w JOIN judged j ON j.conv_id IS NOT DISTINCT FROM w.conv_id AND j.i = w.i + 1)),
+ends AS (
+  SELECT conv_id, {least('s0', 's3', inserted('s2', 'assistant'), inserted('s1', 'user', 'assistant'))} AS e
+  FROM walk QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY i DESC) = 1)
+SELECT ends.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(e.c AS BIGINT) AS cost, e.a AS audit,
+       sha256(array_to_string(e.t, chr(10))) AS repaired_sha256
+FROM ends LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ends.conv_id
+"""
+
+
+def with_damage(turns: DataFrame) -> DataFrame:
+    """Conversations of which a fifth of the turns is dropped, emptied, cut short, repeated or given to the user."""
+    space = F.lit(" ")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), space) for c in ("conv_id", "turn")])
+    told = turns.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"),
+        (F.crc32(key.cast("binary")) % 20).alias("d"),
+    )
+    copies = told.where("d != 0").withColumn("copy", F.explode(F.expr("CASE WHEN d = 3 THEN array(0, 1) ELSE array(0) END")))
+    return copies.select(
+        "conv_id", "turn", F.when(F.col("d") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("d") == 1, "").when(F.col("d") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text")).alias("text"),
+    )
+
+
+@query(_repair_sql())
+def op13_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults of each damaged conversation, and the cheapest edits that mend its structure."""
+    turns = table(spark, sf, "conversations")
+    found = repair(with_damage(turns))
+    ids = turns.select("conv_id").distinct()
+    lines, told = found.digests(ids), found.summary().withColumnRenamed("conv_id", "_id")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return lines.join(told, F.col("conv_id").eqNullSafe(F.col("_id")), "left").select(
+        "conv_id", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"), "repaired_sha256",
+    )

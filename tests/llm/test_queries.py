@@ -24,7 +24,7 @@ def rows(spark, name):
 
 
 def test_all_operators_are_registered():
-    assert [n.split("_")[0] for n in QUERIES] and {int(n.split("_")[0][2:]) for n in QUERIES} == set(range(1, 13))
+    assert [n.split("_")[0] for n in QUERIES] and {int(n.split("_")[0][2:]) for n in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
