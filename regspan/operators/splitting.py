@@ -12,14 +12,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.blocks import DAY_BITS, LAST_DAY, blocks, blocks_of_day, day_number
+from ..functions.blocks import LAST_DAY
+from .skyline import BIN_YEARS, timelines
 
 _PIECE = "_piece"
-# Years per block in which steps and observations meet.
-BIN_YEARS = 5
 
 
 def _explode_cuts(base: DataFrame, cuts: Column, start: str, end: str) -> DataFrame:
@@ -117,41 +116,18 @@ def value_steps(periods: DataFrame, id: str, start: str, end: str, value: str) -
     value; uncovered time has a null value. There is a step at every start and
     at every end. A period without an end is open.
     """
-    spans = periods.where(F.col(id).isNotNull()).select(
-        id, F.col(start).alias("_s"), _open_end(end).alias("_e"), F.col(end).alias("_step"),
-        F.struct(F.col(start).alias("since"), F.col(value).alias("value")).alias("_top"),
-        F.lit(DAY_BITS).alias("_bits"),
-    )
-    return _steps(spans, id)
-
+    spans = _spans(periods, id, start, end, value, F.col(end).isNotNull())
+    points = timelines(spans).select("_id", F.explode(F.flatten("years.points")).alias("p"))
+    return points.select(F.col("_id").alias(id), "p.at", "p.value")
 
-def _steps(spans: DataFrame, id: str) -> DataFrame:
-    """Steps of the spans ``[_s, _e)``, with a step at ``_s`` and at ``_step`` unless that is null.
 
-    A span is the union of a few aligned blocks of days and each day lies in one block of
-    each size, so the top span of a day is the greatest of at most ``_bits`` + 1 blocks found by an equi
-    join. Nothing is paired and no group grows with a person's rows.
-    """
-    spans = (
-        spans.where(F.col("_s") < F.col("_e"))
-        .groupBy(id, "_s", "_e", "_step", "_bits")
-        .agg(F.max("_top").alias("_top"))
-        .withColumns({"_low": day_number(F.col("_s")), "_high": day_number(F.col("_e"))})
+def _spans(periods: DataFrame, id: str, start: str, end: str, value: str, ends: Column) -> DataFrame:
+    """Periods as the sweep reads them: days as numbers; ``_ends`` tells whether the end is a step."""
+    spans = periods.where(F.col(id).isNotNull() & (F.col(start) < _open_end(end)))
+    return spans.select(
+        F.col(id).alias("_id"), F.unix_date(F.col(start)).alias("_s"),
+        F.unix_date(_open_end(end)).alias("_e"), ends.alias("_ends"), F.col(value).alias("_value"),
     )
-    covers = (
-        spans.select(id, "_top", F.explode(blocks("_low", "_high")).alias("_b"))
-        .select(id, "_top", F.col("_b.bits").alias("_level"), F.col("_b.block").alias("_block"))
-        .groupBy(id, "_level", "_block")
-        .agg(F.max("_top").alias("_top"))
-    )
-    days = spans.select(id, "_bits", F.explode(F.array_compact(F.array("_s", "_step"))).alias("at"))
-    days = days.groupBy(id, "at").agg(F.max("_bits").alias("_bits"))
-    asked = days.withColumn("_day", day_number(F.col("at"))).select(
-        id, "at", F.explode(F.slice(blocks_of_day("_day"), F.lit(1), F.col("_bits") + 1)).alias("_b")
-    )
-    asked = asked.select(id, "at", F.col("_b.bits").alias("_level"), F.col("_b.block").alias("_block"))
-    found = asked.join(covers, [id, "_level", "_block"], "left")
-    return found.groupBy(id, "at").agg(F.max("_top")["value"].alias("value"))
 
 
 def _bin(date: str) -> Column:
@@ -177,62 +153,28 @@ def lexis_from_to(
     overlaps follow ``value_steps``. A missing end is open, of observations and periods alike;
     an end of 9999-12-31 of a period is the same.
 
-    Periods are first cut to the time from a person's first observation start to the last end.
-    Each person's steps and observation starts then form one timeline that knows,
-    for each day on it, the value and the next step. Timeline and observations
-    meet per person and block of years that holds a point of the timeline, so an observation is
-    compared with the days of its own years only, and an open one makes no empty blocks.
+    Periods and observation starts of a person are swept once in order of days into one timeline
+    that knows, for each day on it, the value and the next step. Observations meet it by
+    person and look at the points of their own years, so an open one looks at no empty time.
     """
     name = name or value
+    far = F.lit(LAST_DAY).cast("date")
+    spans = _spans(periods, id, period_start, period_end, value, F.coalesce(F.col(period_end) < far, F.lit(False)))
     starts = base.where(F.col(id).isNotNull() & F.col(start).isNotNull())
-    seen = starts.groupBy(id).agg(F.min(start).alias("_first"), F.max(_open_end(end)).alias("_final"))
-    cut = periods.where(F.col(id).isNotNull()).join(seen, id)
-    last = F.least(_open_end(period_end), F.col("_final"))
-    width = day_number(F.col("_final")) - day_number(F.col("_first")) + 1
-    spans = cut.select(
-        id,
-        F.greatest(F.when(F.col(period_start).isNotNull(), F.col("_first")), F.col(period_start)).alias("_s"),
-        last.alias("_e"),
-        F.when(last < F.col("_final"), last).alias("_step"),
-        F.struct(F.col(period_start).alias("since"), F.col(value).alias("value")).alias("_top"),
-        # No block larger than the person's time can be part of a span.
-        F.length(F.bin(F.greatest(width, F.lit(1)))).alias("_bits"),
-    )
-    steps = _steps(spans, id)
-    known = F.struct("value").alias("step")
-    points = (
-        steps.select(id, "at", known)
-        .unionByName(starts.select(id, F.col(start).alias("at")), allowMissingColumns=True)
-        .groupBy(id, "at")
-        .agg(F.max("step").alias("step"))
-    )
-    person = Window.partitionBy(id).orderBy("at")
-    # Backwards in time, where a frame that only grows is cheap for Spark.
-    later = Window.partitionBy(id).orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, -1)
-    is_step = F.col("step").isNotNull()
-    timeline = points.select(
-        id,
-        "at",
-        is_step.alias("is_step"),
-        F.last("step", ignorenulls=True).over(person)["value"].alias("value"),
-        F.min(F.when(is_step, F.col("at"))).over(later).alias("next"),
-    )
-    binned = timeline.groupBy(id, _bin("at").alias("_bin")).agg(
-        F.collect_list(F.struct("at", "is_step", "value", "next")).alias("_points")
-    )
-    # At most one number per block of years.
-    bins = binned.groupBy(id).agg(F.collect_set("_bin").alias("_bins"))
+    starts = starts.select(F.col(id).alias("_id"), F.unix_date(F.col(start)).alias("_s"))
+    known = timelines(spans.unionByName(starts, allowMissingColumns=True))
+    # The points of an observation's own years, and of those only the ones inside it.
     last_day = F.greatest(F.date_sub(_open_end(end), 1), F.col(start))
-    mine = F.filter("_bins", lambda b: (b >= _bin(start)) & (b <= F.floor(F.year(last_day) / BIN_YEARS)))
-    spans_of = base.join(bins, id, "left").withColumn("_bin", F.explode_outer(mine)).drop("_bins")
-    joined = spans_of.join(binned, [id, "_bin"], "left")
+    mine = F.filter("years", lambda y: (y["bin"] >= _bin(start)) & (y["bin"] <= F.floor(F.year(last_day) / BIN_YEARS)))
+    joined = base.join(known, F.col(id) == F.col("_id"), "left")
+    joined = joined.withColumn("_points", F.flatten(F.transform(mine, lambda y: y["points"]))).drop("years", "_id")
     pieces = F.expr(
-        f"""CASE WHEN _points IS NOT NULL THEN transform(
+        f"""CASE WHEN `{id}` IS NULL OR `{start}` IS NULL THEN
+              array(struct(`{start}` AS start, `{end}` AS end, null AS value))
+            ELSE transform(
               filter(_points, p -> p.at = `{start}`
                 OR (p.is_step AND p.at > `{start}` AND coalesce(p.at < `{end}`, true))),
               p -> struct(p.at AS start, least(p.next, `{end}`) AS end, p.value AS value))
-            WHEN `{id}` IS NULL OR `{start}` IS NULL THEN
-              array(struct(`{start}` AS start, `{end}` AS end, null AS value))
             END"""
     )
     split = joined.withColumn(_PIECE, F.explode(pieces))

@@ -4,10 +4,11 @@ import datetime as dt
 import random
 
 import pytest
-from helpers import d, rows
+from helpers import d, plan, rows
 from pyspark.sql import functions as F
 
 from regspan.operators.intervals import adm_limits, merged_periods
+from regspan.operators.skyline import Timeline
 from regspan.operators.splitting import lexis_from_to, lexis_seq, lexis_two, value_steps
 
 
@@ -228,3 +229,33 @@ def test_equal_starts_and_null_values(spark):
     df = spark.createDataFrame(data, "pnr string, `from` date, `to` date, value int")
     steps = rows(value_steps(df, "pnr", "from", "to", "value"), "at", "value")
     assert steps == [(day(0), 3), (day(5), None), (day(8), 3), (day(10), 2), (day(20), None)]
+
+
+def test_sweep_reads_each_period_once(spark, base, periods):
+    """Reduced equal periods and the sweep are the only shuffles of periods; no windows, no pairing."""
+    text = plan(lexis_from_to(base, periods, event="event"))
+    text = text.split("== Initial Plan ==")[-1]
+    assert "Window" not in text and "Generate explode(array" not in text
+    assert sum("Exchange hash" in line for line in text.splitlines()) <= 4
+
+
+def test_sweep_of_nested_and_repeated_periods():
+    line = Timeline()
+    for period in [(0, 100, True, "a"), (10, 90, True, "b"), (10, 90, True, "c"), (20, 30, True, "d"), (25, 95, False, "e")]:
+        line.add(*period)
+    line.add(99, None, False, None)
+    line.add(100, None, False, None)
+    line.close()
+    assert list(zip(line.days, line.steps, line.values)) == [
+        (0, True, "a"), (10, True, "c"), (20, True, "d"), (25, True, "e"), (30, True, "e"), (90, True, "e"),
+        (99, False, "a"), (100, True, None),
+    ]
+
+
+def test_sweep_holds_only_periods_that_can_come_back():
+    line = Timeline()
+    for day in range(3000):
+        line.add(day, day + 50 - day % 7, True, day)
+        assert len(line._open) <= 51
+    line.close()
+    assert line.days == sorted(set(line.days)) and not line._open
