@@ -8,7 +8,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from regspan.operators.benefits import import_dream, lab_coverage_long
+from regspan.operators.benefits import import_deliveries, import_dream, lab_coverage_long
 from regspan.operators.comorbidity import charlson, weighted_score
 from regspan.operators.conditions import condition_wide, find_condition
 from regspan.operators.cohort import restrict
@@ -251,6 +251,49 @@ def branch_long(spark, sf):
     return import_dream(wide, kind="branch")
 
 
+@query(f"""
+WITH {VISITS}, monthly AS (
+  SELECT pnr, CAST(date_trunc('month', day) AS DATE) AS month, day, o_orderkey, o_orderpriority AS code FROM visits
+), older AS (
+  SELECT pnr, month, arg_min(code, (day, o_orderkey)) AS code
+  FROM monthly WHERE month < DATE '1999-01-01' GROUP BY 1, 2
+), newer AS (
+  SELECT pnr, month, max(code) AS code
+  FROM (SELECT pnr, month, arg_max(code, (day, o_orderkey)) AS code
+        FROM monthly WHERE month >= DATE '1998-01-01' GROUP BY pnr, month, o_orderkey % 2)
+  GROUP BY 1, 2
+), decided AS (
+  SELECT * FROM newer
+  UNION ALL SELECT * FROM older
+  WHERE month < DATE '1998-01-01' OR pnr NOT IN (SELECT pnr FROM newer)
+), marked AS (
+  SELECT *, CASE WHEN lag(month) OVER w = month - INTERVAL 1 MONTH AND lag(code) OVER w = code
+            THEN 0 ELSE 1 END AS opens
+  FROM decided WINDOW w AS (PARTITION BY pnr ORDER BY month)
+), runs AS (
+  SELECT *, sum(opens) OVER (PARTITION BY pnr ORDER BY month) AS run FROM marked)
+SELECT pnr, code, min(month) AS start, CAST(max(month) + INTERVAL 1 MONTH AS DATE) AS "end"
+FROM runs GROUP BY pnr, run, code
+""")
+def dream_deliveries(spark, sf):
+    """Two deliveries that share persons and a year; the newer one has up to two rows per person."""
+    seen = visits(spark, sf).withColumn("month", F.date_trunc("month", "day").cast("date"))
+    first_day, last_day = _bounds(seen.select("day"))
+    numbers = range(first_day.year * 12 + first_day.month - 1, last_day.year * 12 + last_day.month)
+    name = F.concat(F.lit("br_"), F.date_format("month", "yyyy_MM"))
+    order = F.struct("day", "o_orderkey")
+
+    def wide(rows, pick, keys, years):
+        months = [f"br_{n // 12}_{n % 12 + 1:02d}" for n in numbers if n // 12 in years]
+        codes = rows.groupBy(*keys, name.alias("name")).agg(pick("o_orderpriority", order).alias("code"))
+        return codes.groupBy(*keys).pivot("name", months).agg(F.min("code"))
+
+    older = wide(seen.where("year(month) < 1999"), F.min_by, ["pnr"], range(1900, 1999))
+    part = (F.col("o_orderkey") % 2).alias("part")
+    newer = wide(seen.where("year(month) >= 1998").withColumn("part", part), F.max_by, ["pnr", "part"], range(1998, 2100))
+    return import_deliveries([older, newer.drop("part")], kind="branch")
+
+
 @query("""
 WITH counted AS (
   SELECT r_name AS region, o_orderpriority AS speciale, n_name AS laboratorium,
@@ -296,6 +339,31 @@ def coverage_long(spark, sf):
     return lab_coverage_long(wide, id_codes)
 
 
+@query("""
+WITH quarterly AS (
+  SELECT r_name AS region, 'kvartal' || year(o_orderdate) || '_' || quarter(o_orderdate) AS quarter, count(*) AS n
+  FROM orders JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL)
+SELECT region, quarter, n, idcode
+FROM quarterly LEFT JOIN (
+  SELECT r_name AS region, min(n_name) AS idcode FROM nation JOIN region ON n_regionkey = r_regionkey
+  WHERE r_name <> 'EUROPE' GROUP BY 1) USING (region)
+WHERE quarter < 'kvartal1998'
+""")
+def coverage_repeats(spark, sf):
+    """A code table with five id codes per laboratory, of which the least counts."""
+    nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    places = places.select("n_nationkey", "n_name", F.col("r_name").alias("region"))
+    people = table(spark, sf, "customer").select(F.col("c_custkey").alias("pnr"), F.col("c_nationkey").alias("n_nationkey"))
+    quarter = F.concat(F.lit("kvartal"), F.year("day"), F.lit("_"), F.quarter("day")).alias("quarter")
+    counted = visits(spark, sf).where("year(day) < 1998").join(people, "pnr").join(places, "n_nationkey")
+    names = [f"kvartal{y}_{q}" for y in (1995, 1996, 1997) for q in (1, 2, 3, 4)]
+    wide = counted.groupBy("region", quarter).count().groupBy("region").pivot("quarter", names).agg(F.sum("count"))
+    id_codes = places.where("region <> 'EUROPE'").select("region", F.col("n_name").alias("idcode"))
+    return lab_coverage_long(wide, id_codes, keys=["region"])
+
+
 CLASSES = {"eco": ["ECONOMY"], "large": ["LARGE"], "promo": ["PROMO"]}
 
 CLASSED = f"""{LINES}, classed AS (

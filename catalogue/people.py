@@ -198,3 +198,24 @@ def education(spark, sf):
         F.col("r_name").alias("level5"), F.col("n_name").alias("isced"),
     )
     return education_level(register, people, lookup).select("pnr", "hfaudd", "level5", "isced")
+
+
+@query("""
+WITH lookup AS (
+  SELECT CAST(n_regionkey AS VARCHAR) AS hfaudd, CAST(n_nationkey % 3 AS INTEGER) AS level5, n_name AS isced
+  FROM nation WHERE n_regionkey < 4
+  QUALIFY row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey % 3, n_name) = 1)
+SELECT c_custkey AS pnr, CAST(c_nationkey % 6 AS VARCHAR) AS hfaudd, level5, isced
+FROM customer LEFT JOIN lookup ON CAST(c_nationkey % 6 AS VARCHAR) = hfaudd
+WHERE c_custkey IN (SELECT o_custkey FROM orders)
+""")
+def education_repeats(spark, sf):
+    """A code table that repeats its codes: the least row of each counts, no person is multiplied."""
+    register = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("pnr"), (F.col("c_nationkey") % 6).cast("string").alias("hfaudd")
+    )
+    lookup = table(spark, sf, "nation").where("n_regionkey < 4").select(
+        F.col("n_regionkey").cast("string").alias("hfaudd"),
+        (F.col("n_nationkey") % 3).cast("int").alias("level5"), F.col("n_name").alias("isced"),
+    )
+    return education_level(register, visits(spark, sf), lookup).select("pnr", "hfaudd", "level5", "isced")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,6 +63,24 @@ def governed_extract(
     return restrict(rows, population, id).select(*columns)
 
 
+def left_merge(base: DataFrame, tables: Sequence[DataFrame], on: str | Sequence[str]) -> DataFrame:
+    """Fold tables onto a base, whose rows all remain, each once.
+
+    Our rule: a table that repeats a key counts with its least row (columns compared in order, nulls
+    first), so the base is never multiplied; keys with a null match nothing. Tables already grouped by
+    the key are not shuffled again.
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+
+    def one_each(table: DataFrame) -> DataFrame:
+        others = [c for c in table.columns if c not in keys]
+        known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+        least = table.where(known).groupBy(*keys).agg(F.min(F.struct(*others)).alias("_least"))
+        return least.select(*keys, *[F.col(f"_least.{c}").alias(c) for c in others])
+
+    return reduce(lambda a, b: a.join(one_each(b), keys, "left"), tables, base)
+
+
 def code_list_filter(df: DataFrame, code: str, codes: DataFrame) -> DataFrame:
     """Rows whose code is in a list; repeats in the list do not multiply rows."""
     return df.join(codes.select(F.col(codes.columns[0]).alias(code)).distinct(), code, "left_semi")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.codes import Conditions, condition_lists, starts_with_any
 from ..functions.dates import seconds_between
 from ..operators.benefits import import_dream
-from ..operators.cohort import cohort_extract, restrict
+from ..operators.cohort import cohort_extract, left_merge, restrict
 from ..operators.conditions import find_condition
 from ..sources.files import locate
 from ..sources.registers import append, read_periods, read_register, select_prefix
@@ -89,10 +89,11 @@ def education_level(
 ) -> DataFrame:
     """Education records of the population with the levels of a code table.
 
-    A code the table does not know keeps its row with null levels.
+    A code the table does not know keeps its row with null levels; one that it repeats counts with
+    its least row there, see ``left_merge``.
     """
     rows = restrict(register, population)
-    return rows if lookup is None else rows.join(lookup, code, "left")
+    return rows if lookup is None else left_merge(rows, [lookup], code)
 
 
 # Directory-name patterns of the yearly registers.

@@ -2,34 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.codes import valid_id
 from ..functions.values import plausible_death, reconciled_birth, year_dependent
-from ..operators.cohort import first_event, first_event_after, first_presence
+from ..operators.cohort import first_event, first_event_after, first_presence, left_merge
 from ..sources.files import locate
 from ..sources.registers import append, read_periods, read_register
 
 
-def left_merge(base: DataFrame, tables: list[DataFrame], on: str) -> DataFrame:
-    """Fold tables onto a base, whose rows all remain, each once.
-
-    Our rule: a table that repeats an id counts with its least row (columns compared in order, nulls
-    first), so persons are never multiplied; ids that are null match nothing. Tables already grouped by id
-    are not shuffled again.
-    """
-
-    def one_each(table: DataFrame) -> DataFrame:
-        others = [c for c in table.columns if c != on]
-        least = table.where(F.col(on).isNotNull()).groupBy(on).agg(F.min(F.struct(*others)).alias("_least"))
-        return least.select(on, *[F.col(f"_least.{c}").alias(c) for c in others])
-
-    return reduce(lambda a, b: a.join(one_each(b), on, "left"), tables, base)
-
-
 def follow_up_end(
     presence: DataFrame,
     migrations: DataFrame,

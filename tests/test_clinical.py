@@ -9,7 +9,7 @@ from helpers import d, rows
 from pyspark.sql import functions as F
 
 from regspan.functions.dates import iso_week_start, month_column, week_column
-from regspan.operators.benefits import import_dream, lab_coverage_long
+from regspan.operators.benefits import Stitching, import_deliveries, import_dream, lab_coverage_long
 from regspan.operators.comorbidity import charlson, weighted_score
 from regspan.operators.prescriptions import (
     Drug,
@@ -74,6 +74,64 @@ def test_branch_months(spark):
     ]
 
 
+def test_rows_of_one_person_are_stitched(spark):
+    names = "pnr string, y_0801 string, y_0802 string, y_0803 string, y_0804 string"
+    wide = spark.createDataFrame([("P", "1", "1", None, ""), ("P", None, None, "1", "2"), ("Q", "5", None, "5", "5"), (None, "7", "7", "7", "7"), ("", "7", None, None, None)], names)
+    assert rows(import_deliveries([wide])) == [
+        ("P", "1", d("2007-12-31"), d("2008-01-21")), ("P", "2", d("2008-01-21"), d("2008-01-28")),
+        ("Q", "5", d("2007-12-31"), d("2008-01-07")), ("Q", "5", d("2008-01-14"), d("2008-01-28")),
+    ]
+    assert len(rows(import_dream(wide.where("pnr = 'P'")))) == 3
+
+
+def test_later_deliveries_decide(spark):
+    old = spark.createDataFrame([("P", "1", "1", "1"), ("Q", "1", "1", "1")], "pnr string, y_0801 string, y_0802 string, y_0803 string")
+    new = spark.createDataFrame([("P", None, "1", "1"), ("R", "3", "4", "4"), ("R", "9", "4", None)], "pnr string, y_0803 string, y_0804 string, y_0806 string")
+    assert rows(import_deliveries([old, new])) == [
+        ("P", "1", d("2007-12-31"), d("2008-01-14")), ("P", "1", d("2008-01-21"), d("2008-01-28")), ("P", "1", d("2008-02-04"), d("2008-02-11")),
+        ("Q", "1", d("2007-12-31"), d("2008-01-21")),
+        ("R", "4", d("2008-01-21"), d("2008-01-28")), ("R", "4", d("2008-02-04"), d("2008-02-11")), ("R", "9", d("2008-01-14"), d("2008-01-21")),
+    ]
+    assert rows(import_deliveries([old.limit(0), new.limit(0)])) == []
+
+
+def test_stitching_against_weeks():
+    rng = random.Random(4)
+    for _ in range(300):
+        deliveries = []
+        for _ in range(rng.randrange(1, 4)):
+            low, high = sorted(rng.sample(range(12), 2))
+            rows_ = [{w: rng.choice([None, None, "a", "b"]) for w in range(low, high)} for _ in range(rng.randrange(1, 3))]
+            deliveries.append(rows_)
+        runs, week = [], {}
+        for i, rows_ in enumerate(deliveries):
+            for row in rows_:
+                for w, code in row.items():
+                    if runs and runs[-1][0] == i and runs[-1][1] == code and runs[-1][3] == w:
+                        runs[-1][3] = w + 1
+                    else:
+                        runs.append([i, code, w, w + 1])
+            for w in rows_[0]:
+                week[w] = max((r[w] or "" for r in rows_))
+        want = []
+        for w in sorted(week):
+            if week[w] and want and want[-1][0] == week[w] and want[-1][2] == w:
+                want[-1][2] = w + 1
+            elif week[w]:
+                want.append([week[w], w, w + 1])
+        line = Stitching()
+        for run in sorted(runs, key=lambda r: (r[2], rng.random())):
+            line.add(*run)
+        line.close()
+        assert line.periods == want
+
+
+def test_repeated_id_codes(spark):
+    counts = spark.createDataFrame([("R", 3)], "region string, kvartal2008_1 int")
+    codes = spark.createDataFrame([("R", "X2"), ("R", "X1"), (None, "X0")], "region string, idcode string")
+    assert rows(lab_coverage_long(counts, codes, keys=["region"]), "quarter", "n", "idcode") == [("kvartal2008_1", 3, "X1")]
+
+
 def test_coverage(spark):
     counts = spark.createDataFrame([("N", "s", "L", 3, None)], "region string, speciale string, laboratorium string, kvartal2008_1 int, kvartal2008_2 int")
     codes = spark.createDataFrame([("X1", "L", "N", "s")], "idcode string, laboratorium string, region string, speciale string")
