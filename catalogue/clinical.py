@@ -13,7 +13,9 @@ from regspan.operators.comorbidity import charlson, weighted_score
 from regspan.operators.conditions import condition_wide, find_condition
 from regspan.operators.cohort import restrict
 from regspan.operators.prescriptions import hypertension_at, hypertension_first
-from regspan.plans.extracts import hospital_conditions, lab_results, medication
+from regspan.operators.carry import carry_forward
+from regspan.operators.lookback import events_before as look_back
+from regspan.plans.extracts import hospital_conditions, lab_results, laboratory_values as lab_values, medication
 from regspan.sources.registers import read_periods
 
 from . import query
@@ -440,3 +442,67 @@ FROM (SELECT DISTINCT pnr, condition FROM found) GROUP BY pnr
 def component_score(spark, sf):
     found = find_condition(lines(spark, sf), "p_brand", ["pnr"], BRANDS)
     return weighted_score(found, {"first": 1, "teens": 6, "other": 2}, "pnr")
+
+
+# Every third order belongs to one person, who thus owns a third of all rows.
+_HEAVY = "CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE pnr END"
+
+
+@query(f"""
+WITH {VISITS}, dated AS (SELECT {_HEAVY} AS pnr, day, o_orderkey, o_orderpriority FROM visits),
+first_days AS (SELECT pnr, year(day) AS year, min(day) AS index_date FROM dated GROUP BY 1, 2)
+SELECT f.pnr, f.year, f.index_date, d.day AS date, d.o_orderkey, CAST(f.index_date - d.day AS INTEGER) AS days_before
+FROM first_days f JOIN dated d ON d.pnr = f.pnr AND d.day BETWEEN f.index_date - 180 AND f.index_date - 1
+""")
+def events_before(spark, sf):
+    """The visits in the 180 days before a person's first visit of each year."""
+    seen = visits(spark, sf).select(F.expr(_HEAVY).alias("pnr"), F.col("day").alias("date"), "o_orderkey")
+    index = seen.groupBy("pnr", F.year("date").cast("long").alias("year")).agg(F.min("date").alias("index_date"))
+    return look_back(index, seen, 180)
+
+
+@query(f"""
+WITH {VISITS}, known AS (
+  SELECT {_HEAVY} AS pnr, day, o_orderkey, CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END AS priority,
+         CASE WHEN o_orderkey % 5 = 0 THEN o_totalprice END AS price
+  FROM visits)
+SELECT pnr, day, o_orderkey, last_value(priority IGNORE NULLS) OVER w AS priority,
+       last_value(price IGNORE NULLS) OVER w AS price
+FROM known WINDOW w AS (PARTITION BY pnr ORDER BY day, o_orderkey)
+""")
+def carried_forward(spark, sf):
+    """The last known priority and price at each visit."""
+    known = visits(spark, sf).select(
+        F.expr(_HEAVY).alias("pnr"), "day", "o_orderkey",
+        F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority")).alias("priority"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.col("o_totalprice")).alias("price"),
+    )
+    return carry_forward(known, ["priority", "price"], order=["day", "o_orderkey"])
+
+
+@query("""
+WITH register AS (
+  SELECT o_custkey AS pnr, CAST(l_shipdate AS DATE) AS samplingdate, 'NPU' || lpad(CAST(l_partkey AS VARCHAR), 5, '0') AS code,
+         CASE WHEN l_returnflag = 'R' THEN 'failed' END AS note, CASE WHEN l_returnflag = 'N' THEN l_quantity END AS number,
+         l_returnflag
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT pnr, samplingdate, CAST(number AS DOUBLE) AS number, CASE WHEN l_returnflag = 'A' THEN '7' ELSE note END AS note, condition
+FROM register JOIN (VALUES ('low', 'NPU0000'), ('any', 'NPU000'), ('first', 'NPU00001')) c(condition, prefix) ON starts_with(code, prefix)
+WHERE code IN (SELECT 'NPU' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') FROM part WHERE p_size < 40)
+  AND pnr IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
+""")
+def laboratory_values(spark, sf):
+    """Results of a list of thousands of codes, numbers and texts apart."""
+    as_code = lambda c: F.concat(F.lit("NPU"), F.lpad(F.col(c).cast("string"), 5, "0"))
+    flag = F.col("l_returnflag")
+    register = table(spark, sf, "lineitem").join(
+        visits(spark, sf).select("pnr", F.col("o_orderkey").alias("l_orderkey")), "l_orderkey"
+    ).select(
+        "pnr", F.to_date("l_shipdate").alias("samplingdate"), as_code("l_partkey").alias("analysiscode"),
+        F.when(flag == "R", "failed").when(flag == "A", "7").otherwise(F.col("l_quantity").cast("string")).alias("value"),
+        F.when(flag == "A", "A").otherwise("N").alias("resulttype"),
+    )
+    parts = table(spark, sf, "part").where("p_size < 40").select(as_code("p_partkey").alias("code"))
+    people = table(spark, sf, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("pnr"))
+    named = {"low": "NPU0000", "any": "NPU000", "first": "NPU00001"}
+    return lab_values(register, people, parts.union(parts), named)

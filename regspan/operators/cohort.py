@@ -86,6 +86,24 @@ def code_list_filter(df: DataFrame, code: str, codes: DataFrame) -> DataFrame:
     return df.join(codes.select(F.col(codes.columns[0]).alias(code)).distinct(), code, "left_semi")
 
 
+# The most codes that are compared inside the scan.
+LISTED_CODES = 50_000
+
+
+def listed_codes(df: DataFrame, code: str, codes: DataFrame, most: int = LISTED_CODES) -> DataFrame:
+    """Rows whose code is one of a list, tested while the register is scanned.
+
+    Up to ``most`` distinct codes are read once and become a set that the scan receives: Parquet
+    skips what lies outside its range, other rows cost one look-up. A longer list is met by
+    a join, see ``code_list_filter``. Null codes are in no list.
+    """
+    wanted = codes.select(F.col(codes.columns[0]).alias(code)).where(F.col(code).isNotNull()).distinct()
+    found = wanted.limit(most + 1).collect()
+    if len(found) > most:
+        return code_list_filter(df, code, wanted)
+    return df.where(F.col(code).isin([r[0] for r in found]) if found else F.lit(False))
+
+
 def first_presence(
     snapshots: DataFrame,
     id: str,

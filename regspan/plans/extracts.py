@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import Conditions, condition_lists, starts_with_any
 from ..functions.dates import seconds_between
+from ..functions.values import numeric_result, text_result
 from ..operators.benefits import import_dream
-from ..operators.cohort import cohort_extract, left_merge, restrict
+from ..operators.cohort import cohort_extract, left_merge, listed_codes, restrict
 from ..operators.conditions import find_condition
 from ..sources.files import locate
 from ..sources.registers import append, read_periods, read_register, select_prefix
@@ -71,6 +72,34 @@ def lab_results(
     return find_condition(rows, code, columns, conditions)
 
 
+def laboratory_values(
+    register: DataFrame,
+    population: DataFrame,
+    codes: DataFrame,
+    conditions: Conditions | None = None,
+    columns: Sequence[str] = ("pnr", "samplingdate"),
+    code: str = "analysiscode",
+    value: str = "value",
+    result_type: str = "resulttype",
+    numeric_types: Sequence[str] = ("N",),
+) -> DataFrame:
+    """Results of listed analyses with their value as ``number`` or, where it is none, as ``note``.
+
+    ``codes`` is a list of exact codes; its set is tested in the scan, in front of the prefixes
+    of ``conditions``, which name the analyses (without them, the code itself stays). A value whose type says it
+    is numeric and that is a number goes to ``number``, anything else to ``note``. One pass over the register.
+    """
+    rows = listed_codes(register, code, codes)
+    where = None if conditions is None else _any_prefix(code, conditions)
+    rows = cohort_extract(rows, population, [code, *columns, value, result_type], where)
+    split = F.col(value), F.col(result_type), list(numeric_types)
+    shown = rows.withColumn("number", numeric_result(*split)).withColumn("note", text_result(*split))
+    kept = [*columns, "number", "note"]
+    if conditions is None:
+        return shown.select(code, *kept)
+    return find_condition(shown, code, kept, conditions)
+
+
 def medication(
     register: DataFrame,
     population: DataFrame,
