@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from regspan.functions.codes import starts_with_any, valid_id
 from regspan.functions.dates import seconds_between
 from regspan.functions.values import alive_from, numeric_result, plausible_death, text_result
-from regspan.operators.cohort import cohort_extract, code_list_filter, governed_extract
+from regspan.operators.cohort import cohort_extract, code_list_filter, governed_extract, left_merge, restrict
 from regspan.session import own_folder
+from regspan.sources.buckets import save_bucketed
 from regspan.sources.inventory import dataset_contents, inventory
+from regspan.sources.inventory import project_inventory as tree_inventory
+from regspan.sources.rebuilt import rebuilt
 from regspan.sources.registers import (
     append,
     cast_failures,
@@ -335,3 +338,69 @@ def append_with_nulls(spark, sf):
     orders = table(spark, sf, "orders").select(F.col("o_custkey").alias("pnr"), F.col("o_totalprice").alias("amount"))
     people = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("segment"), F.col("c_custkey").alias("pnr"))
     return append([orders, people])
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{dataset}' AS dataset, unnest({[c for c in _COLUMNS[name].split() if c != part]}) AS \"column\", n AS \"rows\""
+        f" FROM (SELECT count(*) AS n FROM {name})"
+        for dataset, name, part in (
+            ("Grunddata/cpr/person", "customer", ""), ("Grunddata/lpr/kontakter", "orders", "o_orderstatus"),
+            ("Grunddata/lpr/diagnoser", "lineitem", ""), ("Eksterne data/land", "nation", ""),
+        )
+    )
+)
+def project_inventory(spark, sf):
+    """A tree of registers, one of them in folders per status."""
+    root = f"{own_folder(spark)}/tree-{uuid.uuid4().hex}"
+    for folder, name in (("Grunddata/cpr/person", "customer"), ("Grunddata/lpr/diagnoser", "lineitem"), ("Eksterne data/land", "nation")):
+        table(spark, sf, name).write.parquet(f"{root}/{folder}.parquet")
+    table(spark, sf, "orders").write.partitionBy("o_orderstatus").parquet(f"{root}/Grunddata/lpr/kontakter.parquet")
+    return tree_inventory(spark, root).select("dataset", "column", "rows")
+
+
+@query("""
+SELECT o_custkey AS pnr, o_orderpriority AS priority, count(*) AS visits, CAST(max(o_orderdate) AS DATE) AS last_visit
+FROM orders GROUP BY ALL
+""")
+def rebuilt_result(spark, sf):
+    """Made once; the second call finds plan, files and parameters unchanged and reads what the first one wrote."""
+    path = f"{own_folder(spark)}/kept-{uuid.uuid4().hex}"
+
+    def made():
+        seen = visits(spark, sf).withColumnRenamed("o_orderpriority", "priority")
+        per_person = seen.groupBy("pnr", "priority").agg(F.count(F.lit(1)).alias("visits"), F.max("day").alias("last_visit"))
+        return rebuilt(per_person, path)
+
+    made()
+    return made()
+
+
+@query("""
+WITH cohort AS (SELECT c_custkey AS pnr, c_mktsegment FROM customer WHERE c_acctbal < 0)
+SELECT c.pnr, c_mktsegment, first_day, last_day, items
+FROM cohort c
+LEFT JOIN (SELECT o_custkey AS pnr, CAST(min(o_orderdate) AS DATE) AS first_day, CAST(max(o_orderdate) AS DATE) AS last_day
+           FROM orders GROUP BY 1) v USING (pnr)
+LEFT JOIN (SELECT o_custkey AS pnr, count(*) AS items FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1) i USING (pnr)
+""")
+def bucketed_cohort(spark, sf):
+    """Registers in buckets cut to a cohort, reduced and merged by person, all without a shuffle."""
+    return bucket_merge(*bucketed_registers(spark, sf))
+
+
+def bucketed_registers(spark, sf):
+    folder = f"{own_folder(spark)}/buckets-{uuid.uuid4().hex}"
+    people = table(spark, sf, "customer").select(F.col("c_custkey").alias("pnr"), "c_mktsegment", "c_acctbal")
+    items = lines(spark, sf, coded=False).select("pnr", "p_partkey")
+    seen = visits(spark, sf).select("pnr", "day")
+    parts = (("people", people), ("visits", seen), ("items", items))
+    return [save_bucketed(df, f"{folder}/{name}", 8) for name, df in parts]
+
+
+def bucket_merge(people, seen, items):
+    cohort = people.where("c_acctbal < 0").select("pnr", "c_mktsegment")
+    mine = [restrict(df, cohort) for df in (seen, items)]
+    presence = mine[0].groupBy("pnr").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    counted = mine[1].groupBy("pnr").agg(F.count(F.lit(1)).alias("items"))
+    return left_merge(cohort, [presence, counted], "pnr")

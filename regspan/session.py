@@ -15,8 +15,13 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Registers in different numbers of buckets are joined in the smaller number.
+    "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",
 }
 
+# Temporary folders of this process, by application.
+_own_folders: dict[str, str] = {}
+
 
 def local_session(cores: int = 8, app: str = "regspan", memory: str = "8g") -> SparkSession:
     """A single-machine session for tests and the bench."""
@@ -39,8 +44,8 @@ def local_session(cores: int = 8, app: str = "regspan", memory: str = "8g") -> S
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    On one machine (a ``local[…]`` master) a temporary folder is set where the
-    setting is missing, and deleted when Python ends. Anywhere else a missing
+    On one machine (a ``local[…]`` master) a temporary folder takes its place where the
+    setting is missing; it is deleted when Python ends. Anywhere else a missing
     setting is an error: executors do not share a local disk.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -48,10 +53,11 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="regspan-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _own_folders:
+        _own_folders[app] = tempfile.mkdtemp(prefix="regspan-")
+        atexit.register(shutil.rmtree, _own_folders[app], ignore_errors=True)
+    return _own_folders[app]
 
 
 def own_folder(spark: SparkSession) -> str:

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import quote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,3 +71,58 @@ def inventory(spark: SparkSession, root: str) -> DataFrame:
     if not tables:
         raise FileNotFoundError(f"no datasets in {root}")
     return reduce(DataFrame.unionByName, tables)
+
+
+def dataset_of(path: str, root: str) -> str:
+    """The dataset of a file, as a path below ``root`` without the ending ``.parquet``.
+
+    Part files belong to the nearest folder above them that is not ``key=value``; any other file is
+    a dataset by itself.
+    """
+    parts = path.removeprefix(root).strip("/").split("/")
+    if parts[-1].startswith("part"):
+        parts = parts[:-1]
+        while parts and "=" in parts[-1]:
+            parts.pop()
+    return "/".join(parts).removesuffix(".parquet")
+
+
+def _footers(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
+    """One row per file and column, from the files' last bytes."""
+    import pyarrow.fs
+    import pyarrow.parquet as pq
+    from pyspark.sql.pandas.types import from_arrow_type
+
+    for batch in batches:
+        found: list[tuple] = []
+        for path in batch.column("path").to_pylist():
+            uri = quote(re.sub("^file:/+", "file:///", path), safe="/:@=+,;$&")
+            system, name = pyarrow.fs.FileSystem.from_uri(uri)
+            meta = pq.read_metadata(name, filesystem=system)
+            for field in meta.schema.to_arrow_schema():
+                kind = from_arrow_type(field.type, prefer_timestamp_ntz=True).simpleString()
+                found.append((dataset_of(path, root), field.name, kind, meta.num_rows))
+        columns = list(zip(*found)) or [()] * 4
+        kinds = (pa.string(), pa.string(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)], ["dataset", "column", "type", "rows"]
+        )
+
+
+def project_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """Every column of every Parquet dataset anywhere below ``root``.
+
+    One row per dataset, column and type: the ``rows`` and ``files`` that have it, so a column whose type
+    differs between files, or that some lack, shows. Datasets are named by their path below
+    ``root``; folders named ``key=value`` belong to the dataset above them and are no columns here.
+
+    Spark lists the tree, and tasks read the files' footers with pyarrow: no rows are read, and one job
+    does for any number of datasets. The store has to be one that pyarrow opens (local, HDFS, S3, GCS, Azure).
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    full = str(path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString())
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    found = files.load(root).select("path").mapInArrow(
+        lambda it: _footers(it, full), "dataset string, column string, type string, rows long"
+    )
+    return found.groupBy("dataset", "column", "type").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"))

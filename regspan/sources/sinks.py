@@ -28,11 +28,3 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     """
     return materialise(df, f"{own_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
 
-
-def save_bucketed(df: DataFrame, table: str, buckets: int, by: str = "pnr") -> DataFrame:
-    """Write a table bucketed and sorted by person id.
-
-    Registers bucketed alike join and aggregate by person without a shuffle.
-    """
-    df.write.mode("overwrite").bucketBy(buckets, by).sortBy(by).format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)

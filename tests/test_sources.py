@@ -1,5 +1,9 @@
 """Reading, describing and writing registers, and the study from a register tree."""
 
+import os
+import subprocess
+import sys
+
 import pytest
 from helpers import d, plan, rows
 from pyspark.sql import functions as F
@@ -9,8 +13,10 @@ from regspan.functions.values import alive_from, numeric_result, text_result
 from regspan.plans import extracts
 from regspan.plans.population import read_population
 from regspan.session import shared_folder
+from regspan.sources.buckets import read_bucketed, save_bucketed
 from regspan.sources.files import list_names, list_periods, locate
-from regspan.sources.inventory import dataset_contents, inventory
+from regspan.sources.inventory import dataset_contents, dataset_of, inventory, project_inventory
+from regspan.sources.rebuilt import fingerprint, rebuilt
 from regspan.sources.registers import (
     append,
     cast_failures,
@@ -19,7 +25,10 @@ from regspan.sources.registers import (
     read_register,
     select_prefix,
 )
-from regspan.sources.sinks import materialise, save_bucketed
+from regspan.sources.sinks import materialise
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+SF = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
 
 
 def write(spark, path, data, schema):
@@ -114,22 +123,117 @@ def test_materialise(spark, tmp_path):
     kept = materialise(df, str(tmp_path / "kept"), ["pnr"])
     assert kept.count() == 50 and kept.columns == df.columns
     assert "Range" not in plan(kept)
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir", shared_folder(spark)).rstrip("/")
 
 
-def test_bucketed_registers_join_without_shuffle(spark):
+def test_bucketed_registers_meet_without_shuffle(spark, tmp_path):
+    from catalogue.scans import bucket_merge, bucketed_registers
+
     df = spark.range(1000).select(F.col("id").alias("pnr"), (F.col("id") * 2).alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        one = save_bucketed(df, "regspan_one", 4)
-        two = save_bucketed(df.withColumnRenamed("v", "w"), "regspan_two", 4)
+        one = save_bucketed(df, f"{tmp_path}/one", 8)
+        two = save_bucketed(df.withColumnRenamed("v", "w"), f"{tmp_path}/two", 4)
         joined = one.join(two, "pnr").groupBy("pnr").agg(F.sum("w"))
-        assert "Exchange" not in plan(joined)
+        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
         assert joined.count() == 1000
+        assert len(two.inputFiles()) == 4
+        again = read_bucketed(spark.newSession(), f"{tmp_path}/two")
+        assert "Bucketed: true" in plan(again.groupBy("pnr").count()) and rows(again) == rows(two)
+        merged = bucket_merge(*bucketed_registers(spark, SF))
+        assert "Exchange" not in plan(merged) and plan(merged).count("SortMergeJoin") >= 4
+        save_bucketed(df.limit(5), f"{tmp_path}/one", 2)
+        assert read_bucketed(spark, f"{tmp_path}/one").count() == 5
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.sql("DROP TABLE IF EXISTS regspan_one")
-        spark.sql("DROP TABLE IF EXISTS regspan_two")
+
+
+def listing(path):
+    return sorted((f, os.stat(os.path.join(at, f)).st_mtime_ns) for at, _, files in os.walk(path) for f in files)
+
+
+def test_rebuilt_only_when_something_changed(spark, tmp_path):
+    source, kept = f"{tmp_path}/source", f"{tmp_path}/kept"
+    spark.range(100).write.parquet(source)
+
+    def made(parameters=None, least=5, **more):
+        df = spark.read.parquet(source).where(F.col("id") >= least).withColumnRenamed("id", "n")
+        return rebuilt(df, kept, parameters, **more)
+
+    assert made().count() == 95
+    before = listing(kept)
+    assert made().count() == 95 and listing(kept) == before
+    assert made(least=6).count() == 94 and listing(kept) != before  # another plan
+    assert len(os.listdir(kept)) == 1
+    assert made({"year": 2020}).count() == 95  # another parameter
+    before = listing(kept)
+    spark.range(100, 110).write.mode("append").parquet(source)  # another file
+    assert made({"year": 2020}).count() == 105 and listing(kept) != before
+    assert made(keep_builds=2).count() == 105 and len(os.listdir(kept)) == 2
+    one = next(f for f in os.listdir(source) if f.startswith("part"))
+    before = listing(kept)
+    os.utime(f"{source}/{one}", (1, 1))  # the same file, touched
+    assert made(keep_builds=2).count() == 105 and listing(kept) != before
+
+
+def test_fingerprints_tell_sources_apart(spark, tmp_path):
+    for name, n in (("a", 3), ("b", 4)):
+        spark.range(n).write.parquet(f"{tmp_path}/{name}")
+    a, b = (spark.read.parquet(f"{tmp_path}/{n}") for n in "ab")
+    assert fingerprint(a.join(b, "id", "left")) != fingerprint(b.join(a, "id", "left"))
+    assert fingerprint(a) != fingerprint(a.toDF("other")) and fingerprint(a) == fingerprint(spark.read.parquet(f"{tmp_path}/a"))
+    held = spark.createDataFrame([(1,)], "id long")
+    with pytest.raises(ValueError, match="not files"):
+        fingerprint(a.join(held, "id"))
+    assert fingerprint(a.join(held, "id"), {"ids": [1]}) != fingerprint(a.join(held, "id"), {"ids": [2]})
+
+
+def test_failed_build_leaves_the_earlier_one(spark, tmp_path):
+    source, kept = f"{tmp_path}/source", f"{tmp_path}/kept"
+    spark.range(10).write.parquet(source)
+    rebuilt(spark.read.parquet(source), kept)
+    before = sorted(os.listdir(kept))
+    bad = spark.read.parquet(source).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        rebuilt(bad, kept)
+    assert sorted(os.listdir(kept)) == before
+
+
+def test_project_tree(spark, tmp_path):
+    root = tmp_path / "project 1"
+    spark.range(5).write.parquet(f"{root}/Grunddata/cpr/person.parquet")
+    for year, kind in ((2001, "int"), (2002, "string")):
+        df = spark.range(year - 2000).select(F.col("id").cast(kind).alias("v"), F.lit(1.5).alias("w"), F.current_date().alias("d"))
+        df.write.partitionBy("w").parquet(f"{root}/Grunddata/lab/year={year}")
+    spark.range(2).toPandas().to_parquet(f"{root}/single.parquet")
+    spark.range(3).write.json(f"{root}/notes")
+    found = project_inventory(spark, str(root))
+    assert rows(found.drop("files")) == [
+        ("Grunddata/cpr/person", "id", "bigint", 5), ("Grunddata/lab", "d", "date", 3), ("Grunddata/lab", "v", "int", 1),
+        ("Grunddata/lab", "v", "string", 2), ("single", "id", "bigint", 2),
+    ]
+    files = spark.read.parquet(f"{root}/Grunddata/cpr/person.parquet").inputFiles()
+    assert found.where("dataset LIKE '%person'").first().files == len(files)
+    assert dataset_of("file:/r/a/b.parquet/x=1/part-0.parquet", "file:/r") == "a/b"
+    assert dataset_of("file:/r/a/b.parquet", "file:/r") == "a/b"
+
+
+def test_stock_session_without_a_shared_folder(tmp_path):
+    """A plain local session, with no setting from anywhere."""
+    code = f"""
+import sys; sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+from catalogue import QUERIES
+from regspan.session import shared_folder
+print("rows", QUERIES["incidence_matching"](spark, {SF!r}).count(), shared_folder(spark) == shared_folder(spark.newSession()))
+"""
+    (tmp_path / "conf").mkdir()
+    env = {k: v for k, v in os.environ.items() if k != "SPARK_CONF_DIR"} | {"SPARK_CONF_DIR": str(tmp_path / "conf")}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert int(done.stdout.split()[1]) > 0 and done.stdout.split()[2] == "True"
 
 
 def test_row_rules(spark):
