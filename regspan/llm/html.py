@@ -3,6 +3,10 @@
 A page is cut into text blocks with their tag paths. Text length and punctuation per block are smoothed
 along the page, averaged per path and fused; paths whose density is a share of the best one's, or
 that of a sentence, hold the content. How much text a path has does not matter.
+
+What else is known of a page weighs in that density or bounds what it is computed from: blocks in an article count
+more, and small parts that are named for what they are (a menu, an advert) are left out. An element that holds the
+bulk of the text, or an article, is no such part, whatever its name.
 """
 
 from __future__ import annotations
@@ -18,10 +22,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# A path is content from this share of the best path's density on, and from that of a sentence of 70 characters
-# with one mark on in any case, so that one very dense path does not shut out the others.
-SHARE = 0.2
-SENTENCE = 10.0
+# A path is content from this share of the best path's density on, and from that of a sentence of 90 characters
+# with two marks on in any case, so that one very dense path does not shut out the others.
+SHARE = 0.5
+SENTENCE = 15.0
+# The weight of a path in an article or main, if these hold at least a part MARKED of the text.
+ARTICLE = 10.0
+MARKED = 0.3
+# A part of a chosen element that is no prose element itself is content from this share of the densest element's
+# own prose on; text that stands in it without a paragraph needs BARE of it.
+NESTED, BARE = 0.2, 0.7
 
 # Element names of the HTML standard and customary names of page parts.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "noframes"}
@@ -47,10 +57,9 @@ FORMULA = SYMBOLS | {
     "mtable", "mtr", "mlabeledtr", "mtd", "maction", "mspace", "mglyph", "maligngroup", "malignmark",
 }
 INLINE |= FORMULA
-BOILERPLATE = {
-    "nav", "footer", "aside", "form", "button", "select", "option", "menu", "dialog", "fieldset", "head",
-    "canvas", "object", "audio", "video",
-}
+BOILERPLATE = {"nav", "footer", "aside", "button", "select", "option", "menu", "head", "canvas", "audio", "video"}
+# These may also hold the whole page.
+WRAPPERS = {"form", "fieldset", "dialog", "object"}
 ROLES = {
     "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu",
     "menubar", "form",
@@ -62,7 +71,7 @@ PARTS = {
     "widgets", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "masthead", "topbar",
     "toolbar", "comment", "comments", "commentlist", "disqus", "respond", "replies", "share", "sharing", "social",
     "related", "recommended", "recommendations", "teaser", "teasers", "pagination", "pager", "search", "searchbox",
-    "hidden", "copyright", "disclaimer",
+    "hidden", "copyright", "disclaimer", "discussion", "talkback", "popular", "trending",
 }
 # Words that may follow a part's name: "related-posts", "share-buttons", "ad-container".
 FRAME = {
@@ -107,7 +116,8 @@ _AROUND = re.compile(r"(?:has|with|no|without|is|show|hide|category|cat|tag|topi
 @dataclass
 class Block:
     path: tuple[str, ...]
-    inside: bool
+    elements: tuple[int, ...]  # numbers of the elements around it
+    inside: bool = True
     parts: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -116,6 +126,19 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
+# Why an element may be left out: a page part by its nature, or by its name unless it holds the bulk of the text.
+PART, NAMED = 2, 1
+
+
+@dataclass
+class Element:
+    name: str
+    left: int = 0
+    size: int = 0  # characters of text outside links
+    blocks: int = 0
+    article: bool = False  # holds an article or main
+
+
 class Tag(NamedTuple):
     """A tag's place in the page; comments and declarations have no ``name``."""
 
@@ -188,28 +211,32 @@ def _named_part(name: str, classes: str, id: str) -> bool:
     return _part(classes, PARTS) or (name not in PROSE and _part(id, PARTS, name == "section"))
 
 
-def _hidden(name: str, attributes: dict[str, str], stack: list[tuple[str, str, bool]]) -> tuple[bool, str]:
-    """Whether an element is a page part to leave out, and its name in the path."""
+def _left_out(name: str, attributes: dict[str, str], above: set[str]) -> tuple[int, str]:
+    """Whether an element may be a page part to leave out, and its name in the path."""
     found = {k: entities.unescape(v) for k, v in attributes.items() if k in ("class", "id", "style", "role", "aria-hidden")}
     labels = f"{found.get('class', '')} {found.get('id', '')}".lower().split()
     names = [n for x in labels if not _AROUND.match(x) for n in _NAME.findall(x)]
     shown = f"{name}.{'.'.join(names)}" if names else name
     if name in ROOTS:
-        return False, shown
+        return 0, shown
     style = found.get("style", "").replace(" ", "").lower()
-    out = (
+    if (
         name in BOILERPLATE
-        or (name == "header" and not CONTENT & {x[0] for x in stack})
-        or _named_part(name, found.get("class", ""), found.get("id", ""))
-        or found.get("role", "").lower() in ROLES
+        or (name == "header" and not CONTENT & above)
         or found.get("aria-hidden", "").lower() == "true"
         or "display:none" in style
         or "hidden" in attributes
+    ):
+        return PART, shown
+    named = (
+        name in WRAPPERS
+        or _named_part(name, found.get("class", ""), found.get("id", ""))
+        or found.get("role", "").lower() in ROLES
     )
-    return out, shown
+    return (NAMED if named else 0), shown
 
 
-def _behind_foreign(tags: _Tags, at: int, name: str, stack: list[tuple[str, str, bool]]) -> int:
+def _behind_foreign(tags: _Tags, at: int, name: str, stack: list[tuple[str, str, int]]) -> int:
     """Where a drawing ends whose start tag ends at ``at``, by the rules of the HTML standard.
 
     That is behind its own end tag, or else before an HTML element or before the end of an element on the ``stack``.
@@ -241,16 +268,37 @@ def _behind_foreign(tags: _Tags, at: int, name: str, stack: list[tuple[str, str,
     return len(tags.page)
 
 
+def _settle(found: list[Block], elements: list[Element]) -> None:
+    """Marks the blocks that lie in page parts.
+
+    By name alone an element is one unless it holds an article, or, on pages without any, several blocks with half of
+    the text that is in no part by its nature. Paragraphs, headings and the like are never that much.
+    """
+    out = {i for i, e in enumerate(elements) if e.left == PART}
+    for b in found:
+        b.inside = out.isdisjoint(b.elements)
+        if b.inside:
+            for i in b.elements:
+                elements[i].size += max(len(b.text) - b.linked, 0)
+                elements[i].blocks += 1
+    marked = any(e.name in CONTENT and e.blocks for e in elements)
+    total = sum(max(len(b.text) - b.linked, 0) for b in found if b.inside)
+    for i, e in enumerate(elements):
+        bulk = e.article or (not marked and e.blocks > 1 and 0 < total <= 2 * e.size)
+        if e.left == NAMED and (e.name in PROSE or not bulk):
+            out.add(i)
+    for b in found:
+        b.inside = out.isdisjoint(b.elements)
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order; those of left-out parts are not ``inside``."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # element, name in the path, left out
+    elements: list[Element] = []
+    stack: list[tuple[str, str, int]] = []  # element, name in the path, number or -1 for inline ones
     links = 0
     block: Block | None = None
 
-    def state() -> tuple[tuple[str, ...], bool]:
-        return tuple(s[1] for s in stack if s[0] not in INLINE), not any(s[2] for s in stack)
-
     def add(text: str, plain: bool = False) -> None:
         nonlocal block
         if not text:
@@ -258,14 +306,15 @@ def blocks(page: str) -> list[Block]:
         if block is None:
             if text.isspace():
                 return
-            block = Block(*state())
+            path = tuple(s[1] for s in stack if s[0] not in INLINE)
+            block = Block(path, tuple(s[2] for s in stack if s[2] >= 0))
             out.append(block)
         block.parts.append(text if plain else entities.unescape(text))
         block.linked += len(text) if links else 0
 
     def pop_to(i: int) -> None:
         nonlocal block, links
-        if any(s[0] not in INLINE or s[2] for s in stack[i:]):
+        if any(s[2] >= 0 for s in stack[i:]):
             block = None
         del stack[i:]
         links = sum(s[0] == "a" for s in stack)
@@ -313,37 +362,56 @@ def blocks(page: str) -> list[Block]:
                 if stack[i][0] in SCOPES or (stack[i][0] not in INLINE and stack[i][0] not in PROSE):
                     break
             block = None
-        left, shown = _hidden(name, tag.attributes, stack)
+        above = {x[0] for x in stack} if name == "header" else set()
+        left, shown = _left_out(name, tag.attributes, above)
         if left:
             block = None
         if name in SYMBOLS and block is not None:
             block.parts.append(" ")
-        if name in INLINE and name != "a" and not left:
-            if not tag.alone:
-                stack.append((name, name, False))
+        if tag.alone:
             continue
-        if not tag.alone:
-            stack.append((name, shown, left))
-            links += name == "a"
+        number = -1
+        if name not in INLINE or left:
+            number = len(elements)
+            elements.append(Element(name, left))
+            if name in CONTENT:
+                for x in stack:
+                    if x[2] >= 0:
+                        elements[x[2]].article = True
+        stack.append((name, shown if number >= 0 else name, number))
+        links += name == "a"
         if name == "xmp":  # its text holds no tags
             stop = _XMP.search(page, at)
             add(page[at : stop.start() if stop else end], True)
             at = stop.start() if stop else end
-    return [b for b in out if b.text]
+    found = [b for b in out if b.text]
+    _settle(found, elements)
+    return found
+
+
+_RIGHTS = re.compile(r"\s*(?:©|\(c\)\s|copyright\b)", re.I)
 
 
 def _sizes(found: list[Block]) -> np.ndarray:
-    """Share of each block that is not in links, and its characters and punctuation marks outside links."""
+    """Share of each block that is not in links, and its characters and punctuation marks outside links.
+
+    A line that begins with a copyright mark has none.
+    """
     size = np.array([len(b.text) for b in found], float)
     marks = np.array([len(_PUNCTUATION.findall(b.text)) for b in found], float)
-    plain = np.array([1 - min(b.linked / max(len(b.text), 1), 1) for b in found])
+    plain = np.array([0.0 if _RIGHTS.match(b.text) else 1 - min(b.linked / max(len(b.text), 1), 1) for b in found])
     return np.array([plain, size * plain, marks * plain])
 
 
+def _marked(path: tuple[str, ...]) -> bool:
+    return any(e.split(".")[0] in CONTENT for e in path)
+
+
 def scores(found: list[Block]) -> dict[tuple[str, ...], float]:
     """Fused density of each tag path of the blocks that are ``inside``: length and punctuation per node.
 
     What a block has from its neighbours counts by its own share outside links, so text lends nothing to menus.
+    Paths in an article or main weigh more, if these hold a good part of the text.
     """
     some = [b for b in found if b.inside]
     if not some:
@@ -353,61 +421,101 @@ def scores(found: list[Block]) -> dict[tuple[str, ...], float]:
     sums: dict[tuple[str, ...], np.ndarray] = defaultdict(lambda: np.zeros(3))
     for b, s, m in zip(some, plain * smooth(size), plain * smooth(marks)):
         sums[b.path] += (s, m, 1)
-    return {p: float(np.sqrt(s / n * (m / n + 0.5))) for p, (s, m, n) in sums.items()}
-
-
-def container(path: tuple[str, ...]) -> tuple[str, ...]:
-    """The nearest article or main above a path, else the element around it."""
-    for i in range(len(path) - 1, -1, -1):
-        if path[i].split(".")[0] in CONTENT:
-            return path[: i + 1]
-    i = len(path) - 1
-    while i > 0 and path[i].split(".")[0] in PROSE:
+    marked = sum(s for b, s in zip(some, size) if _marked(b.path))
+    weight = ARTICLE if marked >= MARKED * size.sum() else 1.0
+    return {p: float(np.sqrt(s / n * (m / n + 0.5))) * (weight if _marked(p) else 1) for p, (s, m, n) in sums.items()}
+
+
+def _around(block: Block) -> int:
+    """How many of a block's elements are the nearest article or main and those above, else those that are no prose."""
+    names = [e.split(".")[0] for e in block.path]
+    for i in range(len(names) - 1, -1, -1):
+        if names[i] in CONTENT:
+            return i + 1
+    i = len(names)
+    while i > 1 and names[i - 1] in PROSE:
         i -= 1
-    return path[: i + 1]
+    return i
 
 
 def main_text(page: str | None) -> str:
-    """The content blocks of a page, white space within a block as one space, joined by one space."""
+    """The content blocks of a page, white space within a block as one space, joined by one space.
+
+    Blocks of dense paths are content. So are, in the elements around them, headings and prose, and further parts
+    that are dense by themselves; within an article, a dense path in a sparse part is not.
+    """
     found = blocks(page or "")
     ranked = scores(found)
     if not ranked:
         return ""
-    least = min(SHARE * max(ranked.values()), SENTENCE)
+    best = max(ranked.values())
+    strong = any(_marked(p) for p, s in ranked.items() if s == best)
+    least = SHARE * best if strong else min(SHARE * best, SENTENCE)
     chosen = {p for p, s in ranked.items() if s >= least}
-    inside = [p for p in chosen if container(p)[-1:] and container(p)[-1].split(".")[0] in CONTENT]
-    if inside:  # a marked article: stray paths outside it are not part of it
-        chosen = set(inside)
-    around = {container(p) for p in chosen}
-    _, size, marks = _sizes(found)
-    dense = np.sqrt(size * (marks + 0.5)) >= least
-
-    def content(b: Block, dense: bool) -> bool:
+    plain, size, marks = _sizes(found)
+
+    # Elements around dense blocks, by number: equal paths elsewhere on the page are not theirs.
+    around: set[int] = set()
+    for b in found:
+        if b.inside and b.path in chosen:
+            n = _around(b)
+            if 0 < n <= len(b.elements):
+                around.add(b.elements[n - 1])
+    # Of each such element its own prose, and each part of it that is none.
+    own: dict[int, list[int]] = defaultdict(list)
+    parts: dict[tuple[int, int], list[int]] = defaultdict(list)
+    place: list[tuple[int, int] | None] = [None] * len(found)
+    for k, b in enumerate(found):
         if not b.inside:
+            continue
+        for i in range(len(b.elements) - 1, -1, -1):
+            if b.elements[i] in around:
+                names = [e.split(".")[0] for e in b.path[i + 1 :]]
+                below = next((j for j, n in enumerate(names) if n not in PROSE), None)
+                place[k] = (b.elements[i], -1 if below is None else b.elements[i + 1 + below])
+                (own[b.elements[i]] if below is None else parts[place[k]]).append(k)
+                break
+    dense = lambda ks: float(np.sqrt(size[ks].mean() * (marks[ks].mean() + 0.5))) if ks else 0.0
+    level = max((dense(ks) for ks in own.values()), default=0.0)
+    parted = {key: dense(ks) for key, ks in parts.items()}
+
+    def content(k: int, b: Block) -> bool:
+        if not b.inside or (_RIGHTS.match(b.text) and not plain[k]):
             return False
-        if b.path in chosen:
+        if place[k] is None:
+            return b.path in chosen
+        if place[k][1] < 0:
             return True
-        for c in around:
-            if b.path[: len(c)] == c:
-                below = {p.split(".")[0] for p in b.path[len(c) :]}
-                if dense or below <= PROSE or (c and c[-1].split(".")[0] in CONTENT):
-                    return True
-        return False
+        if not level:
+            return b.path in chosen
+        bare = b.path[-1].split(".")[0] not in PROSE
+        return parted[place[k]] >= min((BARE if bare else NESTED) * level, SENTENCE)
 
-    return " ".join(b.text for b, d in zip(found, dense) if content(b, d))
+    kept = [content(k, b) for k, b in enumerate(found)]
+    if True in kept:  # a title before the content, in an element that holds it
+        first = kept.index(True)
+        for k, b in enumerate(found[:first]):
+            if b.inside and plain[k] and b.path and b.path[-1].split(".")[0] == "h1":
+                n = _around(b)
+                kept[k] = n < len(b.path) and b.elements[:n] == found[first].elements[:n]
+    return " ".join(b.text for b, k in zip(found, kept) if k)
 
 
 def extract_text(pages: DataFrame, html: str = "html", columns: Sequence[str] | None = None) -> DataFrame:
     """``pages`` (or some ``columns``) with ``text`` and ``n_chars`` (code points).
 
-    Left out are scripts, styles, navigation, page headers and footers, sidebars, notices, adverts,
-    forms, comments and drawings: by element, role, class and id, where a part's name must be the whole label
-    or its last word ("related-posts" counts as "related"). Ids of headings and prose are not looked at, those of
-    sections, of lists as menus, and classes of an article only as a whole. Among the other blocks,
-    tag paths are scored and those near the best, or as dense as a sentence, are content, with all blocks of
-    the article around them, or else the headings, prose and dense blocks of the element around them. Character references are decoded. A null or empty page, or one
-    without content, gives an empty text. Input columns of the new names are replaced. One pass
-    over the rows, no shuffle.
+    Left out are scripts, styles, drawings, hidden elements, and by their element navigation, page headers and
+    footers, asides and controls. Forms, and elements whose role, class or id names a page part (as the whole label
+    or its last word: "related-posts" counts as "related"), are left out too unless they hold an article or, on a page
+    without any, several blocks with half of the text. Ids of headings and prose are not looked at, those of sections, of
+    lists as menus, and classes of an article only as a whole.
+
+    Among the other blocks, tag paths are scored by length and punctuation, an article's paths higher; those
+    near the best, or as dense as long sentences, are content. So are headings and prose in the elements around
+    them, a title before them, and nested parts of some density; lists of links and short lines outside
+    paragraphs are not, nor are lines that begin with a copyright mark. Character references are decoded. A null or empty
+    page, or one without content, gives an empty text. Input columns of the new names are replaced. One
+    pass over the rows, no shuffle.
     """
     kept = [c for c in (columns or pages.columns) if c.lower() not in ("text", "n_chars")]
 

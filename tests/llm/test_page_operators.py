@@ -238,6 +238,32 @@ def test_only_whole_names_of_parts_hide_an_element(page):
     assert html.main_text(page) == WANT
 
 
+MENU = "<ul>" + "".join(f"<li><a href='/{i}'>Story number {i}, told</a></li>" for i in range(5)) + "</ul>"
+LONGER = f"{ARTICLE}" + "".join(f"<p>Paragraph {i} has some more words, as prose has, and ends with a full stop.</p>" for i in range(6))
+LONGER_WANT = WANT + "".join(f" Paragraph {i} has some more words, as prose has, and ends with a full stop." for i in range(6))
+
+
+@pytest.mark.parametrize("page", [
+    "<div class='content-sidebar-wrap'><main><article>{}</article></main><div class=sidebar><p>Other stories, many.</p></div></div>",
+    "<div id=page class='layout sidebar-right'><div class=post>{}</div><div class=sidebar><p>Other stories, many.</p></div></div>",
+    "<form id=aspnet action=/><nav>Home</nav><div class=post>{}</div><input></form>",
+    "<div class='modal popup'><article>{}</article></div>",
+    "<article>{}<div class='most-read'><h3>Most read</h3>" + MENU + "</div></article>",
+    "<article>{}<div id=discussion><p>Reader says, hello.</p><p>So, do I, he said, and more.</p></div></article>",
+    "<article>{}<div class=x7>Buy two, get one free.</div></article><div class=b2>&copy; 2020 The Owner. All rights, as always, reserved.</div>",
+    "<div class=top>" + MENU + "</div><div>{}</div><div class=z>" + MENU + "</div><div>Buy now, cheap.</div>",
+])
+def test_ratios_tell_parts_from_content(page):
+    assert html.main_text(page.replace("{}", LONGER)) == LONGER_WANT
+
+
+def test_constant_scores_lose_the_content(monkeypatch):
+    page = f"<div>Buy two, get one free.</div><article>{LONGER}</article>"
+    assert html.main_text(page) == LONGER_WANT
+    monkeypatch.setattr(html, "scores", lambda found: {b.path: 1.0 for b in found if b.inside})
+    assert html.main_text(page) != LONGER_WANT
+
+
 @pytest.mark.parametrize("label", ["related-work", "share-prices", "search", "social", "menu", "login", "copyright", "hidden", "the-alert"])
 def test_slugs_of_headings_and_prose_hide_nothing(label):
     for name in ("h1", "h2", "h6", "p", "blockquote", "pre", "li"):
