@@ -511,9 +511,11 @@ damaged AS (
 placed AS (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM damaged),
 judged AS (
-  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b'
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'b'
                  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'd'
-                 WHEN NOT regexp_matches(text, '[.!?][ 	-]*\z') THEN 't' ELSE 'k' END AS fault,
+                 WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 't' ELSE 'k' END AS fault,
          lag(role[1]) OVER (PARTITION BY conv_id ORDER BY i) || role[1] AS pair
   FROM placed),
 counts AS (

@@ -16,8 +16,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LITERAL_RULES = 200
 DAMPING = 0.85
 ITERATIONS = 20
-# Distrust must exceed trust by this to block a host. A host all of whose pages are blocked by rules,
-# without links, has a distrust of 1; the only host that links to it gets 0.85 of that, two share it.
+# Distrust must exceed trust by this to block a host. A host all of whose pages are blocked by rules has a distrust
+# of at least 1; any number of hosts that link to such hosts only get at least 0.85, one that does so by half of its
+# links about half of that.
 MARGIN = 0.5
 # Iterations between two written tables.
 WRITE_EVERY = 5
@@ -104,7 +105,8 @@ def spread(seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, iterati
     """(_host, _score): personalised PageRank over weighted edges (_from, _to, _share).
 
     The restart mass of a host is its ``_seed``, so scores are those of PageRank divided by
-    1 - ``damping``. Each step sends a host's score along its edges by share
+    1 - ``damping``. Shares may be those of the sending host's links or, against the links, of the receiving
+    host's, which gives the part that each host has in the seeds' ranks. Each step sends a host's score along its edges by share
     and adds the restart; what a host without edges holds is not passed on. Every few steps the scores are written,
     which cuts the plan. A hub is a skewed join key that Spark splits; sums have a partial step.
     """
@@ -126,26 +128,28 @@ def host_verdicts(
     """``_host``, ``trust``, ``distrust`` and ``blocked`` of every host with either.
 
     ``places`` holds judged pages. The seed of trust is the share of a host's pages that a rule
-    allows, that of distrust the share that a rule blocks. Trust follows links, distrust goes
-    against them: who links to blocked hosts is distrusted. A host is blocked if its distrust
-    exceeds its trust by ``margin``.
+    allows, that of distrust the share that a rule blocks. Trust follows links and is split over the
+    links of the host that gives it. Distrust goes against them, by the share that a link has of all links of
+    the host that receives it: what counts is how much of a host's own linking leads to blocked hosts,
+    in one step or several, not how many others link there too. A host is blocked if its distrust exceeds its
+    trust by ``margin``.
     """
     share = lambda v: F.avg((F.coalesce(F.col("_found.verdict"), F.lit("")) == v).cast("double"))
     shares = share("allow").alias("_allow"), share("block").alias("_block")
     seeds = keep(places.where("_host != ''").groupBy("_host").agg(*shares), "seeds")
     edges = keep(edges, "edges")
 
-    def shared(a: str, b: str) -> DataFrame:
-        out = edges.groupBy(a).agg(F.sum("_links").alias("_sum"))
-        part = (F.col("_links") / F.col("_sum")).alias("_share")
-        return keep(edges.join(out, a).select(F.col(a).alias("_from"), F.col(b).alias("_to"), part), "shares")
+    total = edges.groupBy("_from").agg(F.sum("_links").alias("_sum"))
+    part = (F.col("_links") / F.col("_sum")).alias("_share")
+    forward = keep(edges.join(total, "_from").select("_from", "_to", part), "shares")
+    backward = forward.select(F.col("_to").alias("_from"), F.col("_from").alias("_to"), "_share")
 
     def scores(seed: str, graph: DataFrame, name: str) -> DataFrame:
         some = seeds.where(F.col(seed) > 0).select("_host", F.col(seed).alias("_seed"))
         return spread(some, graph, damping, iterations).withColumnRenamed("_score", name)
 
-    trust = scores("_allow", shared("_from", "_to"), "trust")
-    distrust = scores("_block", shared("_to", "_from"), "distrust")
+    trust = scores("_allow", forward, "trust")
+    distrust = scores("_block", backward, "distrust")
     both = trust.join(distrust, "_host", "full").na.fill(0.0, ["trust", "distrust"])
     return both.withColumn("blocked", F.col("distrust") > F.col("trust") + margin)
 

@@ -104,17 +104,17 @@ def test_rules(spark, monkeypatch, literal):
     assert urls.judge_urls(frame.where("false"), RULES, iterations=1).count() == 0
 
 
-def plain_rank(seed, edges, iterations):
-    out = {}
-    for (a, b), n in edges.items():
-        out.setdefault(a, []).append((b, n))
+def plain_rank(seed, edges, iterations, against=False):
+    total = {}
+    for (a, _), n in edges.items():
+        total[a] = total.get(a, 0) + n
     score = dict(seed)
     for _ in range(iterations):
         new = dict(seed)
-        for a, s in score.items():
-            total = sum(n for _, n in out.get(a, []))
-            for b, n in out.get(a, []):
-                new[b] = new.get(b, 0) + 0.85 * s * n / total
+        for (a, b), n in edges.items():
+            source, target = (b, a) if against else (a, b)
+            if source in score:
+                new[target] = new.get(target, 0) + 0.85 * score[source] * n / total[a]
         score = new
     return score
 
@@ -143,7 +143,7 @@ def test_trust_and_distrust_follow_links(spark):
     found = urls.host_verdicts(urls.judge_by_rules(places, RULES), urls.host_edges(frame, "url", "html"), iterations=7).collect()
     share = lambda v: {h: j.count(v) / len(j) for h, j in judged.items() if v in j}
     trust = plain_rank(share("allow"), edges, 7)
-    distrust = plain_rank(share("block"), {(b, a): n for (a, b), n in edges.items()}, 7)
+    distrust = plain_rank(share("block"), edges, 7, against=True)
     assert {r._host for r in found} == set(trust) | set(distrust)
     for r in found:
         assert r.trust == pytest.approx(trust.get(r._host, 0)) and r.distrust == pytest.approx(distrust.get(r._host, 0))
@@ -151,6 +151,47 @@ def test_trust_and_distrust_follow_links(spark):
     assert {"evil.net", "worse.com"} <= {r._host for r in found if r.blocked}
 
 
+def page(i, host, to):
+    return (i, f"http://{host}/p", " ".join(f"<a href='http://{x}/y'>l</a>" for x in to))
+
+
+def blocked_hosts(spark, rows):
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    judged = urls.judge_urls(frame, RULES, columns=["page_id"]).collect()
+    return {r.host for r in judged if r.verdict == "block" and r.rule is None}
+
+
+@pytest.mark.parametrize("n", [1, 2, 50])
+def test_linking_only_to_blocked_hosts_is_blocked_however_many_do(spark, n):
+    rows = [(0, "http://bad.com/de/x", ""), (1, "http://worse.com/de/x", ""), (2, "http://good.org/", "")]
+    rows += [page(10 + i, f"only{i}.net", ["bad.com", "worse.com"]) for i in range(n)]
+    rows += [page(100 + i, f"mixed{i}.net", ["bad.com", "fine.net", "calm.net"]) for i in range(n)]
+    rows += [page(200, "second.net", ["only0.net"]), page(201, "trusted.net", ["bad.com"]), page(202, "fine.net", ["calm.net"])]
+    rows += [(203, "http://good.org/x", "<a href='http://trusted.net/'>l</a>")]
+    assert blocked_hosts(spark, rows) == {f"only{i}.net" for i in range(n)} | {"second.net"}
+
+
+def test_verdicts_on_a_graph_of_200_hosts(spark):
+    rng = random.Random(6)
+    hosts = [f"h{i}.net" for i in range(170)] + [f"g{i}.org" for i in range(15)] + [f"b{i}.com" for i in range(15)]
+    rows, edges, pages_of = [], {}, {}
+    for i in range(900):
+        a = hosts[i] if i < 200 else rng.choice(hosts)
+        kind = hosts.index(a) % 3
+        pool = hosts[185:] if kind == 0 else hosts[170:185] if kind == 1 else hosts
+        to = [x for x in rng.choices(pool, k=rng.randrange(1, 5)) if x != a]
+        path = rng.choice(["de", "x"]) if a.endswith(".com") else "p"
+        rows.append((i, f"http://{a}/{path}/y", " ".join(f'<a href="//{x}/">l</a>' for x in to)))
+        pages_of.setdefault(a, []).append(plain_verdict(rows[-1][1])[3])
+        for x in to:
+            edges[a, x] = edges.get((a, x), 0) + 1
+    seed = lambda v: {h: s for h, j in pages_of.items() if (s := j.count(v) / len(j))}
+    trust, distrust = plain_rank(seed("allow"), edges, 20), plain_rank(seed("block"), edges, 20, against=True)
+    want = {h for h, d in distrust.items() if d > trust.get(h, 0) + 0.5 and None in pages_of[h]}
+    found = blocked_hosts(spark, rows)
+    assert found == want and 20 < len(want) < 150
+
+
 ARTICLE = "<h1>Head</h1><p>First  paragraph,\n with <b>bold</b> &amp; more text, indeed.<br>Next line.<p>Second one: short."
 WANT = "Head First paragraph, with bold & more text, indeed. Next line. Second one: short."
 PAGES = [
