@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Iterator, Sequence
@@ -17,11 +18,14 @@ from .frames import without
 CHUNK, OVERLAP = 32_768, 512
 # Characters encoded in one call.
 CALL = 1 << 20
-# Pieces whose counts a Python worker remembers (about 100 bytes each).
-PIECES = 1_000_000
+# A Python worker remembers the counts of pieces up to so many characters, and of these so many bytes in all.
+LONGEST = 64
+REMEMBERED = 1 << 27
+# Bytes of a remembered piece besides its characters: object headers, the count and the table's entry.
+ENTRY = 160
 
 
-# Before a space or line end, behind anything but white space, a byte-level BPE pre-tokenizer always
+# Before a space or line end, behind anything but white space, a byte-level BPE pre-tokenizer (see ``cuts_hold``) always
 # cuts: no alternative of its pattern continues over that place, and what follows does not look back.
 _CUT = re.compile(r"(?<=\S)(?=[ \n])")
 
@@ -89,36 +93,70 @@ def count_long(tokenizer, text: str, chunk: int = CHUNK, overlap: int = OVERLAP)
 class Counter:
     """Token counts of short texts: the sum over their pieces between cuts.
 
-    Counts of pieces are remembered, up to ``most`` of them; new pieces are encoded together,
-    since each begins at a cut, and told apart by the tokens' places.
+    Counts of short pieces are remembered, within ``most`` bytes; new pieces are encoded together,
+    since each begins at a cut, and told apart by the tokens' places. Long pieces, which hardly
+    recur, are counted anew each time.
     """
 
-    def __init__(self, tokenizer, most: int = PIECES):
-        self.tokenizer, self.most, self.known = tokenizer, most, {"": 0}
+    def __init__(self, tokenizer, most: int = REMEMBERED, longest: int = LONGEST):
+        self.tokenizer, self.most, self.longest = tokenizer, most, longest
+        self.known: dict[str, int] = {"": 0}
+        self.size = 0
+        self.cuts = cuts_hold(tokenizer)
 
-    def learn(self, pieces: set[str]) -> None:
+    def learn(self, pieces: set[str]) -> dict[str, int]:
+        """The counts of pieces."""
+        out: dict[str, int] = {}
         alone = [p for p in pieces if p[0] not in " \n"]  # beginnings of texts
         for p, found in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
-            self.known[p] = len(found)
+            out[p] = len(found)
         together = [p for p in pieces if p[0] in " \n" and not p[-1].isspace()]
         if together:
             found = self.tokenizer.encode("".join(together), add_special_tokens=False)
             ends = np.array([b for _, b in found.offsets])
             stops = np.cumsum([len(p) for p in together])
             counts = np.diff(np.searchsorted(ends, stops, "right"), prepend=0)
-            self.known.update(zip(together, counts.tolist()))
+            out.update(zip(together, counts.tolist()))
         last = [p for p in pieces if p[0] in " \n" and p[-1].isspace()]  # ends of texts
         for p, found in zip(last, self.tokenizer.encode_batch_fast(last, add_special_tokens=False)):
-            self.known[p] = len(found)
+            out[p] = len(found)
+        return out
 
     def counts(self, texts: list[str]) -> list[int]:
         parts = [_CUT.split(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known = {"": 0}
+        if self.size > self.most:
+            self.known, self.size = {"": 0}, 0
         new = {p for ps in parts for p in ps if p not in self.known}
+        passing: dict[str, int] = {}
         if new:
-            self.learn(new)
-        return [sum(map(self.known.__getitem__, ps)) for ps in parts]
+            for p, n in self.learn(new).items():
+                if len(p) <= self.longest:
+                    self.known[p] = n
+                    self.size += 4 * len(p) + ENTRY
+                else:
+                    passing[p] = n
+        known = self.known
+        if not passing:
+            return [sum(map(known.__getitem__, ps)) for ps in parts]
+        return [sum(known[p] if p in known else passing[p] for p in ps) for ps in parts]
+
+
+def cuts_hold(tokenizer) -> bool:
+    """Whether a tokenizer file cuts texts before spaces and line ends whatever surrounds them, as ``stable`` assumes.
+
+    True for a byte-level pre-tokenizer with the pattern this was shown for, without a normaliser and without
+    tokens added to the vocabulary that hold white space or take what is around them.
+    """
+    spec = json.loads(tokenizer.to_str())
+    before = spec.get("pre_tokenizer") or {}
+    added = spec.get("added_tokens") or []
+    return (
+        before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space", True)
+        and spec.get("normalizer") is None
+        and not any(t.get("lstrip") or t.get("rstrip") or re.search(r"\s", t["content"]) for t in added)
+    )
 
 
 _loaded: dict[str, Counter] = {}
@@ -130,7 +168,10 @@ def _counter(name: str, content: str) -> Counter:
         from tokenizers import Tokenizer
 
         _loaded.clear()
-        _loaded[name] = Counter(Tokenizer.from_str(content))
+        tokenizer = Tokenizer.from_str(content)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        _loaded[name] = Counter(tokenizer)
     return _loaded[name]
 
 
@@ -146,6 +187,9 @@ def _count(
         size = 0
         for i in range(len(batch)):
             value = column[i].as_py() or ""
+            if not counter.cuts:
+                counts[i] = len(counter.tokenizer.encode(value, add_special_tokens=False))
+                continue
             if len(value) > chunk:
                 counts[i] = count_long(counter.tokenizer, value, chunk, overlap)
                 continue
@@ -167,8 +211,9 @@ def count_tokens(
 ) -> DataFrame:
     """``docs`` (or some ``columns``) with ``n_bytes`` (UTF-8) and ``n_tokens``.
 
-    ``tokenizer`` is the path of a byte-level BPE file of the library tokenizers, read on the driver
-    and sent to the tasks (a few MB). Counts are those of the whole text without begin, end or
+    ``tokenizer`` is the path of a file of the library tokenizers, read on the driver
+    and sent to the tasks (a few MB). Texts are cut and spliced if it is byte-level with the usual pattern, for which
+    the places are known where no token can cross; with any other file each text is encoded whole. Counts are those of the whole text without begin, end or
     added special tokens; strings of special tokens inside a text are handled as the library does
     by default. A null text is empty and has none; an empty table gives an empty result; repeated
     rows are counted each. Input columns of the new names are replaced. Rows are counted where they
