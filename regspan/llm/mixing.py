@@ -13,18 +13,32 @@ from .frames import without, word_count
 WEIGHTS = (5, 2, 1)
 MOST = 3
 SEED = "mix-1"
-# Documents of a source are numbered in cells of about this many rows.
+# Documents of a source and size class are numbered in cells of about this many rows.
 CELL_ROWS = 50_000
 
-_OWN = ["_id", "_source", "_none", "_size", "_class", "_order", "_cell", "_n", "_before", "_rank", "_copies"]
+_OWN = ["_id", "_source", "_none", "_size", "_class", "_order", "_cell", "_n", "_before", "_rank", "_copies", "_digits"]
 
 
-def _hex(n: int) -> int:
-    """Hexadecimal digits of the order hash that name a cell."""
-    digits = 1
-    while n > CELL_ROWS * 16**digits:
-        digits += 1
-    return digits
+def _digits(rows: Column) -> Column:
+    """Hexadecimal digits of the order hash that part ``rows`` rows into cells; none if they fit in one."""
+    return F.greatest(F.lit(0), F.ceil(F.log(16.0, rows / CELL_ROWS))).cast("int")
+
+
+def cell_starts(cells: DataFrame) -> DataFrame:
+    """``cells`` (``_source``, ``_none``, ``_class``, ``_cell``, ``_n``) with ``_before``: the rows of the source before each.
+
+    Sums run first over the classes of a source, a few hundred at most, then over the cells of a class, so no
+    window sees the cells of a whole source.
+    """
+    classes = cells.groupBy("_source", "_none", "_class").agg(F.sum("_n").alias("_n"))
+    upto = lambda *by: Window.partitionBy("_source", "_none", *by[:-1]).orderBy(by[-1])
+    earlier = lambda *by: F.coalesce(
+        F.sum("_n").over(upto(*by).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    starts = classes.select("_source", "_none", "_class", earlier("_class").alias("_class_before"))
+    within = cells.withColumn("_cell_before", earlier("_class", "_cell"))
+    met = within.join(starts, ["_source", "_none", "_class"])
+    return met.withColumn("_before", F.col("_class_before") + F.col("_cell_before")).drop("_class_before", "_cell_before")
 
 
 def size_class(size: Column) -> Column:
@@ -95,9 +109,9 @@ def plan_mix(
     have target 0 and are not taken. An empty table gives an empty result. Input columns named like the new
     ones, or ``_source``, ``_size`` and so on, are dropped.
 
-    A source of any share is numbered in cells of bounded size: cells are counted first, a cell's
-    start is the sum of the earlier ones, and rows are numbered within their cell. The one
-    shuffle of documents is by cell.
+    A source of any share is numbered in cells of bounded size: sources are counted by class of size, large classes
+    parted into cells, a cell's start is the sum of the earlier ones (over classes, then within the class), and rows are
+    numbered within their cell. The one shuffle of documents is by cell.
     """
     new = ["size", "source_size", "target", "copies", "taken"]
     out = [c for c in (columns or docs.columns) if c.lower() not in {*new, *_OWN}]
@@ -110,20 +124,21 @@ def plan_mix(
     ).withColumns(
         {"_class": size_class(F.col("_size")), "_order": F.md5(F.concat(F.lit(f"{seed}:"), F.col("_id")))}
     )
-    count = docs.count()
-    cell = F.substring("_order", 1, _hex(count))
-    sized = sized.withColumn("_cell", cell)
-    on = ["_source", "_none", "_class", "_cell"]
-    cells = keep(sized.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_words")), "cells")
-    sums = cells.groupBy("_source", "_none").agg(F.sum("_words").alias("_size"))
+    group = ["_source", "_none", "_class"]
+    classes = keep(sized.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_words")), "classes")
+    sums = classes.groupBy("_source", "_none").agg(F.sum("_words").alias("_size"))
     goal = targets(sums, weights, most).withColumnsRenamed({"_size": "source_size"})
-    before = Window.partitionBy("_source", "_none").orderBy("_class", "_cell")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        cells.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .select(*on, "_before")
-        .join(goal, ["_source", "_none"])
-    )
+    # Large classes are parted by the first digits of the order hash; the rest of a class is one cell.
+    parted = classes.select(*group, _digits(F.col("_n")).alias("_digits")).where("_digits > 0")
+    on = [*group, "_cell"]
+    if parted.isEmpty():
+        sized = sized.withColumn("_cell", F.lit(""))
+        cells = classes.select(*group, F.lit("").alias("_cell"), "_n")
+    else:
+        cell = F.expr("substring(_order, 1, coalesce(_digits, 0))")
+        sized = sized.join(parted, group, "left").withColumn("_cell", cell).drop("_digits")
+        cells = sized.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    starts = keep(cell_starts(cells).select(*on, "_before").join(goal, ["_source", "_none"]), "cells")
     within = Window.partitionBy(*on).orderBy("_order", "_size")
     rank = F.col("_before") + F.row_number().over(within)
     crossed = lambda r: F.floor(r * F.col("_rate") + offset(F.col("_source"), F.col("_none"), seed))

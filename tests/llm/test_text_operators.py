@@ -1,6 +1,7 @@
 """Operators on documents against plain Python, with nulls, empty and long texts, ties and clashes."""
 
 import random
+import re
 
 import brute
 import pytest
@@ -247,6 +248,50 @@ def test_targets(spark, sizes):
     assert found == pytest.approx(brute.targets(sizes))
 
 
+def test_remembered_pieces_are_bounded_in_bytes():
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
+    counter = tokens.Counter(tokenizer, most=20_000)
+    rng = random.Random(3)
+    for _ in range(20):
+        texts = ["".join(rng.choice("天地玄黃宇宙洪荒") for _ in range(3000)), " ".join(f"w{rng.randrange(10**6)}" for _ in range(80)), "a b\nc"]
+        assert counter.counts(texts) == [len(tokenizer.encode(t, add_special_tokens=False)) for t in texts]
+        assert sum(len(p) for p in counter.known) * 4 < 60_000 and max(map(len, counter.known)) <= 64
+
+
+def test_other_tokenizer_files_encode_whole_texts(spark):
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    assert not tokens.cuts_hold(plain) and tokens.cuts_hold(Tokenizer.from_file(public.path("byte_bpe_50k.json")))
+    texts = ["It's  here,\n\nthen 1234 gone ", "x " * 200, "", None, "<|endoftext|> a\tb"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in tokens.count_tokens(frame, path, chunk=20, overlap=4).collect():
+        assert r.n_tokens == len(plain.encode(r.text or "", add_special_tokens=False))
+
+
+def test_a_million_cells_of_one_source(spark):
+    """Sums run over classes, then over the cells of one class; no window holds the cells of a source."""
+    n = 1_000_000
+    cells = spark.range(n).select(
+        F.lit("hot").alias("_source"), F.lit(False).alias("_none"), (F.col("id") % 200).cast("int").alias("_class"),
+        F.lpad(F.hex(F.floor(F.col("id") / 200)), 4, "0").alias("_cell"), (F.col("id") % 7).alias("_n"),
+    )
+    found = mixing.cell_starts(cells)
+    windows = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in x]
+    assert len(windows) == 2 and any(re.search(r"windowspecdefinition\(_class#\d+, _cell", x) for x in windows)
+    rows = cells.groupBy("_class").agg(F.sum("_n").alias("n")).orderBy("_class").collect()
+    starts = found.groupBy("_class").agg(F.min("_before").alias("low"), F.max(F.col("_before") + F.col("_n")).alias("high"), F.count(F.lit(1)).alias("c"))
+    at = 0
+    for r, s in zip(rows, starts.orderBy("_class").collect()):
+        assert (s.low, s.high, s.c) == (at, at + r.n, n // 200)
+        at += r.n
+
+
 def test_mix_of_nothing(spark, docs):
     assert mixing.plan_mix(empty(docs)).count() == 0
     silent = spark.createDataFrame([(1, None, None), (2, "a", " ")], "doc_id long, source string, text string")
