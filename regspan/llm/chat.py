@@ -102,7 +102,8 @@ def format_chats(
     longer one; of equal conversations the least id stays. A turn is rendered as its role and text
     between the marks ``<|im_start|>`` and ``<|im_end|>``, which are broken by a space where a text
     contains them. A conversation gives one row per ``per_row`` turn numbers that it has, whatever they
-    are, so no row or group grows without bound.
+    are, and where turn numbers repeat, one per four times as many turns, in order; so no row or group
+    grows without bound.
 
     Repeated rows count once. Different rows of one turn number are ordered by role and text. Turns
     without a number come first, in a row of their own with a null ``first_turn``; a null role reads
@@ -113,11 +114,13 @@ def format_chats(
     prefixes = keep(prefix_hashes(rows), "prefixes")
     # Turns without a number have a rank of 0 and a part of their own.
     parts = prefixes.withColumn("_part", F.floor((F.col("_rank") - 1) / per_row))
-    # Many different rows of one turn number can overfill a part; it is then cut by hash.
-    sizes = parts.groupBy(*_ID, "_part").agg(F.sum("_c").alias("_size"))
-    wanted = sizes.join(maximal(prefixes), _ID, "left_semi")
-    places = parts.select(*_ID, "_part", "_at").join(wanted, [*_ID, "_part"])
-    cut = F.pmod(F.xxhash64("_at", "_role", "_text"), F.ceil(F.col("_size") / (4 * per_row)))
+    # Many different rows of one turn number can overfill a part; it is then cut in order, by places counted
+    # over the turn numbers before and then within the one at hand.
+    earlier = Window.partitionBy(*_ID, "_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    counted = parts.withColumn("_before", F.coalesce(F.sum("_c").over(earlier), F.lit(0)))
+    places = counted.select(*_ID, "_part", "_at", "_before").join(maximal(prefixes), _ID, "left_semi")
+    within = F.dense_rank().over(Window.partitionBy(*_ID, "_at").orderBy("_role", "_text"))
+    cut = F.floor((F.col("_before") + within - 1) / (4 * per_row))
     kept = rows.join(places, [*_ID, "_at"]).withColumn("_cut", cut)
     groups = kept.groupBy(*_ID, "_part", "_cut").agg(
         F.sort_array(F.collect_set(F.struct("_at", "_role", "_text"))).alias("_turns")

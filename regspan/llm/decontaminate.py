@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..sources.sinks import keep
 from .words import ALPHANUMERIC, mix, utf8, word_hashes
@@ -59,9 +60,10 @@ def _item_windows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Reco
 
 def benchmark_windows(benchmark: DataFrame, item: str, text: str, n: int) -> DataFrame:
     """Each distinct window with the distinct ids of its items, written once."""
-    rows = benchmark.select(F.col(item).cast("long").alias("_item"), F.col(text).alias("_text"))
+    rows = benchmark.select(F.col(item).alias("_item"), F.col(text).alias("_text"))
+    kind = rows.schema["_item"].dataType.simpleString()
     found = rows.mapInArrow(
-        lambda it: _item_windows(it, n), "_item long, _length int, _window long, _words binary"
+        lambda it: _item_windows(it, n), f"_item {kind}, _length int, _window long, _words binary"
     )
     items = F.sort_array(F.collect_set("_item")).alias("_items")
     return keep(found.groupBy("_window", "_length", "_words").agg(items), "windows")
@@ -87,7 +89,7 @@ _filters: dict[str, _Filter] = {}
 
 SPANS = "array<struct<first:long,words:long,start:long,end:long>>"
 _SPAN_TYPE = pa.list_(pa.struct([(f, pa.int64()) for f in ("first", "words", "start", "end")]))
-_FOUND = f"_found_words long, _found_spans {SPANS}, _found_items array<long>"
+_FOUND = f"_found_words long, _found_spans {SPANS}, _found_items array<{{item}}>"
 
 
 def _merge(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -101,7 +103,8 @@ def _merge(windows: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _scan(
-    batches: Iterator[pa.RecordBatch], shared, name: str, n: int, text: str, columns: list[str], only_hit: bool
+    batches: Iterator[pa.RecordBatch], shared, name: str, n: int, text: str, columns: list[str], only_hit: bool,
+    kind: pa.DataType,
 ) -> Iterator[pa.RecordBatch]:
     if name not in _filters:  # once per Python worker, not per task
         _filters.clear()
@@ -141,7 +144,7 @@ def _scan(
                 *(batch.column(c) for c in columns),
                 pa.array(counts, pa.int64()),
                 pa.array(spans, _SPAN_TYPE),
-                pa.array(items, pa.list_(pa.int64())),
+                pa.array(items, pa.list_(kind)),
             ],
             names=[*columns, "_found_words", "_found_spans", "_found_items"],
         )
@@ -154,7 +157,11 @@ def _find(
 ) -> DataFrame:
     """``columns`` of ``docs`` and the findings as columns ``_found_…``."""
     windows = benchmark_windows(benchmark, item, item_text, n)
-    blocks = max(1, -(-windows.count() // most))
+    # What is broadcast are windows and, for each, its items.
+    total = windows.agg(F.sum(F.greatest(F.size("_items"), F.lit(1)))).first()[0] or 0
+    blocks = max(1, -(-total // most))
+    item_type = benchmark.schema[item].dataType
+    kind = to_arrow_type(item_type)
 
     def scan(block: int, rows: DataFrame, columns: list[str], only_hit: bool) -> DataFrame:
         table: Windows = {}
@@ -164,8 +171,9 @@ def _find(
             lengths.add(r["_length"])
         shared, name = docs.sparkSession.sparkContext.broadcast((table, lengths)), uuid.uuid4().hex
         types = "".join(f"`{c}` {rows.schema[c].dataType.simpleString()}, " for c in columns)
+        types += _FOUND.format(item=item_type.simpleString())
         rows = rows.select(*columns, *([] if text in columns else [text]))
-        return rows.mapInArrow(lambda it: _scan(it, shared, name, n, text, columns, only_hit), types + _FOUND)
+        return rows.mapInArrow(lambda it: _scan(it, shared, name, n, text, columns, only_hit, kind), types)
 
     if blocks == 1:
         found = scan(0, docs, columns, False)
@@ -237,9 +245,10 @@ def find_passages(
     empty benchmark hits nothing; repeated items count once. Input columns of the new names
     are replaced.
 
-    The windows are counted before they are broadcast. A benchmark of more than ``most`` windows
-    is cut by hash into blocks of about that many, documents are scanned once per block and
-    the findings meet by row.
+    The windows, each with its items, are counted before they are broadcast. A benchmark of more than ``most``
+    such pairs is cut by hash of the window into blocks of about that many; documents are then written once, scanned
+    once per block, and the findings meet by row, so a benchmark twice as large costs a scan more. Item ids may have any
+    type that can be sorted.
     """
     found = _find(docs, benchmark, text, item, item_text, n, percent, columns or docs.columns, most)
     names = {"n_words": "words", "n_hit": "hit", "items": "items", "spans": "spans", "contaminated": "bad"}

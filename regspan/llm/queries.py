@@ -98,24 +98,33 @@ def op1_mix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 CHAT_SQL = r"""
-WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
-shown AS (
-  SELECT *, concat('<|im_start|>', replace(replace(role, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>'),
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         role IS NULL AS no_role, text IS NULL AS no_text
+  FROM conversations),
+numbered AS (
+  SELECT *, CASE WHEN turn IS NULL THEN -1
+                 ELSE (dense_rank() OVER (PARTITION BY conv_id, turn IS NULL ORDER BY turn) - 1) // 1024 END AS part,
+         concat('<|im_start|>', replace(replace(role, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>'),
                    chr(10), replace(replace(text, '<|im_start|>', '< |im_start|>'), '<|im_end|>', '< |im_end|>'),
                    '<|im_end|>', chr(10)) AS piece,
-         concat(turn, ' ', length(role), ' ', length(text), ' ', role, text, ';') AS exact
+         concat(turn, ' ', no_role, ' ', no_text, ' ', length(role), ' ', length(text), ' ', role, text, ';') AS exact
   FROM turns),
+shown AS (
+  SELECT *, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, NOT no_role, role, NOT no_text, text) - 1) // 4096 AS cut
+  FROM numbered),
 prefixes AS (
-  SELECT *, string_agg(exact, '') OVER w AS prefix, count(*) OVER (PARTITION BY conv_id) AS n,
-         row_number() OVER w AS i
-  FROM shown WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text)),
-whole AS (SELECT prefix, n, min(conv_id) AS conv_id FROM prefixes WHERE i = n GROUP BY prefix, n),
+  SELECT conv_id, turn, string_agg(exact, '' ORDER BY exact) AS own, count(*) AS c FROM shown GROUP BY conv_id, turn),
+sums AS (
+  SELECT *, string_agg(own, '|') OVER w AS prefix, sum(c) OVER (PARTITION BY conv_id) AS n, sum(c) OVER w AS i
+  FROM prefixes WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST)),
+whole AS (SELECT prefix, n, min(conv_id) AS conv_id FROM sums WHERE i = n GROUP BY prefix, n),
 kept AS (
   SELECT conv_id FROM whole w
-  WHERE NOT EXISTS (SELECT 1 FROM prefixes p WHERE p.prefix = w.prefix AND p.i < p.n))
-SELECT conv_id, min(turn) AS first_turn, count(*) AS n_turns,
-       string_agg(piece, '' ORDER BY turn, role, text) AS text
-FROM shown JOIN kept USING (conv_id) GROUP BY conv_id
+  WHERE NOT EXISTS (SELECT 1 FROM sums p WHERE p.prefix = w.prefix AND p.i < p.n))
+SELECT s.conv_id, min(turn) AS first_turn, count(*) AS n_turns,
+       string_agg(piece, '' ORDER BY turn, NOT no_role, role, NOT no_text, text) AS text
+FROM shown s JOIN kept k ON s.conv_id IS NOT DISTINCT FROM k.conv_id GROUP BY s.conv_id, part, cut
 """
 
 
@@ -163,7 +172,7 @@ FROM docs LEFT JOIN covered c USING (r) LEFT JOIN found f USING (r)
 def op3_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     """Words of each document inside 13-word windows of the benchmark, and the items they are from."""
     found = find_passages(table(spark, sf, "documents"), table(spark, sf, "benchmark"), columns=["doc_id"])
-    ids = F.array_join(F.array_sort(F.col("items").cast("array<string>")), ",")
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(ids, 256).alias("items_sha256"), "contaminated",
@@ -294,7 +303,8 @@ named AS (
 firsts AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM named)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> first THEN first END AS refers_to
+       CASE WHEN page_id <> first THEN first END AS refers_to,
+       concat('urn:capture:', page_id, ':', digest, ':request') AS request_id
 FROM firsts
 """
 
@@ -308,10 +318,13 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     stated = F.col("metadata")[0]["fields"]
     return found.select(
         stated["captureid"].cast("long").alias("page_id"),
-        stated["payloadlength"].cast("long").alias("payload_bytes"),
+        # A revisit has no payload of its own; of all others the archive's own bytes are counted.
+        F.when(F.col("response.type") == "revisit", stated["payloadlength"].cast("long"))
+        .otherwise(F.col("response.payload_bytes")).alias("payload_bytes"),
         F.coalesce("response.payload_digest", "response.digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         F.regexp_extract("response.refers_to", "^urn:capture:([0-9-]+):", 1).cast("long").alias("refers_to"),
+        F.col("request.record_id").alias("request_id"),
     )
 
 

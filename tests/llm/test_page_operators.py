@@ -73,6 +73,24 @@ def test_many_rows_of_one_turn_are_cut(spark):
     assert chat.format_chats(spark.createDataFrame([], CHATS)).count() == 0
 
 
+def test_chats_equal_their_sql_on_odd_rows(spark, tmp_path):
+    from compare import differences
+    import duckdb
+
+    from regspan.llm.queries import ORACLES, QUERIES
+
+    rows = [r for r in CONVERSATIONS if r[0] is not None] + turns_of(20, [f"t{i}" for i in range(1500)]) + turns_of(21, [f"t{i}" for i in range(1400)])
+    rows += [(22, 3, "user", f"same turn {i}") for i in range(5000)] + [(22, 4, None, "a"), (22, 4, "user", None), (23, 1, None, None), (23, 1, "", "")]
+    rows += [(24, 5 * i, "user", f"{i}") for i in range(1030)] + [(24, None, "user", "z")]
+    spark.createDataFrame(rows, CHATS).repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    ours = QUERIES["op2_chat"](spark, str(tmp_path)).toArrow()
+    assert differences(ours, con.execute(ORACLES["op2_chat"]).to_arrow_table()) == []
+    cut = sorted(r["n_turns"] for r in ours.to_pylist() if r["conv_id"] == 22)
+    assert cut == [906, 4096] and 21 not in {r["conv_id"] for r in ours.to_pylist()}
+
+
 RULES = [urls.Rule.parse(r) for r in ("allow org/", "block example.org/es/", "block example.org/en/1", "allow com/fr/", "block com/de/")]
 URLS = [
     "http://a.org/x", "https://WWW.Example.ORG/es/1", "http://example.org/es", "http://example.org/en/12?x=1", "http://x.com/fr/a#b",

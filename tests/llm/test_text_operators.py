@@ -147,12 +147,40 @@ def test_passages(tainted, benchmark, most):
 def test_passages_are_cut_out(tainted, benchmark):
     clean = decontaminate.without_passages(tainted, benchmark)
     assert clean.columns == tainted.columns and clean.count() == tainted.count()
-    assert all(brute.passages(r.text, ITEMS)[1] == 0 or len(r.text) > 0 for r in clean.collect())
+    left = {(r.doc_id, i): r.text for i, r in enumerate(sorted(clean.collect(), key=lambda r: (str(r.doc_id), r.text or "")))}
+    spans = decontaminate.find_passages(tainted, benchmark).collect()
+    want = []
+    for r in spans:
+        text, at, parts = r.text, 0, []
+        for x in r.spans:
+            parts.append(text[at : x.start])
+            at = x.end
+        want.append((str(r.doc_id), text if not r.spans else "".join(parts) + text[at:]))
+    assert sorted((str(k[0]), v or "") for k, v in left.items()) == sorted((i, t or "") for i, t in want)
+    assert any(r.spans for r in spans) and any(brute.passages(t, ITEMS)[1] < brute.passages(r.text, ITEMS)[1] for r, (_, t) in zip(spans, want))
     kept = decontaminate.without_contaminated(tainted, benchmark).collect()
     want = sorted(r.doc_id for r in tainted.collect() if not brute.passages(r.text, ITEMS)[3])
     assert sorted(r.doc_id for r in kept) == want
 
 
+@pytest.mark.parametrize("most", [decontaminate.BROADCAST_WINDOWS, 7])
+def test_item_ids_of_any_type(spark, tainted, most):
+    named = spark.createDataFrame([(None if i is None else f"item-{i}", t) for i, t in ITEMS], "item_id string, text string")
+    found = decontaminate.find_passages(tainted, named, most=most)
+    assert found.schema["items"].dataType.simpleString() == "array<string>"
+    for r in found.collect():
+        assert set(r["items"]) == {f"item-{i}" for i in brute.passages(r.text, ITEMS)[2]} and r["items"] == sorted(r["items"])
+
+
+def test_a_passage_of_all_items_parts_the_benchmark(spark, tainted):
+    """Blocks are cut by windows and their items, so a list of all ids counts as what it holds."""
+    common = " ".join(f"common{i}" for i in range(13))
+    items = spark.createDataFrame([(i, f"{common} own{i} words{i}") for i in range(200)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {common} y"), (2, "nothing of it")], "doc_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.find_passages(docs, items, most=50).collect()}
+    assert found[1]["items"] == list(range(200)) and found[1].n_hit == 13 and not found[2]["items"]
+
+
 def test_passages_with_clashing_columns_and_empty_tables(tainted, benchmark):
     odd = tainted.withColumn("SPANS", F.lit(1)).withColumn("n_hit", F.lit("x"))
     found = decontaminate.find_passages(odd, benchmark)
