@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,8 @@ from ..sources.sinks import keep
 from .frames import SPACE, without, words_of
 
 SYMBOLS = "#*$%&|<>"
-# Rows used to estimate cost and selectivity; they decide the order of the rules only.
-SAMPLE_ROWS = 1_000
+# Rows, and files they are taken from, used to estimate cost and selectivity; they decide the order of the rules only.
+SAMPLE_ROWS, SAMPLE_FILES = 1_000, 16
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -114,37 +116,49 @@ def with_measures(docs: DataFrame, text: str = "text", names: Sequence[str] = tu
     return split.withColumns({n: found[n] for n in names}).drop("_words")
 
 
+def _sample(docs: DataFrame, text: str, rows: int) -> DataFrame:
+    """About ``rows`` texts with their words, written once.
+
+    They are the first rows of files spread evenly over the table's; of a table made otherwise, its first rows.
+    """
+    files = sorted({unquote(f.rsplit("/", 1)[-1]) for f in docs.inputFiles()})
+    step = -(-len(files) // SAMPLE_FILES) if files else 1
+    chosen = files[::step]
+    if len(chosen) > 1 and "_metadata" not in docs.columns:
+        try:
+            each = -(-rows // len(chosen))
+            parts = [docs.where(F.col("_metadata.file_name") == f).select(text).limit(each) for f in chosen]
+            some = reduce(DataFrame.union, parts)
+        except AnalysisException:  # not the files' own rows
+            some = docs.select(text).limit(rows)
+    else:
+        some = docs.select(text).limit(rows)
+    return keep(some.coalesce(1).withColumn("_words", words_of(F.col(text))), "sample")
+
+
 def estimate(
     docs: DataFrame, rules: Sequence[Rule], text: str, rows: int = SAMPLE_ROWS
 ) -> tuple[dict[str, float], dict[int, int]]:
     """Seconds of each rule over a sample, and how many rows fail which rules (as a bit mask).
 
-    The sample is the first ``rows`` rows, which one task reaches without reading on, written once.
-    A rule's cost is the faster of two runs less that of an empty run.
+    One job over the sample judges all rules of a row one after the other and reads the clock between
+    them, so a rule's cost is what it adds to words that are split already, as in the cascade. The job is run twice;
+    the second run, of compiled code, counts.
     """
-    sample = keep(docs.select(text).coalesce(1).limit(rows), "sample")
-    value = F.col(text)
-
-    def fails(rule: Rule) -> Column:
-        return _let(words_of(value), lambda words: rule.fails(measures_of(value, words)))
-
-    def seconds(failed: Column) -> float:
-        runs = []
-        for _ in range(2):
-            begun = time.perf_counter()
-            sample.agg(F.sum(failed.cast("long"))).collect()
-            runs.append(time.perf_counter() - begun)
-        return min(runs)
-
-    idle = seconds(value.isNull())
-    cost = {r.name: max(seconds(fails(r)) - idle, 1e-3) for r in rules}
-
-    def failed_of(words: Column) -> Column:
-        found = measures_of(value, words)
-        return sum((r.fails(found).cast("long") * (1 << i) for i, r in enumerate(rules)), F.lit(0).cast("long"))
-
-    mask = _let(words_of(value), failed_of)
-    return cost, {int(m): int(n) for m, n in sample.groupBy(mask.alias("m")).count().collect()}
+    sample = _sample(docs, text, rows)
+    clock = F.reflect(F.lit("java.lang.System"), F.lit("nanoTime")).cast("long")
+    found = measures_of(F.col(text), F.col("_words"))
+    fields = [clock.alias("_t0")]
+    for i, r in enumerate(rules):
+        fields += [r.fails(found).cast("long").alias(f"_f{i}"), clock.alias(f"_t{i + 1}")]
+    judged = sample.select(F.struct(*fields).alias("_s"))
+    mask = sum((F.col(f"_s._f{i}") * (1 << i) for i in range(len(rules))), F.lit(0).cast("long"))
+    spent = [F.sum(F.col(f"_s._t{i + 1}") - F.col(f"_s._t{i}")).alias(f"c{i}") for i in range(len(rules))]
+    told = judged.groupBy(mask.alias("m")).agg(F.count(F.lit(1)).alias("n"), *spent)
+    told.collect()
+    groups = told.collect()
+    cost = {r.name: max(sum(g[f"c{i}"] for g in groups) * 1e-9, 1e-6) for i, r in enumerate(rules)}
+    return cost, {int(g.m): int(g.n) for g in groups}
 
 
 def ordered(rules: Sequence[Rule], cost: Mapping[str, float], failed: Mapping[int, int]) -> list[Rule]:
