@@ -20,8 +20,8 @@ _OWN = ["_id", "_source", "_none", "_size", "_class", "_order", "_cell", "_n", "
 
 
 def _digits(rows: Column) -> Column:
-    """Hexadecimal digits of the order hash that part ``rows`` rows into cells; none if they fit in one."""
-    return F.greatest(F.lit(0), F.ceil(F.log(16.0, rows / CELL_ROWS))).cast("int")
+    """Hexadecimal digits of the order hash that part ``rows`` rows into cells, one at least."""
+    return F.greatest(F.lit(1), F.ceil(F.log(16.0, rows / CELL_ROWS))).cast("int")
 
 
 def cell_starts(cells: DataFrame) -> DataFrame:
@@ -125,20 +125,19 @@ def plan_mix(
         {"_class": size_class(F.col("_size")), "_order": F.md5(F.concat(F.lit(f"{seed}:"), F.col("_id")))}
     )
     group = ["_source", "_none", "_class"]
-    classes = keep(sized.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_words")), "classes")
-    sums = classes.groupBy("_source", "_none").agg(F.sum("_words").alias("_size"))
-    goal = targets(sums, weights, most).withColumnsRenamed({"_size": "source_size"})
-    # Large classes are parted by the first digits of the order hash; the rest of a class is one cell.
-    parted = classes.select(*group, _digits(F.col("_n")).alias("_digits")).where("_digits > 0")
     on = [*group, "_cell"]
-    if parted.isEmpty():
-        sized = sized.withColumn("_cell", F.lit(""))
-        cells = classes.select(*group, F.lit("").alias("_cell"), "_n")
-    else:
-        cell = F.expr("substring(_order, 1, coalesce(_digits, 0))")
+    sized = sized.withColumn("_cell", F.substring("_order", 1, 1))
+    cells = keep(sized.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"), F.sum("_size").alias("_words")), "cells")
+    sums = cells.groupBy("_source", "_none").agg(F.sum("_words").alias("_size"))
+    goal = targets(sums, weights, most).withColumnsRenamed({"_size": "source_size"})
+    # The cells of large classes are named by more digits of the order hash.
+    classes = cells.groupBy(*group).agg(F.sum("_n").alias("_n"))
+    parted = classes.select(*group, _digits(F.col("_n")).alias("_digits")).where("_digits > 1")
+    if not parted.isEmpty():
+        cell = F.expr("substring(_order, 1, coalesce(_digits, 1))")
         sized = sized.join(parted, group, "left").withColumn("_cell", cell).drop("_digits")
         cells = sized.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    starts = keep(cell_starts(cells).select(*on, "_before").join(goal, ["_source", "_none"]), "cells")
+    starts = keep(cell_starts(cells).select(*on, "_before").join(goal, ["_source", "_none"]), "starts")
     within = Window.partitionBy(*on).orderBy("_order", "_size")
     rank = F.col("_before") + F.row_number().over(within)
     crossed = lambda r: F.floor(r * F.col("_rate") + offset(F.col("_source"), F.col("_none"), seed))
