@@ -120,10 +120,7 @@ class Block:
     inside: bool = True
     parts: list[str] = field(default_factory=list)
     linked: int = 0
-
-    @property
-    def text(self) -> str:
-        return " ".join("".join(self.parts).split())
+    text: str = ""  # white space as one space, when all parts are there
 
 
 # Why an element may be left out: a page part by its nature, or by its name unless it holds the bulk of the text.
@@ -384,6 +381,8 @@ def blocks(page: str) -> list[Block]:
             stop = _XMP.search(page, at)
             add(page[at : stop.start() if stop else end], True)
             at = stop.start() if stop else end
+    for b in out:
+        b.text = " ".join("".join(b.parts).split())
     found = [b for b in out if b.text]
     _settle(found, elements)
     return found
