@@ -141,7 +141,8 @@ def plan_mix(
     within = Window.partitionBy(*on).orderBy("_order", "_size")
     rank = F.col("_before") + F.row_number().over(within)
     crossed = lambda r: F.floor(r * F.col("_rate") + offset(F.col("_source"), F.col("_none"), seed))
-    numbered = sized.join(starts, on).withColumn("_rank", rank)
+    # By cell, as the window needs it, whatever the number of cells.
+    numbered = sized.join(starts.hint("merge"), on).withColumn("_rank", rank)
     copies = (crossed(F.col("_rank")) - crossed(F.col("_rank") - 1)).cast("long")
     return numbered.select(
         *out,
