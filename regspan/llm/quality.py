@@ -223,6 +223,18 @@ def fit(
     return Model(mean, scale, directions, phases, model.weights, _levels(rest, model))
 
 
+def labelled(docs: DataFrame, labels: DataFrame, id: str, quality: str, most: int) -> DataFrame:
+    """The rows of ``docs`` that ``fit`` may use; of more than ``most`` labels a share, by a hash of the id.
+
+    The ids are counted first, so what is broadcast is bounded by ``most`` and no text is shuffled.
+    """
+    ids = labels.where(F.col(quality).isNotNull() & (fold(F.col(id)) != 0)).select(id).distinct()
+    n = ids.count()
+    if n > most:
+        ids = ids.where(F.pmod(F.xxhash64(id), F.lit(1 << 30)) < int(most / n * (1 << 30)))
+    return docs.join(F.broadcast(ids), id, "left_semi")
+
+
 def classify(
     docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", quality: str = "quality",
     threshold: float = THRESHOLD, most: int = MAX_LABELLED,
@@ -260,7 +272,8 @@ def passing(
     The model is fitted on the labelled rows of ``training`` (``docs`` by default). Documents are
     not shuffled: their statistics are computed where they are read.
     """
-    model = fit(features(docs if training is None else training, id, text), labels, id, quality, most)
+    known = labelled(docs if training is None else training, labels, id, quality, most)
+    model = fit(features(known, id, text), labels, id, quality, most)
 
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
