@@ -23,7 +23,7 @@ def _followed(spark, sf):
     person = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("pnr"), "c_mktsegment", "c_acctbal"
     )
-    followed = seen.join(person, "pnr").select(
+    followed = seen.join(person.hint("merge"), "pnr").select(
         F.col("pnr").alias("id"), "c_mktsegment", "entry", "end", "exposure_date",
         F.when(F.col("c_acctbal") < 0, F.coalesce("late", "end")).alias("case_date"),
     )

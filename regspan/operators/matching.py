@@ -37,19 +37,34 @@ def _hash(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, _HASH_DIGITS), 16, 10).cast("long")
 
 
-def _numbered(at_risk: DataFrame, block: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with their number (from 0) in the seeded order of their block, and block counts."""
+def _merged(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """An inner join by shuffle and sort, never by broadcast.
+
+    Spark takes a frame for as small as the file it stems from, however many
+    rows explode() makes of it, and would build these through the driver.
+    """
+    return left.join(right.hint("merge"), on)
+
+
+def _numbered(
+    at_risk: DataFrame, block: list[str], wanted: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the wanted blocks (distinct) with their number (from 0) in the seeded order of
+    their block, and block counts."""
     in_part = Window.partitionBy(*block, "_part").orderBy("_order", "_person")
     bits = 4 * _HASH_DIGITS - PART_BITS
     ranked = at_risk.withColumn("_part", F.shiftright("_order", bits).cast("int"))
     ranked = ranked.withColumn("_in_part", F.row_number().over(in_part))
     # Persons are shuffled once: the sizes come from the same numbering.
     sizes = ranked.groupBy(*block, "_part").agg(F.max("_in_part").alias("_size"))
+    # Sizes, not rows, meet the wanted blocks: of them a block has 2 ** PART_BITS at most. Spark
+    # would push a semi join down to the rows and shuffle these twice.
+    sizes = _merged(sizes, wanted, block)
     before = Window.partitionBy(*block).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
     counts = offsets.groupBy(*block).agg(F.max(F.col("_offset") + F.col("_size")).alias("_n"))
     number = F.col("_offset") + F.col("_in_part") - 1
-    numbered = ranked.join(offsets, [*block, "_part"]).select(
+    numbered = _merged(ranked, offsets, [*block, "_part"]).select(
         *block, number.alias("_number"), "_person"
     )
     return numbered, counts
@@ -122,12 +137,11 @@ def _match(
         .select("_person", *strata, "_order", *keys)
     )
     # Only blocks around some case matter.
-    at_risk = at_risk.join(around.select(*block).distinct(), block, "left_semi")
-    people, counts = _numbered(at_risk, block)
+    people, counts = _numbered(at_risk, block, around.select(*block).distinct())
 
     # One element per block size.
     choices = (
-        around.join(counts, block)
+        _merged(around, counts, block)
         .groupBy(*strata, "match_date")
         .agg(
             F.sum("_n").alias("_available"),
@@ -142,7 +156,7 @@ def _match(
         )
     )
     draws = (
-        cases.join(choices, [*strata, "match_date"], "inner")
+        _merged(cases, choices, [*strata, "match_date"])
         .select("*", F.posexplode(_draw(k, seed)).alias("_turn", "_pick"))
         .withColumn("_found", F.expr(_LOCATED))
         .select(
@@ -154,7 +168,7 @@ def _match(
             ],
         )
     )
-    controls = draws.join(people, [*block, "_number"], "inner")
+    controls = _merged(draws, people, [*block, "_number"])
     shown = [c for c in strata if c != "_all"]
     columns = ["case_id", F.col("_person").alias("id"), *shown, "match_date", "rank"]
     as_rank0 = cases.select(

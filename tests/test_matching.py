@@ -5,9 +5,11 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from helpers import d, rows
+from helpers import d, plan, rows
 from pyspark.sql import functions as F
 
+from catalogue import QUERIES
+from catalogue import matched as matching_queries
 from regspan.functions.blocks import DAY_BITS, blocks, blocks_of_day
 from regspan.operators.matching import exposure_match, incidence_match, match_report
 
@@ -140,3 +142,38 @@ def test_bad_k(spark, people):
 def test_case_without_candidates_is_kept(spark):
     df = spark.createDataFrame([("A", "m", d("2000-01-01"), None, d("2001-01-01"), None)], SCHEMA)
     assert rows(incidence_match(df, 2, ["sex"]), "case_id", "id", "rank") == [("A", "A", 0)]
+
+
+@pytest.mark.parametrize("operator", [incidence_match, exposure_match])
+def test_nothing_is_broadcast(spark, people, tmp_path, operator):
+    """A person becomes many rows, of which the size of the input's files says nothing."""
+    path = str(tmp_path / "people")
+    spark.createDataFrame(people, SCHEMA).write.parquet(path)
+    found = operator(spark.read.parquet(path), 2, ["sex"], seed=5)
+    assert "Broadcast" not in plan(found)
+    assert found.where("rank > 0").count() > 0
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Customers with five orders each."""
+    folder = tmp_path_factory.mktemp("tables")
+    urgency = "element_at(array('1-URGENT', '2-HIGH', '5-LOW'), cast(1 + id % 3 AS int))"
+    spark.range(40).selectExpr(
+        "id AS c_custkey", "concat('C', id) AS c_name", "cast(id % 5 AS int) AS c_nationkey",
+        "cast(id % 4 - 1 AS double) AS c_acctbal", "string(id % 2) AS c_mktsegment",
+    ).write.parquet(str(folder / "customer.parquet"))
+    spark.range(200).selectExpr(
+        "id AS o_orderkey", "id % 40 AS o_custkey", "'O' AS o_orderstatus", "1.0D AS o_totalprice",
+        "timestamp(date_add(date'2000-01-01', cast(id * 37 % 500 AS int))) AS o_orderdate",
+        f"{urgency} AS o_orderpriority",
+    ).write.parquet(str(folder / "orders.parquet"))
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", ["exposure_report"])
+def test_query_broadcasts_nothing(spark, tables, monkeypatch, name):
+    assert QUERIES[name](spark, tables).count() > 0
+    # Not written in between, the persons' own join shows in the plan as well.
+    monkeypatch.setattr(matching_queries, "keep", lambda df, name: df)
+    assert "Broadcast" not in plan(QUERIES[name](spark, tables))
