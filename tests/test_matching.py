@@ -171,7 +171,7 @@ def tables(spark, tmp_path_factory):
     return str(folder)
 
 
-@pytest.mark.parametrize("name", ["exposure_report", "incidence_matching", "matching_report"])
+@pytest.mark.parametrize("name", ["exposure_report", "incidence_matching", "matching_report", "exposure_matching"])
 def test_query_broadcasts_nothing(spark, tables, monkeypatch, name):
     assert QUERIES[name](spark, tables).count() > 0
     # Not written in between, the persons' own join shows in the plan as well.
